@@ -14,10 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartpulse.operators import cleanse as cl
+from cartpulse.operators import windows as win
 from cartpulse.plans import conversion as conv
 from cartpulse.plans import products as prod
 from cartpulse.plans import segmentation as seg
-from cartpulse.sources.tables import click_events, product_categories
+from cartpulse.schema import FIXTURE_ALERT_PARAMS, AlertParams
+from cartpulse.sources import feed
+from cartpulse.sources.tables import click_events, clicks, product_categories
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -363,3 +367,104 @@ def _ntz(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
                        if f.dataType.typeName() == "timestamp" else F.col(f.name)
                        for f in df.schema.fields])
+
+
+# --- decode, cleanse, de-duplicate (B) ----------------------------------------
+
+def _feed_sql() -> str:
+    faults = " OR ".join(f"event_id % {m} = 0" for m in feed.FAULTS.values())
+    return f"""feed AS (
+  SELECT *, 0 AS copy FROM clicks WHERE NOT ({faults})
+  UNION ALL
+  SELECT *, 1 AS copy FROM clicks)"""
+
+
+DECODED_COLS = f"""printf('evt_%08d', event_id) AS event_id, printf('user_%04d', user_id) AS user_id,
+  printf('prod_%04d', product_id) AS product_id, event_type,
+  event_timestamp, printf('session_%d', 1000 + user_id % 9000) AS session_id, product_category,
+  ['mobile', 'desktop', 'tablet'][event_id % 3 + 1] AS device_type,
+  '/product/' || printf('prod_%04d', product_id) AS page_url, price * {feed.PRICE_SCALE} AS price,
+  CAST(user_id % 3 AS INTEGER) AS partition, event_id * 2 + copy AS offset,
+  event_timestamp + copy * INTERVAL 1 SECOND AS kafka_timestamp,
+  price * {feed.PRICE_SCALE} > 500 AS is_high_value, CAST(event_timestamp AS DATE) AS event_date,
+  CAST(hour(event_timestamp) AS INTEGER) AS event_hour"""
+
+VALID_FEED = f"""valid AS (
+  SELECT * FROM feed
+  WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND product_id IS NOT NULL
+    AND event_type IS NOT NULL AND event_timestamp IS NOT NULL AND price * {feed.PRICE_SCALE} > 0)"""
+
+
+def _decoded(spark, sf_dir) -> DataFrame:
+    return cl.validate(cl.decode(feed.faulty_feed(clicks(spark, sf_dir))))
+
+
+@register("decode_clean_events", with_clicks(f"SELECT {DECODED_COLS} FROM valid",
+                                             _feed_sql(), VALID_FEED))
+def q_decode_clean_events(spark, sf_dir):
+    return _ntz(_decoded(spark, sf_dir).drop("processing_timestamp"))
+
+
+@register("dedup_events", with_clicks(
+    f"SELECT {DECODED_COLS} FROM valid QUALIFY row_number() OVER "
+    "(PARTITION BY event_id ORDER BY event_timestamp, event_timestamp + copy * INTERVAL 1 SECOND, "
+    "user_id % 3, event_id * 2 + copy) = 1", _feed_sql(), VALID_FEED))
+def q_dedup_events(spark, sf_dir):
+    return _ntz(cl.deduplicate(_decoded(spark, sf_dir)).drop("processing_timestamp"))
+
+
+# --- sliding windows and alerts (C) -------------------------------------------
+
+CLEAN_SQL = """clean AS (
+  SELECT * FROM clicks
+  WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND product_id IS NOT NULL
+    AND event_type IS NOT NULL AND event_timestamp IS NOT NULL AND price > 0
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_timestamp) = 1)"""
+
+_UNITS_US = {"second": 10 ** 6, "minute": 60 * 10 ** 6, "hour": 3600 * 10 ** 6,
+             "day": 86400 * 10 ** 6}
+
+
+def _micros(duration: str) -> int:
+    n, unit = duration.split()
+    return int(n) * _UNITS_US[unit.rstrip("s")]
+
+
+def window_counts_sql(params: AlertParams) -> str:
+    length, slide = _micros(params.window), _micros(params.slide)
+    return f"""wexp AS (
+  SELECT product_id, event_type, unnest(range(0, {length // slide})) AS k,
+         (epoch_us(event_timestamp) // {slide}) * {slide} AS last_start
+  FROM clean),
+wcounts AS (
+  SELECT product_id, make_timestamp(last_start - k * {slide}) AS window_start,
+         make_timestamp(last_start - k * {slide} + {length}) AS window_end,
+         CAST(count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS total_views,
+         CAST(count(*) FILTER (WHERE event_type = 'purchase') AS BIGINT) AS total_purchases
+  FROM wexp GROUP BY ALL),
+wrates AS (
+  SELECT *, CASE WHEN total_views > 0 THEN CAST(total_purchases AS DOUBLE) * 100.0 / total_views
+                 ELSE 0.0 END AS conversion_rate
+  FROM wcounts)"""
+
+
+def alerts_sql(params: AlertParams) -> str:
+    return (f"SELECT *, true AS alert_triggered FROM wrates WHERE total_views > {params.min_views}"
+            f" AND total_purchases < {params.max_purchases}")
+
+
+def _clean_facts(spark, sf_dir) -> DataFrame:
+    return cl.cleanse(click_events(spark, sf_dir))
+
+
+@register("window_counts", with_clicks("SELECT * FROM wrates", CLEAN_SQL,
+                                       window_counts_sql(FIXTURE_ALERT_PARAMS)))
+def q_window_counts(spark, sf_dir):
+    return _ntz(win.window_counts(_clean_facts(spark, sf_dir), FIXTURE_ALERT_PARAMS))
+
+
+@register("flash_sale_alerts", with_clicks(alerts_sql(FIXTURE_ALERT_PARAMS), CLEAN_SQL,
+                                           window_counts_sql(FIXTURE_ALERT_PARAMS)))
+def q_flash_sale_alerts(spark, sf_dir):
+    alerts = win.flash_sale_alerts(_clean_facts(spark, sf_dir), FIXTURE_ALERT_PARAMS)
+    return _ntz(alerts.drop("alert_timestamp"))

@@ -468,3 +468,153 @@ def q_window_counts(spark, sf_dir):
 def q_flash_sale_alerts(spark, sf_dir):
     alerts = win.flash_sale_alerts(_clean_facts(spark, sf_dir), FIXTURE_ALERT_PARAMS)
     return _ntz(alerts.drop("alert_timestamp"))
+
+
+# --- streaming alerts (A1, C1-C15) ---------------------------------------------
+
+# Replay batching: files per trigger. Days stay in order (file times follow
+# the day), and a trigger spanning a few days never drops a row, because the
+# de-dup watermark trails the newest event by delay + window length.
+REPLAY_FILES_PER_TRIGGER = 8
+_STREAM_RUNS: dict[tuple, dict] = {}
+
+
+def stream_run(spark: SparkSession, sf_dir: str) -> dict:
+    """Replay the fixture feed through the streaming alert query once per
+    session and input folder; returns the alert-log and metrics paths."""
+    import uuid
+
+    from cartpulse.session import input_key, work_path
+    from cartpulse.streaming.alerts import replay_alerts
+    key = (id(spark), sf_dir)
+    if key not in _STREAM_RUNS:
+        workdir = work_path(spark, "stream", input_key(sf_dir), uuid.uuid4().hex)
+        messages = feed.faulty_feed(clicks(spark, sf_dir))
+        _STREAM_RUNS[key] = replay_alerts(spark, messages, workdir, FIXTURE_ALERT_PARAMS,
+                                          max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
+    return _STREAM_RUNS[key]
+
+
+def _stream_alerts(spark, sf_dir) -> DataFrame:
+    from cartpulse.streaming.alerts import current_alerts
+    return current_alerts(spark.read.parquet(stream_run(spark, sf_dir)["alert_log"]))
+
+
+STREAM_ALERTS_SQL = ("SELECT printf('prod_%04d', product_id) AS product_id, window_start, "
+                     "window_end, total_views, total_purchases, conversion_rate, alert_triggered "
+                     f"FROM ({alerts_sql(FIXTURE_ALERT_PARAMS)}) a")
+
+
+@register("flash_sale_alerts_stream", with_clicks(STREAM_ALERTS_SQL, CLEAN_SQL,
+                                                  window_counts_sql(FIXTURE_ALERT_PARAMS)))
+def q_flash_sale_alerts_stream(spark, sf_dir):
+    return _ntz(_stream_alerts(spark, sf_dir).drop("alert_timestamp"))
+
+
+@register("alert_batch_metrics")
+def q_alert_batch_metrics(spark, sf_dir):
+    """C14: per micro-batch metrics; batch boundaries depend on file splits,
+    so only the row count is checked."""
+    return spark.read.parquet(stream_run(spark, sf_dir)["metrics"])
+
+
+# --- result tables and history (D9, E10, F15, H1-H3, G1-G7) ----------------------
+
+_TABLE_RUNS: dict[tuple, str] = {}
+
+
+def result_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Compute and write the four result tables once per session and input
+    folder (re-writes are idempotent); returns the tables root."""
+    from cartpulse.plans.daily import run_daily_jobs
+    from cartpulse.schema import ALERT_SCHEMA
+    from cartpulse.session import input_key, work_path
+    from cartpulse.sinks.tables import table_path, write_snapshot
+    key = (id(spark), sf_dir)
+    if key not in _TABLE_RUNS:
+        root = work_path(spark, "tables", input_key(sf_dir))
+        run_daily_jobs(_facts(spark, sf_dir), root, _dims(spark, sf_dir))
+        write_snapshot(_stream_alerts(spark, sf_dir), table_path(root, "flash_sale_alerts"),
+                       ALERT_SCHEMA)
+        _TABLE_RUNS[key] = root
+    return _TABLE_RUNS[key]
+
+
+def _table(spark, sf_dir, name) -> DataFrame:
+    from cartpulse.sinks.tables import read_result_table
+    return read_result_table(spark, result_tables(spark, sf_dir), name)
+
+
+SEG_TABLE_SQL = """seg_table AS (
+  SELECT event_date AS analysis_date, CAST(user_id AS VARCHAR) AS user_id, segment, total_events
+  FROM segments)"""
+
+
+@register("segment_history", with_clicks(
+    "SELECT analysis_date, segment, CAST(count(*) AS BIGINT) AS user_count FROM seg_table "
+    "GROUP BY analysis_date, segment ORDER BY analysis_date DESC, segment LIMIT 10",
+    SEGMENTS_SQL, SEG_TABLE_SQL))
+def q_segment_history(spark, sf_dir):
+    from cartpulse.plans.history import segment_history
+    return segment_history(_table(spark, sf_dir, "user_segmentation_daily"))
+
+
+@register("segment_history_avg", with_clicks(
+    "SELECT analysis_date, segment, CAST(count(*) AS BIGINT) AS users, "
+    "CAST((sum(total_events) * 200 + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS avg_events "
+    "FROM seg_table GROUP BY analysis_date, segment", SEGMENTS_SQL, SEG_TABLE_SQL))
+def q_segment_history_avg(spark, sf_dir):
+    from cartpulse.plans.history import segment_history_avg
+    return segment_history_avg(_table(spark, sf_dir, "user_segmentation_daily"))
+
+
+@register("top_products_history", with_clicks(
+    "SELECT event_date AS analysis_date, rank, CAST(product_id AS VARCHAR) AS product_id, "
+    "category, total_views, unique_viewers FROM top "
+    "ORDER BY analysis_date DESC, rank LIMIT 10", stats_sql("event_date,"), TOP_DAILY_SQL))
+def q_top_products_history(spark, sf_dir):
+    from cartpulse.plans.history import top_products_history
+    return top_products_history(_table(spark, sf_dir, "top_products_daily"))
+
+
+@register("conversion_history", with_clicks(
+    f"SELECT event_date AS analysis_date, product_category AS category, total_views, "
+    f"total_purchases, {pct_sql('total_purchases', 'total_views')} AS conversion_rate "
+    f"FROM cat_counts", CAT_COUNTS_SQL.format(keys="event_date,")))
+def q_conversion_history(spark, sf_dir):
+    from cartpulse.plans.history import conversion_history
+    return conversion_history(_table(spark, sf_dir, "conversion_rate_daily"))
+
+
+@register("latest_alerts", with_clicks(
+    f"SELECT * FROM ({STREAM_ALERTS_SQL}) s ORDER BY window_end DESC, product_id LIMIT 10",
+    CLEAN_SQL, window_counts_sql(FIXTURE_ALERT_PARAMS)))
+def q_latest_alerts(spark, sf_dir):
+    from cartpulse.plans.history import latest_alerts
+    return _ntz(latest_alerts(_table(spark, sf_dir, "flash_sale_alerts")))
+
+
+TABLE_COUNTS_SQL = """counts AS (
+  SELECT 'user_segmentation_daily' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM segments
+  UNION ALL SELECT 'top_products_daily', CAST(count(*) AS BIGINT) FROM top
+  UNION ALL SELECT 'conversion_rate_daily', CAST(count(*) AS BIGINT) FROM cat_counts
+  UNION ALL SELECT 'flash_sale_alerts', CAST(count(*) AS BIGINT) FROM wrates
+    WHERE total_views > {v} AND total_purchases < {p})""".format(
+    v=FIXTURE_ALERT_PARAMS.min_views, p=FIXTURE_ALERT_PARAMS.max_purchases)
+
+_ALL_TABLE_CTES = (SEGMENTS_SQL, stats_sql("event_date,"), TOP_DAILY_SQL,
+                   CAT_COUNTS_SQL.format(keys="event_date,"), CLEAN_SQL,
+                   window_counts_sql(FIXTURE_ALERT_PARAMS), TABLE_COUNTS_SQL)
+
+
+@register("result_table_counts", with_clicks("SELECT * FROM counts", *_ALL_TABLE_CTES))
+def q_result_table_counts(spark, sf_dir):
+    from cartpulse.plans.history import result_table_counts
+    return result_table_counts(spark, result_tables(spark, sf_dir))
+
+
+@register("result_table_presence", with_clicks(
+    "SELECT table_name, true AS present, row_count FROM counts", *_ALL_TABLE_CTES))
+def q_result_table_presence(spark, sf_dir):
+    from cartpulse.plans.history import result_table_presence
+    return result_table_presence(spark, result_tables(spark, sf_dir))

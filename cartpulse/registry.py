@@ -379,15 +379,23 @@ def _feed_sql() -> str:
   SELECT *, 1 AS copy FROM clicks)"""
 
 
-DECODED_COLS = f"""printf('evt_%08d', event_id) AS event_id, printf('user_%04d', user_id) AS user_id,
+def decoded_cols(offset: str = "event_id * 2 + copy",
+                 arrival: str = "event_timestamp + copy * INTERVAL 1 SECOND",
+                 enriched: bool = True) -> str:
+    cols = f"""printf('evt_%08d', event_id) AS event_id, printf('user_%04d', user_id) AS user_id,
   printf('prod_%04d', product_id) AS product_id, event_type,
   event_timestamp, printf('session_%d', 1000 + user_id % 9000) AS session_id, product_category,
   ['mobile', 'desktop', 'tablet'][event_id % 3 + 1] AS device_type,
   '/product/' || printf('prod_%04d', product_id) AS page_url, price * {feed.PRICE_SCALE} AS price,
-  CAST(user_id % 3 AS INTEGER) AS partition, event_id * 2 + copy AS offset,
-  event_timestamp + copy * INTERVAL 1 SECOND AS kafka_timestamp,
-  price * {feed.PRICE_SCALE} > 500 AS is_high_value, CAST(event_timestamp AS DATE) AS event_date,
-  CAST(hour(event_timestamp) AS INTEGER) AS event_hour"""
+  CAST(user_id % 3 AS INTEGER) AS partition, {offset} AS offset,
+  {arrival} AS kafka_timestamp"""
+    if enriched:
+        cols += f""", price * {feed.PRICE_SCALE} > 500 AS is_high_value,
+  CAST(event_timestamp AS DATE) AS event_date, CAST(hour(event_timestamp) AS INTEGER) AS event_hour"""
+    return cols
+
+
+DECODED_COLS = decoded_cols()
 
 VALID_FEED = f"""valid AS (
   SELECT * FROM feed
@@ -618,3 +626,47 @@ def q_result_table_counts(spark, sf_dir):
 def q_result_table_presence(spark, sf_dir):
     from cartpulse.plans.history import result_table_presence
     return result_table_presence(spark, result_tables(spark, sf_dir))
+
+
+# --- generation and emission (A5-A7) --------------------------------------------
+
+@register("synthetic_events")
+def q_synthetic_events(spark, sf_dir):
+    """A5: one producer-style synthetic event per row of ``events`` (seeded by
+    event id, timed by ts); random fields, so checked by row count only."""
+    from cartpulse.sources.generator import PRODUCER, synthesize
+    from cartpulse.sources.tables import read_table
+    return synthesize(read_table(spark, sf_dir, "events"), PRODUCER, seed=42,
+                      number_col="event_id", ts_col="ts")
+
+
+_EMIT_RUNS: dict[tuple, str] = {}
+
+
+def emit_run(spark: SparkSession, sf_dir: str) -> str:
+    """A7 once per session: stream ``events`` through the adapter (a
+    stream-static join with the product table) into keyed JSON messages."""
+    import uuid
+
+    from cartpulse.session import input_key, work_path
+    from cartpulse.sources.tables import events_stream, to_click_events
+    from cartpulse.streaming.emit import start_emitter
+    key = (id(spark), sf_dir)
+    if key not in _EMIT_RUNS:
+        workdir = work_path(spark, "emit", input_key(sf_dir), uuid.uuid4().hex)
+        stream = to_click_events(events_stream(spark, sf_dir)) \
+            .join(_dims(spark, sf_dir), "product_id", "left")
+        query = start_emitter(feed.encode_messages(stream), f"{workdir}/checkpoint",
+                              sink="parquet", path=f"{workdir}/messages",
+                              trigger={"availableNow": True})
+        query.awaitTermination()
+        _EMIT_RUNS[key] = f"{workdir}/messages"
+    return _EMIT_RUNS[key]
+
+
+@register("emit_events", with_clicks(
+    f"SELECT {decoded_cols('event_id', 'event_timestamp', enriched=False)} FROM clicks"))
+def q_emit_events(spark, sf_dir):
+    """A7 round trip: emitted messages decode back to the adapter rows."""
+    return _ntz(cl.decode(spark.read.parquet(emit_run(spark, sf_dir)))
+                .drop("processing_timestamp"))

@@ -49,6 +49,11 @@ def click_events(spark: SparkSession, sf_dir: str, day: str | None = None) -> Da
     if day is not None:
         start = F.lit(day).cast("timestamp_ntz")
         ev = ev.filter((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 1 DAY")))
+    return to_click_events(ev)
+
+
+def to_click_events(ev: DataFrame) -> DataFrame:
+    """The adapter projection over an ``events`` frame (batch or stream)."""
     ts = F.col("ts").cast("timestamp")
     return ev.select(
         F.col("event_id"),
@@ -61,6 +66,14 @@ def click_events(spark: SparkSession, sf_dir: str, day: str | None = None) -> Da
     )
 
 
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as a file stream (new files are new events)."""
+    schema = read_table(spark, sf_dir, "events").schema
+    base = sf_dir.rstrip("/")
+    return (spark.readStream.schema(schema).option("basePath", base)
+            .parquet(f"{base}/{{events.parquet}}"))
+
+
 def product_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product dimension: (product_id, product_category)."""
     return read_table(spark, sf_dir, "part").select(

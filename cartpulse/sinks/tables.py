@@ -72,7 +72,7 @@ def table_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -81,11 +81,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def read_result_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One result table (empty with the table schema if never written)."""
     path = table_path(root, name)
-    if _exists(spark, path):
+    if path_exists(spark, path):
         return spark.read.schema(TABLE_SCHEMAS[name]).parquet(path)
     return spark.createDataFrame([], TABLE_SCHEMAS[name])
 
 
 def table_presence(spark: SparkSession, root: str) -> dict[str, bool]:
     """Which result tables exist (file metadata only)."""
-    return {name: _exists(spark, table_path(root, name)) for name in RESULT_TABLES}
+    return {name: path_exists(spark, table_path(root, name)) for name in RESULT_TABLES}

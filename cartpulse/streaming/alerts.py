@@ -27,11 +27,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators.cleanse import decode, validate
 from cartpulse.operators.windows import alert_updates, window_counts
-from cartpulse.schema import ENVELOPE_SCHEMA, AlertParams
+from cartpulse.schema import ALERT_SCHEMA, ENVELOPE_SCHEMA, AlertParams
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -84,44 +85,46 @@ def alert_stream(messages: DataFrame, params: AlertParams = AlertParams(),
     return alert_updates(window_counts(clean_stream(messages, params, dedup), params), params)
 
 
-def log_sink(log_path: str, metrics_path: str | None = None,
-             extra: Sequence[BatchSink] = ()) -> BatchSink:
-    """The ``foreachBatch`` handler.
+def log_sink(log_path: str, extra: Sequence[BatchSink] = ()) -> BatchSink:
+    """The ``foreachBatch`` handler.
 
-    The batch is persisted once; the log write, the metrics row and any extra
-    sinks (console, JDBC) read the cached rows instead of re-running the
-    stateful plan. The log is partitioned by batch_id and written with
-    dynamic partition overwrite, so a re-executed batch (after a failure
-    between the write and the checkpoint commit) replaces its own rows.
-    Errors propagate: a failed write fails the batch instead of committing it.
+    The alert log is partitioned by batch_id and written with dynamic
+    partition overwrite, so a re-executed batch (after a failure between the
+    write and the checkpoint commit) replaces its own rows: the sink is
+    idempotent. With extra sinks (console, JDBC) the batch is persisted once
+    and every sink reads the cached rows instead of re-running the stateful
+    plan. Errors propagate: a failed write fails the batch, never commits it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if extra:
+            rows = rows.persist()
         try:
             (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(log_path))
-            if metrics_path:
-                batch_metrics(rows, batch_id).write.mode("overwrite") \
-                    .option("partitionOverwriteMode", "dynamic") \
-                    .partitionBy("batch_id").parquet(metrics_path)
             for sink in extra:
                 sink(rows, batch_id)
         finally:
-            rows.unpersist()
+            if extra:
+                rows.unpersist()
     return handle
 
 
-def batch_metrics(rows: DataFrame, batch_id: int) -> DataFrame:
-    """C14: per micro-batch, the number of alerts and their totals."""
+def batch_metrics(log: DataFrame) -> DataFrame:
+    """C14: per micro-batch, the changed windows, the alerts and their totals.
+
+    Derived from the alert log (one small aggregate by batch_id) rather than
+    computed inside every trigger.
+    """
     trig = F.col("alert_triggered")
-    return rows.agg(
+    return log.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("changed_windows"),
         F.count_if(trig).alias("alerts"),
         F.count_distinct(F.when(trig, F.col("product_id"))).alias("alert_products"),
         F.sum(F.when(trig, F.col("total_views"))).cast("bigint").alias("alert_views"),
         F.sum(F.when(trig, F.col("total_purchases"))).cast("bigint").alias("alert_purchases"),
         F.max(F.when(trig, F.col("conversion_rate"))).alias("max_alert_rate"),
-    ).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    )
 
 
 def console_sink(n: int = 20) -> BatchSink:
@@ -144,6 +147,17 @@ def start_alert_query(alerts: DataFrame, handler: BatchSink, checkpoint: str,
     return writer.start()
 
 
+ALERT_LOG_SCHEMA = T.StructType(ALERT_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
+
+
+def read_alert_log(spark: SparkSession, path: str) -> DataFrame:
+    """The alert log; empty (with its schema) before the first alert batch."""
+    from cartpulse.sinks.tables import path_exists
+    if path_exists(spark, path):
+        return spark.read.schema(ALERT_LOG_SCHEMA).parquet(path)
+    return spark.createDataFrame([], ALERT_LOG_SCHEMA)
+
+
 def current_alerts(log: DataFrame) -> DataFrame:
     """flash_sale_alerts = last logged row per (product_id, window_start),
     kept when triggered. ``row_number() = 1`` partial-limits before the shuffle."""
@@ -164,15 +178,15 @@ def replay_alerts(spark: SparkSession, messages: DataFrame, workdir: str,
     """Replay a message table through the streaming alert query to the end.
 
     Writes the replay files, runs the query with an ``availableNow`` trigger
-    and waits for it. Returns the paths of the alert log and batch metrics.
+    and waits for it. Returns the paths of the replay, checkpoint and alert log.
     """
     from cartpulse.streaming.replay import write_replay
-    paths = {k: f"{workdir}/{k}" for k in ("replay", "checkpoint", "alert_log", "metrics")}
+    paths = {k: f"{workdir}/{k}" for k in ("replay", "checkpoint", "alert_log")}
     write_replay(spark, messages, paths["replay"])
     stream = read_events(spark, source="parquet", path=paths["replay"],
                          max_files_per_trigger=max_files_per_trigger)
     stream = stream.select(*ENVELOPE_SCHEMA.fieldNames())
-    handler = log_sink(paths["alert_log"], paths["metrics"])
+    handler = log_sink(paths["alert_log"])
     query = start_alert_query(alert_stream(stream, params, dedup), handler,
                               paths["checkpoint"], trigger={"availableNow": True})
     query.awaitTermination()

@@ -9,29 +9,38 @@ Only file metadata passes through the driver, never rows.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_replay(spark: SparkSession, messages: DataFrame, path: str,
-                 base_mtime_ms: int = 1_000_000_000_000) -> int:
+                 mode: str = "overwrite", base_mtime_ms: int = 1_000_000_000_000) -> int:
     """Write ``messages`` under ``path`` as day folders; order their mtimes.
 
-    Returns the number of data files.
+    A file's time is ``base + day number`` seconds plus its rank within the
+    day in milliseconds, so days replay in order, and a later ``append`` of
+    newer days queues behind what is already there (a restart test). Returns
+    the number of data files.
     """
-    (messages.withColumn("replay_day", F.date_format("timestamp", "yyyyMMdd"))
-     .write.mode("overwrite").partitionBy("replay_day").parquet(path))
+    (messages.withColumn("replay_day", F.date_format("timestamp", "yyyy-MM-dd"))
+     .write.mode(mode).partitionBy("replay_day").parquet(path))
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = []
+    by_day: dict[str, list] = {}
     it = fs.listFiles(root, True)
     while it.hasNext():
-        st = it.next()
-        p = st.getPath()
+        p = it.next().getPath()
         if p.getName().endswith(".parquet"):
-            files.append((p.getParent().getName(), p.getName(), p))
-    files.sort(key=lambda f: (f[0], f[1]))
-    for i, (_, _, p) in enumerate(files):
-        fs.setTimes(p, base_mtime_ms + i * 1000, -1)
-    return len(files)
+            by_day.setdefault(p.getParent().getName(), []).append(p)
+    epoch = datetime.date(1970, 1, 1)
+    n = 0
+    for folder, files in by_day.items():
+        day = datetime.date.fromisoformat(folder.split("=", 1)[1])
+        day_ms = base_mtime_ms + (day - epoch).days * 1000
+        for i, p in enumerate(sorted(files, key=lambda f: f.getName())):
+            fs.setTimes(p, day_ms + i, -1)
+            n += 1
+    return n

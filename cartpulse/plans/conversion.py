@@ -45,6 +45,7 @@ def funnel_counts(events: DataFrame, categories: DataFrame | None = None,
     if categories is None:
         return events.groupBy(*keys, "product_id", "product_category").agg(*aggs)
     per_product = events.groupBy(*keys, "product_id").agg(*aggs)
+    # Attached after the aggregate: the fact side is days x products here.
     return per_product.join(categories, "product_id", "left")
 
 

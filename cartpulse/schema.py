@@ -99,6 +99,7 @@ CONVERSION_SCHEMA = T.StructType([  # key (analysis_date, category)
     T.StructField("analysis_date", T.DateType(), False),
 ])
 
+# The result-table names the history queries read.
 RESULT_TABLES = ["user_segmentation_daily", "top_products_daily",
                  "conversion_rate_daily", "flash_sale_alerts"]
 
@@ -114,6 +115,6 @@ class AlertParams:
 
 
 # The fixture tables are too small for the source thresholds (no window ever
-# reaches 100 views); this rule has non-empty answers at every fixture size.
+# reaches 100 views); this rule has non-empty answers at sf0.01 and sf0.1.
 FIXTURE_ALERT_PARAMS = AlertParams(window="1 day", slide="1 hour",
                                    watermark="5 minutes", min_views=3, max_purchases=5)

@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartpulse.operators.joins import attach_dimension
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -90,7 +92,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     facts = click_events(spark, sf_dir)
     dim = product_categories(spark, sf_dir)
-    return facts.join(dim, "product_id", "left").select(
+    return attach_dimension(facts, dim, "product_id").select(
         "event_id", "user_id", "product_id", "event_type", "event_timestamp",
         "price", "product_category", "event_date")
 

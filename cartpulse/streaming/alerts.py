@@ -166,7 +166,7 @@ def current_alerts(log: DataFrame) -> DataFrame:
     return last.filter(F.col("alert_triggered")).drop("batch_id")
 
 
-def run_until_idle(spark: SparkSession) -> None:
+def stop_all(spark: SparkSession) -> None:
     """Stop every active query (used on interrupt)."""
     for q in spark.streams.active:
         q.stop()

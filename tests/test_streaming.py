@@ -103,3 +103,22 @@ def test_restart_from_checkpoint_equals_one_run(spark, workdir):
     cols = ["product_id", "window_start", "total_views", "total_purchases"]
     assert split.count() > 0
     assert sorted(split.select(cols).collect()) == sorted(whole.select(cols).collect())
+
+
+def test_alert_job_with_console_fan_out(spark, workdir, capsys):
+    from cartpulse.streaming.job import run_alert_job
+    params = AlertParams(min_views=1, max_purchases=5)
+    rows = [msg(i, T12 + timedelta(seconds=i)) for i in range(3)]
+    env = spark.createDataFrame(rows, ENV).coalesce(1).select(
+        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary"),
+        "partition", "offset", "timestamp")
+    write_replay(spark, env, f"{workdir}/job_replay")
+    q = run_alert_job(spark, source="parquet", path=f"{workdir}/job_replay", params=params,
+                      trigger={"processingTime": "1 second"}, console=True,
+                      name=f"job_{workdir.rsplit('/', 1)[-1]}", wait=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert q.exception() is None
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0

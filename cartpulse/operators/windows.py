@@ -16,20 +16,51 @@ from cartpulse.functions.rules import count_where
 from cartpulse.schema import PURCHASE, VIEW, AlertParams
 
 
+def _seconds(duration: str) -> int:
+    n, unit = duration.split()
+    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    return int(n) * scale[unit.rstrip("s")]
+
+
 def window_counts(events: DataFrame, params: AlertParams = AlertParams(),
-                  key: str = "product_id") -> DataFrame:
+                  key: str = "product_id", panes: bool = False) -> DataFrame:
     """Views and purchases per (sliding window, product), with the
-    unrounded conversion rate (0 when there are no views)."""
+    unrounded conversion rate (0 when there are no views).
+
+    ``panes=True`` (batch only) first counts per (slide-sized pane, product),
+    then expands the pane counts into the length/slide windows that contain
+    them and sums again. Counts are additive and every window is a union of
+    whole panes (when length is a multiple of slide), so the answer is the
+    same; the expansion then multiplies panes instead of events. A streaming
+    query keeps the single ``window()`` aggregate, because a second
+    aggregation is not allowed in update mode.
+    """
     t = F.col("event_type")
-    agg = (events.select("event_timestamp", key, "event_type")
-           .groupBy(F.window("event_timestamp", params.window, params.slide).alias("window"), key)
-           .agg(count_where(t == VIEW).alias("total_views"),
-                count_where(t == PURCHASE).alias("total_purchases")))
+    counts = [count_where(t == VIEW).alias("total_views"),
+              count_where(t == PURCHASE).alias("total_purchases")]
+    length, slide = _seconds(params.window), _seconds(params.slide)
+    narrow = events.select("event_timestamp", key, "event_type")
+    if panes and length % slide == 0 and length > slide:
+        pane = (narrow.groupBy(F.window("event_timestamp", params.slide).start.alias("pane"), key)
+                .agg(*counts))
+        k = F.explode(F.sequence(F.lit(0), F.lit(length // slide - 1))).alias("k")
+        starts = pane.select(key, "total_views", "total_purchases", "pane", k).select(
+            key, "total_views", "total_purchases",
+            (F.col("pane") - F.make_dt_interval(secs=F.col("k") * slide)).alias("window_start"))
+        agg = starts.groupBy("window_start", key).agg(
+            F.sum("total_views").cast("bigint").alias("total_views"),
+            F.sum("total_purchases").cast("bigint").alias("total_purchases"))
+        agg = agg.withColumn("window_end",
+                             F.col("window_start") + F.make_dt_interval(secs=F.lit(length)))
+    else:
+        agg = (narrow.groupBy(F.window("event_timestamp", params.window, params.slide)
+                              .alias("window"), key)
+               .agg(*counts)
+               .select(key, F.col("window.start").alias("window_start"),
+                       F.col("window.end").alias("window_end"),
+                       "total_views", "total_purchases"))
     return agg.select(
-        key,
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "total_views", "total_purchases",
+        key, "window_start", "window_end", "total_views", "total_purchases",
         conversion_rate("total_purchases", "total_views").alias("conversion_rate"))
 
 
@@ -66,5 +97,5 @@ def alert_updates(counts: DataFrame, params: AlertParams = AlertParams()) -> Dat
 
 
 def flash_sale_alerts(events: DataFrame, params: AlertParams = AlertParams()) -> DataFrame:
-    """C3-C8 as one batch plan over cleaned events."""
-    return stamp_alerts(alert_rule(window_counts(events, params), params))
+    """C3-C8 as one batch plan over cleaned events (pane pre-aggregation)."""
+    return stamp_alerts(alert_rule(window_counts(events, params, panes=True), params))

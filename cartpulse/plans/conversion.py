@@ -147,7 +147,15 @@ def category_distribution(counts: DataFrame, by_day: bool = True) -> DataFrame:
 
 def conversion_report(counts: DataFrame, min_views: int = MIN_PRODUCT_VIEWS,
                       k: int = CONVERSION_K) -> DataFrame:
-    """F16: overall, per-category, top-k and bottom-k rows as one tagged table."""
+    """F16: overall, per-category, top-k and bottom-k rows as one tagged table.
+
+    The four sections read the same funnel counts; each section's filters
+    would otherwise be pushed into its own copy of the aggregate, and the
+    events re-scanned per section. The counts (days x products rows) are
+    checkpointed once to the shared checkpoint folder, which also cuts the
+    lineage back to the events scan.
+    """
+    counts = counts.checkpoint(eager=True)
     cats = category_conversion(counts, by_day=False)
     prods = product_conversion(counts, min_views=min_views)
     summary = conversion_summary(counts)

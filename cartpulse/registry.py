@@ -468,7 +468,7 @@ def _clean_facts(spark, sf_dir) -> DataFrame:
 @register("window_counts", with_clicks("SELECT * FROM wrates", CLEAN_SQL,
                                        window_counts_sql(FIXTURE_ALERT_PARAMS)))
 def q_window_counts(spark, sf_dir):
-    return _ntz(win.window_counts(_clean_facts(spark, sf_dir), FIXTURE_ALERT_PARAMS))
+    return _ntz(win.window_counts(_clean_facts(spark, sf_dir), FIXTURE_ALERT_PARAMS, panes=True))
 
 
 @register("flash_sale_alerts", with_clicks(alerts_sql(FIXTURE_ALERT_PARAMS), CLEAN_SQL,

@@ -47,8 +47,15 @@ def _fmt(fmt: str, col: Column) -> Column:
     return F.when(col.isNotNull(), F.format_string(fmt, col))
 
 
-def payload(ev: DataFrame, faulty: bool) -> DataFrame:
-    """Typed clickstream rows (long ids) -> message envelope."""
+def payload(ev: DataFrame, faulty: bool | Column, extra: list[str] | None = None) -> DataFrame:
+    """Typed clickstream rows (long ids) -> message envelope.
+
+    ``faulty`` (a flag or a per-row condition) applies the FAULTS rules.
+    """
+    if faulty is False:
+        faulty_row = None
+    else:
+        faulty_row = F.lit(True) if faulty is True else faulty
     eid, uid, pid = F.col("event_id"), F.col("user_id"), F.col("product_id")
     price = F.col("price") * F.lit(PRICE_SCALE)
     fields = {
@@ -64,21 +71,24 @@ def payload(ev: DataFrame, faulty: bool) -> DataFrame:
         "page_url": F.concat(F.lit(PAGE_URL_PREFIX), _fmt(PRODUCT_ID_FORMAT, pid)),
         "price": price,
     }
-    if faulty:
+    if faulty_row is not None:
+        def hit(fault: str) -> Column:
+            return faulty_row & _fault(eid, fault)
+
         def nulled(name: str, fault: str) -> Column:
-            return F.when(~_fault(eid, fault), fields[name])
+            return F.when(~hit(fault), fields[name])
         fields["event_id"] = nulled("event_id", "null_event_id")
         fields["user_id"] = nulled("user_id", "null_user_id")
         fields["product_id"] = nulled("product_id", "null_product_id")
         fields["event_type"] = nulled("event_type", "null_event_type")
-        fields["timestamp"] = F.when(_fault(eid, "bad_timestamp"), F.lit("not-a-timestamp")) \
+        fields["timestamp"] = F.when(hit("bad_timestamp"), F.lit("not-a-timestamp")) \
             .otherwise(fields["timestamp"])
-        fields["price"] = (F.when(_fault(eid, "zero_price"), F.lit(0.0))
-                           .when(_fault(eid, "negative_price"), -price)
+        fields["price"] = (F.when(hit("zero_price"), F.lit(0.0))
+                           .when(hit("negative_price"), -price)
                            .otherwise(price))
     value = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
-    if faulty:
-        value = F.when(_fault(eid, "quoted_price"),
+    if faulty_row is not None:
+        value = F.when(hit("quoted_price"),
                        F.regexp_replace(value, r'"price":([^,}]+)', '"price":"$1"')) \
             .otherwise(value)
     msgs = ev.select(
@@ -87,12 +97,13 @@ def payload(ev: DataFrame, faulty: bool) -> DataFrame:
         F.pmod(uid, F.lit(BUS_PARTITIONS)).cast("int").alias("partition"),
         eid.alias("event_id"),
         F.col("event_timestamp"),
+        *[F.col(c) for c in (extra or [])],
+        (faulty_row if faulty_row is not None else F.lit(False)).alias("_faulty"),
     )
-    if faulty:  # cut the payload short: not parseable JSON
-        msgs = msgs.withColumn("value_json", F.when(
-            _fault(F.col("event_id"), "malformed_json"), F.substring("value_json", 1, 20))
-            .otherwise(F.col("value_json")))
-    return msgs
+    # Cut the payload short (not parseable JSON); done on the finished string.
+    cut = F.col("_faulty") & _fault(F.col("event_id"), "malformed_json")
+    return msgs.withColumn("value_json", F.when(cut, F.substring("value_json", 1, 20))
+                           .otherwise(F.col("value_json"))).drop("_faulty")
 
 
 def encode_messages(clicks: DataFrame) -> DataFrame:
@@ -107,15 +118,12 @@ def faulty_feed(clicks: DataFrame) -> DataFrame:
     """The fixture feed: a faulty first copy and a clean retry of every event.
 
     Copy 0 has offset 2*id and arrives at the event time; copy 1 has offset
-    2*id + 1 and arrives one second later.
+    2*id + 1 and arrives one second later. Both copies come from one scan:
+    each row is doubled by ``explode`` and the fault rules apply to copy 0.
     """
-    first = _with_copy(payload(clicks, faulty=True), 0)
-    retry = _with_copy(payload(clicks, faulty=False), 1)
-    return first.unionByName(retry)
-
-
-def _with_copy(msgs: DataFrame, copy: int) -> DataFrame:
+    doubled = clicks.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    msgs = payload(doubled, faulty=F.col("copy") == 0, extra=["copy"])
     return msgs.select(
         "key", F.col("value_json").cast("binary").alias("value"), "partition",
-        (F.col("event_id") * 2 + copy).alias("offset"),
-        (F.col("event_timestamp") + F.expr(f"INTERVAL {copy} SECOND")).alias("timestamp"))
+        (F.col("event_id") * 2 + F.col("copy")).alias("offset"),
+        (F.col("event_timestamp") + F.make_dt_interval(secs=F.col("copy"))).alias("timestamp"))

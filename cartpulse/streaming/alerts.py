@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators.cleanse import decode, validate
-from cartpulse.operators.windows import alert_updates, window_counts
+from cartpulse.operators.windows import _seconds, alert_updates, window_counts
 from cartpulse.schema import ALERT_SCHEMA, ENVELOPE_SCHEMA, AlertParams
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -59,12 +59,6 @@ def read_events(spark: SparkSession, source: str = "kafka", path: str | None = N
     return reader.schema(ENVELOPE_SCHEMA).format(source).options(**opts).load(path)
 
 
-def _seconds(duration: str) -> int:
-    n, unit = duration.split()
-    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-    return int(n) * scale[unit.rstrip("s")]
-
-
 def clean_stream(messages: DataFrame, params: AlertParams = AlertParams(),
                  dedup: str = "bounded") -> DataFrame:
     """B1-B10 and C1-C2 on a stream: decoded, valid, de-duplicated, watermarked."""

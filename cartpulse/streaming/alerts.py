@@ -168,11 +168,13 @@ def stop_all(spark: SparkSession) -> None:
 
 def replay_alerts(spark: SparkSession, messages: DataFrame, workdir: str,
                   params: AlertParams = AlertParams(), dedup: str = "bounded",
-                  max_files_per_trigger: int = 1) -> dict:
+                  max_files_per_trigger: int = 1, state_partitions: int | None = None) -> dict:
     """Replay a message table through the streaming alert query to the end.
 
     Writes the replay files, runs the query with an ``availableNow`` trigger
-    and waits for it. Returns the paths of the replay, checkpoint and alert log.
+    and waits for it. State partitions (fixed by the first batch of a new
+    checkpoint) default to the cluster's default parallelism, one state
+    store per core. Returns the paths of the replay, checkpoint and alert log.
     """
     from cartpulse.streaming.replay import write_replay
     paths = {k: f"{workdir}/{k}" for k in ("replay", "checkpoint", "alert_log")}
@@ -181,9 +183,15 @@ def replay_alerts(spark: SparkSession, messages: DataFrame, workdir: str,
                          max_files_per_trigger=max_files_per_trigger)
     stream = stream.select(*ENVELOPE_SCHEMA.fieldNames())
     handler = log_sink(paths["alert_log"])
-    query = start_alert_query(alert_stream(stream, params, dedup), handler,
-                              paths["checkpoint"], trigger={"availableNow": True})
-    query.awaitTermination()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        query = start_alert_query(alert_stream(stream, params, dedup), handler,
+                                  paths["checkpoint"], trigger={"availableNow": True})
+        query.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return paths

@@ -273,7 +273,7 @@ def q_segmentation_report(spark, sf_dir):
 def stats_sql(keys: str) -> str:
     return f"""stats AS (
   SELECT {keys} v.product_id,
-         arg_min(v.product_category, [epoch_us(v.event_timestamp), v.event_id])
+         arg_min(v.product_category, struct_pack(t := v.event_timestamp, id := v.event_id))
            FILTER (WHERE v.product_category IS NOT NULL) AS category,
          CAST(count(v.user_id) AS BIGINT) AS total_views,
          CAST(count(DISTINCT v.user_id) AS BIGINT) AS unique_viewers,

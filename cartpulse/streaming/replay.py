@@ -9,38 +9,35 @@ Only file metadata passes through the driver, never rows.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_replay(spark: SparkSession, messages: DataFrame, path: str,
-                 mode: str = "overwrite", base_mtime_ms: int = 1_000_000_000_000) -> int:
-    """Write ``messages`` under ``path`` as day folders; order their mtimes.
+                 mode: str = "overwrite", folder_format: str = "yyyy-MM-dd",
+                 base_mtime_ms: int = 1_000_000_000_000) -> int:
+    """Write ``messages`` under ``path``, one folder per arrival day (or per
+    ``folder_format`` period), and order the file times by folder.
 
-    A file's time is ``base + day number`` seconds plus its rank within the
-    day in milliseconds, so days replay in order, and a later ``append`` of
-    newer days queues behind what is already there (a restart test). Returns
-    the number of data files.
+    Folders sort by name in time order; a file's time is ``base`` plus its
+    folder's rank in seconds plus its rank within the folder in milliseconds.
+    A later ``append`` of newer periods therefore queues behind what is
+    already there (a restart test). Returns the number of data files.
     """
-    (messages.withColumn("replay_day", F.date_format("timestamp", "yyyy-MM-dd"))
-     .write.mode(mode).partitionBy("replay_day").parquet(path))
+    (messages.withColumn("replay_period", F.date_format("timestamp", folder_format))
+     .write.mode(mode).partitionBy("replay_period").parquet(path))
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    by_day: dict[str, list] = {}
+    by_folder: dict[str, list] = {}
     it = fs.listFiles(root, True)
     while it.hasNext():
         p = it.next().getPath()
         if p.getName().endswith(".parquet"):
-            by_day.setdefault(p.getParent().getName(), []).append(p)
-    epoch = datetime.date(1970, 1, 1)
+            by_folder.setdefault(p.getParent().getName(), []).append(p)
     n = 0
-    for folder, files in by_day.items():
-        day = datetime.date.fromisoformat(folder.split("=", 1)[1])
-        day_ms = base_mtime_ms + (day - epoch).days * 1000
-        for i, p in enumerate(sorted(files, key=lambda f: f.getName())):
-            fs.setTimes(p, day_ms + i, -1)
+    for rank, folder in enumerate(sorted(by_folder)):
+        for i, p in enumerate(sorted(by_folder[folder], key=lambda f: f.getName())):
+            fs.setTimes(p, base_mtime_ms + rank * 1000 + i, -1)
             n += 1
     return n

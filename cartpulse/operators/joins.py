@@ -32,6 +32,12 @@ def used_dimension(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return dim.join(keys, key, "left_semi")
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if its measured row count is at most
+    ``max_rows``; otherwise unchanged (the join stays a shuffle join)."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def attach_dimension(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
                      broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
     """``facts`` joined with ``dim`` on ``key``, broadcasting the used part of
@@ -40,7 +46,13 @@ def attach_dimension(facts: DataFrame, dim: DataFrame, key: str, how: str = "lef
     Costs one small job (distinct keys of the facts, semi-joined with the
     dimension) before the join is planned.
     """
-    used = used_dimension(facts, dim, key)
-    if used.count() <= broadcast_rows:
-        return facts.join(F.broadcast(used), key, how)
-    return facts.join(used, key, how)
+    return facts.join(bounded_broadcast(used_dimension(facts, dim, key), broadcast_rows),
+                      key, how)
+
+
+def attach_static_dimension(stream: DataFrame, dim: DataFrame, key: str, how: str = "left",
+                            broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """Stream-static join. The static side is re-joined in every micro-batch,
+    so it is broadcast when its measured size allows (no per-batch shuffle of
+    the dimension); otherwise each batch is a shuffle join."""
+    return stream.join(bounded_broadcast(dim, broadcast_rows), key, how)

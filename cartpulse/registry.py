@@ -649,14 +649,15 @@ def emit_run(spark: SparkSession, sf_dir: str) -> str:
     stream-static join with the product table) into keyed JSON messages."""
     import uuid
 
+    from cartpulse.operators.joins import attach_static_dimension
     from cartpulse.session import input_key, work_path
     from cartpulse.sources.tables import events_stream, to_click_events
     from cartpulse.streaming.emit import start_emitter
     key = (id(spark), sf_dir)
     if key not in _EMIT_RUNS:
         workdir = work_path(spark, "emit", input_key(sf_dir), uuid.uuid4().hex)
-        stream = to_click_events(events_stream(spark, sf_dir)) \
-            .join(_dims(spark, sf_dir), "product_id", "left")
+        stream = attach_static_dimension(to_click_events(events_stream(spark, sf_dir)),
+                                         _dims(spark, sf_dir), "product_id")
         query = start_emitter(feed.encode_messages(stream), f"{workdir}/checkpoint",
                               sink="parquet", path=f"{workdir}/messages",
                               trigger={"availableNow": True})

@@ -155,6 +155,8 @@ def conversion_report(counts: DataFrame, min_views: int = MIN_PRODUCT_VIEWS,
     checkpointed once to the shared checkpoint folder, which also cuts the
     lineage back to the events scan.
     """
+    from cartpulse.session import checkpoint_root
+    checkpoint_root(counts.sparkSession)  # the shared folder (a private one only if unset)
     counts = counts.checkpoint(eager=True)
     cats = category_conversion(counts, by_day=False)
     prods = product_conversion(counts, min_views=min_views)

@@ -403,8 +403,20 @@ VALID_FEED = f"""valid AS (
     AND event_type IS NOT NULL AND event_timestamp IS NOT NULL AND price * {feed.PRICE_SCALE} > 0)"""
 
 
+_CLICKS: dict[tuple, DataFrame] = {}
+
+
+def _clicks(spark, sf_dir) -> DataFrame:
+    """The per-event enriched view; its broadcast decision (a measured size,
+    like a table statistic) is made once per session and input folder."""
+    key = (id(spark), sf_dir)
+    if key not in _CLICKS:
+        _CLICKS[key] = clicks(spark, sf_dir)
+    return _CLICKS[key]
+
+
 def _decoded(spark, sf_dir) -> DataFrame:
-    return cl.validate(cl.decode(feed.faulty_feed(clicks(spark, sf_dir))))
+    return cl.validate(cl.decode(feed.faulty_feed(_clicks(spark, sf_dir))))
 
 
 @register("decode_clean_events", with_clicks(f"SELECT {DECODED_COLS} FROM valid",
@@ -497,7 +509,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> dict:
     key = (id(spark), sf_dir)
     if key not in _STREAM_RUNS:
         workdir = work_path(spark, "stream", input_key(sf_dir), uuid.uuid4().hex)
-        messages = feed.faulty_feed(clicks(spark, sf_dir))
+        messages = feed.faulty_feed(_clicks(spark, sf_dir))
         _STREAM_RUNS[key] = replay_alerts(spark, messages, workdir, FIXTURE_ALERT_PARAMS,
                                           max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
     return _STREAM_RUNS[key]

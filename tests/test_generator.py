@@ -36,3 +36,23 @@ def test_batch_variants(spark):
     assert per_product.filter("n > 1").count() == 0
     assert conv.filter(F.col("product_id") == HOT_PRODUCT) \
         .select("product_category").distinct().first()[0] == "Electronics"
+
+
+def test_paced_stream_from_rate_source(spark, workdir):
+    from cartpulse.sources.generator import paced_stream
+    stream = paced_stream(spark, rows_per_second=50)
+    q = (stream.writeStream.format("parquet").option("checkpointLocation", f"{workdir}/ck")
+         .trigger(processingTime="1 second").start(f"{workdir}/out"))
+    try:
+        import time
+        deadline = time.time() + 60
+        while time.time() < deadline and (q.lastProgress is None
+                                          or q.lastProgress["numInputRows"] == 0):
+            time.sleep(0.5)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = spark.read.parquet(f"{workdir}/out")
+    assert out.count() > 0
+    assert out.columns == ["event_id", "user_id", "product_id", "event_type", "timestamp",
+                           "session_id", "product_category", "device_type", "page_url", "price"]

@@ -50,3 +50,35 @@ def day_range(events: DataFrame, first: str, last: str) -> DataFrame:
     """Events of the days first..last (inclusive), for a backfill run."""
     d = F.col("event_date")
     return events.filter((d >= F.to_date(F.lit(first))) & (d <= F.to_date(F.lit(last))))
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cartpulse.plans.daily --events <cleaned table> --tables <root>
+    [--first D --last D]``: (re)compute the three daily tables for a day range
+    from the cleaned-event table (partitioned by event_date, so the range prunes)."""
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    from cartpulse.session import apply_runtime_conf
+    ap = argparse.ArgumentParser(description="Daily segmentation, top products, conversion")
+    ap.add_argument("--events", required=True, help="cleaned-event table (parquet)")
+    ap.add_argument("--tables", required=True, help="result-table root folder")
+    ap.add_argument("--first", help="first day (yyyy-MM-dd); default: all days")
+    ap.add_argument("--last", help="last day (yyyy-MM-dd); default: --first")
+    ap.add_argument("--categories", help="product dimension (product_id, product_category), "
+                                         "when the events carry no category")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("cartpulse-daily").getOrCreate()
+    apply_runtime_conf(spark)
+    events = spark.read.parquet(a.events)
+    if a.first:
+        events = day_range(events, a.first, a.last or a.first)
+    categories = spark.read.parquet(a.categories) if a.categories else None
+    if categories is None and "product_category" not in events.columns:
+        ap.error("the events have no product_category: pass --categories")
+    run_daily_jobs(events, a.tables, categories)
+
+
+if __name__ == "__main__":
+    main()

@@ -86,3 +86,40 @@ def result_table_presence(spark: SparkSession, root: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+HISTORY_QUERIES = {
+    "segment_history": ("user_segmentation_daily", segment_history),
+    "segment_history_avg": ("user_segmentation_daily", segment_history_avg),
+    "top_products_history": ("top_products_daily", top_products_history),
+    "conversion_history": ("conversion_rate_daily", conversion_history),
+    "latest_alerts": ("flash_sale_alerts", latest_alerts),
+}
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cartpulse.plans.history --tables <root> <query>``: print a
+    history query (or ``counts`` / ``presence``) over the result tables."""
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    from cartpulse.session import apply_runtime_conf
+    ap = argparse.ArgumentParser(description="History queries over the result tables")
+    ap.add_argument("--tables", required=True)
+    ap.add_argument("query", choices=[*HISTORY_QUERIES, "counts", "presence"])
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("cartpulse-history").getOrCreate()
+    apply_runtime_conf(spark)
+    if a.query == "counts":
+        out = result_table_counts(spark, a.tables)
+    elif a.query == "presence":
+        out = result_table_presence(spark, a.tables)
+    else:
+        table, fn = HISTORY_QUERIES[a.query]
+        out = fn(read_result_table(spark, a.tables, table))
+    out.show(100, truncate=False)
+
+
+if __name__ == "__main__":
+    main()

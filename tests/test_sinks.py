@@ -49,3 +49,17 @@ def test_invariants(spark):
     dist = seg.segment_distribution(segs).agg(F.sum("user_count")).first()[0]
     assert dist == segs.count()
     assert segs.filter("view_count + cart_count + purchase_count > total_events").count() == 0
+
+
+def test_daily_and_history_command_lines(spark, workdir, capsys):
+    from cartpulse.plans import daily, history
+    write_clean_events(cl.cleanse(click_events(spark, MEDIUM)), f"{workdir}/clean")
+    product_categories(spark, MEDIUM).write.parquet(f"{workdir}/dim")
+    daily.main(["--events", f"{workdir}/clean", "--tables", f"{workdir}/tables",
+                "--first", "2024-01-29", "--last", "2024-01-30", "--categories", f"{workdir}/dim"])
+    top = read_result_table(spark, f"{workdir}/tables", "top_products_daily")
+    assert sorted(str(r[0]) for r in top.select("analysis_date").distinct().collect()) == [
+        "2024-01-29", "2024-01-30"]
+    history.main(["--tables", f"{workdir}/tables", "presence"])
+    out = capsys.readouterr().out
+    assert "user_segmentation_daily|true" in out and "flash_sale_alerts      |false" in out

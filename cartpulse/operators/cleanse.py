@@ -62,11 +62,13 @@ def validate(events: DataFrame) -> DataFrame:
 
 def dedup_order(columns: Sequence[str]) -> list:
     """Total order among copies of one event id: earliest event time, then
-    the envelope (earliest arrival), then the remaining columns."""
+    the envelope (earliest arrival). A bus position (partition, offset) is
+    unique, so it ends the order; without one the remaining columns do."""
     order = ["event_timestamp"] + [c for c in ENVELOPE_ORDER if c in columns]
-    rest = sorted(c for c in columns
-                  if c not in order and c not in ("event_id", "processing_timestamp"))
-    return [F.col(c).asc_nulls_last() for c in order + rest]
+    if not {"partition", "offset"} <= set(columns):
+        order += sorted(c for c in columns
+                        if c not in order and c not in ("event_id", "processing_timestamp"))
+    return [F.col(c).asc_nulls_last() for c in order]
 
 
 def deduplicate(events: DataFrame, key: str = "event_id") -> DataFrame:

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartpulse.functions.rules import (cents, mean_cents_half_even, ratio, top_k,
-                                       top_k_per_group)
+from cartpulse.functions.rules import (cents, first_by_time, mean_cents_half_even, ratio,
+                                       top_k, top_k_per_group)
 from cartpulse.schema import TOP_PRODUCTS_K, TOP_VIEWS_K, VIEW
 
 
@@ -23,7 +23,7 @@ def _day_keys(by_day: bool) -> list[str]:
 
 
 def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
-                       by_day: bool = True) -> DataFrame:
+                       by_day: bool = True, approx_rsd: float | None = None) -> DataFrame:
     """total_views, unique_viewers, category, avg_price per product.
 
     ``events`` may hold every type; only views count. total_views counts
@@ -33,6 +33,8 @@ def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
     """
     keys = _day_keys(by_day) + ["product_id"]
     views = events.filter((F.col("event_type") == VIEW) & F.col("product_id").isNotNull())
+    if approx_rsd is not None:
+        return _approx_view_stats(views, keys, categories, approx_rsd)
     level1 = [F.count("user_id").alias("n_views"),
               F.sum(cents("price")).alias("price_cents"),
               F.count("price").alias("n_prices")]
@@ -56,6 +58,26 @@ def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
                         mean_cents_half_even("price_cents", "n_prices").alias("avg_price"))
 
 
+def _approx_view_stats(views: DataFrame, keys: list, categories: DataFrame | None,
+                       rsd: float) -> DataFrame:
+    """Opt-in for very large inputs: one aggregate, unique viewers estimated
+    by HyperLogLog++ (``approx_count_distinct``, relative error ``rsd``)
+    instead of the exact two-level aggregate."""
+    aggs = [F.count("user_id").alias("total_views"),
+            F.approx_count_distinct("user_id", rsd).alias("unique_viewers"),
+            F.sum(cents("price")).alias("price_cents"),
+            F.count("price").alias("n_prices")]
+    if categories is None:
+        aggs.append(first_by_time(F.col("product_category"), F.col("event_timestamp"),
+                                  F.col("event_id")).alias("category"))
+    stats = views.groupBy(*keys).agg(*aggs)
+    if categories is not None:
+        stats = stats.join(categories.withColumnRenamed("product_category", "category"),
+                           "product_id", "left")
+    return stats.select(*keys, "category", "total_views", "unique_viewers",
+                        mean_cents_half_even("price_cents", "n_prices").alias("avg_price"))
+
+
 def _view_order():
     return [F.desc("total_views"), F.asc("product_id")]
 

@@ -166,19 +166,24 @@ def stop_all(spark: SparkSession) -> None:
         q.stop()
 
 
-def replay_alerts(spark: SparkSession, messages: DataFrame, workdir: str,
+def replay_alerts(spark: SparkSession, messages: DataFrame | None, workdir: str,
                   params: AlertParams = AlertParams(), dedup: str = "bounded",
-                  max_files_per_trigger: int = 1, state_partitions: int | None = None) -> dict:
+                  max_files_per_trigger: int = 1, state_partitions: int | None = None,
+                  replay_path: str | None = None) -> dict:
     """Replay a message table through the streaming alert query to the end.
 
-    Writes the replay files, runs the query with an ``availableNow`` trigger
-    and waits for it. State partitions (fixed by the first batch of a new
-    checkpoint) default to the cluster's default parallelism, one state
-    store per core. Returns the paths of the replay, checkpoint and alert log.
+    Writes the replay files (or reuses ``replay_path``), runs the query with
+    an ``availableNow`` trigger and waits for it. State partitions (fixed by
+    the first batch of a new checkpoint) default to the cluster's default
+    parallelism, one state store per core. Returns the paths of the replay,
+    checkpoint and alert log.
     """
     from cartpulse.streaming.replay import write_replay
     paths = {k: f"{workdir}/{k}" for k in ("replay", "checkpoint", "alert_log")}
-    write_replay(spark, messages, paths["replay"])
+    if replay_path:
+        paths["replay"] = replay_path
+    else:
+        write_replay(spark, messages, paths["replay"])
     stream = read_events(spark, source="parquet", path=paths["replay"],
                          max_files_per_trigger=max_files_per_trigger)
     stream = stream.select(*ENVELOPE_SCHEMA.fieldNames())

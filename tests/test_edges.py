@@ -225,3 +225,14 @@ def test_empty_input_summary(spark):
     c = conv.conversion_summary(_funnel(spark, [])).collect()[0]
     assert c.overall_views == 0 or c.overall_views is None
     assert c.overall_conversion_rate is None and c.best_category is None
+
+
+def test_approx_unique_viewers_opt_in(spark):
+    rows = [ev(i, user=f"u{i % 300}", ts=T0 + timedelta(seconds=i)) for i in range(3000)]
+    exact = prod.product_view_stats(clicks(spark, rows), by_day=False).collect()[0]
+    approx = prod.product_view_stats(clicks(spark, rows), by_day=False,
+                                     approx_rsd=0.02).collect()[0]
+    assert exact.unique_viewers == 300
+    assert abs(approx.unique_viewers - 300) <= 300 * 0.06
+    assert (approx.total_views, approx.avg_price, approx.category) == \
+        (exact.total_views, exact.avg_price, exact.category)

@@ -379,16 +379,21 @@ def _feed_sql() -> str:
   SELECT *, 1 AS copy FROM clicks)"""
 
 
-def decoded_cols(offset: str = "event_id * 2 + copy",
-                 arrival: str = "event_timestamp + copy * INTERVAL 1 SECOND",
+def decoded_cols(offset: str | None = "event_id * 2 + copy",
+                 arrival: str | None = "event_timestamp + copy * INTERVAL 1 SECOND",
                  enriched: bool = True) -> str:
+    """Oracle columns of decoded messages; ``offset``/``arrival`` None leaves
+    the bus position and arrival time out."""
     cols = f"""printf('evt_%08d', event_id) AS event_id, printf('user_%04d', user_id) AS user_id,
   printf('prod_%04d', product_id) AS product_id, event_type,
   event_timestamp, printf('session_%d', 1000 + user_id % 9000) AS session_id, product_category,
   ['mobile', 'desktop', 'tablet'][event_id % 3 + 1] AS device_type,
   '/product/' || printf('prod_%04d', product_id) AS page_url, price * {feed.PRICE_SCALE} AS price,
-  CAST(user_id % 3 AS INTEGER) AS partition, {offset} AS offset,
-  {arrival} AS kafka_timestamp"""
+  CAST(user_id % 3 AS INTEGER) AS partition"""
+    if offset is not None:
+        cols += f", {offset} AS offset"
+    if arrival is not None:
+        cols += f", {arrival} AS kafka_timestamp"
     if enriched:
         cols += f""", price * {feed.PRICE_SCALE} > 500 AS is_high_value,
   CAST(event_timestamp AS DATE) AS event_date, CAST(hour(event_timestamp) AS INTEGER) AS event_hour"""
@@ -542,6 +547,43 @@ def q_flash_sale_alerts_stream_exact(spark, sf_dir):
     return _ntz(_stream_alerts(spark, sf_dir, "exact").drop("alert_timestamp"))
 
 
+_CLEAN_RUNS: dict[tuple, str] = {}
+
+
+def clean_stream_run(spark: SparkSession, sf_dir: str) -> str:
+    """Stream the fixture feed (the replay files of ``stream_run``) into the
+    cleaned-event table once per session and input folder; returns its path."""
+    import uuid
+
+    from cartpulse.session import input_key, work_path
+    from cartpulse.streaming.alerts import clean_stream, read_events, start_clean_event_sink
+    key = (id(spark), sf_dir)
+    if key not in _CLEAN_RUNS:
+        replay = stream_run(spark, sf_dir)["replay"]
+        workdir = work_path(spark, "clean_stream", input_key(sf_dir), uuid.uuid4().hex)
+        messages = read_events(spark, source="parquet", path=replay,
+                               max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
+        from cartpulse.schema import ENVELOPE_SCHEMA
+        clean = clean_stream(messages.select(*ENVELOPE_SCHEMA.fieldNames()), FIXTURE_ALERT_PARAMS)
+        q = start_clean_event_sink(clean, f"{workdir}/clean_events", f"{workdir}/checkpoint",
+                                   trigger={"availableNow": True})
+        q.awaitTermination()
+        _CLEAN_RUNS[key] = f"{workdir}/clean_events"
+    return _CLEAN_RUNS[key]
+
+
+@register("clean_events_stream", with_clicks(
+    f"SELECT {decoded_cols(offset=None, arrival=None)} FROM valid "
+    "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY copy) = 1",
+    _feed_sql(), VALID_FEED))
+def q_clean_events_stream(spark, sf_dir):
+    """H1 written by the stream (bounded de-dup), read back. Which copy of a
+    duplicate the stream keeps depends on arrival within a micro-batch, so the
+    bus position columns are left out; the payload equals the batch de-dup."""
+    table = spark.read.parquet(clean_stream_run(spark, sf_dir))
+    return _ntz(table.drop("offset", "kafka_timestamp"))
+
+
 @register("alert_batch_metrics")
 def q_alert_batch_metrics(spark, sf_dir):
     """C14: per micro-batch metrics; batch boundaries depend on file splits,

@@ -152,6 +152,19 @@ def read_alert_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], ALERT_LOG_SCHEMA)
 
 
+def start_clean_event_sink(clean: DataFrame, path: str, checkpoint: str,
+                           trigger: dict | None = None) -> StreamingQuery:
+    """H1 from the stream: the decoded, valid, de-duplicated events appended to
+    a parquet table partitioned by event_date (the input of the daily jobs).
+    The file sink's metadata log makes the append exactly-once."""
+    writer = (clean.drop("processing_timestamp").writeStream.outputMode("append")
+              .format("parquet").partitionBy("event_date")
+              .option("checkpointLocation", checkpoint))
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start(path)
+
+
 def current_alerts(log: DataFrame) -> DataFrame:
     """flash_sale_alerts = last logged row per (product_id, window_start),
     kept when triggered. ``row_number() = 1`` partial-limits before the shuffle."""

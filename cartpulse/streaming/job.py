@@ -15,8 +15,9 @@ from pyspark.sql import SparkSession
 from cartpulse.schema import ENVELOPE_SCHEMA, AlertParams
 from cartpulse.session import apply_runtime_conf, work_path
 from cartpulse.sinks.tables import jdbc_sink
-from cartpulse.streaming.alerts import (alert_stream, console_sink, log_sink, read_events,
-                                        start_alert_query, stop_all)
+from cartpulse.streaming.alerts import (alert_stream, clean_stream, console_sink, log_sink,
+                                        read_events, start_alert_query,
+                                        start_clean_event_sink, stop_all)
 
 
 def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None = None,
@@ -24,7 +25,10 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
                   params: AlertParams = AlertParams(), dedup: str = "bounded",
                   trigger: dict | None = None, console: bool = False,
                   jdbc: dict | None = None, name: str = "flash_sale_alerts",
-                  wait: bool = True):
+                  clean_table: str | None = None, wait: bool = True):
+    """Start the alert query (and, with ``clean_table``, a second query that
+    appends the cleaned events to that table, partitioned by event_date).
+    Returns the alert query; blocks until it ends unless ``wait`` is False."""
     apply_runtime_conf(spark)
     messages = read_events(spark, source=source, path=path, topic=topic, bootstrap=bootstrap)
     if source != "kafka":
@@ -37,6 +41,9 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
     handler = log_sink(work_path(spark, "alerts", name, "log"), extra)
     query = start_alert_query(alert_stream(messages, params, dedup), handler,
                               work_path(spark, "alerts", name, "checkpoint"), trigger, name)
+    if clean_table:
+        start_clean_event_sink(clean_stream(messages, params, dedup), clean_table,
+                               work_path(spark, "alerts", name, "clean_checkpoint"), trigger)
     if not wait:
         return query
     try:
@@ -60,11 +67,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--dedup", default="bounded", choices=["bounded", "exact"])
     ap.add_argument("--trigger", default="1 minute")
     ap.add_argument("--console", action="store_true")
+    ap.add_argument("--clean-table", help="also append cleaned events to this table (H1)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cartpulse-alerts").getOrCreate()
     params = AlertParams(a.window, a.slide, a.watermark, a.min_views, a.max_purchases)
     run_alert_job(spark, a.source, a.path, a.topic, a.bootstrap, params, a.dedup,
-                  {"processingTime": a.trigger}, a.console)
+                  {"processingTime": a.trigger}, a.console, clean_table=a.clean_table)
 
 
 if __name__ == "__main__":

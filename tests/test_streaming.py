@@ -115,10 +115,13 @@ def test_alert_job_with_console_fan_out(spark, workdir, capsys):
     write_replay(spark, env, f"{workdir}/job_replay")
     q = run_alert_job(spark, source="parquet", path=f"{workdir}/job_replay", params=params,
                       trigger={"processingTime": "1 second"}, console=True,
-                      name=f"job_{workdir.rsplit('/', 1)[-1]}", wait=False)
+                      name=f"job_{workdir.rsplit('/', 1)[-1]}",
+                      clean_table=f"{workdir}/job_clean", wait=False)
     try:
-        q.processAllAvailable()
+        for active in spark.streams.active:
+            active.processAllAvailable()
     finally:
-        q.stop()
+        A.stop_all(spark)
+    assert spark.read.parquet(f"{workdir}/job_clean").count() == 3
     assert q.exception() is None
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0

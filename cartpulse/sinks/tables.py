@@ -89,3 +89,16 @@ def read_result_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def table_presence(spark: SparkSession, root: str) -> dict[str, bool]:
     """Which result tables exist (file metadata only)."""
     return {name: path_exists(spark, table_path(root, name)) for name in RESULT_TABLES}
+
+
+def register_result_views(spark: SparkSession, root: str) -> list[str]:
+    """Expose the written result tables as session views under their table
+    names, so history SQL runs unchanged through ``spark.sql`` (and
+    ``spark.catalog.tableExists`` answers the presence check). Returns the
+    names registered; tables never written are left out."""
+    names = []
+    for name in RESULT_TABLES:
+        if path_exists(spark, table_path(root, name)):
+            read_result_table(spark, root, name).createOrReplaceTempView(name)
+            names.append(name)
+    return names

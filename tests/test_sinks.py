@@ -63,3 +63,17 @@ def test_daily_and_history_command_lines(spark, workdir, capsys):
     history.main(["--tables", f"{workdir}/tables", "presence"])
     out = capsys.readouterr().out
     assert "user_segmentation_daily|true" in out and "flash_sale_alerts      |false" in out
+
+
+def test_history_sql_runs_unchanged_on_registered_views(spark, workdir):
+    from cartpulse.plans.history import segment_history
+    from cartpulse.sinks.tables import register_result_views
+    run_daily_jobs(click_events(spark, MEDIUM), workdir, product_categories(spark, MEDIUM))
+    assert register_result_views(spark, workdir) == [
+        "user_segmentation_daily", "top_products_daily", "conversion_rate_daily"]
+    assert spark.catalog.tableExists("top_products_daily")
+    sql = spark.sql(
+        "SELECT analysis_date, segment, COUNT(*) as user_count FROM user_segmentation_daily "
+        "GROUP BY analysis_date, segment ORDER BY analysis_date DESC, segment LIMIT 10")
+    ours = segment_history(read_result_table(spark, workdir, "user_segmentation_daily"))
+    assert sql.collect() == ours.collect()

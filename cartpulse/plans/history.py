@@ -99,7 +99,8 @@ HISTORY_QUERIES = {
 
 def main(argv: list[str] | None = None) -> None:
     """``python -m cartpulse.plans.history --tables <root> <query>``: print a
-    history query (or ``counts`` / ``presence``) over the result tables."""
+    history query (or ``counts`` / ``presence``) over the result tables;
+    ``sql --sql "..."`` runs any SQL against the tables by name."""
     import argparse
 
     from pyspark.sql import SparkSession
@@ -107,11 +108,16 @@ def main(argv: list[str] | None = None) -> None:
     from cartpulse.session import apply_runtime_conf
     ap = argparse.ArgumentParser(description="History queries over the result tables")
     ap.add_argument("--tables", required=True)
-    ap.add_argument("query", choices=[*HISTORY_QUERIES, "counts", "presence"])
+    ap.add_argument("query", choices=[*HISTORY_QUERIES, "counts", "presence", "sql"])
+    ap.add_argument("--sql", help="with query 'sql': any SQL over the result-table names")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cartpulse-history").getOrCreate()
     apply_runtime_conf(spark)
-    if a.query == "counts":
+    if a.query == "sql":
+        from cartpulse.sinks.tables import register_result_views
+        register_result_views(spark, a.tables)
+        out = spark.sql(a.sql)
+    elif a.query == "counts":
         out = result_table_counts(spark, a.tables)
     elif a.query == "presence":
         out = result_table_presence(spark, a.tables)

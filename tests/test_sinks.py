@@ -63,6 +63,9 @@ def test_daily_and_history_command_lines(spark, workdir, capsys):
     history.main(["--tables", f"{workdir}/tables", "presence"])
     out = capsys.readouterr().out
     assert "user_segmentation_daily|true" in out and "flash_sale_alerts      |false" in out
+    history.main(["--tables", f"{workdir}/tables", "sql", "--sql",
+                  "SELECT COUNT(*) AS row_count FROM top_products_daily"])
+    assert "|10       |" in capsys.readouterr().out
 
 
 def test_history_sql_runs_unchanged_on_registered_views(spark, workdir):

@@ -29,8 +29,11 @@ def main() -> None:
     from cartpulse.session import build_session, work_path
     from cartpulse.sources.generator import GeneratorSpec, generate
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    event_log = os.environ.get("SKEW_EVENT_LOG")  # a scratch folder, for tools/stage_times.py
+    if event_log:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     spec = GeneratorSpec(hot_share=1 / 3, events_per_second=50.0)
     path = work_path(spark, "skew_bench", str(n))

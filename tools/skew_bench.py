@@ -52,6 +52,11 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - t, 3)
 
+    # Two more hot-key shapes on the same rows: one event id repeated on a third
+    # of all rows (a replaying producer), and one bot user on a third of all rows.
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    hot_id = ev.withColumn("event_id", F.when(third, F.lit("evt_hot")).otherwise(F.col("event_id")))
+    bot = ev.withColumn("user_id", F.when(third, F.lit("user_bot")).otherwise(F.col("user_id")))
     counts = conv.funnel_counts(ev, by_day=True)
     plans = {
         "category_conversion_daily": conv.category_conversion(counts),
@@ -59,6 +64,9 @@ def main() -> None:
         "user_segments_daily": seg.user_segments(ev),
         "top_products_daily": prod.top_products(prod.product_view_stats(ev)),
         "dedup": cl.deduplicate(cl.validate(ev)),
+        "dedup_hot_id": cl.deduplicate(cl.validate(hot_id)),
+        "user_segments_daily_bot": seg.user_segments(bot),
+        "top_products_daily_bot": prod.top_products(prod.product_view_stats(bot)),
         "window_counts_10m_1m_panes": win.window_counts(ev, AlertParams(min_views=0), panes=True),
         "window_counts_10m_1m_native": win.window_counts(ev, AlertParams(min_views=0)),
     }

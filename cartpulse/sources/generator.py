@@ -14,13 +14,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpulse.sources.feed import EVENT_ID_FORMAT, PRODUCT_ID_FORMAT, USER_ID_FORMAT
+from cartpulse.schema import EVENT_TYPES
+from cartpulse.sources.feed import (DEVICE_TYPES, EVENT_ID_FORMAT, PRODUCT_ID_FORMAT,
+                                    USER_ID_FORMAT)
 
-# Fixed values of the source generator: category names, device names, the
-# hot product, and its share and type weights.
+# Fixed values of the source generator: category names, the hot product, and
+# its share and type weights (event types and devices: schema.py, feed.py).
 CATEGORIES = ["Electronics", "Clothing", "Home & Garden", "Sports", "Books"]
-DEVICES = ["mobile", "desktop", "tablet"]
-EVENT_TYPES = ["view", "add_to_cart", "purchase"]
 HOT_PRODUCT = "prod_0042"
 HOT_CATEGORY = "Electronics"
 HOT_SHARE = 0.2
@@ -117,7 +117,7 @@ def synthesize(numbers: DataFrame, spec: GeneratorSpec = PRODUCER, seed: int = 4
                                (F.floor(_uniform(n, seed, 6) * 9000) + 1000).cast("long")
                                .cast("string")),
         "product_category": category,
-        "device_type": _pick(DEVICES, _uniform(n, seed, 7)),
+        "device_type": _pick(DEVICE_TYPES, _uniform(n, seed, 7)),
         "page_url": F.concat(F.lit("/product/"), product),
         "price": F.round(F.lit(10.0) + _uniform(n, seed, 8) * F.lit(990.0), 2),
     }

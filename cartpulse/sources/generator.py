@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpulse.schema import EVENT_TYPES
-from cartpulse.sources.feed import (DEVICE_TYPES, EVENT_ID_FORMAT, PRODUCT_ID_FORMAT,
+from cartpulse.sources.feed import (DEVICE_TYPES, EVENT_ID_FORMAT, PAGE_URL_PREFIX,
+                                    PRODUCT_ID_FORMAT, SESSION_ID_FORMAT, TIMESTAMP_FORMAT,
                                     USER_ID_FORMAT)
 
 # Fixed values of the source generator: category names, the hot product, and
@@ -112,13 +113,12 @@ def synthesize(numbers: DataFrame, spec: GeneratorSpec = PRODUCER, seed: int = 4
         "user_id": F.format_string(USER_ID_FORMAT, user_no),
         "product_id": product,
         "event_type": etype,
-        "timestamp": F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
-        "session_id": F.concat(F.lit("session_"),
-                               (F.floor(_uniform(n, seed, 6) * 9000) + 1000).cast("long")
-                               .cast("string")),
+        "timestamp": F.date_format(ts, TIMESTAMP_FORMAT),
+        "session_id": F.format_string(
+            SESSION_ID_FORMAT, (F.floor(_uniform(n, seed, 6) * 9000) + 1000).cast("long")),
         "product_category": category,
         "device_type": _pick(DEVICE_TYPES, _uniform(n, seed, 7)),
-        "page_url": F.concat(F.lit("/product/"), product),
+        "page_url": F.concat(F.lit(PAGE_URL_PREFIX), product),
         "price": F.round(F.lit(10.0) + _uniform(n, seed, 8) * F.lit(990.0), 2),
     }
     return numbers.select(*[cols[f].alias(f) for f in spec.fields])

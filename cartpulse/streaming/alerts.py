@@ -53,7 +53,15 @@ def read_events(spark: SparkSession, source: str = "kafka", path: str | None = N
         reader = reader.format("kafka").option("kafka.bootstrap.servers", bootstrap) \
             .option("subscribe", topic).option("startingOffsets", "earliest") \
             .option("failOnDataLoss", "false")
-        return reader.options(**opts).load()
+        try:
+            return reader.options(**opts).load()
+        except Exception as e:  # the connector jar is not on the classpath
+            if "kafka" not in str(e).lower():
+                raise
+            raise RuntimeError(
+                "the Kafka source needs the spark-sql-kafka-0-10 connector matching this "
+                f"Spark ({spark.version}) on the classpath, e.g. spark.jars.packages="
+                f"org.apache.spark:spark-sql-kafka-0-10_2.13:{spark.version}") from e
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
     return reader.schema(ENVELOPE_SCHEMA).format(source).options(**opts).load(path)

@@ -125,3 +125,13 @@ def test_alert_job_with_console_fan_out(spark, workdir, capsys):
     assert spark.read.parquet(f"{workdir}/job_clean").count() == 3
     assert q.exception() is None
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
+
+
+def test_kafka_source_without_connector_says_what_is_missing(spark):
+    import pytest
+    try:
+        A.read_events(spark, source="kafka", topic="t", bootstrap="localhost:1")
+    except RuntimeError as e:
+        assert "spark-sql-kafka-0-10" in str(e)
+    else:  # the connector is installed: nothing to check offline
+        pytest.skip("Kafka connector present")

@@ -31,3 +31,47 @@ def start_emitter(messages: DataFrame, checkpoint: str, sink: str = "kafka",
             .option("topic", topic)
         return writer.start()
     return writer.format(sink).start(path)
+
+
+def run_producer(spark, duration_s: float, rows_per_second: float = 5.0,
+                 sink: str = "kafka", path: str | None = None, topic: str | None = None,
+                 bootstrap: str | None = None, checkpoint: str | None = None,
+                 seed: int = 42) -> StreamingQuery:
+    """Emit generated events at a fixed rate for ``duration_s`` seconds,
+    keyed by user id, then stop. Returns the stopped query."""
+    import time
+
+    from cartpulse.session import work_path
+    from cartpulse.sources.generator import PRODUCER, paced_stream
+    events = paced_stream(spark, rows_per_second, PRODUCER, seed)
+    query = start_emitter(to_messages(events), checkpoint or work_path(spark, "producer", "ck"),
+                          sink=sink, path=path, topic=topic, bootstrap=bootstrap,
+                          trigger={"processingTime": "1 second"})
+    try:
+        query.awaitTermination(duration_s)
+    finally:
+        query.stop()
+    return query
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m cartpulse.streaming.emit --duration 60 [--rate 5] --sink kafka
+    --topic T --bootstrap H:P`` (or ``--sink parquet --path P``)."""
+    import argparse
+
+    from pyspark.sql import SparkSession
+    ap = argparse.ArgumentParser(description="Emit generated clickstream events")
+    ap.add_argument("--duration", type=float, required=True)
+    ap.add_argument("--rate", type=float, default=5.0)
+    ap.add_argument("--sink", default="kafka")
+    ap.add_argument("--path")
+    ap.add_argument("--topic", default="clickstream_events")
+    ap.add_argument("--bootstrap")
+    ap.add_argument("--checkpoint")
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("cartpulse-producer").getOrCreate()
+    run_producer(spark, a.duration, a.rate, a.sink, a.path, a.topic, a.bootstrap, a.checkpoint)
+
+
+if __name__ == "__main__":
+    main()

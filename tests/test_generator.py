@@ -56,3 +56,16 @@ def test_paced_stream_from_rate_source(spark, workdir):
     assert out.count() > 0
     assert out.columns == ["event_id", "user_id", "product_id", "event_type", "timestamp",
                            "session_id", "product_category", "device_type", "page_url", "price"]
+
+
+def test_paced_producer_emits_keyed_json(spark, workdir):
+    from cartpulse.schema import EVENT_SCHEMA
+    from cartpulse.streaming.emit import run_producer
+    run_producer(spark, duration_s=6, rows_per_second=20, sink="parquet",
+                 path=f"{workdir}/msgs", checkpoint=f"{workdir}/ck")
+    msgs = spark.read.parquet(f"{workdir}/msgs")
+    assert msgs.columns == ["key", "value"]
+    rows = msgs.select(F.col("key").cast("string").alias("k"),
+                       F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("e"))
+    assert rows.count() > 0
+    assert rows.filter("k <> e.user_id OR e.event_id IS NULL OR e.price IS NULL").count() == 0

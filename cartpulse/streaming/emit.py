@@ -39,8 +39,6 @@ def run_producer(spark, duration_s: float, rows_per_second: float = 5.0,
                  seed: int = 42) -> StreamingQuery:
     """Emit generated events at a fixed rate for ``duration_s`` seconds,
     keyed by user id, then stop. Returns the stopped query."""
-    import time
-
     from cartpulse.session import work_path
     from cartpulse.sources.generator import PRODUCER, paced_stream
     events = paced_stream(spark, rows_per_second, PRODUCER, seed)

@@ -173,6 +173,13 @@ def start_clean_event_sink(clean: DataFrame, path: str, checkpoint: str,
     return writer.start(path)
 
 
+def appended_alerts(log: DataFrame) -> DataFrame:
+    """The alert history the source's sink would hold: every emitted row that
+    passed the rule when emitted (append-only, so a key repeats each time it
+    changes and an alert that later stops qualifying stays)."""
+    return log.filter(F.col("alert_triggered")).drop("batch_id")
+
+
 def current_alerts(log: DataFrame) -> DataFrame:
     """flash_sale_alerts = last logged row per (product_id, window_start),
     kept when triggered. ``row_number() = 1`` partial-limits before the shuffle."""

@@ -68,6 +68,7 @@ def test_alert_retracted_when_it_stops_qualifying(spark, workdir):
     first = log.filter("batch_id = 0 AND alert_triggered").count()
     assert first == 10  # every window holding both views alerted
     assert A.current_alerts(log).count() == 0  # ... and all were retracted
+    assert A.appended_alerts(log).count() == 10  # the append-only history keeps them
 
 
 def test_duplicates_across_batches_counted_once(spark, workdir):

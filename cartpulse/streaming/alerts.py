@@ -44,8 +44,9 @@ def read_events(spark: SparkSession, source: str = "kafka", path: str | None = N
     """A1: the message stream.
 
     ``kafka`` subscribes to ``topic`` from the earliest offset and tolerates
-    lost offsets (needs the Kafka connector on the classpath). Any file
-    format (``parquet``, ``json``) replays envelope rows from ``path``.
+    lost offsets (needs the Kafka connector on the classpath). ``text`` reads
+    JSON lines, one event payload per line. Any other file format
+    (``parquet``, ``json``) replays envelope rows from ``path``.
     """
     reader = spark.readStream
     opts = dict(options or {})
@@ -64,6 +65,12 @@ def read_events(spark: SparkSession, source: str = "kafka", path: str | None = N
                 f"org.apache.spark:spark-sql-kafka-0-10_2.13:{spark.version}") from e
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if source == "text":  # JSON lines: one event payload per line, no envelope
+        lines = reader.format("text").options(**opts).load(path)
+        return lines.select(
+            F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+            F.lit(None).cast("int").alias("partition"), F.lit(None).cast("long").alias("offset"),
+            F.lit(None).cast("timestamp").alias("timestamp"))
     return reader.schema(ENVELOPE_SCHEMA).format(source).options(**opts).load(path)
 
 

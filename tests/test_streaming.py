@@ -136,3 +136,20 @@ def test_kafka_source_without_connector_says_what_is_missing(spark):
         assert "spark-sql-kafka-0-10" in str(e)
     else:  # the connector is installed: nothing to check offline
         pytest.skip("Kafka connector present")
+
+
+def test_json_lines_source(spark, workdir):
+    import os
+    os.makedirs(f"{workdir}/lines", exist_ok=True)
+    with open(f"{workdir}/lines/part-0.json", "w") as fh:
+        for i in range(5):
+            fh.write(msg(i, T12 + timedelta(seconds=i))[0] + "\n")
+        fh.write("{broken\n")
+        fh.write(msg(0, T12)[0] + "\n")  # a duplicate of e0
+    stream = A.read_events(spark, source="text", path=f"{workdir}/lines")
+    q = A.start_alert_query(A.alert_stream(stream, AlertParams(min_views=0)),
+                            A.log_sink(f"{workdir}/lines_log"), f"{workdir}/lines_ck",
+                            trigger={"availableNow": True})
+    q.awaitTermination()
+    cur = A.current_alerts(A.read_alert_log(spark, f"{workdir}/lines_log"))
+    assert cur.count() == 10 and cur.agg(F.max("total_views")).first()[0] == 5

@@ -90,8 +90,20 @@ def clean_stream(messages: DataFrame, params: AlertParams = AlertParams(),
 
 def alert_stream(messages: DataFrame, params: AlertParams = AlertParams(),
                  dedup: str = "bounded") -> DataFrame:
-    """The alert update stream (run in update output mode)."""
-    return alert_updates(window_counts(clean_stream(messages, params, dedup), params), params)
+    """The alert update stream (run in update output mode).
+
+    C14 rides along as an observation: every micro-batch's progress report
+    carries ``observedMetrics["alert_batch"]`` (changed windows, alerts, and
+    their views and purchases), computed in the same pass.
+    """
+    updates = alert_updates(window_counts(clean_stream(messages, params, dedup), params), params)
+    trig = F.col("alert_triggered")
+    return updates.observe(
+        "alert_batch",
+        F.count(F.lit(1)).alias("changed_windows"),
+        F.count_if(trig).alias("alerts"),
+        F.sum(F.when(trig, F.col("total_views"))).alias("alert_views"),
+        F.sum(F.when(trig, F.col("total_purchases"))).alias("alert_purchases"))
 
 
 def log_sink(log_path: str, extra: Sequence[BatchSink] = ()) -> BatchSink:

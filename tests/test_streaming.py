@@ -35,6 +35,7 @@ def run(spark, workdir, batches, params, dedup="bounded", name="q"):
                             A.log_sink(f"{workdir}/{name}/log"), f"{workdir}/{name}/ck",
                             trigger={"availableNow": True})
     q.awaitTermination()
+    run.progress = q.recentProgress
     return A.read_alert_log(spark, f"{workdir}/{name}/log")
 
 
@@ -69,6 +70,9 @@ def test_alert_retracted_when_it_stops_qualifying(spark, workdir):
     assert first == 10  # every window holding both views alerted
     assert A.current_alerts(log).count() == 0  # ... and all were retracted
     assert A.appended_alerts(log).count() == 10  # the append-only history keeps them
+    observed = [p.observedMetrics.get("alert_batch") for p in run.progress]
+    alerts = [m["alerts"] for m in observed if m is not None]
+    assert alerts[:2] == [10, 0]  # C14 per batch, from the progress reports
 
 
 def test_duplicates_across_batches_counted_once(spark, workdir):

@@ -55,3 +55,20 @@ def test_top_k_per_day_limits_before_shuffle(spark):
 def test_global_top_k_is_take_ordered(spark):
     p = plan(QUERIES["top5_conversion"](spark, SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_dimension_attach_over_the_bound_falls_back_to_a_shuffle_join(spark):
+    from cartpulse.operators.joins import attach_dimension
+    from cartpulse.sources.tables import click_events, product_categories
+    facts = click_events(spark, SMALL)
+    dim = product_categories(spark, SMALL)
+    small = attach_dimension(facts, dim, "product_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = attach_dimension(facts, dim, "product_id", broadcast_rows=0)
+        p = plan(big)
+        assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p
+        assert sorted(big.collect()) == sorted(small.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan(small)

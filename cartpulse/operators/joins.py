@@ -26,10 +26,15 @@ from pyspark.sql import functions as F
 DIM_BROADCAST_ROWS = 2_000_000
 
 
-def used_dimension(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Dimension rows whose key occurs in ``facts`` (semi-join reduction)."""
+def used_dimension(facts: DataFrame, dim: DataFrame, key: str,
+                   broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """Dimension rows whose key occurs in ``facts`` (semi-join reduction).
+
+    The distinct fact keys are measured and broadcast when under the bound,
+    so the dimension is only scanned, never shuffled, to find its used rows.
+    """
     keys = facts.select(key).where(F.col(key).isNotNull()).distinct()
-    return dim.join(keys, key, "left_semi")
+    return dim.join(bounded_broadcast(keys, broadcast_rows), key, "left_semi")
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
@@ -46,8 +51,23 @@ def attach_dimension(facts: DataFrame, dim: DataFrame, key: str, how: str = "lef
     Costs one small job (distinct keys of the facts, semi-joined with the
     dimension) before the join is planned.
     """
-    return facts.join(bounded_broadcast(used_dimension(facts, dim, key), broadcast_rows),
-                      key, how)
+    used = used_dimension(facts, dim, key, broadcast_rows)
+    return facts.join(bounded_broadcast(used, broadcast_rows), key, how)
+
+
+def attach_after_aggregate(agg: DataFrame, dim: DataFrame, key: str, how: str = "left",
+                           broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """Attach dimension attributes to an aggregate of the facts.
+
+    The aggregate is checkpointed to the shared folder first (it is small:
+    days x products), so measuring its keys does not re-read the facts;
+    then ``attach_dimension`` broadcasts its keys into a semi-join over the
+    dimension and the reduced dimension into the join. Neither the facts nor
+    the dimension is shuffled for the join.
+    """
+    from cartpulse.session import checkpoint_root
+    checkpoint_root(agg.sparkSession)
+    return attach_dimension(agg.checkpoint(eager=True), dim, key, how, broadcast_rows)
 
 
 def attach_static_dimension(stream: DataFrame, dim: DataFrame, key: str, how: str = "left",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpulse.functions.rules import count_where, ratio_pct, top_k, top_k_per_group
+from cartpulse.operators.joins import attach_after_aggregate
 from cartpulse.schema import ADD_TO_CART, CONVERSION_K, MIN_PRODUCT_VIEWS, PURCHASE, VIEW
 
 COUNT_COLS = ["total_views", "total_cart", "total_purchases", "total_events", "all_events"]
@@ -45,8 +46,9 @@ def funnel_counts(events: DataFrame, categories: DataFrame | None = None,
     if categories is None:
         return events.groupBy(*keys, "product_id", "product_category").agg(*aggs)
     per_product = events.groupBy(*keys, "product_id").agg(*aggs)
-    # Attached after the aggregate: the fact side is days x products here.
-    return per_product.join(categories, "product_id", "left")
+    # Attached after the aggregate (days x products rows): checkpointed, its
+    # keys select the used dimension rows, nothing is shuffled for the join.
+    return attach_after_aggregate(per_product, categories, "product_id")
 
 
 def _rates(df: DataFrame) -> DataFrame:

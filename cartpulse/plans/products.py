@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cartpulse.functions.rules import (cents, first_by_time, mean_cents_half_even, ratio,
                                        top_k, top_k_per_group)
+from cartpulse.operators.joins import attach_after_aggregate
 from cartpulse.schema import TOP_PRODUCTS_K, TOP_VIEWS_K, VIEW
 
 
@@ -52,8 +53,8 @@ def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
     if categories is None:
         stats = stats.withColumn("category", F.col("first_cat.c")).drop("first_cat")
     else:
-        stats = stats.join(categories.withColumnRenamed("product_category", "category"),
-                           "product_id", "left")
+        stats = attach_after_aggregate(
+            stats, categories.withColumnRenamed("product_category", "category"), "product_id")
     return stats.select(*keys, "category", "total_views", "unique_viewers",
                         mean_cents_half_even("price_cents", "n_prices").alias("avg_price"))
 
@@ -72,8 +73,8 @@ def _approx_view_stats(views: DataFrame, keys: list, categories: DataFrame | Non
                                   F.col("event_id")).alias("category"))
     stats = views.groupBy(*keys).agg(*aggs)
     if categories is not None:
-        stats = stats.join(categories.withColumnRenamed("product_category", "category"),
-                           "product_id", "left")
+        stats = attach_after_aggregate(
+            stats, categories.withColumnRenamed("product_category", "category"), "product_id")
     return stats.select(*keys, "category", "total_views", "unique_viewers",
                         mean_cents_half_even("price_cents", "n_prices").alias("avg_price"))
 

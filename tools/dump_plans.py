@@ -13,9 +13,11 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
-    "category_conversion_daily": "One scan (2 columns), one partial+final aggregate per "
-    "(day, product); the product dimension joins the aggregate, not the events; the "
-    "category roll-up aggregates days x products rows.",
+    "category_conversion_daily": "The (day, product) aggregate of the events was "
+    "checkpointed (one scan of 3 columns, one partial+final aggregate); here its keys "
+    "are broadcast into a semi-join that only scans the product table, the reduced "
+    "dimension is broadcast into the join, and the category roll-up aggregates "
+    "days x products rows.",
     "top_products_daily": "Two-level aggregate (day, product, user) -> (day, product) "
     "gives exact distinct viewers without Expand; top-5 per day is a WindowGroupLimit "
     "before and after the shuffle.",

@@ -60,14 +60,16 @@ def attach_after_aggregate(agg: DataFrame, dim: DataFrame, key: str, how: str =
     """Attach dimension attributes to an aggregate of the facts.
 
     The aggregate is checkpointed to the shared folder first (it is small:
-    days x products), so measuring its keys does not re-read the facts;
-    then ``attach_dimension`` broadcasts its keys into a semi-join over the
-    dimension and the reduced dimension into the join. Neither the facts nor
-    the dimension is shuffled for the join.
+    days x products), so measuring its keys does not re-read the facts; its
+    keys are then broadcast into a semi-join that only scans the dimension.
+    Neither the facts nor the dimension is shuffled for the join.
     """
     from cartpulse.session import checkpoint_root
     checkpoint_root(agg.sparkSession)
-    return attach_dimension(agg.checkpoint(eager=True), dim, key, how, broadcast_rows)
+    agg = agg.checkpoint(eager=True)
+    # Both sides of this join are small (days x products, and the dimension
+    # rows those products use): AQE sizes it at runtime, no measuring job.
+    return agg.join(used_dimension(agg, dim, key, broadcast_rows), key, how)
 
 
 def attach_static_dimension(stream: DataFrame, dim: DataFrame, key: str, how: str = "left",

@@ -27,13 +27,21 @@ DIM_BROADCAST_ROWS = 2_000_000
 
 
 def used_dimension(facts: DataFrame, dim: DataFrame, key: str,
-                   broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+                   broadcast_rows: int = DIM_BROADCAST_ROWS,
+                   materialize_keys: bool = True) -> DataFrame:
     """Dimension rows whose key occurs in ``facts`` (semi-join reduction).
 
     The distinct fact keys are measured and broadcast when under the bound,
     so the dimension is only scanned, never shuffled, to find its used rows.
+    The key set is checkpointed (one pass over the facts) so that measuring
+    it and using it do not each re-read the facts; ``materialize_keys=False``
+    when the facts are already materialized.
     """
     keys = facts.select(key).where(F.col(key).isNotNull()).distinct()
+    if materialize_keys:
+        from cartpulse.session import checkpoint_root
+        checkpoint_root(keys.sparkSession)
+        keys = keys.checkpoint(eager=True)
     return dim.join(bounded_broadcast(keys, broadcast_rows), key, "left_semi")
 
 
@@ -69,7 +77,8 @@ def attach_after_aggregate(agg: DataFrame, dim: DataFrame, key: str, how: str =
     agg = agg.checkpoint(eager=True)
     # Both sides of this join are small (days x products, and the dimension
     # rows those products use): AQE sizes it at runtime, no measuring job.
-    return agg.join(used_dimension(agg, dim, key, broadcast_rows), key, how)
+    used = used_dimension(agg, dim, key, broadcast_rows, materialize_keys=False)
+    return agg.join(used, key, how)
 
 
 def attach_static_dimension(stream: DataFrame, dim: DataFrame, key: str, how: str = "left",

@@ -41,6 +41,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _session_key(spark: SparkSession, *parts) -> tuple:
+    """Cache key of per-session work: the application id changes when a
+    context is restarted, so a new session never sees another's DataFrames."""
+    return (spark.sparkContext.applicationId, id(spark), *parts)
+
+
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_events(spark, sf_dir)
 
@@ -414,7 +420,7 @@ _CLICKS: dict[tuple, DataFrame] = {}
 def _clicks(spark, sf_dir) -> DataFrame:
     """The per-event enriched view; its broadcast decision (a measured size,
     like a table statistic) is made once per session and input folder."""
-    key = (id(spark), sf_dir)
+    key = _session_key(spark, sf_dir)
     if key not in _CLICKS:
         _CLICKS[key] = clicks(spark, sf_dir)
     return _CLICKS[key]
@@ -512,9 +518,9 @@ def stream_run(spark: SparkSession, sf_dir: str, dedup: str = "bounded") -> dict
 
     from cartpulse.session import input_key, work_path
     from cartpulse.streaming.alerts import replay_alerts
-    key = (id(spark), sf_dir, dedup)
+    key = _session_key(spark, sf_dir, dedup)
     if key not in _STREAM_RUNS:
-        shared = next((v["replay"] for k, v in _STREAM_RUNS.items() if k[:2] == key[:2]), None)
+        shared = next((v["replay"] for k, v in _STREAM_RUNS.items() if k[:-1] == key[:-1]), None)
         workdir = work_path(spark, "stream", input_key(sf_dir), uuid.uuid4().hex)
         messages = None if shared else feed.faulty_feed(_clicks(spark, sf_dir))
         _STREAM_RUNS[key] = replay_alerts(spark, messages, workdir, FIXTURE_ALERT_PARAMS,
@@ -557,7 +563,7 @@ def clean_stream_run(spark: SparkSession, sf_dir: str) -> str:
 
     from cartpulse.session import input_key, work_path
     from cartpulse.streaming.alerts import clean_stream, read_events, start_clean_event_sink
-    key = (id(spark), sf_dir)
+    key = _session_key(spark, sf_dir)
     if key not in _CLEAN_RUNS:
         replay = stream_run(spark, sf_dir)["replay"]
         workdir = work_path(spark, "clean_stream", input_key(sf_dir), uuid.uuid4().hex)
@@ -604,7 +610,7 @@ def result_tables(spark: SparkSession, sf_dir: str) -> str:
     from cartpulse.schema import ALERT_SCHEMA
     from cartpulse.session import input_key, work_path
     from cartpulse.sinks.tables import table_path, write_snapshot
-    key = (id(spark), sf_dir)
+    key = _session_key(spark, sf_dir)
     if key not in _TABLE_RUNS:
         root = work_path(spark, "tables", input_key(sf_dir))
         run_daily_jobs(_facts(spark, sf_dir), root, _dims(spark, sf_dir))
@@ -718,7 +724,7 @@ def emit_run(spark: SparkSession, sf_dir: str) -> str:
     from cartpulse.session import input_key, work_path
     from cartpulse.sources.tables import events_stream, to_click_events
     from cartpulse.streaming.emit import start_emitter
-    key = (id(spark), sf_dir)
+    key = _session_key(spark, sf_dir)
     if key not in _EMIT_RUNS:
         workdir = work_path(spark, "emit", input_key(sf_dir), uuid.uuid4().hex)
         stream = attach_static_dimension(to_click_events(events_stream(spark, sf_dir)),

@@ -100,3 +100,18 @@ def test_random_frames_match_oracle(spark, seed):
         cols = sorted(got.columns)
         assert cols == sorted(want.columns), key
         assert rows_of(got, cols) == rows_of(want, cols), key
+
+
+@pytest.mark.parametrize("window,slide", [("10 minutes", "1 minute"), ("1 hour", "15 minutes"),
+                                          ("1 day", "1 hour"), ("10 minutes", "3 minutes"),
+                                          ("2 hours", "2 hours")])
+def test_pane_windows_equal_native_windows(spark, window, slide):
+    from cartpulse.schema import AlertParams
+    pdf = frame(7, n=800)
+    pdf = pdf[pdf["event_timestamp"].notna()]
+    sdf = spark.createDataFrame(pdf, SCHEMA)
+    params = AlertParams(window=window, slide=slide, min_views=0)
+    native = win.window_counts(sdf, params, panes=False)
+    panes = win.window_counts(sdf, params, panes=True)
+    assert native.count() > 0
+    assert native.exceptAll(panes).count() == 0 and panes.exceptAll(native).count() == 0

@@ -157,3 +157,31 @@ def test_json_lines_source(spark, workdir):
     q.awaitTermination()
     cur = A.current_alerts(A.read_alert_log(spark, f"{workdir}/lines_log"))
     assert cur.count() == 10 and cur.agg(F.max("total_views")).first()[0] == 5
+
+
+def test_source_defaults_end_to_end_stream_equals_batch(spark, workdir):
+    """Generated producer events at 5/s, the source's alert rule unchanged:
+    only the hot product can pass 100 views in 10 minutes."""
+    from cartpulse.operators import cleanse as cl
+    from cartpulse.operators import windows as win
+    from cartpulse.sources.generator import HOT_PRODUCT, PRODUCER, generate
+    from cartpulse.streaming.emit import to_messages
+    events = generate(spark, 9000, PRODUCER, seed=3, partitions=4)  # 30 minutes
+    messages = to_messages(events).select(
+        "key", "value", F.lit(0).alias("partition"),
+        F.get_json_object(F.col("value").cast("string"), "$.event_id")
+        .substr(5, 8).cast("long").alias("offset"),
+        F.to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.timestamp"))
+        .alias("timestamp"))
+    write_replay(spark, messages, f"{workdir}/gen", folder_format="yyyy-MM-dd-HH-mm")
+    stream = A.read_events(spark, source="parquet", path=f"{workdir}/gen",
+                           max_files_per_trigger=5).select(*ENVELOPE_SCHEMA.fieldNames())
+    q = A.start_alert_query(A.alert_stream(stream, AlertParams()), A.log_sink(f"{workdir}/gen_log"),
+                            f"{workdir}/gen_ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    cols = ["product_id", "window_start", "total_views", "total_purchases"]
+    streamed = A.current_alerts(A.read_alert_log(spark, f"{workdir}/gen_log")).select(cols)
+    batch = win.flash_sale_alerts(cl.cleanse(cl.decode(messages)), AlertParams()).select(cols)
+    got = sorted(streamed.collect())
+    assert got and {r.product_id for r in got} == {HOT_PRODUCT}
+    assert got == sorted(batch.collect())

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartpulse.functions.rules import (cents, first_by_time, mean_cents_half_even, ratio,
-                                       top_k, top_k_per_group)
+from cartpulse.functions.rules import cents, mean_cents_half_even, ratio, top_k, top_k_per_group
 from cartpulse.operators.joins import attach_after_aggregate
 from cartpulse.schema import TOP_PRODUCTS_K, TOP_VIEWS_K, VIEW
 
@@ -44,14 +43,13 @@ def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
               F.sum("price_cents").alias("price_cents"),
               F.sum("n_prices").alias("n_prices")]
     if categories is None:
-        cat = F.col("product_category")
-        first = F.when(cat.isNotNull(), F.struct("event_timestamp", "event_id", cat.alias("c")))
-        level1.append(F.min(first).alias("first_cat"))
-        level2.append(F.min("first_cat").alias("first_cat"))
+        first_ts = F.when(F.col("product_category").isNotNull(), F.col("event_timestamp"))
+        level1.append(F.min(first_ts).alias("first_ts"))
+        level2.append(F.min("first_ts").alias("first_ts"))
     stats = (views.groupBy(*keys, "user_id").agg(*level1)
              .groupBy(*keys).agg(*level2))
     if categories is None:
-        stats = stats.withColumn("category", F.col("first_cat.c")).drop("first_cat")
+        stats = _with_first_category(views, stats, keys)
     else:
         stats = attach_after_aggregate(
             stats, categories.withColumnRenamed("product_category", "category"), "product_id")
@@ -59,6 +57,33 @@ def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
                         mean_cents_half_even("price_cents", "n_prices").alias("avg_price"))
 
 
+def _with_first_category(views: DataFrame, stats: DataFrame, keys: list) -> DataFrame:
+    """Attach the first non-null category in event order (event time, then
+    event id; rows without an event time come after all timed rows).
+
+    A string in an aggregation buffer forces a sort-based aggregate over every
+    view. Instead the hash aggregate keeps only the earliest timestamp that
+    has a category (``first_ts``); the small stats are checkpointed, and the
+    views at exactly that timestamp are fetched through a broadcast of the
+    (key, first_ts) pairs (measured bound), so only the candidate rows, about
+    one per group, reach the sort that breaks ties by event id.
+    """
+    from cartpulse.operators.joins import bounded_broadcast
+    from cartpulse.session import checkpoint_root
+    checkpoint_root(stats.sparkSession)
+    stats = stats.checkpoint(eager=True)
+    firsts = bounded_broadcast(
+        stats.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col("first_ts").alias("_f_ts")))
+    cat_views = views.filter(F.col("product_category").isNotNull()) \
+        .select(*keys, "event_timestamp", "event_id", "product_category")
+    cond = [F.col(k) == F.col(f"_f_{k}") for k in keys] + \
+        [F.col("event_timestamp").eqNullSafe(F.col("_f_ts"))]
+    cand = cat_views.join(firsts, cond, "left_semi")
+    first = cand.groupBy(*keys).agg(
+        F.min_by("product_category", "event_id").alias("category"))
+    return stats.join(first, keys, "left").drop("first_ts")
+
+
 def _approx_view_stats(views: DataFrame, keys: list, categories: DataFrame | None,
                        rsd: float) -> DataFrame:
     """Opt-in for very large inputs: one aggregate, unique viewers estimated
@@ -69,10 +94,12 @@ def _approx_view_stats(views: DataFrame, keys: list, categories: DataFrame | Non
             F.sum(cents("price")).alias("price_cents"),
             F.count("price").alias("n_prices")]
     if categories is None:
-        aggs.append(first_by_time(F.col("product_category"), F.col("event_timestamp"),
-                                  F.col("event_id")).alias("category"))
+        aggs.append(F.min(F.when(F.col("product_category").isNotNull(),
+                                 F.col("event_timestamp"))).alias("first_ts"))
     stats = views.groupBy(*keys).agg(*aggs)
-    if categories is not None:
+    if categories is None:
+        stats = _with_first_category(views, stats, keys)
+    else:
         stats = attach_after_aggregate(
             stats, categories.withColumnRenamed("product_category", "category"), "product_id")
     return stats.select(*keys, "category", "total_views", "unique_viewers",

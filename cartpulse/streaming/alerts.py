@@ -40,6 +40,7 @@ BatchSink = Callable[[DataFrame, int], None]
 def read_events(spark: SparkSession, source: str = "kafka", path: str | None = None,
                 topic: str | None = None, bootstrap: str | None = None,
                 max_files_per_trigger: int | None = None,
+                max_offsets_per_trigger: int | None = None,
                 options: dict | None = None) -> DataFrame:
     """A1: the message stream.
 
@@ -51,6 +52,8 @@ def read_events(spark: SparkSession, source: str = "kafka", path: str | None = N
     reader = spark.readStream
     opts = dict(options or {})
     if source == "kafka":
+        if max_offsets_per_trigger:  # bounds a micro-batch after downtime
+            opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
         reader = reader.format("kafka").option("kafka.bootstrap.servers", bootstrap) \
             .option("subscribe", topic).option("startingOffsets", "earliest") \
             .option("failOnDataLoss", "false")

@@ -25,12 +25,14 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
                   params: AlertParams = AlertParams(), dedup: str = "bounded",
                   trigger: dict | None = None, console: bool = False,
                   jdbc: dict | None = None, name: str = "flash_sale_alerts",
-                  clean_table: str | None = None, wait: bool = True):
+                  clean_table: str | None = None, max_offsets_per_trigger: int | None = None,
+                  wait: bool = True):
     """Start the alert query (and, with ``clean_table``, a second query that
     appends the cleaned events to that table, partitioned by event_date).
     Returns the alert query; blocks until it ends unless ``wait`` is False."""
     apply_runtime_conf(spark)
-    messages = read_events(spark, source=source, path=path, topic=topic, bootstrap=bootstrap)
+    messages = read_events(spark, source=source, path=path, topic=topic, bootstrap=bootstrap,
+                           max_offsets_per_trigger=max_offsets_per_trigger)
     if source != "kafka":
         messages = messages.select(*ENVELOPE_SCHEMA.fieldNames())
     extra = []
@@ -68,11 +70,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger", default="1 minute")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--clean-table", help="also append cleaned events to this table (H1)")
+    ap.add_argument("--max-offsets-per-trigger", type=int,
+                    help="Kafka: upper bound of messages per micro-batch")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cartpulse-alerts").getOrCreate()
     params = AlertParams(a.window, a.slide, a.watermark, a.min_views, a.max_purchases)
     run_alert_job(spark, a.source, a.path, a.topic, a.bootstrap, params, a.dedup,
-                  {"processingTime": a.trigger}, a.console, clean_table=a.clean_table)
+                  {"processingTime": a.trigger}, a.console, clean_table=a.clean_table,
+                  max_offsets_per_trigger=a.max_offsets_per_trigger)
 
 
 if __name__ == "__main__":

@@ -74,6 +74,12 @@ def spark_side(df):
                                                   by_day=False),
         "top_products_insights": prod.top_products_insights(
             prod.top_products(prod.product_view_stats(df))),
+        "top_products_report": prod.top_products_report(
+            prod.top_products(prod.product_view_stats(df))),
+        "top10_product_views": prod.top_viewed(df),
+        "segment_distribution": seg.segment_distribution(seg.user_segments(df)),
+        "segmentation_report": seg.segmentation_report(seg.user_segments(df)),
+        "conversion_report": conv.conversion_report(counts_all),
         "flash_sale_alerts": win.flash_sale_alerts(cl.cleanse(df), FIXTURE_ALERT_PARAMS)
         .drop("alert_timestamp").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
         .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")),

@@ -743,3 +743,43 @@ def q_emit_events(spark, sf_dir):
     """A7 round trip: emitted messages decode back to the adapter rows."""
     return _ntz(cl.decode(spark.read.parquet(emit_run(spark, sf_dir)))
                 .drop("processing_timestamp"))
+
+
+# --- daily analyses over the stream-written cleaned-event table (H1 -> D, E, F) --
+
+H1_SQL = f"""h1 AS (
+  SELECT {decoded_cols(offset=None, arrival=None)} FROM valid
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY copy) = 1)"""
+
+
+def _h1(spark, sf_dir) -> DataFrame:
+    """The cleaned-event table as the stream wrote it (category on each event)."""
+    return spark.read.parquet(clean_stream_run(spark, sf_dir))
+
+
+def _over_h1(sql: str) -> str:
+    """An oracle body written against ``clicks``, re-aimed at the h1 rows."""
+    return sql.replace("FROM clicks", "FROM h1")
+
+
+@register("segments_from_clean_table", with_clicks(
+    "SELECT * FROM segments", _feed_sql(), VALID_FEED, H1_SQL, _over_h1(SEGMENTS_SQL)))
+def q_segments_from_clean_table(spark, sf_dir):
+    """D1-D3 over the H1 table written by the stream: the daily job's real input."""
+    return seg.user_segments(_h1(spark, sf_dir))
+
+
+@register("category_conversion_from_clean_table", with_clicks(
+    f"SELECT *, {CAT_RATES} FROM cat_counts", _feed_sql(), VALID_FEED, H1_SQL,
+    _over_h1(CAT_COUNTS_SQL.format(keys="event_date,"))))
+def q_category_conversion_from_clean_table(spark, sf_dir):
+    """F1-F7 over the H1 table (category carried by each event)."""
+    return conv.category_conversion(conv.funnel_counts(_h1(spark, sf_dir), by_day=True))
+
+
+@register("top_products_from_clean_table", with_clicks(
+    "SELECT * FROM top", _feed_sql(), VALID_FEED, H1_SQL,
+    stats_sql("event_date,").replace("FROM clicks v", "FROM h1 v"), TOP_DAILY_SQL))
+def q_top_products_from_clean_table(spark, sf_dir):
+    """E1-E7 over the H1 table: first category in event order, exact viewers."""
+    return prod.top_products(prod.product_view_stats(_h1(spark, sf_dir)))

@@ -21,6 +21,10 @@ NOTES = {
     "top_products_daily": "Two-level aggregate (day, product, user) -> (day, product) "
     "gives exact distinct viewers without Expand; top-5 per day is a WindowGroupLimit "
     "before and after the shuffle.",
+    "top_products_from_clean_table": "Category on each event (the stream-written "
+    "table): the hash aggregate keeps the earliest timestamp with a category; the "
+    "checkpointed stats broadcast (day, product, first_ts) into a semi-join over the "
+    "views, and only those candidates reach the sort-based min_by(category, event_id).",
     "user_segments_daily": "Conditional counts per (day, user): one shuffle, "
     "partial aggregation map side; the scan reads 4 of 6 columns.",
     "flash_sale_alerts": "De-dup (WindowGroupLimit both sides), then pane counts per "

@@ -185,3 +185,16 @@ def test_source_defaults_end_to_end_stream_equals_batch(spark, workdir):
     got = sorted(streamed.collect())
     assert got and {r.product_id for r in got} == {HOT_PRODUCT}
     assert got == sorted(batch.collect())
+
+
+def test_row_later_than_every_open_window_is_dropped(spark, workdir):
+    """A row 40 minutes behind the watermark: no window of its time is open in
+    either mode (bounded keeps windows open 15 minutes behind the newest event)."""
+    params = AlertParams(min_views=0, max_purchases=5)
+    for mode in ("exact", "bounded"):
+        batches = [[msg(1, T12, day=0)],
+                   [msg(2, T12 + timedelta(seconds=30), product="p2", day=1)],
+                   [msg(3, T12 - timedelta(minutes=40), product="p3", day=2)]]
+        cur = A.current_alerts(run(spark, workdir, batches, params, mode, name=f"past_{mode}"))
+        assert cur.filter(F.col("product_id") == "p3").count() == 0
+        assert cur.filter(F.col("product_id") == "p1").count() == 10

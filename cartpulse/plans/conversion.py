@@ -152,10 +152,10 @@ def conversion_report(counts: DataFrame, min_views: int = MIN_PRODUCT_VIEWS,
     """F16: overall, per-category, top-k and bottom-k rows as one tagged table.
 
     The four sections read the same funnel counts; each section's filters
-    would otherwise be pushed into its own copy of the aggregate, and the
-    events re-scanned per section. The counts (days x products rows) are
-    checkpointed once to the shared checkpoint folder, which also cuts the
-    lineage back to the events scan.
+    would otherwise be pushed into its own copy of the plan, re-scanning the
+    events (or re-running the dimension lookup) per section. The counts (days x
+    products rows, category attached) are checkpointed once to the shared
+    checkpoint folder, which also cuts the lineage.
     """
     from cartpulse.session import checkpoint_root
     checkpoint_root(counts.sparkSession)  # the shared folder (a private one only if unset)

@@ -22,9 +22,10 @@ def segmentation_rows(events: DataFrame) -> DataFrame:
     return seg.user_segments(events).withColumnRenamed("event_date", "analysis_date")
 
 
-def top_product_rows(events: DataFrame, categories: DataFrame | None = None) -> DataFrame:
-    """Rows of ``top_products_daily``."""
-    top = prod.top_products(prod.product_view_stats(events, categories))
+def top_product_rows(events: DataFrame, categories: DataFrame | None = None,
+                     approx_rsd: float | None = None) -> DataFrame:
+    """Rows of ``top_products_daily`` (``approx_rsd``: estimated viewers)."""
+    top = prod.top_products(prod.product_view_stats(events, categories, approx_rsd=approx_rsd))
     return top.withColumnRenamed("event_date", "analysis_date")
 
 
@@ -36,12 +37,13 @@ def conversion_rows(events: DataFrame, categories: DataFrame | None = None) -> D
             .withColumnRenamed("product_category", "category"))
 
 
-def run_daily_jobs(events: DataFrame, root: str, categories: DataFrame | None = None) -> None:
+def run_daily_jobs(events: DataFrame, root: str, categories: DataFrame | None = None,
+                   approx_rsd: float | None = None) -> None:
     """Compute and write the three daily tables under ``root``."""
     write_daily(segmentation_rows(events), table_path(root, "user_segmentation_daily"),
                 SEGMENTATION_SCHEMA)
-    write_daily(top_product_rows(events, categories), table_path(root, "top_products_daily"),
-                TOP_PRODUCTS_SCHEMA)
+    write_daily(top_product_rows(events, categories, approx_rsd),
+                table_path(root, "top_products_daily"), TOP_PRODUCTS_SCHEMA)
     write_daily(conversion_rows(events, categories), table_path(root, "conversion_rate_daily"),
                 CONVERSION_SCHEMA)
 
@@ -68,6 +70,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--last", help="last day (yyyy-MM-dd); default: --first")
     ap.add_argument("--categories", help="product dimension (product_id, product_category), "
                                          "when the events carry no category")
+    ap.add_argument("--approx-viewers", type=float, metavar="RSD",
+                    help="estimate unique viewers (HyperLogLog++, relative error RSD)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cartpulse-daily").getOrCreate()
     apply_runtime_conf(spark)
@@ -77,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
     categories = spark.read.parquet(a.categories) if a.categories else None
     if categories is None and "product_category" not in events.columns:
         ap.error("the events have no product_category: pass --categories")
-    run_daily_jobs(events, a.tables, categories)
+    run_daily_jobs(events, a.tables, categories, a.approx_viewers)
 
 
 if __name__ == "__main__":

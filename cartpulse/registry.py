@@ -135,18 +135,18 @@ def q_product_conversion(spark, sf_dir):
     return conv.product_conversion(counts)
 
 
-@register("top5_conversion", with_clicks(
+@register("top_conversion_products", with_clicks(
     "SELECT * FROM prod_conv ORDER BY conversion_rate DESC, product_id, product_category LIMIT 5",
     PROD_CONV_SQL))
-def q_top5_conversion(spark, sf_dir):
+def q_top_conversion_products(spark, sf_dir):
     counts = conv.funnel_counts(_facts(spark, sf_dir), _dims(spark, sf_dir), by_day=False)
     return conv.top_conversion(conv.product_conversion(counts))
 
 
-@register("bottom5_conversion", with_clicks(
+@register("bottom_conversion_products", with_clicks(
     "SELECT * FROM prod_conv WHERE conversion_rate < 100 "
     "ORDER BY conversion_rate, product_id, product_category LIMIT 5", PROD_CONV_SQL))
-def q_bottom5_conversion(spark, sf_dir):
+def q_bottom_conversion_products(spark, sf_dir):
     counts = conv.funnel_counts(_facts(spark, sf_dir), _dims(spark, sf_dir), by_day=False)
     return conv.bottom_conversion(conv.product_conversion(counts))
 
@@ -318,11 +318,11 @@ def q_top_products_overall(spark, sf_dir):
     return prod.top_products(_stats(spark, sf_dir, by_day=False), by_day=False)
 
 
-@register("top10_product_views", with_clicks(
+@register("top_viewed_products", with_clicks(
     """SELECT event_date, product_id, CAST(count(*) AS BIGINT) AS view_events FROM clicks
        WHERE event_type = 'view' AND product_id IS NOT NULL GROUP BY event_date, product_id
        QUALIFY row_number() OVER (PARTITION BY event_date ORDER BY count(*) DESC, product_id) <= 10"""))
-def q_top10_product_views(spark, sf_dir):
+def q_top_viewed_products(spark, sf_dir):
     return prod.top_viewed(_facts(spark, sf_dir))
 
 

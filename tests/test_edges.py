@@ -162,7 +162,7 @@ def test_best_worst_follow_sort_order(spark):
 
 # --- top-k ---------------------------------------------------------------------------
 
-def test_top5_ties_and_short_result(spark):
+def test_top_five_ties_and_short_result(spark):
     rows = []
     for p, n in [("p1", 5), ("p2", 4), ("p3", 4), ("p4", 3), ("p5", 2), ("p6", 2), ("p7", 1)]:
         rows += [ev(f"{p}-{i}", product=p, user=f"u{i}") for i in range(n)]

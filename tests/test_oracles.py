@@ -48,8 +48,8 @@ def test_oracle_small(spark, duck_small, key):
     _check(spark, duck_small, key, SMALL)
 
 
-@pytest.mark.parametrize("key", ["category_conversion", "product_conversion", "top5_conversion",
-                                 "bottom5_conversion", "flash_sale_alerts", "top_products_daily",
+@pytest.mark.parametrize("key", ["category_conversion", "product_conversion", "top_conversion_products",
+                                 "bottom_conversion_products", "flash_sale_alerts", "top_products_daily",
                                  "dedup_events", "segmentation_summary"])
 def test_oracle_medium(spark, duck_medium, key):
     _check(spark, duck_medium, key, MEDIUM)

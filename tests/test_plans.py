@@ -54,7 +54,7 @@ def test_top_k_per_day_limits_before_shuffle(spark):
 
 
 def test_global_top_k_is_take_ordered(spark):
-    p = plan(QUERIES["top5_conversion"](spark, SMALL))
+    p = plan(QUERIES["top_conversion_products"](spark, SMALL))
     assert "TakeOrderedAndProject" in p
 
 

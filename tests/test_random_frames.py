@@ -61,8 +61,8 @@ def spark_side(df):
         "category_conversion_daily": conv.category_conversion(counts_day, by_day=True),
         "category_conversion": conv.category_conversion(counts_all, by_day=False),
         "product_conversion": conv.product_conversion(counts_all),
-        "top5_conversion": conv.top_conversion(conv.product_conversion(counts_all)),
-        "bottom5_conversion": conv.bottom_conversion(conv.product_conversion(counts_all)),
+        "top_conversion_products": conv.top_conversion(conv.product_conversion(counts_all)),
+        "bottom_conversion_products": conv.bottom_conversion(conv.product_conversion(counts_all)),
         "conversion_summary": conv.conversion_summary(counts_all),
         "event_type_distribution": conv.event_type_distribution(df),
         "category_distribution": conv.category_distribution(counts_day),
@@ -76,7 +76,7 @@ def spark_side(df):
             prod.top_products(prod.product_view_stats(df))),
         "top_products_report": prod.top_products_report(
             prod.top_products(prod.product_view_stats(df))),
-        "top10_product_views": prod.top_viewed(df),
+        "top_viewed_products": prod.top_viewed(df),
         "segment_distribution": seg.segment_distribution(seg.user_segments(df)),
         "segmentation_report": seg.segmentation_report(seg.user_segments(df)),
         "conversion_report": conv.conversion_report(counts_all),

@@ -236,3 +236,16 @@ def test_approx_unique_viewers_opt_in(spark):
     assert abs(approx.unique_viewers - 300) <= 300 * 0.06
     assert (approx.total_views, approx.avg_price, approx.category) == \
         (exact.total_views, exact.avg_price, exact.category)
+
+
+def test_insights_highest_price_tie_goes_to_better_rank(spark):
+    rows = [ev(f"a{i}", product="pA", user=f"u{i}", price=20.0) for i in range(3)]
+    rows += [ev(f"b{i}", product="pB", user=f"u{i}", price=20.0) for i in range(2)]
+    rows += [ev(f"c{i}", product="pC", user=f"u{i}", price=30.0) for i in range(1)]
+    rows += [ev(f"d{i}", product="pD", user=f"u{i}", price=30.0) for i in range(2)]
+    top = prod.top_products(prod.product_view_stats(clicks(spark, rows)), by_day=False)
+    ins = prod.top_products_insights(top, by_day=False).collect()[0]
+    # ranks: pA 1 (3 views), pB 2, pD 3 (2 views, ties broken by id), pC 4
+    assert (ins.most_popular_product, ins.most_popular_views) == ("pA", 3)
+    assert (ins.highest_value_product, ins.highest_avg_price) == ("pD", 30.0)
+    assert (ins.top_total_views, ins.top_total_viewers) == (8, 8)

@@ -80,3 +80,31 @@ def test_history_sql_runs_unchanged_on_registered_views(spark, workdir):
         "GROUP BY analysis_date, segment ORDER BY analysis_date DESC, segment LIMIT 10")
     ours = segment_history(read_result_table(spark, workdir, "user_segmentation_daily"))
     assert sql.collect() == ours.collect()
+
+
+def test_jdbc_sink_writes_conformed_alert_rows(spark, monkeypatch):
+    """No database is started: the JDBC writer call is intercepted."""
+    from datetime import datetime
+
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from cartpulse.sinks.tables import jdbc_sink
+    calls = []
+
+    def fake_jdbc(self, url, table, mode=None, properties=None):
+        calls.append((self._df, url, table, mode, properties))
+    monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
+    rows = spark.createDataFrame(
+        [("p1", datetime(2024, 1, 1), datetime(2024, 1, 2), 5, 1, 20.0, datetime(2024, 1, 3),
+          True, 7)],
+        "product_id string, window_start timestamp, window_end timestamp, total_views int, "
+        "total_purchases int, conversion_rate double, alert_timestamp timestamp, "
+        "alert_triggered boolean, batch_id long")
+    jdbc_sink("jdbc:example://host/db", "flash_sale_alerts", {"user": "u"})(rows, 7)
+    (df, url, table, mode, props), = calls
+    assert (url, table, mode, props) == ("jdbc:example://host/db", "flash_sale_alerts",
+                                         "append", {"user": "u"})
+    assert df.columns == ["product_id", "window_start", "window_end", "total_views",
+                          "total_purchases", "conversion_rate", "alert_timestamp",
+                          "alert_triggered", "batch_id"]
+    assert dict(df.dtypes)["total_views"] == "bigint" and df.first().batch_id == 7

@@ -36,11 +36,12 @@ def half_up_mean(total_col: str, n_col: str, digits: int = 2) -> Column:
     """Exact half-up rounding of total / n for non-negative integer columns.
 
     Matches a decimal ``ROUND(AVG(x), 2)``; integer arithmetic, so no binary
-    floating point intermediate can tip a tie.
+    floating point intermediate can tip a tie. NULL when n = 0.
     """
     scale = 10 ** digits
     return F.expr(
-        f"cast(({total_col} * {2 * scale} + {n_col}) div (2 * {n_col}) as double) / {scale}")
+        f"CASE WHEN {n_col} > 0 THEN "
+        f"cast(({total_col} * {2 * scale} + {n_col}) div (2 * {n_col}) as double) / {scale} END")
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

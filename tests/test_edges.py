@@ -249,3 +249,32 @@ def test_insights_highest_price_tie_goes_to_better_rank(spark):
     assert (ins.most_popular_product, ins.most_popular_views) == ("pA", 3)
     assert (ins.highest_value_product, ins.highest_avg_price) == ("pD", 30.0)
     assert (ins.top_total_views, ins.top_total_viewers) == (8, 8)
+
+
+def test_exact_rounding_helpers_match_fraction_arithmetic(spark):
+    """mean_cents_half_even and half_up_mean against exact rational rounding."""
+    import random
+    from fractions import Fraction
+
+    from cartpulse.functions.rules import half_up_mean, mean_cents_half_even
+    rng = random.Random(11)
+    cases = [(rng.randint(-10**9, 10**9), rng.randint(1, 10**4)) for _ in range(2000)]
+    cases += [(1001, 2), (1003, 2), (-1001, 2), (-1003, 2), (5, 2), (7, 2), (0, 3), (10, 0)]
+    df = spark.createDataFrame(cases, "total long, n long")
+    got = df.select("total", "n", mean_cents_half_even("total", "n").alias("even"),
+                    half_up_mean("total", "n").alias("up")).collect()
+
+    def even(t, n):  # round half to even, in cents, then to units
+        q = Fraction(t, n)
+        f = q.numerator // q.denominator
+        r = q - f
+        up = r > Fraction(1, 2) or (r == Fraction(1, 2) and f % 2 == 1)
+        return (f + up) / 100
+
+    for r in got:
+        if r.n == 0:
+            assert r.even is None
+            continue
+        assert r.even == even(r.total, r.n), (r.total, r.n)
+        if r.total >= 0:  # half_up_mean serves non-negative sums (event counts)
+            assert r.up == float(Fraction(int(Fraction(r.total * 100, r.n) + Fraction(1, 2)), 100))

@@ -198,3 +198,30 @@ def test_row_later_than_every_open_window_is_dropped(spark, workdir):
         cur = A.current_alerts(run(spark, workdir, batches, params, mode, name=f"past_{mode}"))
         assert cur.filter(F.col("product_id") == "p3").count() == 0
         assert cur.filter(F.col("product_id") == "p1").count() == 10
+
+
+def test_kafka_source_options_are_wired(spark, monkeypatch):
+    """No broker and no connector: the stream reader calls are intercepted."""
+    from pyspark.sql.streaming.readwriter import DataStreamReader
+    seen = {}
+
+    def fmt(self, source):
+        seen["format"] = source
+        return self
+
+    def opt(self, key, value):
+        seen[key] = value
+        return self
+
+    def opts(self, **kw):
+        seen.update(kw)
+        return self
+    monkeypatch.setattr(DataStreamReader, "format", fmt)
+    monkeypatch.setattr(DataStreamReader, "option", opt)
+    monkeypatch.setattr(DataStreamReader, "options", opts)
+    monkeypatch.setattr(DataStreamReader, "load", lambda self, *a, **k: "stream")
+    assert A.read_events(spark, source="kafka", topic="t", bootstrap="h:1",
+                         max_offsets_per_trigger=1000) == "stream"
+    assert seen == {"format": "kafka", "kafka.bootstrap.servers": "h:1", "subscribe": "t",
+                    "startingOffsets": "earliest", "failOnDataLoss": "false",
+                    "maxOffsetsPerTrigger": "1000"}

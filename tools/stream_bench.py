@@ -3,8 +3,11 @@ the alert query with the source's defaults (10 min / 1 min windows, 5 min
 watermark), in ``bounded`` and ``exact`` de-dup modes.
 
 Usage: python tools/stream_bench.py [n_events] [files_per_trigger] [cpus]
-Prints one JSON line per mode: input rows/s, batches, batch duration
-(median / max), state rows of each stateful operator at the end.
+A tenth of the events is sent twice (producer retries), so the de-dup has
+work to do. Prints one JSON line per mode: messages and input rows/s, batches,
+batch duration (median / max), state rows of each stateful operator at the end,
+and the largest view count among current alerts (equal in both modes: the
+retries are dropped).
 """
 
 from __future__ import annotations
@@ -44,6 +47,11 @@ def main() -> None:
         "key", "value", F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
         F.to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.timestamp"))
         .alias("timestamp"))
+    # Producer retries: a tenth of the messages (chosen by a hash of the payload)
+    # are sent again 30 seconds later; de-duplication must drop them.
+    retried = messages.filter(F.pmod(F.xxhash64("value"), F.lit(10)) == 0) \
+        .withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 30 SECONDS"))
+    messages = messages.unionByName(retried)
     t0 = time.perf_counter()
     # one replay folder per hour of event time (per day would give 1 batch)
     files = write_replay(spark, messages, f"{root}/replay", folder_format="yyyy-MM-dd-HH")
@@ -61,8 +69,12 @@ def main() -> None:
         prog = [p for p in q.recentProgress if p.numInputRows > 0]
         durations = [p.durationMs.get("triggerExecution", 0) for p in prog]
         last = q.recentProgress[-1]
+        log = A.read_alert_log(spark, f"{root}/{mode}/log")
+        hot_views = A.current_alerts(log).agg(F.max("total_views")).first()[0]
         print(json.dumps({
-            "mode": mode, "events": n, "files": files, "replay_write_s": round(write_s, 2),
+            "mode": mode, "events": n, "messages": sum(p.numInputRows for p in prog),
+            "max_alert_views": hot_views,
+            "files": files, "replay_write_s": round(write_s, 2),
             "batches": len(prog), "wall_s": round(wall, 2),
             "rows_per_s": round(sum(p.numInputRows for p in prog) / wall, 1),
             "batch_ms_median": statistics.median(durations) if durations else None,

@@ -62,11 +62,6 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], k: int,
     return out if rank_col else out.drop(rn)
 
 
-def first_by_time(value: Column, *order: Column) -> Column:
-    """First non-null ``value`` in event order (pandas ``first`` over time-ordered rows)."""
-    return F.min_by(value, F.when(value.isNotNull(), F.struct(*order)))
-
-
 def cents(price: Column | str) -> Column:
     """Price in integer cents (prices carry two decimals)."""
     price = F.col(price) if isinstance(price, str) else price

@@ -4,7 +4,9 @@ The file stream source takes new files in modification-time order. Messages
 are written one folder per event day by a single distributed write; the
 files then get modification times that increase with the day, so a replay
 delivers days in order and the watermark never overtakes unread data.
-Only file metadata passes through the driver, never rows.
+Only file metadata passes through the driver, never rows. Setting file times
+needs a file system that supports it (HDFS, local disk); object stores keep
+upload times, so replays there should come from the bus instead.
 """
 
 from __future__ import annotations

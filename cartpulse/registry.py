@@ -612,7 +612,8 @@ def result_tables(spark: SparkSession, sf_dir: str) -> str:
     from cartpulse.sinks.tables import table_path, write_snapshot
     key = _session_key(spark, sf_dir)
     if key not in _TABLE_RUNS:
-        root = work_path(spark, "tables", input_key(sf_dir))
+        # one folder per application: parallel sessions never write the same tables
+        root = work_path(spark, "tables", input_key(sf_dir), spark.sparkContext.applicationId)
         run_daily_jobs(_facts(spark, sf_dir), root, _dims(spark, sf_dir))
         write_snapshot(_stream_alerts(spark, sf_dir), table_path(root, "flash_sale_alerts"),
                        ALERT_SCHEMA)

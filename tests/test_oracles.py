@@ -8,7 +8,7 @@ import pytest
 from conftest import MEDIUM, SMALL
 
 import __spark_entry__ as entry
-from tools.compare import TABLES, rows_of
+from tools.compare import TABLES, rows_of, type_family
 
 ORACLES = entry.oracle_sql()
 QUERIES = entry.queries()
@@ -35,8 +35,12 @@ def duck_medium():
 
 
 def _check(spark, con, key, sf_dir):
-    got = QUERIES[key](spark, sf_dir).toPandas()
-    want = con.execute(ORACLES[key]).df()
+    sdf = QUERIES[key](spark, sf_dir)
+    rel = con.sql(ORACLES[key])
+    assert {f.name: type_family(f.dataType.simpleString()) for f in sdf.schema.fields} == \
+        {n: type_family(str(t)) for n, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
+    want = rel.df()
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
     assert len(got) == len(want)

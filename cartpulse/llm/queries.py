@@ -35,3 +35,10 @@ def op8_quality_rules(spark, sf_dir):
     from cartpulse.llm.quality_rules import filter_documents
     return filter_documents(spark, read(spark, sf_dir, "documents"),
                             read(spark, sf_dir, "labels"))
+
+
+@register("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark, sf_dir):
+    """Every document's near-duplicate component: 2-word shingles, 0.8 or more."""
+    from cartpulse.llm.minhash_dedup import near_duplicates
+    return near_duplicates(spark, read(spark, sf_dir, "documents"), shingle=2)

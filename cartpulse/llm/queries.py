@@ -42,3 +42,11 @@ def op3_minhash_near_dedup(spark, sf_dir):
     """Every document's near-duplicate component: 2-word shingles, 0.8 or more."""
     from cartpulse.llm.minhash_dedup import near_duplicates
     return near_duplicates(spark, read(spark, sf_dir, "documents"), shingle=2)
+
+
+@register("op6_best_fit_packing")
+def op6_best_fit_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 4096 tokens."""
+    import public_tokenizers
+    from cartpulse.llm.packing import pack
+    return pack(spark, read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -50,3 +50,10 @@ def op6_best_fit_packing(spark, sf_dir):
     import public_tokenizers
     from cartpulse.llm.packing import pack
     return pack(spark, read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op9_substring_dedup")
+def op9_substring_dedup(spark, sf_dir):
+    """Every span of a document that repeats an earlier place."""
+    from cartpulse.llm.substring_dedup import duplicate_spans
+    return duplicate_spans(spark, read(spark, sf_dir, "documents"))

@@ -57,3 +57,11 @@ def op9_substring_dedup(spark, sf_dir):
     """Every span of a document that repeats an earlier place."""
     from cartpulse.llm.substring_dedup import duplicate_spans
     return duplicate_spans(spark, read(spark, sf_dir, "documents"))
+
+
+@register("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark, sf_dir):
+    """Every document and benchmark item that share a passage."""
+    from cartpulse.llm.decontamination import contaminated
+    return contaminated(spark, read(spark, sf_dir, "documents"),
+                        read(spark, sf_dir, "benchmark")).drop("text_key")

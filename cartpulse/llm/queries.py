@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartpulse.llm.common import read
 
@@ -65,3 +66,15 @@ def op10_benchmark_decontamination(spark, sf_dir):
     from cartpulse.llm.decontamination import contaminated
     return contaminated(spark, read(spark, sf_dir, "documents"),
                         read(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+@register("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    """Every document's predicted language."""
+    from cartpulse.llm.common import fold
+    from cartpulse.llm.language_id import label_spans, train
+    docs = read(spark, sf_dir, "documents")
+    model = train(docs, fold(F.col("doc_id"), 4) != 2)
+    return label_spans(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
+        F.size("spans").alias("n_spans"))

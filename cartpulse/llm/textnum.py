@@ -65,3 +65,32 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     hashes = mix((sums[ends] - sums[starts]) * _powers(INVERSE, len(buf))[starts])
     offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     return hashes, np.searchsorted(starts, offsets)
+
+
+def grams(codes: np.ndarray, orders: tuple[int, ...], buckets: int):
+    """For each order n: (buckets of the n-grams ending at each position, mask).
+
+    ``codes`` has 0 at word boundaries. An n-gram counts if its inner characters
+    are letters; its ends may be the boundaries beside a word.
+    """
+    x = codes.astype(np.uint64)
+    letter = codes != 0
+    for n in orders:
+        h = np.full(len(x), n, np.uint64)
+        ok = letter.copy() if n == 1 else np.ones(len(x), bool)
+        if n == 2:
+            ok[1:] = letter[1:] | letter[:-1]
+        for j in range(n):
+            past = np.zeros(len(x), np.uint64)
+            past[j:] = x[:len(x) - j]
+            h = (h ^ past) * np.uint64(0x100000001B3)
+            if 0 < j < n - 1:
+                ok[j:] &= letter[:len(x) - j]
+        ok[:n - 1] = False
+        yield (mix(h) >> np.uint64(20)).astype(np.int64) % buckets, ok
+
+
+def runs(letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True; the array must end with False."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], letter]).astype(np.int8)))
+    return edge[0::2], edge[1::2]

@@ -11,13 +11,17 @@ document's sketch is its k smallest values.
    common order of values, they share one among their first
    ``size - need + 1`` values. The order is rarest first, so lists of common
    shingles are never opened.
-3. Linking without all pairs of a list: every list's most typical member (the
-   largest share of values that others have too) is paired with the others.
-   Pairs are filtered by set sizes and by the similarity that the union sketch
-   estimates, then verified on the full sets. The verified links make
-   components; only lists that still span several components are opened again,
-   for the pairs across components. A link left out this way joins two
-   documents that are already in one component.
+3. Linking without all pairs of a list: every list's most typical member, its
+   hub, is paired with the others. Pairs are filtered by set sizes and by the
+   similarity that the union sketch estimates, then verified on the full sets;
+   those of 0.6 or more keep what they lack of the hub's set and what they add to
+   it. The verified links make components. Members near a hub but outside its
+   component are compared with all near members by these two differences, from
+   which the similarity follows exactly. Members far from the hub (below 0.6)
+   cannot link to those linked with it, as Jaccard distance obeys the triangle
+   inequality; they are compared with the list's other members inside the join,
+   by sketches, and the pairs that pass are verified on the full sets.
+   Pairs already in one component are left out.
 4. Components by alternating star contraction, written out between steps.
 
 Defined results: null, empty or white-space texts have no shingles, size 0 and
@@ -44,6 +48,10 @@ from cartpulse.llm.common import map_arrow, saved
 K = 64
 NEED_TRUNCATED = 32  # of 64 union values 51 are expected in both at t = 0.8
 THRESHOLD = (80, 100)
+# Pairs with a hub are followed from this similarity on: below it, a member
+# cannot link to one that is linked with the hub (0.4 - 0.2 = 1 - 0.8).
+NEAR = (60, 100)
+NEED_NEAR = 20  # of 64 union values 38 are expected in both at 0.6
 
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -107,77 +115,141 @@ def postings(spark: SparkSession, nodes: DataFrame, k: int, t: tuple[int, int])
     own = Window.partitionBy("node")
     kept = F.least("n", F.lit(k))
     met = (met.withColumn("n_met", F.count("*").over(own))
+           .withColumn("common", F.sum(F.log("df")).over(own))
            .withColumn("rank", F.row_number().over(own.orderBy("df", "value"))))
     first = kept - _need(F.col("n"), k, t) + 1 - (kept - F.col("n_met"))
     return saved(spark, met.where(F.col("rank") <= first).select(
-        "value", "node", "n", (F.col("n_met") / kept).alias("typical")), "minhash-postings")
+        "value", "node", "n", (F.col("common") / kept).alias("typical")), "minhash-postings")
 
 
 def _sizes_fit(a: str, b: str, t: tuple[int, int]) -> Column:
     return (F.least(F.col(a), F.col(b)) * t[1] >= F.greatest(F.col(a), F.col(b)) * t[0])
 
 
-def hub_pairs(lists: DataFrame, t: tuple[int, int]) -> DataFrame:
-    """(a, b): each list's most typical member with its other members."""
+def hub_pairs(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(value, hub) of every list, and distinct (a, b): hubs with their members."""
     hubs = lists.groupBy("value").agg(
         F.count("*").alias("members"),
-        F.max(F.struct("typical", "n", "node")).alias("hub")).where("members > 1")
-    return (lists.join(hubs, "value").where("node <> hub.node")
-            .withColumn("m", F.col("hub.n")).where(_sizes_fit("n", "m", t))
-            .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
-            .distinct())
-
-
-def cross_pairs(lists: DataFrame, members: DataFrame, tested: DataFrame,
-                t: tuple[int, int]) -> DataFrame:
-    """(a, b): untested pairs of a list whose components differ."""
-    lists = (lists.join(members, "node", "left")
-             .withColumn("comp", F.coalesce("comp", "node")))
-    split = (lists.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo < hi").select("value"))
-    lists = lists.join(split, "value")
-    one, two = lists.alias("x"), lists.alias("y")
-    pairs = (one.join(two, (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node"))
-                      & (F.col("x.comp") != F.col("y.comp")) & _sizes_fit("x.n", "y.n", t))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    return pairs.join(tested, ["a", "b"], "left_anti")
-
-
-def estimated(pairs: DataFrame, nodes: DataFrame, k: int, t: tuple[int, int]) -> DataFrame:
-    """Pairs that the union sketch leaves: of its k values enough are in both."""
+        F.max(F.struct("typical", "n", "node")).alias("top")).where("members > 1")
+    hubs = hubs.select("value", F.col("top.node").alias("hub"), F.col("top.n").alias("n_hub"))
+    pairs = (lists.join(hubs, "value").where((F.col("node") != F.col("hub"))
+                                             & _sizes_fit("n", "n_hub", NEAR))
+             .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    return hubs.select("value", "hub"), pairs
+
+
+def _alike(na: Column, nb: Column, sa: Column, sb: Column, k: int, t: tuple[int, int],
+           need: int) -> Column:
+    """Whether the union sketch leaves a pair: enough of its k values are in both.
+    For sets that are whole in it the test is exact."""
+    both = F.array_intersect(sa, sb)
+    union = F.array_union(sa, sb)
+    common = F.size(F.array_intersect(F.slice(F.array_sort(union), 1, k), both))
+    whole = (na <= k) & (nb <= k)
+    return F.when(whole, F.size(both) * t[1] >= F.size(union) * t[0]).otherwise(
+        (F.size(both) >= need) & (common >= need))
+
+
+def estimated(pairs: DataFrame, nodes: DataFrame, k: int, t: tuple[int, int],
+              need: int) -> DataFrame:
     sk = nodes.select("node", "n", "sketch")
     both = (pairs.join(sk.toDF("a", "na", "sa"), "a").join(sk.toDF("b", "nb", "sb"), "b"))
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    both = both.withColumn("u", union).withColumn("c", F.size(F.array_intersect(
-        "u", F.array_intersect("sa", "sb"))))
-    whole = (F.col("na") <= k) & (F.col("nb") <= k) & (F.size(F.array_union("sa", "sb")) <= k)
-    return both.where(F.when(whole, F.col("c") * t[1] >= F.size("u") * t[0])
-                      .otherwise(F.col("c") >= NEED_TRUNCATED * k // K)).select("a", "b")
+    c = F.col
+    return both.where(_alike(c("na"), c("nb"), c("sa"), c("sb"), k, t, need)).select("a", "b")
+
+
+def _compare(n: int, t: tuple[int, int]):
+    """Similarity test of pairs of texts; keeps b's differences from a's set."""
+    def run(batches):
+        for batch in batches:
+            a, b = (shingle_sets(batch.column(c).to_pylist(), n) for c in ("ta", "tb"))
+            rows, common, na, nb, extra, lacks = [], [], [], [], [], []
+            for i, (x, y) in enumerate(zip(a, b)):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both * t[1] >= (len(x) + len(y) - both) * t[0]:
+                    rows.append(i)
+                    common.append(both)
+                    na.append(len(x))
+                    nb.append(len(y))
+                    extra.append(np.setdiff1d(y, x, assume_unique=True).view(np.int64))
+                    lacks.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64))
+            at = pa.array(rows, pa.int64())
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").take(at), batch.column("b").take(at), pa.array(common, pa.int64()),
+                 pa.array(na, pa.int64()), pa.array(nb, pa.int64()),
+                 pa.array(extra, longs), pa.array(lacks, longs)],
+                names=["a", "b", "common", "na", "nb", "extra", "lacks"])
+    return run
 
 
 def verified(spark: SparkSession, pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int,
              t: tuple[int, int]) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
+    """Pairs whose full sets reach ``t``: a, b, common, na, nb, extra, lacks."""
     wanted = pairs.select("a").union(pairs.select("b")).distinct().toDF("node")
     keyed = nodes.join(wanted, "node").select("node", F.col("rep").alias("doc_id"), "text_key")
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     texts = rows.join(keyed, rows.doc_id.eqNullSafe(keyed.doc_id)
                       & (rows.text_key == keyed.text_key)).select("node", "text")
-    texts = saved(spark, texts, "minhash-texts")
-
-    def check(batches):
-        for batch in batches:
-            a, b = (shingle_sets(batch.column(c).to_pylist(), n) for c in ("ta", "tb"))
-            ok = []
-            for x, y in zip(a, b):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both * t[1] >= (len(x) + len(y) - both) * t[0])
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"),
-                                              pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
-
+    # rows that repeat an id and a text would repeat their pairs
+    texts = saved(spark, texts.dropDuplicates(["node"]), "minhash-texts")
     joined = (pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b"))
-    return (map_arrow(joined.select("a", "b", "ta", "tb"), check, "a long, b long, ok boolean")
-            .where("ok").select("a", "b").distinct())
+    return saved(spark, map_arrow(
+        joined.select("a", "b", "ta", "tb"), _compare(n, t),
+        "a long, b long, common long, na long, nb long, extra array<bigint>, lacks array<bigint>"),
+        "minhash-verified")
+
+
+def _reaches(common: Column, na: Column, nb: Column, t: tuple[int, int]) -> Column:
+    return common * t[1] >= (na + nb - common) * t[0]
+
+
+def near_links(near: DataFrame, comps: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """(a, b): links between members near one hub (a) of which one is outside the
+    hub's component; exact, from the members' differences to the hub."""
+    hub = comps.toDF("a", "hub_comp")
+    own = comps.toDF("b", "comp")
+    rows = (near.join(hub, "a", "left").join(own, "b", "left")
+            .withColumn("comp", F.coalesce("comp", "b"))
+            .withColumn("hub_comp", F.coalesce("hub_comp", "a")))
+    outside = rows.where("comp <> hub_comp")
+    # the groups that have members outside
+    rows = rows.join(outside.select("a").distinct(), "a", "left_semi")
+    x, y = outside.alias("x"), rows.alias("y")
+    c = F.col
+    common = (c("x.na") - F.size("x.lacks") - F.size("y.lacks")
+              + F.size(F.array_intersect("x.lacks", "y.lacks"))
+              + F.size(F.array_intersect("x.extra", "y.extra")))
+    sizes = (F.least(c("x.nb"), c("y.nb")) * t[1] >= F.greatest(c("x.nb"), c("y.nb")) * t[0])
+    once = (c("y.comp") == c("y.hub_comp")) | (c("x.b") < c("y.b"))
+    return (x.join(y, (c("x.a") == c("y.a")) & (c("x.comp") != c("y.comp")) & once & sizes
+                   & _reaches(common, c("x.nb"), c("y.nb"), t))
+            .select(c("x.b").alias("a"), c("y.b").alias("b")).distinct())
+
+
+def far_pairs(lists: DataFrame, hubs: DataFrame, near: DataFrame, comps: DataFrame,
+              nodes: DataFrame, k: int, t: tuple[int, int]) -> DataFrame:
+    """(a, b): pairs of a list, one far from its hub and the other not linked with
+    it, of different components and alike by their sketches."""
+    status = near.select(F.col("a").alias("hub"), F.col("b").alias("node"),
+                         _reaches(F.col("common"), F.col("na"), F.col("nb"), t).alias("linked"))
+    rows = (lists.select("value", "node", "n").join(hubs, "value").where("node <> hub")
+            .join(status, ["hub", "node"], "left").where("linked is null or not linked")
+            .withColumn("far", F.col("linked").isNull()).select("value", "node", "n", "far"))
+    rows = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    open_lists = (rows.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                            F.max("far").alias("any_far"))
+                  .where("any_far and lo < hi").select("value"))
+    rows = rows.join(open_lists, "value").join(nodes.select("node", "sketch"), "node")
+    x, y = rows.where("far").alias("x"), rows.alias("y")
+    c = F.col
+    once = ~c("y.far") | (c("x.node") < c("y.node"))
+    return (x.join(y, (c("x.value") == c("y.value")) & (c("x.comp") != c("y.comp")) & once
+                   & _sizes_fit("x.n", "y.n", t)
+                   & _alike(c("x.n"), c("y.n"), c("x.sketch"), c("y.sketch"), k, t,
+                            NEED_TRUNCATED * k // K))
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+            .distinct())
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -225,15 +297,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, k: i
     nodes = saved(spark, nodes, "minhash-nodes")
     lists = postings(spark, nodes, k, threshold)
 
-    hubs = saved(spark, hub_pairs(lists, threshold), "minhash-pairs")
-    links = saved(spark, verified(
-        spark, saved(spark, estimated(hubs, nodes, k, threshold), "minhash-estimated"),
-        nodes, docs, shingle, threshold), "minhash-links")
+    hubs, pairs = hub_pairs(lists)
+    near = verified(spark, saved(spark, estimated(pairs, nodes, k, NEAR, NEED_NEAR * k // K),
+                                 "minhash-pairs"), nodes, docs, shingle, NEAR)
+    links = near.where(_reaches(F.col("common"), F.col("na"), F.col("nb"), threshold)).select("a", "b")
+    comps = components(spark, links)
+    links = saved(spark, links.union(near_links(near, comps, threshold)), "minhash-links")
     comps = components(spark, links)
-    rest = saved(spark, estimated(cross_pairs(lists, comps, hubs, threshold), nodes, k, threshold),
-                 "minhash-estimated")
+    rest = saved(spark, far_pairs(lists, hubs, near, comps, nodes, k, threshold), "minhash-pairs")
     if not rest.isEmpty():
-        more = saved(spark, verified(spark, rest, nodes, docs, shingle, threshold), "minhash-links")
+        more = verified(spark, rest, nodes, docs, shingle, threshold).select("a", "b")
         comps = components(spark, links.union(more))
 
     named = (nodes.select("digest", "node", "low").join(comps, "node", "left")

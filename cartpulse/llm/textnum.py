@@ -50,6 +50,15 @@ def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of ``codes[starts[i]:ends[i]]`` for every i, from running sums."""
+    sums = np.empty(len(codes) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _powers(MULTIPLIER, len(codes)),
+              out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _powers(INVERSE, len(codes))[starts])
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words ``[^\\x20\\x09-\\x0D]+`` of the texts, in order, and
     bounds: words ``bounds[i]:bounds[i + 1]`` are those of text ``i``."""
@@ -59,10 +68,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     np.logical_not(_SPACE[buf], out=inside[1:])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
-    sums = np.empty(len(buf) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * _powers(MULTIPLIER, len(buf)), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _powers(INVERSE, len(buf))[starts])
+    hashes = range_hashes(buf, starts, ends)
     offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     return hashes, np.searchsorted(starts, offsets)
 
@@ -80,7 +86,7 @@ def grams(codes: np.ndarray, orders: tuple[int, ...], buckets: int):
         ok = letter.copy() if n == 1 else np.ones(len(x), bool)
         if n == 2:
             ok[1:] = letter[1:] | letter[:-1]
-        for j in range(n):
+        for j in range(min(n, len(x))):
             past = np.zeros(len(x), np.uint64)
             past[j:] = x[:len(x) - j]
             h = (h ^ past) * np.uint64(0x100000001B3)

@@ -78,3 +78,15 @@ def op2_language_id(spark, sf_dir):
     return label_spans(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
         F.size("spans").alias("n_spans"))
+
+
+@register("op5_toxicity")
+def op5_toxicity(spark, sf_dir):
+    """Every document's toxicity score and decision."""
+    from cartpulse.llm import toxicity
+    from cartpulse.llm.common import fold
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), fold(F.col("doc_id"), 3) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))

@@ -39,8 +39,8 @@ PER_CLASS = 2000
 MAX_CHARS = 6000
 THRESHOLD = 0.7
 EPOCHS = 40
-MIN_TEXTS = 8  # an n-gram in fewer training texts is not trained
-RATE = 1.0
+MIN_TEXTS = 20  # an n-gram in fewer training texts is not trained; less for small samples
+RATE = 2.0
 START = -5.0  # logit of a window before training
 
 
@@ -134,7 +134,8 @@ def fit(corpus: Corpus, toxic: np.ndarray, epochs: int, rate: float = RATE,
     table = Descent(np.zeros((BUCKETS, DIM), np.float32), rate)
     weights = Descent((rng.standard_normal((DIM, 2))).astype(np.float32), 0.02)
     bias = Descent(np.array([-START / 2, START / 2], np.float32), 0.02)
-    common = (corpus.text_counts >= MIN_TEXTS)[:, None]
+    at_least = max(3, min(MIN_TEXTS, len(toxic) // 150))
+    common = (corpus.text_counts >= at_least)[:, None]
     start, end, text = windows(corpus.bounds)
     share = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
     length = (end - start)[:, None]
@@ -202,12 +203,12 @@ class Model:
         return out
 
     def calibrate(self, z: np.ndarray, toxic: np.ndarray) -> None:
-        """Put the score 0.7 where true positives most outweigh false ones, which
-        count three times; halfway between the neighbouring logits."""
+        """Put the score 0.7 where the true positive rate most outweighs the false
+        positive rate, which counts five times; halfway between two logits."""
         order = np.argsort(z, kind="stable")
         z, toxic = z[order], toxic[order]
         gain = np.append(np.cumsum(np.where(toxic, 1 / max(toxic.sum(), 1),
-                                            -3 / max((~toxic).sum(), 1))[::-1])[::-1], 0.0)
+                                            -5 / max((~toxic).sum(), 1))[::-1])[::-1], 0.0)
         best = int(gain.argmax())
         low, high = z[max(best - 1, 0)], z[min(best, len(z) - 1)]
         self.cut = float(low + high) / 2

@@ -25,6 +25,7 @@ like any other row; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -38,48 +39,74 @@ from cartpulse.llm.common import map_arrow, saved
 
 CAPACITY = 4096
 END_TOKEN = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 SPLITS = (256, 512, 1024, 2048)  # lengths above are large
 GROUPS = (16, 32, 64)
 
 _STATE: dict = {}
 
-# The tokenizer's own word pattern (fixed value).
-WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+class Encoder:
+    """Text to the bytes of its ids.
 
-def _encoder(path: str):
-    """Text to the bytes of its ids. Words are encoded once and remembered; a text
-    with characters outside Latin (where libraries may differ in their Unicode
-    tables or the normal form matters) or with special tokens is encoded whole."""
-    if path in _STATE:
-        return _STATE[path]
-    import regex
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(path)
-    plain = regex.compile(r"[\t\n\v\f\r\x20-\x7e\xa0-į]*")
-    word = regex.compile(WORD)
-    known: dict[str, bytes] = {}
-
-    def ids(text: str) -> bytes:
-        return np.array(tok.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-
-    def encode(text: str) -> bytes:
-        if not plain.fullmatch(text) or "<|" in text:
-            return ids(text)
-        found = word.findall(text.lower())
-        new = [w for w in set(found) if w not in known]
+    Ids of a text are those of its words, which white space always separates, so
+    both white-space-delimited runs and the words inside them are encoded once
+    and remembered (up to ``CACHE_WORDS`` each). New words are encoded together,
+    as one spaced text, whose word numbers tell the ids apart. A text with
+    characters outside Latin (where libraries may differ in their Unicode tables
+    or the normal form matters) or with special tokens is encoded whole.
+    """
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.other = re.compile(r"[^\t-\r\x20-\x7e\xa0-\u012f]|<\|")
+        # the pattern's classes, written out for the Latin letters let through
+        letter, digit = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u012f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+        self.word = re.compile(
+            f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^\\s{letter}{digit}]+")
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def learn(self, words: list[str]) -> None:
+        for a in range(0, len(words), 2000):
+            part = words[a:a + 2000]
+            encoding = self.tok.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(encoding.ids, np.uint32).tobytes()
+            cut = np.flatnonzero(np.diff(np.array(encoding.word_ids, np.int64))) + 1
+            ends = [0, *(cut * 4).tolist(), len(ids)]
+            if len(ends) - 1 == len(part):
+                self.words.update(zip(part, (ids[x:y] for x, y in zip(ends, ends[1:]))))
+            else:
+                self.words.update((w, self.whole(w)) for w in part)
+
+    def encode(self, text: str) -> bytes:
+        if self.other.search(text):
+            return self.whole(text)
+        runs = text.lower().split()
+        new = set(runs).difference(self.runs)
         if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(found))
-            for w, e in zip(new, tok.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, np.uint32).tobytes()
-        return b"".join(map(known.__getitem__, found))
-
-    _STATE[path] = encode
-    return encode
+            if len(self.runs) + len(new) > CACHE_WORDS:
+                self.runs.clear()
+                new = set(runs)
+            split = {r: self.word.findall(r) for r in new}
+            found = {w for ws in split.values() for w in ws}
+            if len(self.words) + len(found) > CACHE_WORDS:
+                self.words.clear()
+            self.learn(list(found.difference(self.words)))
+            for r, ws in split.items():
+                self.runs[r] = b"".join(map(self.words.__getitem__, ws))
+        return b"".join(map(self.runs.__getitem__, runs))
+
+
+def _encoder(path: str):
+    if path not in _STATE:
+        _STATE[path] = Encoder(path).encode
+    return _STATE[path]
 
 
 def _pieces(path: str, capacity: int):

@@ -90,3 +90,12 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score(docs, model).select(
         "doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op4_secret_scans")
+def op4_secret_scans(spark, sf_dir):
+    """Every finding that the forest keeps; the secret itself is not repeated."""
+    from cartpulse.llm.secret_scan import scan
+    return scan(spark, read(spark, sf_dir, "documents")).select(
+        "doc_id", "word_index", "kind", F.length("core").alias("length"),
+        F.crc32("core").alias("core_crc32"), "score")

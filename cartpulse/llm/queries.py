@@ -99,3 +99,15 @@ def op4_secret_scans(spark, sf_dir):
     return scan(spark, read(spark, sf_dir, "documents")).select(
         "doc_id", "word_index", "kind", F.length("core").alias("length"),
         F.crc32("core").alias("core_crc32"), "score")
+
+
+@register("op1_token_counts")
+def op1_token_counts(spark, sf_dir):
+    """Every document's token count, and the count after its redactions."""
+    import public_tokenizers
+    from cartpulse.llm.token_counts import build_trees, recount, with_redactions
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    trees = build_trees(read(spark, sf_dir, "documents"), vocabulary)
+    return recount(with_redactions(trees), vocabulary).select(
+        "doc_id", "n_tokens", "n_edits", "n_tokens_after", "encoded_pieces", "updated_nodes",
+        F.size("leaf_tokens").alias("n_leaves"))

@@ -68,10 +68,10 @@ def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
             if hi - lo >= n:
                 out.append(np.unique(rows[lo:hi - n + 1]))
             elif hi > lo:
-                h = np.uint64(0x51ED270B)
-                for w in words[lo:hi]:
-                    h = textnum.mix(np.array([h * np.uint64(3) + w], np.uint64))[0]
-                out.append(np.array([h], np.uint64))
+                h = np.array([0x51ED270B], np.uint64)
+                for i in range(lo, hi):
+                    h = textnum.mix(h * np.uint64(3) + words[i:i + 1])
+                out.append(h)
             else:
                 out.append(np.empty(0, np.uint64))
     return out
@@ -282,7 +282,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, k: int = K,
                     threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document.
+    """(doc_id, text_key, n_shingles, component_id, kept) of every document;
+    ``text_key`` is the hash of its text.
 
     ``threshold`` is the similarity as a fraction (80, 100).
     """
@@ -313,7 +314,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, k: i
              .withColumn("comp", F.coalesce("comp", "node")))
     least = named.groupBy("comp").agg(F.min("low").alias("component_id"))
     named = named.join(least, "comp").select("digest", "component_id")
-    out = sk.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    out = sk.select("doc_id", "text_key", "n_shingles", "digest").join(named, "digest", "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates; rows that
+    repeat an id and a text count as one document."""
+    gone = (near_duplicates(spark, docs, shingle).where("not kept")
+            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
+    gone = saved(spark, gone, "minhash-dropped")
+    out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"])
+                    & F.xxhash64(docs["text"]).eqNullSafe(gone["_key"]), "left_anti")
+    repeats = docs.groupBy("doc_id", F.xxhash64("text").alias("_key")).count().where("count > 1")
+    if repeats.isEmpty():
+        return out
+    return out.withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).drop("_key")

@@ -42,7 +42,7 @@ def op8_quality_rules(spark, sf_dir):
 def op3_minhash_near_dedup(spark, sf_dir):
     """Every document's near-duplicate component: 2-word shingles, 0.8 or more."""
     from cartpulse.llm.minhash_dedup import near_duplicates
-    return near_duplicates(spark, read(spark, sf_dir, "documents"), shingle=2)
+    return near_duplicates(spark, read(spark, sf_dir, "documents"), shingle=2).drop("text_key")
 
 
 @register("op6_best_fit_packing")

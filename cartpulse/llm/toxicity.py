@@ -24,6 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -282,3 +283,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"),
                        F.col("text").cast("string"))
     return map_arrow(rows, _scorer(cast), "doc_id long, text_key long, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without the texts that score ``THRESHOLD`` or more."""
+    cast = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.compute.cast(batch.column("text"), pa.string()).to_pylist()
+            scores = cast.value.scores([t or "" for t in texts])
+            yield batch.filter(pa.array(scores < THRESHOLD, pa.bool_()))
+
+    return map_arrow(docs, run, docs.schema)

@@ -118,9 +118,10 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     per_doc = (sized.withColumn("first", first)
                .groupBy("doc_id", "text_key")
                .agg(F.collect_list(F.struct("item", "diagonal", "first", "n_item")).alias("hits")))
-    keyed = toks.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_key", "_key")
+    keyed = rows.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     around = (keyed.join(per_doc, F.col("_id").eqNullSafe(F.col("doc_id"))
                          & F.col("_key").eqNullSafe(F.col("text_key")))
+              .withColumn("toks", tokens(F.col("text")))
               .select("doc_id", "text_key", F.explode(F.transform("hits", lambda h: F.struct(
                   h["item"].alias("item"), h["diagonal"].alias("diagonal"), h["first"].alias("first"),
                   F.slice("toks", h["diagonal"] + h["first"] + 1, h["n_item"] - h["first"]).alias("part")

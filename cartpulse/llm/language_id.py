@@ -120,7 +120,9 @@ class Model:
         self.allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1)
 
     def scores(self, words: Words) -> np.ndarray:
-        """(words, languages): summed scores; -inf where the script excludes one."""
+        """(words, languages): summed scores; far below 0 where the script excludes one."""
+        if not len(words.starts) or not self.langs:
+            return np.zeros((len(words.starts), len(self.langs)), np.float32)
         per = np.zeros((len(words.codes), len(self.langs)), np.float32)
         for bucket, ok in words.grams():
             per[ok] += self.table[bucket[ok]]
@@ -188,7 +190,8 @@ def _labeller(model_cast):
                     ends.append(words.ends - shift)
                 bounds = np.array(bounds)
                 starts, ends, known = (np.concatenate(x) for x in (starts, ends, known))
-                path = viterbi(np.concatenate(scores), bounds)
+                path = (viterbi(np.concatenate(scores), bounds) if model.langs
+                        else np.zeros(len(starts), np.uint8))
                 letters = ends - starts
                 pred, score, spans = [], [], []
                 for lo, hi in zip(bounds[:-1], bounds[1:]):

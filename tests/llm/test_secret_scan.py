@@ -1,0 +1,64 @@
+import random
+
+from pyspark.sql import functions as F
+
+from cartpulse.llm import secret_scan as S
+
+
+def docs(spark, n=120):
+    rng = random.Random(4)
+    vocab = ["river", "stone", "cloud", "window", "garden", "simple"]
+    rows, secrets = [], {}
+    for i in range(n):
+        w = [rng.choice(vocab) for _ in range(20)]
+        if i % 3 == 0:
+            secret = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+            w[5:5] = ["token", "=", f'"{secret}"']
+            secrets[i] = secret
+        elif i % 3 == 1:
+            w.insert(7, "".join(rng.choice("0123456789") for _ in range(16)))
+        if i % 12 == 0:
+            w.append("password=" + "".join(rng.choice("0123456789abcdef") for _ in range(18)))
+        rows.append((i, " ".join(w), "src%d" % (i % 5), len(" ".join(w)), "clash"))
+    rows += [(900, None, None, None, None), (901, "", "s", 0, ""), (None, rows[0][1], None, 1, ""),
+             (0, rows[0][1], "src0", 2, "")]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, core string"), secrets
+
+
+def test_findings(spark):
+    df, secrets = docs(spark)
+    rows = S.scan(spark, df).collect()
+    hexes = {r.doc_id: r.core for r in rows if r.kind == "hex_token" and r.doc_id is not None}
+    assert hexes == secrets
+    assert not [r for r in rows if r.core.isdigit()]
+    assert len([r for r in rows if r.kind == "password"]) >= 10
+    assert [r.core for r in rows if r.doc_id is None and r.kind == "hex_token"] == [secrets[0]]
+
+
+def test_redaction(spark):
+    df, secrets = docs(spark)
+    out = S.redact(spark, df)
+    assert out.columns == df.columns and out.count() == df.count()
+    rows = {r.doc_id: r for r in out.collect() if r.doc_id is not None}
+    for i, s in secrets.items():
+        assert s not in rows[i].text and S.MASK in rows[i].text and rows[i].n_chars == len(rows[i].text)
+    before = {r.doc_id: r for r in df.collect()}
+    assert all(rows[i].text == before[i].text and rows[i].n_chars == before[i].n_chars
+               for i in range(120) if i % 3)
+    assert rows[900].text is None
+
+
+def test_given_labels_decide(spark):
+    df, _ = docs(spark)
+    found = S.candidates(df).withColumn("id", F.monotonically_increasing_id())
+    feats = S.features(found, S.dictionary(df))
+    labelled = feats.withColumn("label", F.col("core").rlike("^[0-9]+$").cast("int"))
+    rows = S.scan(spark, df, labelled).collect()
+    assert rows and all(r.core.isdigit() for r in rows)
+
+
+def test_empty(spark):
+    df, _ = docs(spark)
+    assert S.scan(spark, df.where("false")).count() == 0
+    plain = df.where("doc_id % 3 = 2")
+    assert S.scan(spark, plain).count() == 0 and S.redact(spark, plain).count() == plain.count()

@@ -230,7 +230,8 @@ def near_links(near: DataFrame, comps: DataFrame, t: tuple[int, int]) -> DataFra
 def far_pairs(lists: DataFrame, hubs: DataFrame, near: DataFrame, comps: DataFrame,
               nodes: DataFrame, k: int, t: tuple[int, int]) -> DataFrame:
     """(a, b): pairs of a list, one far from its hub and the other not linked with
-    it, of different components and alike by their sketches."""
+    it, of different components and alike by their sketches. What one list says of
+    a pair is enough, so each pair is looked at in the first list both are in."""
     status = near.select(F.col("a").alias("hub"), F.col("b").alias("node"),
                          _reaches(F.col("common"), F.col("na"), F.col("nb"), t).alias("linked"))
     rows = (lists.select("value", "node", "n").join(hubs, "value").where("node <> hub")
@@ -240,10 +241,13 @@ def far_pairs(lists: DataFrame, hubs: DataFrame, near: DataFrame, comps: DataFra
     open_lists = (rows.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                             F.max("far").alias("any_far"))
                   .where("any_far and lo < hi").select("value"))
-    rows = rows.join(open_lists, "value").join(nodes.select("node", "sketch"), "node")
+    all_lists = lists.groupBy("node").agg(F.collect_list("value").alias("in_lists"))
+    rows = (rows.join(open_lists, "value").join(nodes.select("node", "sketch"), "node")
+            .join(all_lists, "node"))
     x, y = rows.where("far").alias("x"), rows.alias("y")
     c = F.col
-    once = ~c("y.far") | (c("x.node") < c("y.node"))
+    first = F.array_min(F.array_intersect("x.in_lists", "y.in_lists")) == c("x.value")
+    once = (~c("y.far") | (c("x.node") < c("y.node"))) & first
     return (x.join(y, (c("x.value") == c("y.value")) & (c("x.comp") != c("y.comp")) & once
                    & _sizes_fit("x.n", "y.n", t)
                    & _alike(c("x.n"), c("y.n"), c("x.sketch"), c("y.sketch"), k, t,

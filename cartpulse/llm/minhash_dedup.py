@@ -256,16 +256,20 @@ def far_pairs(lists: DataFrame, hubs: DataFrame, near: DataFrame, comps: DataFra
             .distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, which has none itself."""
+    ends = (edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionAll(edges.select("b", F.lit(0), F.lit(1))))
+    return (ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            .where("up > 1 or up = 1 and down = 1").isEmpty())
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node of each connected component, for all
     nodes of ``edges`` (a, b). Alternates large and small star contraction."""
-    def state(df):
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
     edges = saved(spark, edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .where("a <> b").distinct(), "minhash-stars")
-    before = state(edges)
-    while before[0]:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.join(low, "a").where("b > a and b <> m")
@@ -276,10 +280,6 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         small = (small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).distinct())
         edges = saved(spark, small, "minhash-stars")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
     return (edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
             .union(edges.select("b", "b")).distinct())
 

@@ -62,26 +62,34 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], k: int,
     return out if rank_col else out.drop(rn)
 
 
-def cents(price: Column | str) -> Column:
-    """Price in integer cents (prices carry two decimals)."""
+# Prices are summed as integers of this many decimal digits, so that a sum does
+# not depend on the order of its rows.
+PRICE_DIGITS = 10
+
+
+def price_units(price: Column | str) -> Column:
+    """Price in integer units of 10 ** -PRICE_DIGITS, from the double's shortest
+    decimal form."""
     price = F.col(price) if isinstance(price, str) else price
-    return F.round(price * F.lit(100)).cast("long")
+    scaled = price.cast(f"decimal(28,{PRICE_DIGITS})") * F.lit(10 ** PRICE_DIGITS)
+    return scaled.cast("decimal(28,0)")
 
 
-def mean_cents_half_even(total_cents: str, n: str) -> Column:
-    """round_half_even(total_cents / n) / 100, exact; NULL when n = 0.
+def mean_half_even(total_units: str, n: str, digits: int = 2) -> Column:
+    """round_half_even(total / n, digits) from a sum of ``price_units``; exact,
+    rounded once; NULL when n = 0.
 
-    The mean price to two decimals without the order-dependent error of a
-    parallel floating point sum, which can tip an exact tie such as 5.005.
-    Floor division in integers: rem = pmod(total, n) in [0, n),
-    quot = (total - rem) div n; round up when 2 rem > n, or = n and quot is odd.
+    Floor division in integers: rem = pmod(total, step) in [0, step) with
+    step = n * 10 ** (PRICE_DIGITS - digits); round up when 2 rem > step, or
+    = step and the quotient is odd.
     """
+    step = f"(cast({n} as decimal(20,0)) * {10 ** (PRICE_DIGITS - digits)})"
+    rem = f"pmod({total_units}, {step})"
+    quot = f"cast(({total_units} - {rem}) / {step} as decimal(20,0))"
     return F.expr(f"""
         CASE WHEN {n} > 0 THEN
-          cast((({total_cents}) - pmod({total_cents}, {n})) div ({n})
-               + CASE WHEN 2 * pmod({total_cents}, {n}) > {n}
-                        OR (2 * pmod({total_cents}, {n}) = {n}
-                            AND pmod((({total_cents}) - pmod({total_cents}, {n})) div ({n}), 2) = 1)
-                      THEN 1 ELSE 0 END
-               AS double) / 100
+          cast({quot} + CASE WHEN 2 * {rem} > {step}
+                               OR (2 * {rem} = {step} AND pmod({quot}, 2) = 1)
+                             THEN 1 ELSE 0 END
+               AS double) / {10 ** digits}
         END""")

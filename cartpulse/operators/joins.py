@@ -1,89 +1,18 @@
 """Attaching dimension attributes to facts.
 
-Two situations, two plans:
-
-* **After an aggregate** (funnel counts, product stats): the fact side is
-  already reduced to days x products, so a plain join is cheap; the
-  optimizer picks broadcast or shuffle from sizes.
-* **Per raw event** (``attach_dimension``): the fact side is the big one
-  and must not be shuffled. The product table grows with the data as well
-  (TPC-H ``part``), so it cannot simply be broadcast. The dimension is first
-  reduced to the keys the facts use (left-semi join against the distinct fact
-  keys), the reduced size is *measured*, and only a dimension under
-  ``broadcast_rows`` rows is broadcast. Beyond it the join stays a shuffle
-  join, where AQE splits the hot-key partitions. A runtime (AQE) broadcast
-  would not help here: by the time AQE sees the small side, the big side's
-  shuffle has already been written.
+Plain equi-joins: the optimizer picks broadcast or shuffle from the sizes it
+knows, AQE re-plans from the sizes it meets and splits hot keys. The product
+table grows with the data (TPC-H ``part``), so no side carries a broadcast
+hint, and no job runs while a plan is built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of a reduced dimension that may be broadcast (a few tens of MB for
-# a key and a short attribute).
-DIM_BROADCAST_ROWS = 2_000_000
-
-
-def used_dimension(facts: DataFrame, dim: DataFrame, key: str,
-                   broadcast_rows: int = DIM_BROADCAST_ROWS,
-                   materialize_keys: bool = True) -> DataFrame:
-    """Dimension rows whose key occurs in ``facts`` (semi-join reduction).
-
-    The distinct fact keys are measured and broadcast when under the bound,
-    so the dimension is only scanned, never shuffled, to find its used rows.
-    The key set is checkpointed (one pass over the facts) so that measuring
-    it and using it do not each re-read the facts; ``materialize_keys=False``
-    when the facts are already materialized.
-    """
-    keys = facts.select(key).where(F.col(key).isNotNull()).distinct()
-    if materialize_keys:
-        from cartpulse.session import checkpoint_root
-        checkpoint_root(keys.sparkSession)
-        keys = keys.checkpoint(eager=True)
-    return dim.join(bounded_broadcast(keys, broadcast_rows), key, "left_semi")
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if its measured row count is at most
-    ``max_rows``; otherwise unchanged (the join stays a shuffle join)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def attach_dimension(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                     broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """``facts`` joined with ``dim`` on ``key``, broadcasting the used part of
-    the dimension only when its measured row count is at most ``broadcast_rows``.
-
-    Costs one small job (distinct keys of the facts, semi-joined with the
-    dimension) before the join is planned.
-    """
-    used = used_dimension(facts, dim, key, broadcast_rows)
-    return facts.join(bounded_broadcast(used, broadcast_rows), key, how)
-
-
-def attach_after_aggregate(agg: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                           broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Attach dimension attributes to an aggregate of the facts.
-
-    The aggregate is checkpointed to the shared folder first (it is small:
-    days x products), so measuring its keys does not re-read the facts; its
-    keys are then broadcast into a semi-join that only scans the dimension.
-    Neither the facts nor the dimension is shuffled for the join.
-    """
-    from cartpulse.session import checkpoint_root
-    checkpoint_root(agg.sparkSession)
-    agg = agg.checkpoint(eager=True)
-    # Both sides of this join are small (days x products, and the dimension
-    # rows those products use): AQE sizes it at runtime, no measuring job.
-    used = used_dimension(agg, dim, key, broadcast_rows, materialize_keys=False)
-    return agg.join(used, key, how)
 
 
-def attach_static_dimension(stream: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                            broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Stream-static join. The static side is re-joined in every micro-batch,
-    so it is broadcast when its measured size allows (no per-batch shuffle of
-    the dimension); otherwise each batch is a shuffle join."""
-    return stream.join(bounded_broadcast(dim, broadcast_rows), key, how)
+def attach_dimension(facts: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``facts`` joined with ``dim`` on ``key``; per raw event, per aggregate row
+    (after a group-by the fact side is days x products rows), or per
+    micro-batch of a stream against a static ``dim``."""
+    return facts.join(dim, key, how)

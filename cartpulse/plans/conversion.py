@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpulse.functions.rules import count_where, ratio_pct, top_k, top_k_per_group
-from cartpulse.operators.joins import attach_after_aggregate
+from cartpulse.operators.joins import attach_dimension
 from cartpulse.schema import ADD_TO_CART, CONVERSION_K, MIN_PRODUCT_VIEWS, PURCHASE, VIEW
 
 COUNT_COLS = ["total_views", "total_cart", "total_purchases", "total_events", "all_events"]
@@ -48,7 +48,7 @@ def funnel_counts(events: DataFrame, categories: DataFrame | None = None,
     per_product = events.groupBy(*keys, "product_id").agg(*aggs)
     # Attached after the aggregate (days x products rows): checkpointed, its
     # keys select the used dimension rows, nothing is shuffled for the join.
-    return attach_after_aggregate(per_product, categories, "product_id")
+    return attach_dimension(per_product, categories, "product_id")
 
 
 def _rates(df: DataFrame) -> DataFrame:
@@ -151,15 +151,11 @@ def conversion_report(counts: DataFrame, min_views: int = MIN_PRODUCT_VIEWS,
                       k: int = CONVERSION_K) -> DataFrame:
     """F16: overall, per-category, top-k and bottom-k rows as one tagged table.
 
-    The four sections read the same funnel counts; each section's filters
-    would otherwise be pushed into its own copy of the plan, re-scanning the
-    events (or re-running the dimension lookup) per section. The counts (days x
-    products rows, category attached) are checkpointed once to the shared
-    checkpoint folder, which also cuts the lineage.
+    The four sections read the same funnel counts (days x products rows,
+    category attached). The counts are marked to be kept when first computed, so
+    the events are scanned once; a lost part is computed again.
     """
-    from cartpulse.session import checkpoint_root
-    checkpoint_root(counts.sparkSession)  # the shared folder (a private one only if unset)
-    counts = counts.checkpoint(eager=True)
+    counts = counts.persist()
     cats = category_conversion(counts, by_day=False)
     prods = product_conversion(counts, min_views=min_views)
     summary = conversion_summary(counts)

@@ -38,20 +38,17 @@ def conversion_rows(events: DataFrame, categories: DataFrame | None = None) -> D
 
 
 def run_daily_jobs(events: DataFrame, root: str, categories: DataFrame | None = None,
-                   approx_rsd: float | None = None) -> None:
-    """Compute and write the three daily tables under ``root``."""
-    write_daily(segmentation_rows(events), table_path(root, "user_segmentation_daily"),
-                SEGMENTATION_SCHEMA)
-    write_daily(top_product_rows(events, categories, approx_rsd),
-                table_path(root, "top_products_daily"), TOP_PRODUCTS_SCHEMA)
-    write_daily(conversion_rows(events, categories), table_path(root, "conversion_rate_daily"),
-                CONVERSION_SCHEMA)
+                   approx_rsd: float | None = None, first: str | None = None,
+                   last: str | None = None) -> None:
+    """Compute and write the three daily tables under ``root``. With a day range,
+    a day of it that has no rows any more loses its old answer, too."""
+    def write(df, name, schema):
+        write_daily(df, table_path(root, name), schema, first, last)
 
-
-def day_range(events: DataFrame, first: str, last: str) -> DataFrame:
-    """Events of the days first..last (inclusive), for a backfill run."""
-    d = F.col("event_date")
-    return events.filter((d >= F.to_date(F.lit(first))) & (d <= F.to_date(F.lit(last))))
+    write(segmentation_rows(events), "user_segmentation_daily", SEGMENTATION_SCHEMA)
+    write(top_product_rows(events, categories, approx_rsd), "top_products_daily",
+          TOP_PRODUCTS_SCHEMA)
+    write(conversion_rows(events, categories), "conversion_rate_daily", CONVERSION_SCHEMA)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -60,9 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     from the cleaned-event table (partitioned by event_date, so the range prunes)."""
     import argparse
 
-    from pyspark.sql import SparkSession
-
-    from cartpulse.session import apply_runtime_conf
+    from cartpulse.session import job_session
+    from cartpulse.sinks.tables import read_clean_events
     ap = argparse.ArgumentParser(description="Daily segmentation, top products, conversion")
     ap.add_argument("--events", required=True, help="cleaned-event table (parquet)")
     ap.add_argument("--tables", required=True, help="result-table root folder")
@@ -73,15 +69,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--approx-viewers", type=float, metavar="RSD",
                     help="estimate unique viewers (HyperLogLog++, relative error RSD)")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("cartpulse-daily").getOrCreate()
-    apply_runtime_conf(spark)
-    events = spark.read.parquet(a.events)
-    if a.first:
-        events = day_range(events, a.first, a.last or a.first)
+    spark = job_session("cartpulse-daily")
+    events = read_clean_events(spark, a.events, a.first, a.last or a.first)
     categories = spark.read.parquet(a.categories) if a.categories else None
     if categories is None and "product_category" not in events.columns:
         ap.error("the events have no product_category: pass --categories")
-    run_daily_jobs(events, a.tables, categories, a.approx_viewers)
+    run_daily_jobs(events, a.tables, categories, a.approx_viewers, a.first, a.last or a.first)
 
 
 if __name__ == "__main__":

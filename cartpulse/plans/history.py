@@ -50,10 +50,12 @@ def conversion_history(conv: DataFrame) -> DataFrame:
 
 
 def latest_alerts(alerts: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:
-    """The ten latest alerts, by window end (the alert time is wall clock)."""
-    return top_k(alerts.select("product_id", "window_start", "window_end", "total_views",
-                               "total_purchases", "conversion_rate", "alert_triggered"),
-                 limit, [F.desc("window_end"), F.asc("product_id")])
+    """The ten alerts raised last; alerts of one time by window end, then
+    product. A window that qualifies late comes first."""
+    last = top_k(alerts, limit, [F.desc_nulls_last("alert_timestamp"), F.desc("window_end"),
+                                 F.asc("product_id")])
+    return last.select("product_id", "window_start", "window_end", "total_views",
+                       "total_purchases", "conversion_rate", "alert_triggered")
 
 
 def result_table_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -97,22 +99,27 @@ HISTORY_QUERIES = {
 }
 
 
+def print_all(df: DataFrame) -> None:
+    """Every row, tab-separated, one partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m cartpulse.plans.history --tables <root> <query>``: print a
     history query (or ``counts`` / ``presence``) over the result tables;
     ``sql --sql "..."`` runs any SQL against the tables by name."""
     import argparse
 
-    from pyspark.sql import SparkSession
-
-    from cartpulse.session import apply_runtime_conf
+    from cartpulse.session import job_session
     ap = argparse.ArgumentParser(description="History queries over the result tables")
     ap.add_argument("--tables", required=True)
     ap.add_argument("query", choices=[*HISTORY_QUERIES, "counts", "presence", "sql"])
     ap.add_argument("--sql", help="with query 'sql': any SQL over the result-table names")
+    ap.add_argument("--out", help="write the rows as CSV to this folder instead of printing them")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("cartpulse-history").getOrCreate()
-    apply_runtime_conf(spark)
+    spark = job_session("cartpulse-history")
     if a.query == "sql":
         from cartpulse.sinks.tables import register_result_views
         register_result_views(spark, a.tables)
@@ -124,7 +131,10 @@ def main(argv: list[str] | None = None) -> None:
     else:
         table, fn = HISTORY_QUERIES[a.query]
         out = fn(read_result_table(spark, a.tables, table))
-    out.show(100, truncate=False)
+    if a.out:
+        out.write.mode("overwrite").option("header", True).csv(a.out)
+    else:
+        print_all(out)
 
 
 if __name__ == "__main__":

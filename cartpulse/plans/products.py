@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartpulse.functions.rules import cents, mean_cents_half_even, ratio, top_k, top_k_per_group
-from cartpulse.operators.joins import attach_after_aggregate
+from cartpulse.functions.rules import mean_half_even, price_units, ratio, top_k, top_k_per_group
+from cartpulse.operators.joins import attach_dimension
 from cartpulse.schema import TOP_PRODUCTS_K, TOP_VIEWS_K, VIEW
 
 
@@ -36,11 +36,11 @@ def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
     if approx_rsd is not None:
         return _approx_view_stats(views, keys, categories, approx_rsd)
     level1 = [F.count("user_id").alias("n_views"),
-              F.sum(cents("price")).alias("price_cents"),
+              F.sum(price_units("price")).alias("price_units"),
               F.count("price").alias("n_prices")]
     level2 = [F.sum("n_views").cast("bigint").alias("total_views"),
               F.count("user_id").alias("unique_viewers"),
-              F.sum("price_cents").alias("price_cents"),
+              F.sum("price_units").alias("price_units"),
               F.sum("n_prices").alias("n_prices")]
     if categories is None:
         first_ts = F.when(F.col("product_category").isNotNull(), F.col("event_timestamp"))
@@ -51,10 +51,10 @@ def product_view_stats(events: DataFrame, categories: DataFrame | None = None,
     if categories is None:
         stats = _with_first_category(views, stats, keys)
     else:
-        stats = attach_after_aggregate(
+        stats = attach_dimension(
             stats, categories.withColumnRenamed("product_category", "category"), "product_id")
     return stats.select(*keys, "category", "total_views", "unique_viewers",
-                        mean_cents_half_even("price_cents", "n_prices").alias("avg_price"))
+                        mean_half_even("price_units", "n_prices").alias("avg_price"))
 
 
 def _with_first_category(views: DataFrame, stats: DataFrame, keys: list) -> DataFrame:
@@ -63,17 +63,11 @@ def _with_first_category(views: DataFrame, stats: DataFrame, keys: list) -> Data
 
     A string in an aggregation buffer forces a sort-based aggregate over every
     view. Instead the hash aggregate keeps only the earliest timestamp that
-    has a category (``first_ts``); the small stats are checkpointed, and the
-    views at exactly that timestamp are fetched through a broadcast of the
-    (key, first_ts) pairs (measured bound), so only the candidate rows, about
-    one per group, reach the sort that breaks ties by event id.
+    has a category (``first_ts``), and the views at exactly that timestamp are
+    fetched by a semi-join with the (key, first_ts) pairs, so only the candidate
+    rows, about one per group, reach the sort that breaks ties by event id.
     """
-    from cartpulse.operators.joins import bounded_broadcast
-    from cartpulse.session import checkpoint_root
-    checkpoint_root(stats.sparkSession)
-    stats = stats.checkpoint(eager=True)
-    firsts = bounded_broadcast(
-        stats.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col("first_ts").alias("_f_ts")))
+    firsts = stats.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col("first_ts").alias("_f_ts"))
     cat_views = views.filter(F.col("product_category").isNotNull()) \
         .select(*keys, "event_timestamp", "event_id", "product_category")
     cond = [F.col(k) == F.col(f"_f_{k}") for k in keys] + \
@@ -91,7 +85,7 @@ def _approx_view_stats(views: DataFrame, keys: list, categories: DataFrame | Non
     instead of the exact two-level aggregate."""
     aggs = [F.count("user_id").alias("total_views"),
             F.approx_count_distinct("user_id", rsd).alias("unique_viewers"),
-            F.sum(cents("price")).alias("price_cents"),
+            F.sum(price_units("price")).alias("price_units"),
             F.count("price").alias("n_prices")]
     if categories is None:
         aggs.append(F.min(F.when(F.col("product_category").isNotNull(),
@@ -100,10 +94,10 @@ def _approx_view_stats(views: DataFrame, keys: list, categories: DataFrame | Non
     if categories is None:
         stats = _with_first_category(views, stats, keys)
     else:
-        stats = attach_after_aggregate(
+        stats = attach_dimension(
             stats, categories.withColumnRenamed("product_category", "category"), "product_id")
     return stats.select(*keys, "category", "total_views", "unique_viewers",
-                        mean_cents_half_even("price_cents", "n_prices").alias("avg_price"))
+                        mean_half_even("price_units", "n_prices").alias("avg_price"))
 
 
 def _view_order():

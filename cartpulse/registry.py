@@ -75,11 +75,15 @@ def ratio_sql(num: str, den: str) -> str:
     return f"CASE WHEN ({den}) <> 0 THEN round_even(CAST({num} AS DOUBLE) / ({den}), 2) END"
 
 
-def mean_cents_sql(total: str, n: str) -> str:
-    rem = f"((({total}) % ({n}) + ({n})) % ({n}))"
-    quot = f"((({total}) - {rem}) // ({n}))"
-    return (f"CASE WHEN ({n}) > 0 THEN CAST({quot} + CASE WHEN 2 * {rem} > ({n}) "
-            f"OR (2 * {rem} = ({n}) AND {quot} % 2 <> 0) THEN 1 ELSE 0 END AS DOUBLE) / 100 END")
+def mean_price_sql(price: str) -> str:
+    """Mean of the raw prices, rounded half-even to cents once (exact, in units of
+    10 ** -10)."""
+    total, n = f"sum(CAST(round({price} * 1e10) AS HUGEINT))", f"count({price})"
+    step = f"({n} * 100000000)"
+    rem = f"((({total}) % {step} + {step}) % {step})"
+    quot = f"((({total}) - {rem}) // {step})"
+    return (f"CASE WHEN ({n}) > 0 THEN CAST({quot} + CASE WHEN 2 * {rem} > {step} "
+            f"OR (2 * {rem} = {step} AND {quot} % 2 <> 0) THEN 1 ELSE 0 END AS DOUBLE) / 100 END")
 
 
 def with_clicks(body: str, *ctes: str) -> str:
@@ -283,7 +287,7 @@ def stats_sql(keys: str) -> str:
            FILTER (WHERE v.product_category IS NOT NULL) AS category,
          CAST(count(v.user_id) AS BIGINT) AS total_views,
          CAST(count(DISTINCT v.user_id) AS BIGINT) AS unique_viewers,
-         {mean_cents_sql('sum(CAST(round(v.price * 100) AS BIGINT))', 'count(v.price)')} AS avg_price
+         {mean_price_sql('v.price')} AS avg_price
   FROM clicks v
   WHERE v.event_type = 'view' AND v.product_id IS NOT NULL
   GROUP BY {keys} v.product_id)"""
@@ -414,16 +418,9 @@ VALID_FEED = f"""valid AS (
     AND event_type IS NOT NULL AND event_timestamp IS NOT NULL AND price * {feed.PRICE_SCALE} > 0)"""
 
 
-_CLICKS: dict[tuple, DataFrame] = {}
-
-
 def _clicks(spark, sf_dir) -> DataFrame:
-    """The per-event enriched view; its broadcast decision (a measured size,
-    like a table statistic) is made once per session and input folder."""
-    key = _session_key(spark, sf_dir)
-    if key not in _CLICKS:
-        _CLICKS[key] = clicks(spark, sf_dir)
-    return _CLICKS[key]
+    """The per-event enriched view."""
+    return clicks(spark, sf_dir)
 
 
 def _decoded(spark, sf_dir) -> DataFrame:
@@ -485,7 +482,10 @@ def alerts_sql(params: AlertParams) -> str:
 
 
 def _clean_facts(spark, sf_dir) -> DataFrame:
-    return cl.cleanse(click_events(spark, sf_dir))
+    """Valid events, one per id, with the columns that windows need: the de-dup
+    shuffles no others."""
+    valid = cl.validate(click_events(spark, sf_dir))
+    return cl.deduplicate(valid.select("event_id", "event_timestamp", "product_id", "event_type"))
 
 
 @register("window_counts", with_clicks("SELECT * FROM wrates", CLEAN_SQL,
@@ -503,9 +503,8 @@ def q_flash_sale_alerts(spark, sf_dir):
 
 # --- streaming alerts (A1, C1-C15) ---------------------------------------------
 
-# Replay batching: files per trigger. Days stay in order (file times follow
-# the day), and a trigger spanning a few days never drops a row, because the
-# de-dup watermark trails the newest event by delay + window length.
+# Replay batching: files per trigger. Files hold consecutive time ranges and come
+# in order, so the answers do not depend on this number.
 REPLAY_FILES_PER_TRIGGER = 8
 _STREAM_RUNS: dict[tuple, dict] = {}
 
@@ -562,7 +561,7 @@ def clean_stream_run(spark: SparkSession, sf_dir: str) -> str:
     import uuid
 
     from cartpulse.session import input_key, work_path
-    from cartpulse.streaming.alerts import clean_stream, read_events, start_clean_event_sink
+    from cartpulse.streaming.alerts import read_events, start_clean_event_sink, valid_stream
     key = _session_key(spark, sf_dir)
     if key not in _CLEAN_RUNS:
         replay = stream_run(spark, sf_dir)["replay"]
@@ -570,7 +569,7 @@ def clean_stream_run(spark: SparkSession, sf_dir: str) -> str:
         messages = read_events(spark, source="parquet", path=replay,
                                max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
         from cartpulse.schema import ENVELOPE_SCHEMA
-        clean = clean_stream(messages.select(*ENVELOPE_SCHEMA.fieldNames()), FIXTURE_ALERT_PARAMS)
+        clean = valid_stream(messages.select(*ENVELOPE_SCHEMA.fieldNames()))
         q = start_clean_event_sink(clean, f"{workdir}/clean_events", f"{workdir}/checkpoint",
                                    trigger={"availableNow": True})
         q.awaitTermination()
@@ -583,10 +582,10 @@ def clean_stream_run(spark: SparkSession, sf_dir: str) -> str:
     "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY copy) = 1",
     _feed_sql(), VALID_FEED))
 def q_clean_events_stream(spark, sf_dir):
-    """H1 written by the stream (bounded de-dup), read back. Which copy of a
-    duplicate the stream keeps depends on arrival within a micro-batch, so the
-    bus position columns are left out; the payload equals the batch de-dup."""
-    table = spark.read.parquet(clean_stream_run(spark, sf_dir))
+    """H1 written by the stream (every valid row) and read as the daily jobs read
+    it, one row per event id."""
+    from cartpulse.sinks.tables import read_clean_events
+    table = read_clean_events(spark, clean_stream_run(spark, sf_dir))
     return _ntz(table.drop("offset", "kafka_timestamp"))
 
 
@@ -615,8 +614,9 @@ def result_tables(spark: SparkSession, sf_dir: str) -> str:
         # one folder per application: parallel sessions never write the same tables
         root = work_path(spark, "tables", input_key(sf_dir), spark.sparkContext.applicationId)
         run_daily_jobs(_facts(spark, sf_dir), root, _dims(spark, sf_dir))
-        write_snapshot(_stream_alerts(spark, sf_dir), table_path(root, "flash_sale_alerts"),
-                       ALERT_SCHEMA)
+        # fixed stamps instead of the wall clock: an alert is raised at its window's end
+        alerts = _stream_alerts(spark, sf_dir).withColumn("alert_timestamp", F.col("window_end"))
+        write_snapshot(alerts, table_path(root, "flash_sale_alerts"), ALERT_SCHEMA)
         _TABLE_RUNS[key] = root
     return _TABLE_RUNS[key]
 
@@ -701,17 +701,7 @@ def q_result_table_presence(spark, sf_dir):
     return result_table_presence(spark, result_tables(spark, sf_dir))
 
 
-# --- generation and emission (A5-A7) --------------------------------------------
-
-@register("synthetic_events")
-def q_synthetic_events(spark, sf_dir):
-    """A5: one producer-style synthetic event per row of ``events`` (seeded by
-    event id, timed by ts); random fields, so checked by row count only."""
-    from cartpulse.sources.generator import PRODUCER, synthesize
-    from cartpulse.sources.tables import read_table
-    return synthesize(read_table(spark, sf_dir, "events"), PRODUCER, seed=42,
-                      number_col="event_id", ts_col="ts")
-
+# --- emission (A7) ---------------------------------------------------------------
 
 _EMIT_RUNS: dict[tuple, str] = {}
 
@@ -721,15 +711,15 @@ def emit_run(spark: SparkSession, sf_dir: str) -> str:
     stream-static join with the product table) into keyed JSON messages."""
     import uuid
 
-    from cartpulse.operators.joins import attach_static_dimension
+    from cartpulse.operators.joins import attach_dimension
     from cartpulse.session import input_key, work_path
     from cartpulse.sources.tables import events_stream, to_click_events
     from cartpulse.streaming.emit import start_emitter
     key = _session_key(spark, sf_dir)
     if key not in _EMIT_RUNS:
         workdir = work_path(spark, "emit", input_key(sf_dir), uuid.uuid4().hex)
-        stream = attach_static_dimension(to_click_events(events_stream(spark, sf_dir)),
-                                         _dims(spark, sf_dir), "product_id")
+        stream = attach_dimension(to_click_events(events_stream(spark, sf_dir)),
+                                  _dims(spark, sf_dir), "product_id")
         query = start_emitter(feed.encode_messages(stream), f"{workdir}/checkpoint",
                               sink="parquet", path=f"{workdir}/messages",
                               trigger={"availableNow": True})
@@ -739,7 +729,11 @@ def emit_run(spark: SparkSession, sf_dir: str) -> str:
 
 
 @register("emit_events", with_clicks(
-    f"SELECT {decoded_cols('event_id', 'event_timestamp', enriched=False)} FROM clicks"))
+    "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, "
+    "CAST(product_id AS VARCHAR) AS product_id, event_type, event_timestamp, "
+    "CAST(NULL AS VARCHAR) AS session_id, product_category, CAST(NULL AS VARCHAR) AS device_type, "
+    "CAST(NULL AS VARCHAR) AS page_url, price, CAST(user_id % 3 AS INTEGER) AS partition, "
+    "event_id AS offset, event_timestamp AS kafka_timestamp FROM clicks"))
 def q_emit_events(spark, sf_dir):
     """A7 round trip: emitted messages decode back to the adapter rows."""
     return _ntz(cl.decode(spark.read.parquet(emit_run(spark, sf_dir)))
@@ -755,7 +749,8 @@ H1_SQL = f"""h1 AS (
 
 def _h1(spark, sf_dir) -> DataFrame:
     """The cleaned-event table as the stream wrote it (category on each event)."""
-    return spark.read.parquet(clean_stream_run(spark, sf_dir))
+    from cartpulse.sinks.tables import read_clean_events
+    return read_clean_events(spark, clean_stream_run(spark, sf_dir))
 
 
 def _over_h1(sql: str) -> str:

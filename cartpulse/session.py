@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,11 +36,20 @@ SESSION_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+# Settings that a live session can still take; the others hold from its start.
+RUNTIME_CONF = [k for k in SESSION_CONF if k.startswith("spark.sql.")]
+
+
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
                   app_name: str = "cartpulse", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the engine's settings. ``master`` and the partition count
+    are left to the launcher if None."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -48,23 +58,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def job_session(app_name: str) -> SparkSession:
+    """The session of every command line job: the launcher's master and sizes,
+    the engine's settings."""
+    return build_session(None, None, app_name)
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Pin the settings that can change on a live session."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    """Put the engine's settings on a live session and fail if one is not taken."""
+    for key in RUNTIME_CONF:
+        spark.conf.set(key, SESSION_CONF[key])
+        if spark.conf.get(key) != SESSION_CONF[key]:
+            raise RuntimeError(f"the session does not take {key}={SESSION_CONF[key]}")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local runs, tests) do we pick our own folder and
-    register it, so that ``DataFrame.checkpoint()`` works as well.
+    Only a local master (tests, trial runs) gets a folder of its own where none
+    is set: on a cluster, executors would each write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Local runs and tests only: a cluster sets this folder itself.
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set: with master {master} it must name a folder "
+                "that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cartpulse-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

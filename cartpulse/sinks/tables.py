@@ -34,11 +34,31 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def write_daily(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """H3: replace the days present in ``df``; other days stay."""
-    (conform(df, schema).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+def write_daily(df: DataFrame, path: str, schema: T.StructType, first: str | None = None,
+                last: str | None = None) -> None:
+    """H3: replace the days present in ``df``; other days stay, but for days of
+    ``first`` .. ``last`` that have no rows now: their folders are removed. A day's
+    rows go to one task, or to several if AQE splits a large day."""
+    rows = conform(df, schema).hint("rebalance", "analysis_date")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("analysis_date").parquet(path))
+    if first:
+        drop_empty_days(df, path, first, last or first)
+
+
+def drop_empty_days(df: DataFrame, path: str, first: str, last: str) -> None:
+    """Remove the folders of the days first .. last that ``df`` has no rows for."""
+    spark = df.sparkSession
+    days = [r[0] for r in df.select(F.col("analysis_date").cast("string")).distinct().collect()]
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for status in fs.listStatus(root):
+        key, _, day = status.getPath().getName().partition("=")
+        if key == "analysis_date" and first <= day <= last and day not in days:
+            fs.delete(status.getPath(), True)
 
 
 def write_snapshot(df: DataFrame, path: str, schema: T.StructType) -> None:
@@ -48,23 +68,61 @@ def write_snapshot(df: DataFrame, path: str, schema: T.StructType) -> None:
 
 def write_clean_events(df: DataFrame, path: str) -> None:
     """H1: the cleaned-event table the daily jobs read, partitioned by day."""
-    (df.drop("processing_timestamp").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+    (df.drop("processing_timestamp").hint("rebalance", "event_date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_date").parquet(path))
 
 
+def read_clean_events(spark: SparkSession, path: str, first: str | None = None,
+                      last: str | None = None) -> DataFrame:
+    """H1 as the daily jobs read it: the days first .. last (all days by default),
+    one row per event id. The stream appends every valid row, late ones and
+    repeated ones too; copies of an event carry its event time and so its day."""
+    from cartpulse.operators.cleanse import deduplicate
+    events = spark.read.parquet(path)
+    if first:
+        d = F.col("event_date")
+        events = events.filter((d >= F.to_date(F.lit(first))) & (d <= F.to_date(F.lit(last or first))))
+    return deduplicate(events)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "append") -> None:
     """H2: the alert table over JDBC (needs the driver jar for ``url``)."""
     df.write.jdbc(url=url, table=table, mode=mode, properties=properties or {})
 
 
-def jdbc_sink(url: str, table: str, properties: dict | None = None):
-    """H2 as a ``foreachBatch`` sink; the batch must be idempotent on its key
-    downstream (append of the flagged update rows, de-duplicated on read)."""
+def read_jdbc(spark: SparkSession, url: str, table: str,
+              properties: dict | None = None) -> DataFrame:
+    """A result table over JDBC."""
+    return spark.read.jdbc(url=url, table=table, properties=properties or {})
+
+
+def execute_jdbc(spark: SparkSession, url: str, statement: str,
+                 properties: dict | None = None) -> None:
+    """One statement over the driver's JDBC connection."""
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, v)
+    if (properties or {}).get("driver"):
+        jvm.java.lang.Class.forName(properties["driver"])
+    connection = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.createStatement().executeUpdate(statement)
+    finally:
+        connection.close()
+
+
+def jdbc_sink(url: str, table: str, properties: dict | None = None, run: int = 0):
+    """H2 as a ``foreachBatch`` sink. A batch's rows carry its run and number; a
+    batch that is executed again first deletes what it wrote before."""
     def write(rows: DataFrame, batch_id: int) -> None:
-        write_jdbc(conform(rows, ALERT_SCHEMA).withColumn("batch_id", F.lit(batch_id)),
-                   url, table, properties)
+        execute_jdbc(rows.sparkSession, url,
+                     f"DELETE FROM {table} WHERE run_started = {run} AND batch_id = {batch_id}",
+                     properties)
+        write_jdbc(conform(rows, ALERT_SCHEMA).withColumn("run_started", F.lit(run).cast("long"))
+                   .withColumn("batch_id", F.lit(batch_id).cast("long")), url, table, properties)
     return write
 
 

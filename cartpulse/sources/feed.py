@@ -107,11 +107,17 @@ def payload(ev: DataFrame, faulty: bool | Column, extra: list[str] | None = None
 
 
 def encode_messages(clicks: DataFrame) -> DataFrame:
-    """A7 serializer: one clean message per event, offset = event id."""
-    msgs = payload(clicks, faulty=False)
-    return msgs.select("key", F.col("value_json").cast("binary").alias("value"), "partition",
-                       F.col("event_id").alias("offset"),
-                       F.col("event_timestamp").alias("timestamp"))
+    """A7 serializer: one message per event that carries the row as it is, keyed by
+    user id; partition by user, offset = event id."""
+    uid = F.col("user_id")
+    value = F.to_json(F.struct(
+        "event_id", "user_id", "product_id", "event_type",
+        F.date_format("event_timestamp", TIMESTAMP_FORMAT).alias("timestamp"),
+        "product_category", "price"))
+    return clicks.select(
+        uid.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"),
+        F.pmod(uid, F.lit(BUS_PARTITIONS)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.col("event_timestamp").alias("timestamp"))
 
 
 def faulty_feed(clicks: DataFrame) -> DataFrame:

@@ -86,10 +86,6 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts with the category attached per event (the denormalised event).
 
     Used where the category must travel with each event (the encoded feed).
-    ``attach_dimension`` reduces the product table to the products the events
-    use and broadcasts it only under a measured row bound, so the events are
-    not shuffled for the join; beyond the bound it is a shuffle join whose
-    hot-key partitions AQE splits.
     """
     facts = click_events(spark, sf_dir)
     dim = product_categories(spark, sf_dir)

@@ -16,7 +16,7 @@ De-duplication modes (the lateness trap):
 Sink semantics: update mode re-emits a window each time it changes. The
 emission keeps every changed window with views over the threshold and sets
 ``alert_triggered = purchases < limit``; the log is keyed by
-(product_id, window_start, batch_id). ``current_alerts`` takes the last row
+(product_id, window_start, run, batch_id). ``current_alerts`` takes the last row
 per key and keeps the triggered ones, so an alert that stops qualifying is
 retracted instead of left stale.
 """
@@ -33,6 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cartpulse.operators.cleanse import decode, validate
 from cartpulse.operators.windows import _seconds, alert_updates, window_counts
 from cartpulse.schema import ALERT_SCHEMA, ENVELOPE_SCHEMA, AlertParams
+from cartpulse.session import apply_runtime_conf
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -91,6 +92,12 @@ def clean_stream(messages: DataFrame, params: AlertParams = AlertParams(),
         .dropDuplicatesWithinWatermark(["event_id"])
 
 
+def valid_stream(messages: DataFrame) -> DataFrame:
+    """B1-B8 on a stream, for the cleaned-event table (H1): every valid row, with no
+    watermark, so that a late row is never lost; copies go when the table is read."""
+    return validate(decode(messages))
+
+
 def alert_stream(messages: DataFrame, params: AlertParams = AlertParams(),
                  dedup: str = "bounded") -> DataFrame:
     """The alert update stream (run in update output mode).
@@ -109,23 +116,36 @@ def alert_stream(messages: DataFrame, params: AlertParams = AlertParams(),
         F.sum(F.when(trig, F.col("total_purchases"))).alias("alert_purchases"))
 
 
-def log_sink(log_path: str, extra: Sequence[BatchSink] = ()) -> BatchSink:
+def run_started(spark: SparkSession, checkpoint: str) -> int:
+    """When the checkpoint's run began (ms). The mark lies in the checkpoint: batch
+    numbers and mark begin anew together."""
+    import time
+
+    from cartpulse.sinks.tables import path_exists
+    mark = f"{checkpoint}/run_started"
+    if not path_exists(spark, mark):
+        spark.range(1).select(F.lit(time.time_ns() // 10 ** 6).alias("ms")).write.parquet(mark)
+    return spark.read.parquet(mark).first()["ms"]
+
+
+def log_sink(log_path: str, extra: Sequence[BatchSink] = (), run: int = 0) -> BatchSink:
     """The ``foreachBatch`` handler.
 
-    The alert log is partitioned by batch_id and written with dynamic
-    partition overwrite, so a re-executed batch (after a failure between the
+    The alert log is partitioned by run (see ``run_started``) and batch_id and
+    written with dynamic partition overwrite, so a re-executed batch (after a failure between the
     write and the checkpoint commit) replaces its own rows: the sink is
     idempotent. With extra sinks (console, JDBC) the batch is persisted once
     and every sink reads the cached rows instead of re-running the stateful
     plan. Errors propagate: a failed write fails the batch, never commits it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows = (batch.withColumn("run_started", F.lit(run).cast("long"))
+                .withColumn("batch_id", F.lit(batch_id).cast("long")))
         if extra:
             rows = rows.persist()
         try:
             (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(log_path))
+             .partitionBy("run_started", "batch_id").parquet(log_path))
             for sink in extra:
                 sink(rows, batch_id)
         finally:
@@ -171,7 +191,8 @@ def start_alert_query(alerts: DataFrame, handler: BatchSink, checkpoint: str,
     return writer.start()
 
 
-ALERT_LOG_SCHEMA = T.StructType(ALERT_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
+ALERT_LOG_SCHEMA = T.StructType(ALERT_SCHEMA.fields + [
+    T.StructField("run_started", T.LongType()), T.StructField("batch_id", T.LongType())])
 
 
 def read_alert_log(spark: SparkSession, path: str) -> DataFrame:
@@ -199,15 +220,16 @@ def appended_alerts(log: DataFrame) -> DataFrame:
     """The alert history the source's sink would hold: every emitted row that
     passed the rule when emitted (append-only, so a key repeats each time it
     changes and an alert that later stops qualifying stays)."""
-    return log.filter(F.col("alert_triggered")).drop("batch_id")
+    return log.filter(F.col("alert_triggered")).drop("run_started", "batch_id")
 
 
 def current_alerts(log: DataFrame) -> DataFrame:
     """flash_sale_alerts = last logged row per (product_id, window_start),
     kept when triggered. ``row_number() = 1`` partial-limits before the shuffle."""
-    w = Window.partitionBy("product_id", "window_start").orderBy(F.desc("batch_id"))
+    w = Window.partitionBy("product_id", "window_start").orderBy(
+        F.desc_nulls_last("run_started"), F.desc("batch_id"))
     last = log.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    return last.filter(F.col("alert_triggered")).drop("batch_id")
+    return last.filter(F.col("alert_triggered")).drop("run_started", "batch_id")
 
 
 def stop_all(spark: SparkSession) -> None:
@@ -234,19 +256,17 @@ def replay_alerts(spark: SparkSession, messages: DataFrame | None, workdir: str,
         paths["replay"] = replay_path
     else:
         write_replay(spark, messages, paths["replay"])
-    stream = read_events(spark, source="parquet", path=paths["replay"],
+    # a session of its own, so that the partition count is nobody else's
+    own = spark.newSession()
+    apply_runtime_conf(own)
+    own.conf.set("spark.sql.shuffle.partitions",
+                 str(state_partitions or spark.sparkContext.defaultParallelism))
+    stream = read_events(own, source="parquet", path=paths["replay"],
                          max_files_per_trigger=max_files_per_trigger)
     stream = stream.select(*ENVELOPE_SCHEMA.fieldNames())
-    handler = log_sink(paths["alert_log"])
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
-        query = start_alert_query(alert_stream(stream, params, dedup), handler,
-                                  paths["checkpoint"], trigger={"availableNow": True})
-        query.awaitTermination()
-    finally:
-        spark.conf.set(key, before)
+    query = start_alert_query(alert_stream(stream, params, dedup), log_sink(paths["alert_log"]),
+                              paths["checkpoint"], trigger={"availableNow": True})
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return paths

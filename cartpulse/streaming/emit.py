@@ -33,42 +33,44 @@ def start_emitter(messages: DataFrame, checkpoint: str, sink: str = "kafka",
     return writer.format(sink).start(path)
 
 
-def run_producer(spark, duration_s: float, rows_per_second: float = 5.0,
+def run_producer(spark, events: DataFrame, duration_s: float | None = None,
                  sink: str = "kafka", path: str | None = None, topic: str | None = None,
                  bootstrap: str | None = None, checkpoint: str | None = None,
-                 seed: int = 42) -> StreamingQuery:
-    """Emit generated events at a fixed rate for ``duration_s`` seconds,
-    keyed by user id, then stop. Returns the stopped query."""
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Emit a stream of events, keyed by user id, for ``duration_s`` seconds (or
+    until it ends), then stop. Returns the stopped query."""
     from cartpulse.session import work_path
-    from cartpulse.sources.generator import PRODUCER, paced_stream
-    events = paced_stream(spark, rows_per_second, PRODUCER, seed)
     query = start_emitter(to_messages(events), checkpoint or work_path(spark, "producer", "ck"),
                           sink=sink, path=path, topic=topic, bootstrap=bootstrap,
-                          trigger={"processingTime": "1 second"})
+                          trigger=trigger or {"processingTime": "1 second"})
     try:
-        query.awaitTermination(duration_s)
+        query.awaitTermination(duration_s) if duration_s else query.awaitTermination()
     finally:
         query.stop()
     return query
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m cartpulse.streaming.emit --duration 60 [--rate 5] --sink kafka
-    --topic T --bootstrap H:P`` (or ``--sink parquet --path P``)."""
+    """``python -m cartpulse.streaming.emit --events <parquet folder> --sink kafka
+    --topic T --bootstrap H:P`` (or ``--sink parquet --path P``): emit the rows of an
+    event table, new files as they come, or with ``--once`` what is there."""
     import argparse
 
-    from pyspark.sql import SparkSession
-    ap = argparse.ArgumentParser(description="Emit generated clickstream events")
-    ap.add_argument("--duration", type=float, required=True)
-    ap.add_argument("--rate", type=float, default=5.0)
+    from cartpulse.session import job_session
+    ap = argparse.ArgumentParser(description="Emit the events of a table as keyed messages")
+    ap.add_argument("--events", required=True)
+    ap.add_argument("--duration", type=float, help="seconds; default: until stopped")
+    ap.add_argument("--once", action="store_true", help="emit what is there and end")
     ap.add_argument("--sink", default="kafka")
     ap.add_argument("--path")
     ap.add_argument("--topic", default="clickstream_events")
     ap.add_argument("--bootstrap")
     ap.add_argument("--checkpoint")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("cartpulse-producer").getOrCreate()
-    run_producer(spark, a.duration, a.rate, a.sink, a.path, a.topic, a.bootstrap, a.checkpoint)
+    spark = job_session("cartpulse-producer")
+    events = spark.readStream.schema(spark.read.parquet(a.events).schema).parquet(a.events)
+    run_producer(spark, events, a.duration, a.sink, a.path, a.topic, a.bootstrap, a.checkpoint,
+                 {"availableNow": True} if a.once else None)
 
 
 if __name__ == "__main__":

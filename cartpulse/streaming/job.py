@@ -2,7 +2,7 @@
 
 Starts one alert query whose ``foreachBatch`` feeds the idempotent alert log
 (and, optionally, the console and a JDBC table from the same cached batch),
-waits on it, and stops every query on interrupt. Checkpoint and log default
+waits on all queries, and stops them on interrupt or when one ends. Checkpoint and log default
 to folders under the cluster's ``spark.checkpoint.dir``.
 """
 
@@ -13,11 +13,11 @@ import argparse
 from pyspark.sql import SparkSession
 
 from cartpulse.schema import ENVELOPE_SCHEMA, AlertParams
-from cartpulse.session import apply_runtime_conf, work_path
+from cartpulse.session import apply_runtime_conf, job_session, work_path
 from cartpulse.sinks.tables import jdbc_sink
-from cartpulse.streaming.alerts import (alert_stream, clean_stream, console_sink, log_sink,
-                                        read_events, start_alert_query,
-                                        start_clean_event_sink, stop_all)
+from cartpulse.streaming.alerts import (alert_stream, console_sink, log_sink, read_events,
+                                        run_started, start_alert_query, start_clean_event_sink,
+                                        valid_stream)
 
 
 def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None = None,
@@ -38,21 +38,36 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
     extra = []
     if console:
         extra.append(console_sink())
+    checkpoint = work_path(spark, "alerts", name, "checkpoint")
+    run = run_started(spark, checkpoint)
     if jdbc:
-        extra.append(jdbc_sink(jdbc["url"], jdbc["table"], jdbc.get("properties")))
-    handler = log_sink(work_path(spark, "alerts", name, "log"), extra)
-    query = start_alert_query(alert_stream(messages, params, dedup), handler,
-                              work_path(spark, "alerts", name, "checkpoint"), trigger, name)
+        extra.append(jdbc_sink(jdbc["url"], jdbc["table"], jdbc.get("properties"), run))
+    handler = log_sink(work_path(spark, "alerts", name, "log"), extra, run)
+    queries = [start_alert_query(alert_stream(messages, params, dedup), handler, checkpoint,
+                                 trigger, name)]
     if clean_table:
-        start_clean_event_sink(clean_stream(messages, params, dedup), clean_table,
-                               work_path(spark, "alerts", name, "clean_checkpoint"), trigger)
-    if not wait:
-        return query
+        queries.append(start_clean_event_sink(
+            valid_stream(messages), clean_table,
+            work_path(spark, "alerts", name, "clean_checkpoint"), trigger))
+    if wait:
+        wait_for_any(spark, queries)
+    return queries[0]
+
+
+def wait_for_any(spark: SparkSession, queries: list) -> None:
+    """Wait until one of the queries ends, then stop the others; an error of any
+    of them ends the job."""
     try:
-        query.awaitTermination()
+        while all(q.isActive for q in queries):
+            queries[0].awaitTermination(1)
     except KeyboardInterrupt:
-        stop_all(spark)
-    return query
+        pass
+    finally:
+        for q in queries:
+            q.stop()
+    for q in queries:
+        if q.exception() is not None:
+            raise RuntimeError(f"query {q.name or q.id} failed: {q.exception()}")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -72,11 +87,19 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--clean-table", help="also append cleaned events to this table (H1)")
     ap.add_argument("--max-offsets-per-trigger", type=int,
                     help="Kafka: upper bound of messages per micro-batch")
+    ap.add_argument("--jdbc-url", help="also write the alerts to a table over JDBC (H2)")
+    ap.add_argument("--jdbc-table", default="flash_sale_alerts")
+    ap.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE",
+                    help="connection property (user, password, driver, ...)")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("cartpulse-alerts").getOrCreate()
+    jdbc = None
+    if a.jdbc_url:
+        jdbc = {"url": a.jdbc_url, "table": a.jdbc_table,
+                "properties": dict(p.split("=", 1) for p in a.jdbc_property)}
+    spark = job_session("cartpulse-alerts")
     params = AlertParams(a.window, a.slide, a.watermark, a.min_views, a.max_purchases)
     run_alert_job(spark, a.source, a.path, a.topic, a.bootstrap, params, a.dedup,
-                  {"processingTime": a.trigger}, a.console, clean_table=a.clean_table,
+                  {"processingTime": a.trigger}, a.console, jdbc, clean_table=a.clean_table,
                   max_offsets_per_trigger=a.max_offsets_per_trigger)
 
 

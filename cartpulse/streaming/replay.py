@@ -3,7 +3,9 @@
 The file stream source takes new files in modification-time order. Messages
 are written one folder per event day by a single distributed write; the
 files then get modification times that increase with the day, so a replay
-delivers days in order and the watermark never overtakes unread data.
+delivers days in order. Rows are range-partitioned by arrival time, so the files
+of a day are in time order, too, and the watermark never overtakes unread data
+wherever a trigger ends.
 Only file metadata passes through the driver, never rows. Setting file times
 needs a file system that supports it (HDFS, local disk); object stores keep
 upload times, so replays there should come from the bus instead.
@@ -17,16 +19,19 @@ from pyspark.sql import functions as F
 
 def write_replay(spark: SparkSession, messages: DataFrame, path: str,
                  mode: str = "overwrite", folder_format: str = "yyyy-MM-dd",
-                 base_mtime_ms: int = 1_000_000_000_000) -> int:
+                 base_mtime_ms: int = 1_000_000_000_000, n_files: int | None = None) -> int:
     """Write ``messages`` under ``path``, one folder per arrival day (or per
     ``folder_format`` period), and order the file times by folder.
 
+    ``n_files`` is the number of time ranges (default: the shuffle partitions).
     Folders sort by name in time order; a file's time is ``base`` plus its
-    folder's rank in seconds plus its rank within the folder in milliseconds.
+    folder's rank times 100 seconds plus its rank within the folder in milliseconds.
     A later ``append`` of newer periods therefore queues behind what is
     already there (a restart test). Returns the number of data files.
     """
-    (messages.withColumn("replay_period", F.date_format("timestamp", folder_format))
+    ranges = (n_files,) if n_files else ()
+    (messages.repartitionByRange(*ranges, "timestamp")
+     .withColumn("replay_period", F.date_format("timestamp", folder_format))
      .write.mode(mode).partitionBy("replay_period").parquet(path))
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
@@ -40,6 +45,6 @@ def write_replay(spark: SparkSession, messages: DataFrame, path: str,
     n = 0
     for rank, folder in enumerate(sorted(by_folder)):
         for i, p in enumerate(sorted(by_folder[folder], key=lambda f: f.getName())):
-            fs.setTimes(p, base_mtime_ms + rank * 1000 + i, -1)
+            fs.setTimes(p, base_mtime_ms + rank * 100_000 + i, -1)
             n += 1
     return n

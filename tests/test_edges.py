@@ -252,16 +252,17 @@ def test_insights_highest_price_tie_goes_to_better_rank(spark):
 
 
 def test_exact_rounding_helpers_match_fraction_arithmetic(spark):
-    """mean_cents_half_even and half_up_mean against exact rational rounding."""
+    """mean_half_even and half_up_mean against exact rational rounding."""
     import random
     from fractions import Fraction
 
-    from cartpulse.functions.rules import half_up_mean, mean_cents_half_even
+    from cartpulse.functions.rules import half_up_mean, mean_half_even
     rng = random.Random(11)
     cases = [(rng.randint(-10**9, 10**9), rng.randint(1, 10**4)) for _ in range(2000)]
     cases += [(1001, 2), (1003, 2), (-1001, 2), (-1003, 2), (5, 2), (7, 2), (0, 3), (10, 0)]
-    df = spark.createDataFrame(cases, "total long, n long")
-    got = df.select("total", "n", mean_cents_half_even("total", "n").alias("even"),
+    df = spark.createDataFrame(cases, "total long, n long").withColumn(
+        "units", F.expr("cast(total as decimal(28,0)) * 100000000"))  # cents to units
+    got = df.select("total", "n", mean_half_even("units", "n").alias("even"),
                     half_up_mean("total", "n").alias("up")).collect()
 
     def even(t, n):  # round half to even, in cents, then to units
@@ -278,3 +279,14 @@ def test_exact_rounding_helpers_match_fraction_arithmetic(spark):
         assert r.even == even(r.total, r.n), (r.total, r.n)
         if r.total >= 0:  # half_up_mean serves non-negative sums (event counts)
             assert r.up == float(Fraction(int(Fraction(r.total * 100, r.n) + Fraction(1, 2)), 100))
+
+
+def test_mean_price_is_rounded_once(spark):
+    """Sub-cent prices: the mean of the raw prices, not of rounded ones."""
+    from cartpulse.functions.rules import mean_half_even, price_units
+    prices = [0.004, 0.004, 0.004, 1.2345, 1.2345, 10.333, None]
+    df = spark.createDataFrame([(p,) for p in prices], "price double")
+    got = df.select(price_units("price").alias("u"), "price").agg(
+        F.sum("u").alias("u"), F.count("price").alias("n")).select(mean_half_even("u", "n")).first()[0]
+    known = [p for p in prices if p is not None]
+    assert got == round(sum(known) / len(known), 2) == 2.14

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cartpulse.sources.generator import (CONVERSION_BATCH, HOT_PRODUCT, PRODUCER,
+from tools.generator import (CONVERSION_BATCH, HOT_PRODUCT, PRODUCER,
                                          SEGMENTATION_BATCH, TOP_PRODUCTS_BATCH, generate)
 
 
@@ -39,7 +39,7 @@ def test_batch_variants(spark):
 
 
 def test_paced_stream_from_rate_source(spark, workdir):
-    from cartpulse.sources.generator import paced_stream
+    from tools.generator import paced_stream
     stream = paced_stream(spark, rows_per_second=50)
     q = (stream.writeStream.format("parquet").option("checkpointLocation", f"{workdir}/ck")
          .trigger(processingTime="1 second").start(f"{workdir}/out"))
@@ -61,7 +61,8 @@ def test_paced_stream_from_rate_source(spark, workdir):
 def test_paced_producer_emits_keyed_json(spark, workdir):
     from cartpulse.schema import EVENT_SCHEMA
     from cartpulse.streaming.emit import run_producer
-    run_producer(spark, duration_s=6, rows_per_second=20, sink="parquet",
+    from tools.generator import paced_stream
+    run_producer(spark, paced_stream(spark, rows_per_second=20), duration_s=6, sink="parquet",
                  path=f"{workdir}/msgs", checkpoint=f"{workdir}/ck")
     msgs = spark.read.parquet(f"{workdir}/msgs")
     assert msgs.columns == ["key", "value"]

@@ -6,7 +6,7 @@ from conftest import MEDIUM
 from cartpulse.operators import cleanse as cl
 from cartpulse.operators import windows as win
 from cartpulse.plans import segmentation as seg
-from cartpulse.plans.daily import day_range, run_daily_jobs
+from cartpulse.plans.daily import run_daily_jobs
 from cartpulse.schema import AlertParams
 from cartpulse.sinks.tables import read_result_table, write_clean_events
 from cartpulse.sources.tables import click_events, day_events, product_categories
@@ -22,7 +22,8 @@ def test_daily_rerun_replaces_its_days(spark, workdir):
     dims = product_categories(spark, MEDIUM)
     run_daily_jobs(events, workdir, dims)
     first = _counts(spark, workdir)
-    run_daily_jobs(day_range(events, "2024-01-10", "2024-01-12"), workdir, dims)
+    days = events.filter("event_date BETWEEN DATE'2024-01-10' AND DATE'2024-01-12'")
+    run_daily_jobs(days, workdir, dims, first="2024-01-10", last="2024-01-12")
     assert _counts(spark, workdir) == first  # re-run of 3 days: no duplicates, no loss
     top = read_result_table(spark, workdir, "top_products_daily")
     assert top.groupBy("analysis_date").count().agg(F.max("count")).first()[0] == 5
@@ -62,10 +63,10 @@ def test_daily_and_history_command_lines(spark, workdir, capsys):
         "2024-01-29", "2024-01-30"]
     history.main(["--tables", f"{workdir}/tables", "presence"])
     out = capsys.readouterr().out
-    assert "user_segmentation_daily|true" in out and "flash_sale_alerts      |false" in out
+    assert "user_segmentation_daily\tTrue" in out and "flash_sale_alerts\tFalse" in out
     history.main(["--tables", f"{workdir}/tables", "sql", "--sql",
                   "SELECT COUNT(*) AS row_count FROM top_products_daily"])
-    assert "|10       |" in capsys.readouterr().out
+    assert capsys.readouterr().out.split() == ["row_count", "10"]
 
 
 def test_history_sql_runs_unchanged_on_registered_views(spark, workdir):
@@ -83,13 +84,15 @@ def test_history_sql_runs_unchanged_on_registered_views(spark, workdir):
 
 
 def test_jdbc_sink_writes_conformed_alert_rows(spark, monkeypatch):
-    """No database is started: the JDBC writer call is intercepted."""
+    """No database is started: the JDBC calls are intercepted."""
     from datetime import datetime
 
     from pyspark.sql.readwriter import DataFrameWriter
 
+    from cartpulse.sinks import tables
     from cartpulse.sinks.tables import jdbc_sink
     calls = []
+    monkeypatch.setattr(tables, "execute_jdbc", lambda *a: None)
 
     def fake_jdbc(self, url, table, mode=None, properties=None):
         calls.append((self._df, url, table, mode, properties))
@@ -106,5 +109,58 @@ def test_jdbc_sink_writes_conformed_alert_rows(spark, monkeypatch):
                                          "append", {"user": "u"})
     assert df.columns == ["product_id", "window_start", "window_end", "total_views",
                           "total_purchases", "conversion_rate", "alert_timestamp",
-                          "alert_triggered", "batch_id"]
+                          "alert_triggered", "run_started", "batch_id"]
     assert dict(df.dtypes)["total_views"] == "bigint" and df.first().batch_id == 7
+
+
+def test_rerun_of_an_emptied_day_leaves_no_rows(spark, workdir):
+    events = click_events(spark, MEDIUM)
+    dims = product_categories(spark, MEDIUM)
+    run_daily_jobs(events, workdir, dims)
+    rest = events.filter("event_date = DATE'2024-01-10'")  # the 11th has no events any more
+    run_daily_jobs(rest, workdir, dims, first="2024-01-10", last="2024-01-11")
+    for name in ("user_segmentation_daily", "top_products_daily", "conversion_rate_daily"):
+        days = {str(r[0]) for r in read_result_table(spark, workdir, name)
+                .select("analysis_date").distinct().collect()}
+        assert "2024-01-11" not in days and {"2024-01-09", "2024-01-10", "2024-01-12"} <= days
+
+
+def test_a_day_is_written_by_one_task(spark, workdir):
+    import glob
+    write_clean_events(cl.cleanse(click_events(spark, MEDIUM)).repartition(8), f"{workdir}/clean")
+    root = f"{workdir}/clean".removeprefix("file:")
+    per_day = [len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{root}/event_date=*")]
+    assert len(per_day) == 30 and max(per_day) == 1
+
+
+def test_history_prints_every_row(spark, workdir, capsys):
+    from cartpulse.plans import history
+    run_daily_jobs(click_events(spark, MEDIUM), workdir, product_categories(spark, MEDIUM))
+    history.main(["--tables", workdir, "conversion_history"])
+    n = read_result_table(spark, workdir, "conversion_rate_daily").count()
+    assert n > 100 and len(capsys.readouterr().out.strip().splitlines()) == n + 1
+    history.main(["--tables", workdir, "--out", f"{workdir}/csv", "conversion_history"])
+    assert spark.read.option("header", True).csv(f"{workdir}/csv").count() == n
+
+
+def test_jdbc_batch_deletes_its_rows_first(spark, monkeypatch):
+    from cartpulse.sinks import tables as S
+    done = []
+    monkeypatch.setattr(S, "execute_jdbc", lambda spark, url, sql, props=None: done.append(sql))
+    monkeypatch.setattr(S, "write_jdbc", lambda df, url, table, props=None, mode="append":
+                        done.append((table, mode, df.columns[-2:])))
+    rows = spark.createDataFrame([], S.ALERT_SCHEMA)
+    S.jdbc_sink("jdbc:x:y", "alerts", {"user": "u"}, run=77)(rows, 5)
+    assert done == ["DELETE FROM alerts WHERE run_started = 77 AND batch_id = 5",
+                    ("alerts", "append", ["run_started", "batch_id"])]
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    import pytest
+    from types import SimpleNamespace
+
+    from cartpulse.session import checkpoint_root
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(conf=conf, sparkContext=context))

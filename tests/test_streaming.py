@@ -128,6 +128,9 @@ def test_alert_job_with_console_fan_out(spark, workdir, capsys):
     finally:
         A.stop_all(spark)
     assert spark.read.parquet(f"{workdir}/job_clean").count() == 3
+    # the state store that ran, from the query's own report
+    state = q.lastProgress["stateOperators"]
+    assert state and any("rocksdb" in k.lower() for s in state for k in s["customMetrics"])
     assert q.exception() is None
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
 
@@ -164,7 +167,7 @@ def test_source_defaults_end_to_end_stream_equals_batch(spark, workdir):
     only the hot product can pass 100 views in 10 minutes."""
     from cartpulse.operators import cleanse as cl
     from cartpulse.operators import windows as win
-    from cartpulse.sources.generator import HOT_PRODUCT, PRODUCER, generate
+    from tools.generator import HOT_PRODUCT, PRODUCER, generate
     from cartpulse.streaming.emit import to_messages
     events = generate(spark, 9000, PRODUCER, seed=3, partitions=4)  # 30 minutes
     messages = to_messages(events).select(
@@ -225,3 +228,100 @@ def test_kafka_source_options_are_wired(spark, monkeypatch):
     assert seen == {"format": "kafka", "kafka.bootstrap.servers": "h:1", "subscribe": "t",
                     "startingOffsets": "earliest", "failOnDataLoss": "false",
                     "maxOffsetsPerTrigger": "1000"}
+
+
+def spread(spark, days="1, 2, 3, 4"):
+    """Days 1-4 of the feed in arbitrary order over many tasks."""
+    from cartpulse.sources.feed import faulty_feed
+    from cartpulse.sources.tables import clicks
+    feed = faulty_feed(clicks(spark, "/root/testdata/sf0.01"))
+    return feed.filter(f"day(event_timestamp) IN ({days})").repartition(16, F.xxhash64("offset"))
+
+
+def replayed(spark, workdir, messages, params, dedup):
+    n_days = 4
+    if not hasattr(replayed, "path") or not replayed.path.startswith(workdir):
+        replayed.path = f"{workdir}/many"
+        files = write_replay(spark, messages, replayed.path, n_files=40 * n_days)
+        assert files >= 40 * n_days
+    paths = A.replay_alerts(spark, None, f"{workdir}/{dedup}-{params.min_views}-{params.window[:2].strip()}",
+                            params, dedup, max_files_per_trigger=8, state_partitions=4,
+                            replay_path=replayed.path)
+    return A.current_alerts(A.read_alert_log(spark, paths["alert_log"]))
+
+
+def test_answers_do_not_depend_on_files_per_trigger(spark, workdir):
+    """40 files per day, 8 per trigger: both modes equal the batch, with the
+    fixture's windows and with the source's (views over 0)."""
+    from cartpulse.operators import cleanse as cl
+    from cartpulse.operators import windows as win
+    messages = spread(spark)
+    cols = ["product_id", "window_start", "total_views", "total_purchases"]
+    clean = cl.cleanse(cl.decode(messages)).persist()
+    for params in (AlertParams("1 day", "1 hour", "1 day", 1, 5), AlertParams(min_views=0)):
+        want = sorted(win.flash_sale_alerts(clean, params).select(cols).collect())
+        assert len(want) > 1000
+        for dedup in ("exact", "bounded"):
+            got = replayed(spark, workdir, messages, params, dedup)
+            assert sorted(got.select(cols).collect()) == want, (params, dedup)
+
+
+def test_clean_table_keeps_late_rows(spark, workdir):
+    """Rows in arbitrary order with the source's five minute watermark: the cleaned
+    table, read one row per id, equals the batch."""
+    from cartpulse.operators import cleanse as cl
+    from cartpulse.sinks.tables import read_clean_events
+    messages = spread(spark).persist()
+    messages.write.parquet(f"{workdir}/unordered")
+    stream = A.read_events(spark, source="parquet", path=f"{workdir}/unordered",
+                           max_files_per_trigger=2).select(*ENVELOPE_SCHEMA.fieldNames())
+    A.start_clean_event_sink(A.valid_stream(stream), f"{workdir}/late", f"{workdir}/late_ck",
+                             trigger={"availableNow": True}).awaitTermination()
+    cols = ["event_id", "event_timestamp", "product_id", "price", "offset"]
+    got = read_clean_events(spark, f"{workdir}/late").select(cols).collect()
+    want = cl.cleanse(cl.decode(messages)).select(cols).collect()
+    assert sorted(got) == sorted(want) and len(got) > 1000
+
+
+def test_a_failing_query_ends_the_job(spark, workdir):
+    import pytest
+
+    from cartpulse.streaming.job import wait_for_any
+    rows = [msg(i, T12 + timedelta(seconds=i)) for i in range(3)]
+    env = spark.createDataFrame(rows, ENV).coalesce(1).select(
+        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary"),
+        "partition", "offset", "timestamp")
+    write_replay(spark, env, f"{workdir}/fail_replay")
+
+    def stream():
+        return A.read_events(spark, source="parquet", path=f"{workdir}/fail_replay").select(
+            *ENVELOPE_SCHEMA.fieldNames())
+
+    def broken(rows, batch_id):
+        raise ValueError("sink is gone")
+
+    good = A.start_alert_query(A.alert_stream(stream(), AlertParams(min_views=0)),
+                               A.log_sink(f"{workdir}/ok_log"), f"{workdir}/ok_ck")
+    bad = A.start_alert_query(A.alert_stream(stream(), AlertParams(min_views=0)), broken,
+                              f"{workdir}/bad_ck")
+    with pytest.raises(RuntimeError, match="sink is gone"):
+        wait_for_any(spark, [good, bad])
+    assert not good.isActive and not bad.isActive
+
+
+def test_a_new_checkpoint_outranks_the_old_run(spark, workdir):
+    from cartpulse.schema import ALERT_SCHEMA
+    first = A.run_started(spark, f"{workdir}/ck1")
+    assert A.run_started(spark, f"{workdir}/ck1") == first
+    second = A.run_started(spark, f"{workdir}/ck2")
+    assert second > first
+
+    def batch(triggered):
+        row = {f.name: None for f in ALERT_SCHEMA.fields}
+        row |= {"product_id": "p", "window_start": T12, "alert_triggered": triggered}
+        return spark.createDataFrame([tuple(row[f.name] for f in ALERT_SCHEMA.fields)], ALERT_SCHEMA)
+
+    A.log_sink(f"{workdir}/runs", run=first)(batch(True), 9)
+    A.log_sink(f"{workdir}/runs", run=second)(batch(False), 0)
+    log = A.read_alert_log(spark, f"{workdir}/runs")
+    assert log.count() == 2 and A.current_alerts(log).count() == 0

@@ -27,7 +27,7 @@ def main() -> None:
     from cartpulse.plans import segmentation as seg
     from cartpulse.schema import AlertParams
     from cartpulse.session import build_session, work_path
-    from cartpulse.sources.generator import GeneratorSpec, generate
+    from tools.generator import GeneratorSpec, generate
 
     extra = {"spark.driver.memory": "16g"}
     event_log = os.environ.get("SKEW_EVENT_LOG")  # a scratch folder, for tools/stage_times.py

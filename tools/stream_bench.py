@@ -30,7 +30,7 @@ def main() -> None:
 
     from cartpulse.schema import ENVELOPE_SCHEMA, AlertParams
     from cartpulse.session import build_session, work_path
-    from cartpulse.sources.generator import GeneratorSpec, generate
+    from tools.generator import GeneratorSpec, generate
     from cartpulse.streaming import alerts as A
     from cartpulse.streaming.emit import to_messages
     from cartpulse.streaming.replay import write_replay

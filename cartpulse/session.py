@@ -36,8 +36,11 @@ SESSION_CONF = {
 }
 
 
-# Settings that a live session can still take; the others hold from its start.
-RUNTIME_CONF = [k for k in SESSION_CONF if k.startswith("spark.sql.")]
+# Settings that results and state depend on; a live session must take them. The
+# rest is tuning, set when a session is built and otherwise left to the launcher.
+RUNTIME_CONF = ["spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
+                "spark.sql.streaming.stateStore.providerClass",
+                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"]
 
 
 def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
@@ -65,7 +68,7 @@ def job_session(app_name: str) -> SparkSession:
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Put the engine's settings on a live session and fail if one is not taken."""
+    """Put RUNTIME_CONF on a live session and fail if a setting is not taken."""
     for key in RUNTIME_CONF:
         spark.conf.set(key, SESSION_CONF[key])
         if spark.conf.get(key) != SESSION_CONF[key]:

@@ -317,9 +317,11 @@ def test_a_new_checkpoint_outranks_the_old_run(spark, workdir):
     assert second > first
 
     def batch(triggered):
-        row = {f.name: None for f in ALERT_SCHEMA.fields}
-        row |= {"product_id": "p", "window_start": T12, "alert_triggered": triggered}
-        return spark.createDataFrame([tuple(row[f.name] for f in ALERT_SCHEMA.fields)], ALERT_SCHEMA)
+        row = ("p", T12, T12 + timedelta(minutes=10), 9, 0, 0.0, T12, triggered)
+        names = ["product_id", "window_start", "window_end", "total_views", "total_purchases",
+                 "conversion_rate", "alert_timestamp", "alert_triggered"]
+        schema = T.StructType([ALERT_SCHEMA[n] for n in names])
+        return spark.createDataFrame([row], schema)
 
     A.log_sink(f"{workdir}/runs", run=first)(batch(True), 9)
     A.log_sink(f"{workdir}/runs", run=second)(batch(False), 0)

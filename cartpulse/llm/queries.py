@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartpulse.llm import oracles
 from cartpulse.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +39,7 @@ def op8_quality_rules(spark, sf_dir):
                             read(spark, sf_dir, "labels"))
 
 
-@register("op3_minhash_near_dedup")
+@register("op3_minhash_near_dedup", oracles.NEAR_DUPLICATES)
 def op3_minhash_near_dedup(spark, sf_dir):
     """Every document's near-duplicate component: 2-word shingles, 0.8 or more."""
     from cartpulse.llm.minhash_dedup import near_duplicates
@@ -60,7 +61,7 @@ def op9_substring_dedup(spark, sf_dir):
     return duplicate_spans(spark, read(spark, sf_dir, "documents"))
 
 
-@register("op10_benchmark_decontamination")
+@register("op10_benchmark_decontamination", oracles.DECONTAMINATION)
 def op10_benchmark_decontamination(spark, sf_dir):
     """Every document and benchmark item that share a passage."""
     from cartpulse.llm.decontamination import contaminated

@@ -290,7 +290,10 @@ def with_redactions(docs: DataFrame) -> DataFrame:
     matches and the offsets are summed up.
     """
     pattern = "|".join(f"({p})" for p, _ in REDACTIONS)
-    some = F.col("text").rlike(pattern)
+    text = F.col("text")
+    # what every match holds; a plain search is far cheaper than the pattern
+    some = (text.contains("@") | text.contains("!!") | text.contains("AKIA")
+            | text.rlike("[0-9]") | text.rlike("[a-f]{32}")) & text.rlike(pattern)
 
     def mark(m):
         case = F

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +23,32 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that ``saved`` writes inside are removed at the end, but for those
+    written with ``keep``."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _SCRATCH.pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def saved(spark: SparkSession, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared working folder and read it back.
 
     This cuts the lineage: a lost executor re-reads the files instead of
     recomputing the steps before, and later steps prune columns at the scan.
     """
     path = work_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    if _SCRATCH and not keep:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

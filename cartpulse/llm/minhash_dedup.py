@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartpulse.llm import textnum
-from cartpulse.llm.common import map_arrow, saved
+from cartpulse.llm.common import map_arrow, saved, scratch
 
 K = 64
 NEED_TRUNCATED = 32  # of 64 union values 51 are expected in both at t = 0.8
@@ -327,9 +327,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, k: i
 def one_of_each(spark: SparkSession, docs: DataFrame, shingle: int = 5) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates; rows that
     repeat an id and a text count as one document."""
-    gone = (near_duplicates(spark, docs, shingle).where("not kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
-    gone = saved(spark, gone, "minhash-dropped")
+    with scratch(spark):
+        gone = (near_duplicates(spark, docs, shingle).where("not kept")
+                .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
+        gone = saved(spark, gone, "minhash-dropped", keep=True)
     out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"])
                     & F.xxhash64(docs["text"]).eqNullSafe(gone["_key"]), "left_anti")
     repeats = docs.groupBy("doc_id", F.xxhash64("text").alias("_key")).count().where("count > 1")

@@ -1,11 +1,12 @@
 """Secrets in documents: broad candidates, then a random forest against false
 positives.
 
-Candidates are words holding a run of twelve or more key characters that has a
-digit or is very long. Features of a candidate are its length, the shares of
+Candidates are all runs of twelve or more key characters in a word that have a
+digit or are very long; a word can hold several (``NAME=value``, minified JSON,
+URL parameters). Features of a candidate are its length, the shares of
 character classes, the transitions between classes, its distinct characters, how
 much of its letters the corpus dictionary covers, the document's path (its
-source) and the neighbouring words. The forest is trained on labelled findings;
+source), the name before it in its word and the neighbouring words. The forest is trained on labelled findings;
 where none are given, they come from the documents by the strict formats and the
 plain negatives of ``weak_label``, and candidates that no rule decides are left
 for the forest.
@@ -14,7 +15,7 @@ The dictionary holds the most frequent lower-case words over all documents. All
 steps are DataFrame expressions and Spark ML's forest.
 
 Defined results: null and empty texts have no candidates; a null source is a path
-of its own; equal words of one text are findings each; rows that repeat an id
+of its own; equal words of one text, and equal runs of one word, are findings each; rows that repeat an id
 and a text share their findings; without labelled findings of both kinds every
 candidate is kept with score 1; extra columns are ignored by the scan and kept
 by ``redact``.
@@ -30,7 +31,11 @@ from pyspark.sql import functions as F
 
 from cartpulse.llm.common import saved, words
 
-CORE = r"""(?:^|[=:"'(])([A-Za-z0-9_+/-]{12,}={0,2})"""
+# '=' ends a key only where no value follows it
+CORE = r"""[A-Za-z0-9_+/-]{12,}(?:={1,2}(?![A-Za-z0-9_+/"'`<(\[{$=-]))?"""
+# the name that a value is given to: name=, "name":", name=>, <name>
+NAME = r"""([A-Za-z0-9_.-]+)["'`\])]*(?:[=:]+>?|>)["'`(\[{<]*$"""
+NEAR = 100  # characters looked at beside a candidate, and of the words around
 KEYWORDS = r"(?i)(key|token|secret|passw|pwd|auth|credential|bearer)"
 MASK = "<SECRET>"
 DICTIONARY_WORDS = 5000
@@ -44,29 +49,39 @@ FEATURES = ["length", "digit_share", "upper_share", "lower_share", "other_share"
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """One row for each candidate: doc_id, text_key, source, word_index, word,
-    core, and the words around it."""
+    """One row for each candidate: doc_id, text_key, source, word_index, nth (of the
+    runs in its word), core, lead and trail (the word's text beside it), and the
+    words around."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"),
                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
                        words(F.col("text").cast("string")).alias("w"))
 
-    def candidate(x: Column) -> Column:
-        core = F.regexp_extract(x, CORE, 1)
-        return (F.length(x) >= 12) & (F.length(core) >= 12) & (
-            core.rlike("[0-9]") | (F.length(core) >= 20))
-
     def around(i: Column) -> Column:
         def word(j):
             return F.coalesce(F.get(F.col("w"), j), F.lit(""))
         return F.struct(i.alias("word_index"), word(i).alias("word"),
-                        word(i - 1).alias("before"), word(i - 2).alias("before2"),
-                        word(i + 1).alias("after"))
+                        F.right(word(i - 1), F.lit(NEAR)).alias("before"),
+                        F.right(word(i - 2), F.lit(NEAR)).alias("before2"),
+                        F.left(word(i + 1), F.lit(NEAR)).alias("after"))
 
-    at = F.filter(F.transform("w", lambda x, i: F.when(candidate(x), i)), lambda i: i.isNotNull())
-    found = rows.withColumn("at", at).select(
+    at = F.filter(F.transform("w", lambda x, i: F.when((F.length(x) >= 12) & x.rlike(CORE), i)),
+                  lambda i: i.isNotNull())
+    held = rows.withColumn("at", at).select(
         "doc_id", "text_key", "source", F.explode(F.transform("at", around)).alias("c"))
-    return (found.select("doc_id", "text_key", "source", "c.*").distinct()
-            .withColumn("core", F.regexp_extract("word", CORE, 1)))
+    # gaps[j] stands before cores[j], the last gap after the last core
+    held = held.select("doc_id", "text_key", "source", "c.*",
+                       F.regexp_extract_all("c.word", F.lit(CORE), 0).alias("cores"),
+                       F.split("c.word", CORE, -1).alias("gaps")).drop("word")
+
+    def run(core: Column, j: Column) -> Column:
+        lead = F.concat(F.coalesce(F.get("cores", j - 1), F.lit("")), F.get("gaps", j))
+        return F.struct(j.alias("nth"), core.alias("core"), F.right(lead, F.lit(NEAR)).alias("lead"),
+                        F.left(F.get("gaps", j + 1), F.lit(1)).alias("trail"))
+
+    runs = F.filter(F.transform("cores", run),
+                    lambda r: r["core"].rlike("[0-9]") | (F.length(r["core"]) >= 20))
+    return (held.withColumn("r", F.explode(runs)).select(
+        "doc_id", "text_key", "source", "word_index", "r.*", "before", "before2", "after").distinct())
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
@@ -88,7 +103,7 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         core, "[^A-Za-z0-9]", "."), "[a-z]", "l"), "[A-Z]", "u"), "[0-9]", "d")
     runs = F.length(F.regexp_replace(classes, r"(.)\1*", "x"))
-    inside = F.regexp_extract("word", r"^(.*?)[=:]", 1)
+    inside = F.regexp_extract("lead", NAME, 1)
     out = found.select(
         "*", n.cast("double").alias("length"), share("0-9").alias("digit_share"),
         share("A-Z").alias("upper_share"), share("a-z").alias("lower_share"),
@@ -104,7 +119,8 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
         inside.rlike(KEYWORDS).cast("double").alias("key_inside"),
         (F.col("before").isin("=", ":", ":=", "=>") | F.col("before").rlike("[=:]$")
          | (inside != "")).cast("double").alias("assigned"),
-        F.col("word").rlike("""["']""").cast("double").alias("quoted"))
+        (F.col("lead").rlike("""["']$""") | F.col("trail").isin('"', "'")).cast("double")
+        .alias("quoted"))
 
     # dictionary lookups: the letters of the core, and the words beside it
     parts = F.filter(F.split(F.lower(F.regexp_replace("core", "[^A-Za-z]+", " ")), " "),
@@ -163,7 +179,7 @@ def train(labelled: DataFrame, max_rows: int = MAX_LABELLED, trees: int = 24, de
 
 
 def scan(spark: SparkSession, docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """Findings of every text: doc_id, text_key, word_index, word, core, kind, score.
+    """Findings of every text: doc_id, text_key, word_index, nth, core, kind, score.
 
     ``labelled`` holds findings (FEATURES and label) from reviewed scans.
     """
@@ -181,7 +197,7 @@ def scan(spark: SparkSession, docs: DataFrame, labelled: DataFrame | None = None
         scored = model.transform(vectors).withColumn(
             "score", vector_to_array("probability")[1])
     return scored.where(F.col("score") >= CUT).select(
-        "doc_id", "text_key", "word_index", "word", "core", kind().alias("kind"), "score")
+        "doc_id", "text_key", "word_index", "nth", "core", kind().alias("kind"), "score")
 
 
 def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -3,13 +3,14 @@
 A word is the mean of the embeddings of its character n-grams, so an unseen
 misspelling shares vectors with the words it resembles. A window of words is
 the mean of its words, and a linear softmax gives its two classes' logits.
-A text is toxic if any window is (noisy or). Embeddings and softmax are trained
-jointly in numpy on that likelihood of the texts' labels.
-
-Training reads a bounded sample: at most about ``per_class`` labelled texts of
-each class, drawn by a hash of the id among texts of at most ``max_chars``
-characters. A quarter of it is held back to place the decision threshold at
-score 0.7. Scoring needs one number for each n-gram bucket, so tasks get a
+A text is toxic if any window is. Embeddings and softmax are trained jointly in
+numpy on the noisy or of a text's windows; the score of a text is that of its
+most toxic window, as a noisy or grows with the mere number of windows.
+
+Training reads a bounded sample of whole texts: at most about ``per_class``
+labelled texts of each class and at most about ``max_chars`` characters of them
+together, drawn by a hash of the id whatever their length. A quarter of it is
+held back to place the decision threshold at score 0.7. Scoring needs one number for each n-gram bucket, so tasks get a
 table of fixed size.
 
 Defined results: null texts and texts without letters have no windows and get
@@ -25,7 +26,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartpulse.llm import textnum
@@ -37,7 +38,7 @@ BUCKETS = 1 << 18
 DIM = 8
 WINDOW = STRIDE = 8
 PER_CLASS = 2000
-MAX_CHARS = 6000
+MAX_CHARS = 5_000_000  # of all drawn texts of a class together
 THRESHOLD = 0.7
 EPOCHS = 40
 MIN_TEXTS = 20  # an n-gram in fewer training texts is not trained; less for small samples
@@ -180,7 +181,7 @@ class Model:
         self.cut, self.scale, self.trained = 0.0, 1.0, True
 
     def logits(self, texts: list[str]) -> np.ndarray:
-        """Logit of every text: the noisy or over its windows."""
+        """Logit of every text: that of its most toxic window."""
         out = np.full(len(texts), self.bias)
         for a, b in textnum.chunks(texts):
             words = Words(texts[a:b])
@@ -197,10 +198,8 @@ class Model:
             start, end, text = windows(words.bounds)
             sums = np.concatenate([[0.0], np.cumsum(word)])
             z = (sums[end] - sums[start]) / (end - start) + self.bias
-            clean = np.minimum(pooled(z, text, b - a), -1e-12)
-            # log(p / (1 - p)); a large sum keeps its order
-            logit = np.log(-np.expm1(clean)) - clean
-            out[a:b] = np.where(np.diff(words.bounds) > 0, logit, self.bias)
+            first = np.flatnonzero(np.diff(text, prepend=-1))
+            out[a + text[first]] = np.maximum.reduceat(z, first)
         return out
 
     def calibrate(self, z: np.ndarray, toxic: np.ndarray) -> None:
@@ -248,17 +247,32 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = P
     marks = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min("toxic").alias("_low"), F.max("toxic").alias("toxic"))
              .where("_low = toxic").select(F.col("doc_id").alias("_id"), "toxic"))
-    rows = (docs.where(usable & (F.length("text") <= max_chars))
-            .select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id")).drop("_id"))
-    sizes = dict(rows.groupBy("toxic").count().collect())
+    chars = F.length("text").cast("long")
+    rows = docs.where(usable & (chars <= 2 * max_chars))  # one text alone beyond the bound
+    # lengths alone are joined with all labels, texts only with the drawn ids
+    sized = (rows.select("doc_id", chars.alias("chars"))
+             .join(marks, F.col("doc_id") == F.col("_id")))
+    sizes = {r.toxic: r for r in sized.groupBy("toxic").agg(
+        F.count("*").alias("n"), F.sum("chars").alias("chars")).collect()}
     if len(sizes) < 2:
         return untrained()
 
     def draw(step):
         return F.pmod(F.xxhash64(F.lit(step), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
 
-    chance = F.when(F.col("toxic") == 1, per_class / sizes[1]).otherwise(per_class / sizes[0])
-    sample = (rows.where(draw("sample") < chance)
+    def chance(of):
+        return min(per_class / of.n, max_chars / max(of.chars, 1))
+
+    # the running sum only cuts a draw of twice the expected characters
+    order = Window.partitionBy("toxic").orderBy(draw("sample"), "doc_id", "text").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    drawn = (sized.where(draw("sample") < F.when(F.col("toxic") == 1, chance(sizes[1]))
+                         .otherwise(chance(sizes[0])))
+             .select("_id", "toxic").distinct())
+    # at most about per_class ids of each class, whatever the input's size
+    sample = (rows.select("doc_id", "text")
+              .join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
+              .withColumn("_chars", F.sum(chars).over(order)).where(F.col("_chars") <= 2 * max_chars)
               .select("doc_id", "text", "toxic", (draw("back") < 0.25).alias("back"))
               .toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]))
     return train_texts(sample["text"].to_pylist(), sample["toxic"].to_numpy() == 1,

@@ -71,3 +71,25 @@ def test_without_labels(spark):
     assert {r.score for r in T.score(docs, model).collect()} == {0.0}
     assert T.without_toxic(docs, model).count() == 304
     assert T.score(docs.where("false"), model).count() == 0
+
+
+def test_length_alone_is_no_evidence():
+    texts, toxic = sample(300, 1)
+    model = T.train_texts(texts, toxic, np.arange(300) % 4 == 0)
+    rng = random.Random(3)
+    long = [" ".join(rng.choice(VOCAB) for _ in range(n)) for n in (1000, 4000, 20000, 60000)]
+    assert model.scores(long).max() < T.THRESHOLD
+    assert model.scores([t + " grumbolix grumbols" for t in long]).min() >= T.THRESHOLD
+    one = model.logits(texts[:1])
+    assert np.isclose(model.logits([" ".join([texts[0] + " ." * 8] * 50)]), one, atol=2).all()
+
+
+def test_long_texts_are_drawn(spark):
+    texts, toxic = sample(120, 6)
+    docs = spark.createDataFrame([(i, t + " " + " ".join(VOCAB * 30)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    assert docs.where("length(text) <= 6000").count() == 0
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    assert T.train(docs, labels, F.lit(True)).trained
+    few = T.train(docs, labels, F.lit(True), max_chars=60_000)  # about eight texts of a class
+    assert few.trained

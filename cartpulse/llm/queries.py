@@ -106,10 +106,10 @@ def op4_secret_scans(spark, sf_dir):
 def op1_token_counts(spark, sf_dir):
     """Every document's token count, and the count after its redactions."""
     import public_tokenizers
-    from cartpulse.llm.token_counts import build_trees, recount, with_redactions
+    from cartpulse.llm.token_counts import count_edited, with_redactions
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    trees = build_trees(read(spark, sf_dir, "documents"), vocabulary)
-    return recount(with_redactions(trees), vocabulary).select(
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_edited(with_redactions(docs), vocabulary).select(
         "doc_id", "n_tokens", "n_edits", "n_tokens_after", "encoded_pieces", "updated_nodes",
         F.size("leaf_tokens").alias("n_leaves"))
 

@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import base64
 from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,10 @@ from pyspark.sql import functions as F
 from cartpulse.llm.common import map_arrow
 
 LEAF = 32
-CACHE_WORDS = 800_000
+CACHE_BYTES = 16 << 20  # of remembered pre-tokens, with an entry's own ENTRY bytes
+ENTRY = 150
+CACHED = 32  # characters; longer pre-tokens are not remembered
+PIECES = 1 << 14  # pre-tokens of a text that are held at once
 
 # The vocabulary's own pre-token pattern (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -57,17 +62,31 @@ class Counter:
                                           special_tokens={})
         self.pattern = regex.compile(PATTERN)
         self.known: dict[str, int] = {}
+        self.bytes = 0
 
     def tokens(self, pieces: list[str]) -> list[int]:
-        new = set(pieces).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known.clear()
-                new = set(pieces)
-            encode = self.encoding.encode_ordinary
-            for p in new:
-                self.known[p] = len(encode(p))
-        return list(map(self.known.__getitem__, pieces))
+        known = self.known
+        new = set(pieces).difference(known)
+        if not new:
+            return list(map(known.__getitem__, pieces))
+        encode = self.encoding.encode_ordinary
+        fresh = {p: len(encode(p)) for p in new}
+        out = [fresh[p] if p in fresh else known[p] for p in pieces]
+        short = {p: n for p, n in fresh.items() if len(p) <= CACHED}
+        size = sum(map(len, short)) + ENTRY * len(short)
+        if self.bytes + size > CACHE_BYTES:
+            known.clear()
+            self.bytes = 0
+        if size <= CACHE_BYTES:
+            known.update(short)
+            self.bytes += size
+        return out
+
+    def blocks(self, text: str, size: int) -> Iterator[list[str]]:
+        """The pre-tokens, ``size`` at a time."""
+        found = (m.group() for m in self.pattern.finditer(text))
+        while block := list(islice(found, size)):
+            yield block
 
     def split(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -88,6 +107,16 @@ def leaves(pieces: list[str], tokens: list[int], size: int) -> tuple[np.ndarray,
     return chars, np.add.reduceat(np.array(tokens, np.int32), at)
 
 
+def leaves_of(text: str, count: Counter, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Characters and tokens of each leaf of a whole text. A block of pre-tokens holds
+    whole leaves, so the leaves do not depend on the blocks."""
+    parts = [leaves(block, count.tokens(block), size)
+             for block in count.blocks(text, max(1, PIECES // size) * size)]
+    if not parts:
+        return leaves([], [], size)
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
 class Tree:
     """Segment tree over leaves, as one array: node i has children 2i and 2i + 1."""
 
@@ -212,9 +241,8 @@ def _builder(path: str, leaf: int):
         count = counter(path)
         for batch in batches:
             total, chars, tokens = [], [], []
-            for text in batch.column("text").to_pylist():
-                pieces = count.split(text or "")
-                c, t = leaves(pieces, count.tokens(pieces), leaf)
+            for text in batch.column("text"):
+                c, t = leaves_of(text.as_py() or "", count, leaf)
                 chars.append(c)
                 tokens.append(t)
                 total.append(int(t.sum()))
@@ -232,45 +260,73 @@ def build_trees(docs: DataFrame, vocabulary: str, leaf: int = LEAF) -> DataFrame
     return map_arrow(rows, _builder(vocabulary, leaf), f"doc_id long, text string, {TREE}")
 
 
+COUNTS = ("n_tokens long, n_edits int, n_tokens_after long, encoded_pieces long, "
+          "updated_nodes long, leaf_chars array<int>, leaf_tokens array<int>")
+
+
+def _counts(columns: list[list]) -> list[pa.Array]:
+    ints = pa.list_(pa.int32())
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), ints, ints]
+    return [pa.array(c, t) for c, t in zip(columns, types)]
+
+
+def _edited(text: str, chars: np.ndarray, tokens: np.ndarray, n: int, edits: list | None,
+            count: Counter, leaf: int) -> tuple[str, list]:
+    """(new text, its COUNTS)."""
+    edits = valid_edits(edits, len(text))
+    if not edits:
+        return text, [n, 0, n, 0, 0, chars, tokens]
+    tree = Tree(chars.astype(np.int64), tokens.astype(np.int64))
+    after, encoded = apply_edits(text, tree, edits, count, leaf)
+    rows = tree.rows().astype(np.int32)
+    return after, [n, len(edits), tree.total()[1], encoded, tree.updated, rows[:, 0], rows[:, 1]]
+
+
 def _recounter(path: str, leaf: int):
     def run(batches):
         count = counter(path)
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in (
-                "text", "n_edits", "n_tokens_after", "encoded", "updated", "chars", "tokens")}
-            columns = [batch.column(c) for c in ("text", "edits", "n_tokens", "leaf_chars", "leaf_tokens")]
-            for text, edits, n, chars, tokens in zip(*columns):
-                text, n = text.as_py(), n.as_py()
-                edits = valid_edits(edits.as_py(), len(text or "")) if edits.is_valid else []
-                if not edits:
-                    new = (text, 0, n, 0, 0, chars.as_py(), tokens.as_py())
-                else:
-                    tree = Tree(np.array(chars.as_py(), np.int64), np.array(tokens.as_py(), np.int64))
-                    after, encoded = apply_edits(text or "", tree, edits, count, leaf)
-                    rows = tree.rows()
-                    new = (after, len(edits), tree.total()[1], encoded, tree.updated,
-                           rows[:, 0].tolist(), rows[:, 1].tolist())
-                for c, v in zip(out, new):
-                    out[c].append(v)
-            ints = pa.list_(pa.int32())
+            texts, rows = [], []
+            columns = [batch.column(c) for c in ("text", "leaf_chars", "leaf_tokens", "n_tokens", "edits")]
+            for text, chars, tokens, n, edits in zip(*columns):
+                chars, tokens = (np.array(x.as_py() or [], np.int32) for x in (chars, tokens))
+                new, counts = _edited(text.as_py() or "", chars, tokens, n.as_py(), edits.as_py(), count, leaf)
+                texts.append(new if text.is_valid or counts[1] else None)
+                rows.append(counts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(out["text"], pa.string()), batch.column("n_tokens"),
-                 pa.array(out["n_edits"], pa.int32()), pa.array(out["n_tokens_after"], pa.int64()),
-                 pa.array(out["encoded"], pa.int64()), pa.array(out["updated"], pa.int64()),
-                 pa.array(out["chars"], ints), pa.array(out["tokens"], ints)],
-                names=["doc_id", "text", "n_tokens", "n_edits", "n_tokens_after", "encoded_pieces",
-                       "updated_nodes", "leaf_chars", "leaf_tokens"])
+                [batch.column("doc_id"), pa.array(texts, pa.string()),
+                 *_counts(list(zip(*rows)) if rows else [[]] * 7)],
+                names=["doc_id", "text", *(c.split()[0] for c in COUNTS.split(", "))])
     return run
 
 
+def _whole(path: str, leaf: int):
+    def run(batches):
+        count = counter(path)
+        for batch in batches:
+            rows = []
+            for text, edits in zip(batch.column("text"), batch.column("edits")):
+                text = text.as_py() or ""
+                chars, tokens = leaves_of(text, count, leaf)
+                rows.append(_edited(text, chars, tokens, int(tokens.sum()), edits.as_py(), count, leaf)[1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *_counts(list(zip(*rows)) if rows else [[]] * 7)],
+                names=["doc_id", *(c.split()[0] for c in COUNTS.split(", "))])
+    return run
+
+
+def count_edited(docs: DataFrame, vocabulary: str, leaf: int = LEAF) -> DataFrame:
+    """``build_trees`` and ``recount`` in one pass over ``docs`` with a column
+    ``edits``: the counts before and after, without the texts."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "edits")
+    return map_arrow(rows, _whole(vocabulary, leaf), f"doc_id long, {COUNTS}")
+
+
 def recount(trees: DataFrame, vocabulary: str, leaf: int = LEAF) -> DataFrame:
     """Apply the column ``edits`` (array of EDIT) of a table of trees: the new text
     and tree, the count before and after, and how much was encoded and updated."""
     rows = trees.select("doc_id", "text", "n_tokens", "leaf_chars", "leaf_tokens", "edits")
-    return map_arrow(rows, _recounter(vocabulary, leaf),
-                     "doc_id long, text string, n_tokens long, n_edits int, n_tokens_after long, "
-                     "encoded_pieces long, updated_nodes long, leaf_chars array<int>, "
-                     "leaf_tokens array<int>")
+    return map_arrow(rows, _recounter(vocabulary, leaf), f"doc_id long, text string, {COUNTS}")
 
 
 # Edits of the query: personal data and keys give way to marks, runs of

@@ -98,7 +98,7 @@ class Corpus:
         self.firsts = np.concatenate([[0], np.cumsum(self.sizes)])
 
 
-def _word_means(table: np.ndarray, corpus: Corpus, block: int = 20_000) -> np.ndarray:
+def _word_means(table: np.ndarray, corpus: Corpus, block: int = 4_000) -> np.ndarray:
     out = np.zeros((len(corpus.sizes), table.shape[1]), np.float32)
     for a in range(0, len(out), block):
         b = min(a + block, len(out))
@@ -110,6 +110,19 @@ def _word_means(table: np.ndarray, corpus: Corpus, block: int = 20_000) -> np.nd
     return out
 
 
+def _window_means(words: np.ndarray, tokens: np.ndarray, start: np.ndarray, end: np.ndarray,
+                  block: int = 8_000) -> np.ndarray:
+    """Mean of each window's words; the tokens of a block of windows at a time."""
+    out = np.zeros((len(start), words.shape[1]), np.float32)
+    for a in range(0, len(start), block):
+        b = min(a + block, len(start))
+        lo, hi = start[a], end[b - 1]
+        sums = np.zeros((hi - lo + 1, words.shape[1]))
+        np.cumsum(words[tokens[lo:hi]], axis=0, dtype=np.float64, out=sums[1:])
+        out[a:b] = (sums[end[a:b] - lo] - sums[start[a:b] - lo]) / (end[a:b] - start[a:b])[:, None]
+    return out
+
+
 class Descent:
     """Gradient descent with momentum; the largest entry moves by ``rate``. One
     scale for the whole array lets n-grams with steady evidence outrun noise."""
@@ -140,17 +153,15 @@ def fit(corpus: Corpus, toxic: np.ndarray, epochs: int, rate: float = RATE,
     common = (corpus.text_counts >= at_least)[:, None]
     start, end, text = windows(corpus.bounds)
     share = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
-    length = (end - start)[:, None]
-    owner = np.repeat(np.arange(len(corpus.sizes)), corpus.sizes)
+    length = end - start
+    owner = np.repeat(np.arange(len(corpus.sizes), dtype=np.int32), corpus.sizes)
     # chance alone moves a gradient by about the root of an n-gram's count
     often = np.bincount(corpus.tokens, minlength=len(corpus.sizes))
     often = np.bincount(corpus.ids, often[owner], minlength=BUCKETS)[:, None]
     trust = (common / np.sqrt(np.maximum(often, 1))).astype(np.float32)
     for _ in range(epochs):
         words = _word_means(table.value, corpus)
-        sums = np.vstack([np.zeros((1, DIM)),
-                          np.cumsum(words[corpus.tokens], axis=0, dtype=np.float64)])
-        mean = (sums[end] - sums[start]) / length
+        mean = _window_means(words, corpus.tokens, start, end)
         to_toxic = weights.value[:, 1] - weights.value[:, 0]
         z = np.clip(mean @ to_toxic + (bias.value[1] - bias.value[0]), -30, 30)
         clean = np.minimum(pooled(z, text, len(toxic)), -1e-6)
@@ -158,15 +169,17 @@ def fit(corpus: Corpus, toxic: np.ndarray, epochs: int, rate: float = RATE,
         odds = np.where(toxic, -np.exp(clean) / -np.expm1(clean), 1.0)
         gz = (share * odds)[text] / (1 + np.exp(-z))
         # through the softmax, the windows, the words, the n-grams
-        part = gz[:, None] * to_toxic[None, :] / length
         gw = mean.T @ gz
+        each = gz / length
+        edge = (np.bincount(start, each, minlength=len(corpus.tokens) + 1)
+                - np.bincount(end, each, minlength=len(corpus.tokens) + 1))
+        word = np.bincount(corpus.tokens, np.cumsum(edge)[:-1], minlength=len(corpus.sizes))
+        word /= np.maximum(corpus.sizes, 1)
+        evidence = np.bincount(corpus.ids, word[owner], minlength=BUCKETS)
         grad = np.empty((BUCKETS, DIM), np.float32)
         for d in range(DIM):
-            edge = (np.bincount(start, part[:, d], minlength=len(corpus.tokens) + 1)
-                    - np.bincount(end, part[:, d], minlength=len(corpus.tokens) + 1))
-            word = np.bincount(corpus.tokens, np.cumsum(edge)[:-1], minlength=len(corpus.sizes))
-            word /= np.maximum(corpus.sizes, 1)
-            grad[:, d] = np.bincount(corpus.ids, word[owner], minlength=BUCKETS)
+            # every column is the same evidence, times the softmax's weight
+            grad[:, d] = evidence * to_toxic[d]
         table.step(grad * trust)
         weights.step(np.stack([-gw, gw], 1).astype(np.float32))
         bias.step(np.array([-gz.sum(), gz.sum()], np.float32))
@@ -231,13 +244,20 @@ def train_texts(texts: list[str], toxic: np.ndarray, back: np.ndarray) -> Model:
     """Train on the rows where ``back`` is false and calibrate on the others."""
     if not toxic[~back].any() or toxic[~back].all():
         return untrained()
-    corpus = Corpus([t for t, b in zip(texts, back) if not b])
+    use = back if toxic[back].any() and not toxic[back].all() else ~back
+    return _train([t for t, b in zip(texts, back) if not b], toxic[~back],
+                  [t for t, u in zip(texts, use) if u], toxic[use])
+
+
+def _train(seen: list[str], toxic: np.ndarray, held: list[str], held_toxic: np.ndarray) -> Model:
+    corpus = Corpus(seen)
+    seen.clear()  # the corpus has what is needed of them
     if not len(corpus.ids):
         return untrained()
-    table, weights, bias = fit(corpus, toxic[~back], EPOCHS)
+    table, weights, bias = fit(corpus, toxic, EPOCHS)
+    del corpus
     model = Model(table @ (weights[:, 1] - weights[:, 0]), float(bias[1] - bias[0]))
-    use = back if toxic[back].any() and not toxic[back].all() else ~back
-    model.calibrate(model.logits([t for t, u in zip(texts, use) if u]), toxic[use])
+    model.calibrate(model.logits(held), held_toxic)
     return model
 
 
@@ -275,8 +295,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = P
               .withColumn("_chars", F.sum(chars).over(order)).where(F.col("_chars") <= 2 * max_chars)
               .select("doc_id", "text", "toxic", (draw("back") < 0.25).alias("back"))
               .toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]))
-    return train_texts(sample["text"].to_pylist(), sample["toxic"].to_numpy() == 1,
-                       np.array(sample["back"].to_pylist(), bool))
+    texts, toxic = sample["text"].to_pylist(), sample["toxic"].to_numpy() == 1
+    back = np.array(sample["back"].to_pylist(), bool)
+    del sample
+    return train_texts(texts, toxic, back)
 
 
 def _scorer(model_cast):

@@ -28,8 +28,8 @@ _SCRATCH: list[list[str]] = []
 
 @contextmanager
 def scratch(spark: SparkSession):
-    """Tables that ``saved`` writes inside are removed at the end, but for those
-    written with ``keep``."""
+    """Tables that ``saved`` writes inside are removed at the end; those written with
+    ``keep`` are left to the scratch around, if there is one."""
     _SCRATCH.append([])
     try:
         yield
@@ -47,8 +47,9 @@ def saved(spark: SparkSession, df: DataFrame, name: str, keep: bool = False) ->
     recomputing the steps before, and later steps prune columns at the scan.
     """
     path = work_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    if _SCRATCH and not keep:
-        _SCRATCH[-1].append(path)
+    owner = len(_SCRATCH) - (2 if keep else 1)
+    if owner >= 0:
+        _SCRATCH[owner].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -56,6 +57,14 @@ def saved(spark: SparkSession, df: DataFrame, name: str, keep: bool = False) ->
 _SHIPPED: set[str] = set()
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, made longer until no column has it (in any letter case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, so that
     tasks import it wherever the driver found it."""

@@ -6,10 +6,12 @@ digit or are very long; a word can hold several (``NAME=value``, minified JSON,
 URL parameters). Features of a candidate are its length, the shares of
 character classes, the transitions between classes, its distinct characters, how
 much of its letters the corpus dictionary covers, the document's path (its
-source), the name before it in its word and the neighbouring words. The forest is trained on labelled findings;
-where none are given, they come from the documents by the strict formats and the
-plain negatives of ``weak_label``, and candidates that no rule decides are left
-for the forest.
+source), the name before it in its word and the neighbouring words, of which the
+``NEAR`` characters next to the candidate count. The forest is trained on labelled
+findings, drawn for each label on its own; where none are given, they come from the
+documents by the strict formats and the plain negatives of ``weak_label``, and
+candidates that no rule decides, such as a key that stands alone, are left for the
+forest.
 
 The dictionary holds the most frequent lower-case words over all documents. All
 steps are DataFrame expressions and Spark ML's forest.
@@ -17,8 +19,8 @@ steps are DataFrame expressions and Spark ML's forest.
 Defined results: null and empty texts have no candidates; a null source is a path
 of its own; equal words of one text, and equal runs of one word, are findings each; rows that repeat an id
 and a text share their findings; without labelled findings of both kinds every
-candidate is kept with score 1; extra columns are ignored by the scan and kept
-by ``redact``.
+candidate is kept with score 1; extra columns, whatever their names, are ignored by
+the scan and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -29,12 +31,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpulse.llm.common import saved, words
+from cartpulse.llm.common import saved, scratch, unused, words
 
 # '=' ends a key only where no value follows it
 CORE = r"""[A-Za-z0-9_+/-]{12,}(?:={1,2}(?![A-Za-z0-9_+/"'`<(\[{$=-]))?"""
 # the name that a value is given to: name=, "name":", name=>, <name>
 NAME = r"""([A-Za-z0-9_.-]+)["'`\])]*(?:[=:]+>?|>)["'`(\[{<]*$"""
+# Formats of common keys (fixed values); such a candidate is a secret by itself.
+STRICT = r"""^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^glpat-[0-9A-Za-z_-]{20}$""" \
+         r"""|^AIza[0-9A-Za-z_-]{35}$|^xox[abprs]-[0-9A-Za-z-]{10,}$|^sk_(live|test)_[0-9A-Za-z]{24,}$"""
 NEAR = 100  # characters looked at beside a candidate, and of the words around
 KEYWORDS = r"(?i)(key|token|secret|passw|pwd|auth|credential|bearer)"
 MASK = "<SECRET>"
@@ -88,9 +93,18 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY_WORDS) -> DataFrame:
     """The most frequent words of four letters or more over all texts."""
     letters = F.regexp_replace(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))),
                                r"[^\p{L}]+", " ")
-    return (docs.select(F.explode(F.split(letters, " ")).alias("entry"))
-            .where("length(entry) >= 4").groupBy("entry").count()
-            .orderBy(F.desc("count"), "entry").limit(size).select("entry"))
+    counts = saved(docs.sparkSession, docs.select(F.explode(F.split(letters, " ")).alias("entry"))
+                   .where("length(entry) >= 4").groupBy("entry").count(), "secret-words")
+    # words by steps of a tenth in their counts: some hundred steps at most
+    step = F.floor(F.log(1.1, "count"))
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
+    least, n = 0, 0
+    for r in steps:
+        least, n = r.step, n + r.n
+        if n >= size:
+            break
+    # only words of the last step are too many
+    return (counts.where(step >= least).orderBy(F.desc("count"), "entry").limit(size).select("entry"))
 
 
 def features(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -145,37 +159,50 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
 
 def kind() -> Column:
     core = F.col("core")
-    return (F.when(core.rlike("^AKIA[0-9A-Z]{16}$"), "access_key")
+    return (F.when(core.rlike(STRICT), "access_key")
             .when(core.rlike("^[0-9a-f]{32,}$"), "hex_token")
             .when(F.col("key_inside") > 0, "password").otherwise("other"))
 
 
 def weak_label() -> Column:
-    """1 secret, 0 not, null undecided: strict formats and plain negatives."""
+    """1 secret, 0 not, null undecided: strict formats and plain negatives. A mixed
+    run of letters and digits without any context is undecided, not a negative."""
     core = F.col("core")
-    return (F.when(core.rlike("^AKIA[0-9A-Z]{16}$"), 1)
+    mixed = (core.rlike("[0-9]") & core.rlike("[A-Za-z]") & (F.col("transitions") >= 0.15)
+             & (F.col("covered_share") < 0.3))
+    return (F.when(core.rlike(STRICT), 1)
             .when(core.rlike("^[0-9a-f]{32,}$") & (F.col("key_before") > 0), 1)
             .when(core.rlike("[0-9]") & core.rlike("[A-Za-z]") & (F.col("key_inside") > 0), 1)
             .when(core.rlike("^[0-9_+/=-]+$") | core.rlike("^[A-Za-z_/=-]+$"), 0)
-            .when((F.col("key_before") == 0) & (F.col("assigned") == 0) & (F.col("quoted") == 0), 0))
+            .when((F.col("key_before") == 0) & (F.col("assigned") == 0) & (F.col("quoted") == 0) & ~mixed, 0))
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_LABELLED, trees: int = 24, depth: int = 6):
     """A forest from rows of FEATURES and ``label``, or None without both kinds.
 
-    At most about ``max_rows`` rows are used, drawn by a hash of the finding.
+    At most about ``max_rows`` rows are used, half of each label where there are
+    as many, drawn by a hash of the features and the row's place among equal ones.
     """
+    labelled = labelled.where(F.col("label").isin(0, 1)).select(*FEATURES, F.col("label").cast("int"))
     sizes = dict(labelled.groupBy("label").count().collect())
     if len(sizes) < 2:
         return None
-    chance = max_rows / sum(sizes.values())
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "core", "word_index"), F.lit(1 << 20)) / float(1 << 20)
-    rows = (labelled.where(draw < chance) if chance < 1 else labelled).withColumn(
-        "weight", F.when(F.col("label") == 1, 0.5 / sizes[1]).otherwise(0.5 / sizes[0]))
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+    few = min(sizes.values())
+    share = {label: max(max_rows - min(few, max_rows // 2), max_rows // 2) if n > few else max_rows // 2
+             for label, n in sizes.items()}
+    draw = F.pmod(F.xxhash64(F.lit("sample"), *FEATURES, F.monotonically_increasing_id()),
+                  F.lit(1 << 30)) / float(1 << 30)
+    chance = F.when(F.col("label") == 1, share[1] / sizes[1]).otherwise(share[0] / sizes[0])
+    rows = labelled.where(draw < chance)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).select("features", "label")
+    rows = saved(labelled.sparkSession, rows, "secret-labelled")
+    drawn = dict(rows.groupBy("label").count().collect())
+    if len(drawn) < 2:
+        return None
+    rows = rows.withColumn("weight", F.when(F.col("label") == 1, 0.5 / drawn[1]).otherwise(0.5 / drawn[0]))
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                     numTrees=trees, maxDepth=depth, seed=11, minWeightFractionPerNode=0.0)
-    return forest.fit(rows.select("features", "label", "weight"))
+    return forest.fit(rows)
 
 
 def scan(spark: SparkSession, docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
@@ -183,36 +210,39 @@ def scan(spark: SparkSession, docs: DataFrame, labelled: DataFrame | None = None
 
     ``labelled`` holds findings (FEATURES and label) from reviewed scans.
     """
-    found = saved(spark, candidates(docs).withColumn("id", F.monotonically_increasing_id()),
-                  "secret-candidates")
-    known = saved(spark, dictionary(docs), "secret-dictionary")
-    scored = saved(spark, features(found, known), "secret-features")
-    if labelled is None:
-        labelled = scored.withColumn("label", weak_label()).where("label is not null")
-    model = train(labelled)
-    if model is None:
-        scored = scored.withColumn("score", F.lit(1.0))
-    else:
-        vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(scored)
-        scored = model.transform(vectors).withColumn(
-            "score", vector_to_array("probability")[1])
-    return scored.where(F.col("score") >= CUT).select(
-        "doc_id", "text_key", "word_index", "nth", "core", kind().alias("kind"), "score")
+    with scratch(spark):
+        found = saved(spark, candidates(docs).withColumn("id", F.monotonically_increasing_id()),
+                      "secret-candidates")
+        known = saved(spark, dictionary(docs), "secret-dictionary")
+        scored = saved(spark, features(found, known), "secret-features")
+        if labelled is None:
+            labelled = scored.withColumn("label", weak_label()).where("label is not null")
+        model = train(labelled)
+        if model is None:
+            scored = scored.withColumn("score", F.lit(1.0))
+        else:
+            vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(scored)
+            scored = model.transform(vectors).withColumn("score", vector_to_array("probability")[1])
+        return saved(spark, scored.where(F.col("score") >= CUT).select(
+            "doc_id", "text_key", "word_index", "nth", "core", kind().alias("kind"), "score"),
+            "secret-findings", keep=True)
 
 
 def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` with every finding masked in ``text`` (and ``n_chars`` renewed)."""
-    found = scan(spark, docs).groupBy("doc_id", "text_key").agg(
-        F.collect_set("core").alias("_cores"))
-    found = found.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    rows = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-                     & F.xxhash64(docs["text"]).eqNullSafe(F.col("_key")), "left")
+    id_, key, held = (unused(c, docs.columns) for c in ("_id", "_key", "_cores"))
+    with scratch(spark):
+        found = saved(spark, scan(spark, docs).groupBy(
+            F.col("doc_id").alias(id_), F.col("text_key").alias(key)).agg(
+            F.collect_set("core").alias(held)), "secret-found", keep=True)
+    rows = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found[id_])
+                     & F.xxhash64(docs["text"]).eqNullSafe(found[key]), "left")
     # longest first, so that a core inside another leaves no rest
-    cores = F.array_sort("_cores", lambda a, b: F.length(b) - F.length(a))
-    masked = F.when(F.col("_cores").isNotNull(), F.aggregate(
-        cores, F.col("text"), lambda t, c: F.replace(t, c, F.lit(MASK)))).otherwise(F.col("text"))
+    cores = F.array_sort(held, lambda a, b: F.length(b) - F.length(a))
+    masked = F.when(F.col(held).isNotNull(), F.aggregate(
+        cores, docs["text"], lambda t, c: F.replace(t, c, F.lit(MASK)))).otherwise(docs["text"])
     rows = rows.withColumn("text", masked)
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_cores").isNotNull(), F.length("text").cast(
+        rows = rows.withColumn("n_chars", F.when(F.col(held).isNotNull(), F.length("text").cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(*docs.columns)

@@ -384,9 +384,9 @@ def links(spark: SparkSession, nodes: DataFrame, sample: int = SAMPLE, shard: in
 def near_duplicates(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE, shard: int = SHARD,
                     group: int = GROUP) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document."""
-    # tables that are used up here are removed at the end; the result reads two
-    prints = saved(spark, fingerprints(docs), "simhash-prints", keep=True)
     with scratch(spark):
+        # the result reads this table and the last
+        prints = saved(spark, fingerprints(docs), "simhash-prints", keep=True)
         nodes = saved(spark, prints.groupBy("point").agg(
             F.coalesce(F.min("doc_id"), F.lit(LONGEST)).alias("low"),
             F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-nodes")

@@ -89,3 +89,57 @@ def test_every_run_of_a_word_is_judged(spark):
     for i, (_, cores) in cases.items():
         assert not [c for c in cores if c in texts[i]] and texts[i].count(S.MASK) == len(cores)
     assert "secret_access_key" in texts[2002] and "&page=1" in texts[2003]
+
+
+def test_a_rare_label_is_drawn(spark):
+    """4 findings of 200,000 are secrets; the forest still sees both kinds."""
+    rare = F.col("id") % 50_000 == 0
+    rows = spark.range(200_000).select(rare.cast("int").alias("label"), *[
+        (F.when(rare, 1.0).otherwise(0.0) + F.pmod(F.xxhash64("id", F.lit(f)), F.lit(100)) / 1000).alias(f)
+        for f in S.FEATURES])
+    model = S.train(rows, max_rows=2000)
+    vectors = S.VectorAssembler(inputCols=S.FEATURES, outputCol="features").transform(rows)
+    scores = model.transform(vectors).withColumn("score", S.vector_to_array("probability")[1])
+    assert scores.where("(score >= 0.5) <> (label = 1)").isEmpty()
+    assert S.train(rows.where("label = 0")) is None
+
+
+def test_clashing_names(spark):
+    df, secrets = docs(spark)
+    odd = df.withColumns({"_id": F.lit(1), "_KEY": F.lit("k"), "_cores": F.lit("c"), "id": F.lit(2)})
+    out = S.redact(spark, odd)
+    assert out.columns == odd.columns
+    rows = {r.doc_id: r for r in out.collect()}
+    assert all(s not in rows[i].text and rows[i]._KEY == "k" for i, s in secrets.items())
+
+
+def test_keys_that_stand_alone(spark):
+    df, secrets = docs(spark)
+    rng = random.Random(12)
+    bare = {3000 + i: "".join(rng.choice("0123456789abcdef") for _ in range(40)) for i in range(60)}
+    strict = {4000: "ghp_" + "a1B2c3D4e5F6" * 3, 4001: "AIza" + "Sy0_-" * 7}
+    more = spark.createDataFrame([(i, f"river stone {k} cloud garden", "src1", 1, "")
+                                  for i, k in {**bare, **strict}.items()], df.schema)
+    found = {r.doc_id: r.core for r in S.scan(spark, df.unionByName(more)).collect()}
+    assert {i: found.get(i) for i in (*bare, *strict)} == {**bare, **strict}
+
+
+def test_candidates_equal_a_plain_search(spark):
+    import re
+    df, _ = docs(spark)
+    long = " ".join(f"word{i} k{i}=Abcdefgh{i:06d}ijk" for i in range(20_000))
+    df = df.unionByName(spark.createDataFrame([(5000, long, "s", 1, "")], df.schema))
+    core = re.compile(S.CORE)
+    want = {(r.doc_id, i, m.group()) for r in df.collect()
+            for i, w in enumerate(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+            for m in core.finditer(w) if re.search("[0-9]", m.group()) or len(m.group()) >= 20}
+    got = {(r.doc_id, r.word_index, r.core) for r in S.candidates(df).collect()}
+    assert got == want and len(got) > 20_000
+
+
+def test_dictionary_is_the_most_frequent_words(spark):
+    text = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]} " * (i + 1) for i in range(60))
+    df = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    words = [r.entry for r in S.dictionary(df, 25).collect()]
+    assert words == [f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(59, 34, -1)]
+    assert len(S.dictionary(df, 500).collect()) == 60

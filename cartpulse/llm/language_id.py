@@ -12,9 +12,12 @@ The n-gram counts come from a sample of labelled texts, at most about
 the tasks and only the table of counts (buckets x languages) reaches the driver.
 
 Defined results: null text or text without letters gives ``und`` and score 0; a
-text in scripts that no language was trained on, too; without labelled rows
-every text is ``und``; ties go to the language first in alphabetical order;
-repeated rows are labelled each; extra columns are ignored.
+text that has letters only in scripts that no language was trained on gets the
+language of the best n-gram scores, or the most frequent one where these say
+nothing, and score 0; without labelled rows every text is ``und``; ties go to the
+language first in alphabetical order; repeated rows are labelled each; extra columns
+are ignored. Words are scored ``CELLS`` (characters x languages) at a time; the
+labels of a batch of texts take words x languages cells.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ from cartpulse.llm.common import map_arrow
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 10.0
-SUB_BATCH = 12_000_000  # characters labelled at a time
+CELLS = 1 << 22  # characters x languages scored at a time
+BATCH_CELLS = 48_000_000  # characters x languages labelled at a time
 PER_LANGUAGE = 2000
 SCRIPT_SHARE = 0.01
 
@@ -73,7 +77,10 @@ class Words:
         small = np.minimum(points, 0xFFFF)
         # letters beyond the first plane keep their code and the script "other"
         beyond = points > 0xFFFF
-        self.codes = np.where(beyond, points, lower[small])
+        self.codes = lower[small]
+        if beyond.any():
+            far, at = np.unique(points[beyond], return_inverse=True)
+            self.codes[beyond] = np.array([c if chr(c).isalpha() else 0 for c in far], np.uint32)[at]
         self.starts, self.ends = textnum.runs(self.codes != 0)
         self.script = np.where(beyond, len(SCRIPT_NAMES) - 1, script[small])[self.starts]
         self.offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
@@ -118,22 +125,46 @@ class Model:
         # neighbouring n-grams repeat each other's evidence
         self.table = (table / len(ORDERS)).astype(np.float32)
         self.allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1)
+        self.frequent = grams.sum(0)
 
-    def scores(self, words: Words) -> np.ndarray:
-        """(words, languages): summed scores; far below 0 where the script excludes one."""
-        if not len(words.starts) or not self.langs:
-            return np.zeros((len(words.starts), len(self.langs)), np.float32)
-        per = np.zeros((len(words.codes), len(self.langs)), np.float32)
-        for bucket, ok in words.grams():
-            per[ok] += self.table[bucket[ok]]
+    def plain_scores(self, words: Words) -> np.ndarray:
+        """(words, languages): summed scores of the words' n-grams."""
+        out = np.zeros((len(words.starts), len(self.langs)), np.float32)
+        if not out.size:
+            return out
+        grams = list(words.grams())
+        step = max(1, CELLS // len(self.langs))
         # a word's n-grams end at its letters or at the boundary after it
-        cuts = np.stack([words.starts, words.ends + 1], 1).ravel()
-        out = np.add.reduceat(np.vstack([per, per[:1] * 0]), cuts, axis=0)[0::2]
+        ends = words.ends + 1
+        a = 0
+        while a < len(out):
+            lo = words.starts[a]
+            b = max(a + 1, int(np.searchsorted(ends, lo + step, side="right")))
+            hi = ends[b - 1]
+            per = np.zeros((hi - lo + 1, len(self.langs)), np.float32)
+            for bucket, ok in grams:
+                at = np.flatnonzero(ok[lo:hi])
+                per[at] += self.table[bucket[lo:hi][at]]
+            cuts = np.stack([words.starts[a:b], ends[a:b]], 1).ravel() - lo
+            out[a:b] = np.add.reduceat(per, cuts, axis=0)[0::2]
+            a = b
+        return out
+
+    def scores(self, words: Words) -> np.ndarray:
+        """``plain_scores``, but far below 0 where the script excludes a language and
+        0 for words whose script excludes all."""
+        out = self.plain_scores(words)
         allowed = self.allowed[words.script]
         out[~allowed] = -1e4
         out[~allowed.any(1)] = 0
         return out
 
+    def guess(self, text: str) -> int:
+        """The label of a text in untrained scripts."""
+        sums = self.plain_scores(Words([text])).sum(0, dtype=np.float64)
+        best = np.flatnonzero(sums >= sums.max() - 1e-6)
+        return int(best[self.frequent[best].argmax()])
+
 
 def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
     """Best label of every word; texts are ``bounds[i]:bounds[i + 1]``.
@@ -145,8 +176,9 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PENA
     order = np.argsort(-sizes, kind="stable")
     first, sizes = bounds[:-1][order], sizes[order]
     n_labels = scores.shape[1]
-    own = np.arange(n_labels, dtype=np.uint8)
-    back = np.zeros(scores.shape, np.uint8)
+    kind = np.min_scalar_type(max(n_labels - 1, 0))
+    own = np.arange(n_labels, dtype=kind)
+    back = np.zeros(scores.shape, kind)
     longest = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")
     dp = np.zeros((len(first), n_labels), np.float32)
@@ -157,11 +189,11 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float = SWITCH_PENA
         if t:
             floor = now.max(1, keepdims=True) - np.float32(penalty)
             stay = now >= floor
-            back[row] = np.where(stay, own, now.argmax(1).astype(np.uint8)[:, None])
+            back[row] = np.where(stay, own, now.argmax(1).astype(kind)[:, None])
             np.maximum(now, floor, out=now)
         now += scores[row]
-    label = dp.argmax(1).astype(np.uint8)
-    path = np.zeros(len(scores), np.uint8)
+    label = dp.argmax(1).astype(kind)
+    path = np.zeros(len(scores), kind)
     for t in range(longest - 1, -1, -1):
         m = active[t]
         row = first[:m] + t
@@ -177,7 +209,7 @@ def _labeller(model_cast):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = batch.column("doc_id")
-            for a, b in textnum.chunks(texts, SUB_BATCH):
+            for a, b in textnum.chunks(texts, BATCH_CELLS // max(1, len(model.langs))):
                 parts = [(c + a, d + a) for c, d in textnum.chunks(texts[a:b])]
                 bounds, scores, starts, ends, known = [0], [], [], [], []
                 for c, d in parts:
@@ -194,10 +226,16 @@ def _labeller(model_cast):
                         else np.zeros(len(starts), np.uint8))
                 letters = ends - starts
                 pred, score, spans = [], [], []
-                for lo, hi in zip(bounds[:-1], bounds[1:]):
+                for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
                     weight = np.bincount(path[lo:hi], letters[lo:hi] * known[lo:hi],
                                          minlength=len(model.langs) or 1)
                     best = int(weight.argmax())
+                    if not weight[best] and hi > lo and model.langs:
+                        lang = model.langs[model.guess(texts[a + i])]
+                        pred.append(lang)
+                        score.append(0.0)
+                        spans.append([{"lang": lang, "start": int(starts[lo]), "end": int(ends[hi - 1])}])
+                        continue
                     if not weight[best]:
                         pred.append("und")
                         score.append(0.0)
@@ -207,8 +245,8 @@ def _labeller(model_cast):
                     score.append(float(weight[best] / letters[lo:hi].sum()))
                     cut = np.flatnonzero(np.diff(path[lo:hi])) + 1
                     begin, end = np.append(0, cut), np.append(cut, hi - lo) - 1
-                    spans.append([{"lang": model.langs[path[lo + i]], "start": int(starts[lo + i]),
-                                   "end": int(ends[lo + j])} for i, j in zip(begin, end)])
+                    spans.append([{"lang": model.langs[path[lo + x]], "start": int(starts[lo + x]),
+                                   "end": int(ends[lo + y])} for x, y in zip(begin, end)])
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, b - a), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
                      pa.array(spans, pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import string
 
-from cartpulse.llm.decontamination import MASKS, MIN_SCORE, MISMATCH
+from cartpulse.llm.decontamination import MASKS, MIN_SCORE, MISMATCH, SHORT
 
 NEAR_DUPLICATES = rf"""
 WITH RECURSIVE w AS (
@@ -55,7 +55,12 @@ b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{
       FROM benchmark),
 hits AS (
   SELECT DISTINCT doc_id, item_id, x.p - y.p AS diagonal
-  FROM ({_seeds('d', 'doc_id')}) x JOIN ({_seeds('b', 'item_id')}) y USING (m, seed)),
+  FROM ({_seeds('d', 'doc_id')}) x JOIN ({_seeds('b', 'item_id')}) y USING (m, seed)
+  UNION
+  SELECT doc_id, item_id, p FROM (SELECT doc_id, t, unnest(range(0, len(t))) AS p FROM d) x
+  JOIN b ON len(b.t) BETWEEN {SHORT} AND {min(map(len, MASKS)) - 1} AND x.t[p + 1:p + len(b.t)] = b.t
+  UNION
+  SELECT doc_id, item_id, 0 FROM d JOIN b ON d.t = b.t AND len(b.t) BETWEEN 1 AND {SHORT - 1}),
 aligned AS (
   SELECT h.*, len(b.t) AS n_item, i,
          CASE WHEN d.t[diagonal + i + 1] = b.t[i + 1] THEN 1 ELSE {MISMATCH} END AS gain
@@ -78,7 +83,7 @@ runs AS (
   SELECT e.doc_id, e.item_id, e.diagonal, e.score, e.k AS last, max(z.k) AS first
   FROM ends e JOIN sums z ON z.doc_id = e.doc_id AND z.item_id = e.item_id
    AND z.diagonal = e.diagonal AND z.k < e.k AND z.s = e.s - e.score
-  WHERE e.score >= least({MIN_SCORE}, ceil(e.n_item * 0.7))
+  WHERE e.score >= least({MIN_SCORE}, ceil(e.n_item * 6 / 10))
   GROUP BY ALL)
 SELECT doc_id, item_id, CAST(score AS INTEGER) AS score,
        CAST((score - ({MISMATCH}) * (last - first)) // {1 - MISMATCH} AS INTEGER) AS matched_words,

@@ -52,3 +52,40 @@ def test_best_run(spark):
                                "e array<boolean>")
     got = [(r.s.score, r.s.start, r.s.end) for r in df.select(D.best_run(df.e).alias("s")).collect()]
     assert got == [(3, 5, 8), (0, 0, 0), (0, 0, 0)]
+
+
+def test_short_items(spark):
+    """Items under the shortest mask are found verbatim, tiny ones as whole texts."""
+    ten, five, four = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("t", 10), ("f", 5), ("z", 4)))
+    items = [(1, ten), (2, five), (3, four), (4, "tiny")]
+    docs = [(1, f"some words {ten} and more"), (2, f"{five}"), (3, f"x {four} y"), (4, four.upper() + "!"),
+            (5, "a tiny text of its own kind here"), (6, "Tiny."), (7, ten.replace("t5", "other")),
+            (8, " ".join(["pad"] * 50_000) + " " + ten)]
+    d, b = frames(spark, docs, items)
+    rows = {(r.doc_id, r.item_id): (r.score, r.start_word) for r in D.contaminated(spark, d, b).collect()}
+    assert rows == {(1, 1): (10, 2), (2, 2): (5, 0), (4, 3): (4, 0), (6, 4): (1, 0), (8, 1): (10, 50_000)}
+
+
+def test_two_inner_substitutions_in_sixteen(spark):
+    item = [f"s{i}" for i in range(16)]
+    pairs = [(i, j) for i in range(3, 13) for j in range(i + 1, 13)]
+    docs = []
+    for k, (i, j) in enumerate(pairs):
+        w = list(item)
+        w[i], w[j] = "other", "words"
+        docs.append((k, "before it " + " ".join(w) + " after it"))
+    d, b = frames(spark, docs, [(1, " ".join(item))])
+    seeded = {k for k, pair in enumerate(pairs) if any(
+        not any(p + at in pair for at, bit in enumerate(m) if bit == "1")
+        for m in D.MASKS for p in range(16 - len(m) + 1))}
+    rows = {r.doc_id: r.score for r in D.contaminated(spark, d, b).collect()}
+    assert set(rows) == seeded and len(seeded) >= 0.7 * len(pairs)
+    assert min(rows.values()) >= 10
+
+
+def test_clashing_names(spark):
+    t = " ".join(f"q{i}" for i in range(30))
+    d = spark.createDataFrame([(1, t, 5, "k"), (2, "clean", 6, "l")], "doc_id long, text string, _id int, _KEY string")
+    _, b = frames(spark, [], [(7, t)])
+    kept = D.clean(spark, d, b)
+    assert kept.columns == d.columns and [tuple(r) for r in kept.collect()] == [(2, "clean", 6, "l")]

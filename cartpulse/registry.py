@@ -511,7 +511,8 @@ _STREAM_RUNS: dict[tuple, dict] = {}
 
 def stream_run(spark: SparkSession, sf_dir: str, dedup: str = "bounded") -> dict:
     """Replay the fixture feed through the streaming alert query once per
-    session, input folder and de-dup mode (the modes share the replay files);
+    session, input folder and mode (bounded, exact, or final: bounded in append form;
+    the modes share the replay files);
     returns the replay, checkpoint and alert-log paths."""
     import uuid
 
@@ -522,9 +523,12 @@ def stream_run(spark: SparkSession, sf_dir: str, dedup: str = "bounded") -> dict
         shared = next((v["replay"] for k, v in _STREAM_RUNS.items() if k[:-1] == key[:-1]), None)
         workdir = work_path(spark, "stream", input_key(sf_dir), uuid.uuid4().hex)
         messages = None if shared else feed.faulty_feed(_clicks(spark, sf_dir))
+        # the exact run keeps a compacted log, so both forms of the log are compared
         _STREAM_RUNS[key] = replay_alerts(spark, messages, workdir, FIXTURE_ALERT_PARAMS,
-                                          dedup=dedup, replay_path=shared,
-                                          max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
+                                          dedup="bounded" if dedup == "final" else dedup,
+                                          replay_path=shared, final=dedup == "final",
+                                          max_files_per_trigger=REPLAY_FILES_PER_TRIGGER,
+                                          compact_every=4 if dedup == "exact" else None)
     return _STREAM_RUNS[key]
 
 
@@ -552,6 +556,22 @@ def q_flash_sale_alerts_stream_exact(spark, sf_dir):
     return _ntz(_stream_alerts(spark, sf_dir, "exact").drop("alert_timestamp"))
 
 
+# The watermark is behind the newest event by the allowed lateness and one window.
+FINAL_HORIZON = _micros(FIXTURE_ALERT_PARAMS.watermark) + _micros(FIXTURE_ALERT_PARAMS.window)
+
+
+@register("flash_sale_alerts_final", with_clicks(
+    f"{STREAM_ALERTS_SQL} WHERE epoch_us(window_end) <= "
+    f"(SELECT max(epoch_us(event_timestamp)) FROM clean) - {FINAL_HORIZON}", CLEAN_SQL,
+    window_counts_sql(FIXTURE_ALERT_PARAMS)))
+def q_flash_sale_alerts_final(spark, sf_dir):
+    """C9, append form: the alerts of the windows that the watermark has closed, each
+    emitted once, equal the batch answer over these windows."""
+    from cartpulse.streaming.alerts import read_final_alerts
+    final = read_final_alerts(spark, stream_run(spark, sf_dir, "final")["alert_log"])
+    return _ntz(final.drop("alert_timestamp"))
+
+
 _CLEAN_RUNS: dict[tuple, str] = {}
 
 

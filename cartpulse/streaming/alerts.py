@@ -18,22 +18,29 @@ emission keeps every changed window with views over the threshold and sets
 ``alert_triggered = purchases < limit``; the log is keyed by
 (product_id, window_start, run, batch_id). ``current_alerts`` takes the last row
 per key and keeps the triggered ones, so an alert that stops qualifying is
-retracted instead of left stale.
+retracted instead of left stale. The log is compacted every few batches
+(``cartpulse.sinks.upsert_log``), so its folders do not grow with the batches.
+
+Append mode emits final windows only (``final_alert_stream``): when the watermark
+passes a window's end, its counts leave the state and the row is written once, with
+nothing to upsert or retract.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators.cleanse import decode, validate
-from cartpulse.operators.windows import _seconds, alert_updates, window_counts
+from cartpulse.operators.windows import (_seconds, alert_rule, alert_updates, stamp_alerts,
+                                         window_counts)
 from cartpulse.schema import ALERT_SCHEMA, ENVELOPE_SCHEMA, AlertParams
 from cartpulse.session import apply_runtime_conf
+from cartpulse.sinks.upsert_log import UpsertLog
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -128,29 +135,41 @@ def run_started(spark: SparkSession, checkpoint: str) -> int:
     return spark.read.parquet(mark).first()["ms"]
 
 
-def log_sink(log_path: str, extra: Sequence[BatchSink] = (), run: int = 0) -> BatchSink:
+def alert_log(spark: SparkSession, path: str) -> UpsertLog:
+    return UpsertLog(spark, path, ALERT_SCHEMA, ["product_id", "window_start"], "window_start")
+
+
+def log_sink(log_path: str, extra: Sequence[BatchSink] = (), run: int = 0,
+             compact_every: int | None = None) -> BatchSink:
     """The ``foreachBatch`` handler.
 
-    The alert log is partitioned by run (see ``run_started``) and batch_id and
-    written with dynamic partition overwrite, so a re-executed batch (after a failure between the
-    write and the checkpoint commit) replaces its own rows: the sink is
-    idempotent. With extra sinks (console, JDBC) the batch is persisted once
+    A batch is one delta of the alert log, keyed by run (see ``run_started``) and
+    batch_id; a re-executed batch (after a failure between the write and the
+    checkpoint commit) replaces its own rows: the sink is idempotent. With
+    ``compact_every``, so many deltas of batches before this one are folded into the
+    log's base; intermediate rows of a key go then, its last row stays. With extra
+    sinks (console, JDBC) the batch is persisted once
     and every sink reads the cached rows instead of re-running the stateful
     plan. Errors propagate: a failed write fails the batch, never commits it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
+        log = alert_log(batch.sparkSession, log_path)
         rows = (batch.withColumn("run_started", F.lit(run).cast("long"))
                 .withColumn("batch_id", F.lit(batch_id).cast("long")))
         if extra:
             rows = rows.persist()
         try:
-            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("run_started", "batch_id").parquet(log_path))
+            log.append(rows, run, batch_id)
             for sink in extra:
                 sink(rows, batch_id)
         finally:
             if extra:
                 rows.unpersist()
+        if compact_every:
+            manifest = log.manifest()
+            done = [d for d in log.deltas() if (manifest.run, manifest.batch) < d < (run, batch_id)]
+            if len(done) >= compact_every:
+                log.compact(*done[-1])
     return handle
 
 
@@ -191,16 +210,38 @@ def start_alert_query(alerts: DataFrame, handler: BatchSink, checkpoint: str,
     return writer.start()
 
 
-ALERT_LOG_SCHEMA = T.StructType(ALERT_SCHEMA.fields + [
-    T.StructField("run_started", T.LongType()), T.StructField("batch_id", T.LongType())])
-
-
 def read_alert_log(spark: SparkSession, path: str) -> DataFrame:
     """The alert log; empty (with its schema) before the first alert batch."""
+    return alert_log(spark, path).read()
+
+
+def final_alert_stream(messages: DataFrame, params: AlertParams = AlertParams(),
+                       dedup: str = "bounded") -> DataFrame:
+    """C3-C9, append form: alerts of closed windows (run in append output mode)."""
+    counts = window_counts(clean_stream(messages, params, dedup), params)
+    return stamp_alerts(alert_rule(counts, params))
+
+
+def start_final_query(alerts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                      name: str | None = None) -> StreamingQuery:
+    """C9-C12, append form: each alert is written once, when the watermark evicts its
+    window, to a table of files by day; the file sink's commit log makes the append
+    exactly-once."""
+    writer = (alerts.withColumn("window_day", F.to_date("window_start")).writeStream
+              .outputMode("append").format("parquet").partitionBy("window_day")
+              .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})))
+    if name:
+        writer = writer.queryName(name)
+    return writer.start(path)
+
+
+def read_final_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts of closed windows; empty (with its schema) before the first."""
     from cartpulse.sinks.tables import path_exists
-    if path_exists(spark, path):
-        return spark.read.schema(ALERT_LOG_SCHEMA).parquet(path)
-    return spark.createDataFrame([], ALERT_LOG_SCHEMA)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ALERT_SCHEMA)
+    schema = T.StructType(ALERT_SCHEMA.fields + [T.StructField("window_day", T.DateType())])
+    return spark.read.schema(schema).parquet(path).drop("window_day")
 
 
 def start_clean_event_sink(clean: DataFrame, path: str, checkpoint: str,
@@ -219,16 +260,15 @@ def start_clean_event_sink(clean: DataFrame, path: str, checkpoint: str,
 def appended_alerts(log: DataFrame) -> DataFrame:
     """The alert history the source's sink would hold: every emitted row that
     passed the rule when emitted (append-only, so a key repeats each time it
-    changes and an alert that later stops qualifying stays)."""
+    changes and an alert that later stops qualifying stays). Of a log that is not
+    compacted."""
     return log.filter(F.col("alert_triggered")).drop("run_started", "batch_id")
 
 
 def current_alerts(log: DataFrame) -> DataFrame:
     """flash_sale_alerts = last logged row per (product_id, window_start),
-    kept when triggered. ``row_number() = 1`` partial-limits before the shuffle."""
-    w = Window.partitionBy("product_id", "window_start").orderBy(
-        F.desc_nulls_last("run_started"), F.desc("batch_id"))
-    last = log.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    kept when triggered."""
+    last = alert_log(log.sparkSession, "").last_rows(log)
     return last.filter(F.col("alert_triggered")).drop("run_started", "batch_id")
 
 
@@ -241,14 +281,15 @@ def stop_all(spark: SparkSession) -> None:
 def replay_alerts(spark: SparkSession, messages: DataFrame | None, workdir: str,
                   params: AlertParams = AlertParams(), dedup: str = "bounded",
                   max_files_per_trigger: int = 1, state_partitions: int | None = None,
-                  replay_path: str | None = None) -> dict:
+                  replay_path: str | None = None, final: bool = False,
+                  compact_every: int | None = None) -> dict:
     """Replay a message table through the streaming alert query to the end.
 
     Writes the replay files (or reuses ``replay_path``), runs the query with
     an ``availableNow`` trigger and waits for it. State partitions (fixed by
     the first batch of a new checkpoint) default to the cluster's default
-    parallelism, one state store per core. Returns the paths of the replay,
-    checkpoint and alert log.
+    parallelism, one state store per core. ``final`` runs the append form. Returns
+    the paths of the replay, checkpoint and alert log (or table of final alerts).
     """
     from cartpulse.streaming.replay import write_replay
     paths = {k: f"{workdir}/{k}" for k in ("replay", "checkpoint", "alert_log")}
@@ -264,8 +305,14 @@ def replay_alerts(spark: SparkSession, messages: DataFrame | None, workdir: str,
     stream = read_events(own, source="parquet", path=paths["replay"],
                          max_files_per_trigger=max_files_per_trigger)
     stream = stream.select(*ENVELOPE_SCHEMA.fieldNames())
-    query = start_alert_query(alert_stream(stream, params, dedup), log_sink(paths["alert_log"]),
-                              paths["checkpoint"], trigger={"availableNow": True})
+    trigger = {"availableNow": True}
+    if final:
+        query = start_final_query(final_alert_stream(stream, params, dedup), paths["alert_log"],
+                                  paths["checkpoint"], trigger)
+    else:
+        query = start_alert_query(alert_stream(stream, params, dedup),
+                                  log_sink(paths["alert_log"], compact_every=compact_every),
+                                  paths["checkpoint"], trigger)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

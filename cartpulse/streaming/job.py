@@ -15,9 +15,9 @@ from pyspark.sql import SparkSession
 from cartpulse.schema import ENVELOPE_SCHEMA, AlertParams
 from cartpulse.session import apply_runtime_conf, job_session, work_path
 from cartpulse.sinks.tables import jdbc_sink
-from cartpulse.streaming.alerts import (alert_stream, console_sink, log_sink, read_events,
-                                        run_started, start_alert_query, start_clean_event_sink,
-                                        valid_stream)
+from cartpulse.streaming.alerts import (alert_stream, console_sink, final_alert_stream, log_sink,
+                                        read_events, run_started, start_alert_query,
+                                        start_clean_event_sink, start_final_query, valid_stream)
 
 
 def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None = None,
@@ -26,10 +26,13 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
                   trigger: dict | None = None, console: bool = False,
                   jdbc: dict | None = None, name: str = "flash_sale_alerts",
                   clean_table: str | None = None, max_offsets_per_trigger: int | None = None,
-                  wait: bool = True):
-    """Start the alert query (and, with ``clean_table``, a second query that
+                  wait: bool = True, final_table: str | None = None, compact_every: int | None = 60):
+    """Start the alert query (with ``final_table`` in append form: only closed windows,
+    each written once to that table; and, with ``clean_table``, a second query that
     appends the cleaned events to that table, partitioned by event_date).
     Returns the alert query; blocks until it ends unless ``wait`` is False."""
+    if final_table and (console or jdbc):
+        raise ValueError("the append form writes its table only")
     apply_runtime_conf(spark)
     messages = read_events(spark, source=source, path=path, topic=topic, bootstrap=bootstrap,
                            max_offsets_per_trigger=max_offsets_per_trigger)
@@ -42,9 +45,13 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
     run = run_started(spark, checkpoint)
     if jdbc:
         extra.append(jdbc_sink(jdbc["url"], jdbc["table"], jdbc.get("properties"), run))
-    handler = log_sink(work_path(spark, "alerts", name, "log"), extra, run)
-    queries = [start_alert_query(alert_stream(messages, params, dedup), handler, checkpoint,
-                                 trigger, name)]
+    if final_table:
+        queries = [start_final_query(final_alert_stream(messages, params, dedup), final_table,
+                                     work_path(spark, "alerts", name, "final_checkpoint"), trigger, name)]
+    else:
+        handler = log_sink(work_path(spark, "alerts", name, "log"), extra, run, compact_every)
+        queries = [start_alert_query(alert_stream(messages, params, dedup), handler, checkpoint,
+                                     trigger, name)]
     if clean_table:
         queries.append(start_clean_event_sink(
             valid_stream(messages), clean_table,
@@ -85,6 +92,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger", default="1 minute")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--clean-table", help="also append cleaned events to this table (H1)")
+    ap.add_argument("--final-table", help="append form: write only closed windows, to this table")
+    ap.add_argument("--compact-every", type=int, default=60,
+                    help="fold so many batches of the alert log at a time")
     ap.add_argument("--max-offsets-per-trigger", type=int,
                     help="Kafka: upper bound of messages per micro-batch")
     ap.add_argument("--jdbc-url", help="also write the alerts to a table over JDBC (H2)")
@@ -100,7 +110,8 @@ def main(argv: list[str] | None = None) -> None:
     params = AlertParams(a.window, a.slide, a.watermark, a.min_views, a.max_purchases)
     run_alert_job(spark, a.source, a.path, a.topic, a.bootstrap, params, a.dedup,
                   {"processingTime": a.trigger}, a.console, jdbc, clean_table=a.clean_table,
-                  max_offsets_per_trigger=a.max_offsets_per_trigger)
+                  max_offsets_per_trigger=a.max_offsets_per_trigger, final_table=a.final_table,
+                  compact_every=a.compact_every)
 
 
 if __name__ == "__main__":

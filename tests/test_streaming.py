@@ -327,3 +327,38 @@ def test_a_new_checkpoint_outranks_the_old_run(spark, workdir):
     A.log_sink(f"{workdir}/runs", run=second)(batch(False), 0)
     log = A.read_alert_log(spark, f"{workdir}/runs")
     assert log.count() == 2 and A.current_alerts(log).count() == 0
+
+
+def test_append_form_emits_closed_windows_once(spark, workdir):
+    """Every window once, when the watermark passes its end; open ones not at all."""
+    from cartpulse.operators import cleanse as cl
+    from cartpulse.operators import windows as win
+    params = AlertParams("1 day", "1 hour", "1 day", 1, 5)
+    messages = spread(spark).persist()
+    paths = A.replay_alerts(spark, messages, f"{workdir}/final", params, max_files_per_trigger=3,
+                            state_partitions=4, final=True)
+    cols = ["product_id", "window_start", "window_end", "total_views", "total_purchases"]
+    clean = cl.cleanse(cl.decode(messages))
+    closed = F.col("window_end") <= F.lit(clean.agg(F.max("event_timestamp")).first()[0] - timedelta(days=2))
+    batch = win.flash_sale_alerts(clean, params).select(cols)
+    got = sorted(A.read_final_alerts(spark, paths["alert_log"]).select(cols).collect())
+    assert got == sorted(batch.filter(closed).collect())
+    assert 100 < len(got) < batch.count() and len({r[:2] for r in got}) == len(got)
+
+
+def test_alert_job_in_append_form(spark, workdir):
+    from cartpulse.streaming.job import run_alert_job
+    import pytest
+    rows = [msg(0, T12), msg(1, T12 + timedelta(seconds=9)), msg(2, T12 + timedelta(hours=2), day=1)]
+    env = spark.createDataFrame(rows, ENV).coalesce(1).select(
+        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary"),
+        "partition", "offset", "timestamp")
+    write_replay(spark, env, f"{workdir}/final_replay")
+    name = f"final_{workdir.rsplit('/', 1)[-1]}"
+    q = run_alert_job(spark, source="parquet", path=f"{workdir}/final_replay", params=AlertParams(min_views=1),
+                      trigger={"availableNow": True}, name=name, final_table=f"{workdir}/final_table", wait=False)
+    q.awaitTermination()
+    got = A.read_final_alerts(spark, f"{workdir}/final_table")
+    assert got.count() == 10 and got.agg(F.min("total_views")).first()[0] == 2
+    with pytest.raises(ValueError, match="append form"):
+        run_alert_job(spark, source="parquet", path="x", console=True, final_table="y")

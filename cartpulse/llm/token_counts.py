@@ -38,7 +38,7 @@ LEAF = 32
 CACHE_BYTES = 16 << 20  # of remembered pre-tokens, with an entry's own ENTRY bytes
 ENTRY = 150
 CACHED = 32  # characters; longer pre-tokens are not remembered
-PIECES = 1 << 14  # pre-tokens of a text that are held at once
+PIECES = 1 << 18  # pre-tokens of a text that are held at once
 
 # The vocabulary's own pre-token pattern (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -83,7 +83,11 @@ class Counter:
         return out
 
     def blocks(self, text: str, size: int) -> Iterator[list[str]]:
-        """The pre-tokens, ``size`` at a time."""
+        """The pre-tokens, about ``size`` at a time; of short texts all at once."""
+        if len(text) <= size:
+            if text:
+                yield self.pattern.findall(text)
+            return
         found = (m.group() for m in self.pattern.finditer(text))
         while block := list(islice(found, size)):
             yield block
@@ -366,9 +370,13 @@ def with_redactions(docs: DataFrame) -> DataFrame:
                         F.concat(acc["edits"], edit).cast(f"array<{EDIT}>").alias("edits"))
 
     zero = F.expr(f"struct(0 as at, cast(array() as array<{EDIT}>) as edits)")
-    out = docs.withColumn("_found", F.when(some, F.regexp_extract_all(
-        "text", F.lit(f"({pattern})"), F.lit(1))))
-    out = out.withColumn("_between", F.when(F.col("_found").isNotNull(), F.split("text", pattern)))
+    def kept(df: DataFrame, name: str, value) -> DataFrame:
+        """``df`` with a column that is computed once: a generator is a barrier, behind
+        which the optimizer does not repeat the expression wherever it is used."""
+        return df.select(F.inline(F.array(F.struct(*df.columns, value.alias(name)))))
+
+    out = kept(docs, "_found", F.when(some, F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(1))))
+    out = kept(out, "_between", F.when(F.col("_found").isNotNull(), F.split("text", pattern)))
     return out.withColumn("edits", F.when(F.col("_found").isNotNull(), F.aggregate(
         F.sequence(F.lit(0), F.size("_found") - 1), zero, step, lambda acc: acc["edits"]))) \
         .drop("_found", "_between")

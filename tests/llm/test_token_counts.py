@@ -94,5 +94,5 @@ def test_remembered_pieces_are_bounded(monkeypatch):
 def test_leaves_do_not_depend_on_blocks(monkeypatch):
     count, text = T.counter(PATH), "some more words, 12 of them!\n\n  " * 300
     want = T.leaves(count.split(text), count.tokens(count.split(text)), 4)
-    monkeypatch.setattr(T, "PIECES", 10)
+    monkeypatch.setattr(T, "PIECES", 8)
     assert all((a == b).all() for a, b in zip(want, T.leaves_of(text, count, 4)))

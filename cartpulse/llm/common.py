@@ -98,8 +98,8 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, counted: str, spread: st
     is stored; ``counted`` is its number of ``rows`` with that key.
 
     Keys with more than a thousandth of all rows, fewer than a thousand, are sent
-    to every task; the rows that they serve are spread by ``spread`` over the
-    shuffle of the others, where they meet nothing.
+    to every task; the rows that they serve, and rows without a key, are spread by
+    ``spread`` over the shuffle of the others, where they meet nothing.
     """
     total = table.agg(F.sum(counted)).first()[0] or 0
     values = [c for c in table.columns if c not in (key, counted)]
@@ -107,7 +107,8 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, counted: str, spread: st
     heavy = found.where(F.col(counted) * HEAVY > total).select(
         F.col("_key").alias("_heavy_key"), F.col("_value").alias("_heavy"))
     out = rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy_key"), "left")
-    out = out.withColumn("_slot", F.when(F.col("_heavy").isNotNull(), F.pmod(
+    alone = F.col("_heavy").isNotNull() | F.col(key).isNull()
+    out = out.withColumn("_slot", F.when(alone, F.pmod(
         F.xxhash64(spread), F.lit(1 << 16)) + 1).otherwise(0))
     rest = found.select("_key", "_value", F.lit(0).cast("long").alias("_own_slot"))
     out = out.join(rest, (F.col(key) == F.col("_key")) & (F.col("_slot") == F.col("_own_slot")), "left")

@@ -73,7 +73,8 @@ class Words:
 
     def __init__(self, texts: list[str]) -> None:
         lower, script = _tables()
-        points = np.frombuffer((" ".join(texts) + " ").encode("utf-32-le"), np.uint32)
+        # a boundary before the first text, too: its scores must not depend on its place
+        points = np.frombuffer((" " + " ".join(texts) + " ").encode("utf-32-le"), np.uint32)
         small = np.minimum(points, 0xFFFF)
         # letters beyond the first plane keep their code and the script "other"
         beyond = points > 0xFFFF
@@ -83,7 +84,7 @@ class Words:
             self.codes[beyond] = np.array([c if chr(c).isalpha() else 0 for c in far], np.uint32)[at]
         self.starts, self.ends = textnum.runs(self.codes != 0)
         self.script = np.where(beyond, len(SCRIPT_NAMES) - 1, script[small])[self.starts]
-        self.offsets = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        self.offsets = 1 + np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
         self.bounds = np.searchsorted(self.starts, self.offsets)
 
     def grams(self):

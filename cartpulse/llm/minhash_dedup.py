@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartpulse.llm import textnum
-from cartpulse.llm.common import map_arrow, saved, scratch
+from cartpulse.llm.common import lookup, map_arrow, saved, scratch, unused
 
 K = 64
 NEED_TRUNCATED = 32  # of 64 union values 51 are expected in both at t = 0.8
@@ -291,49 +291,56 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, k: i
 
     ``threshold`` is the similarity as a fraction (80, 100).
     """
-    sk = saved(spark, sketches(docs, shingle, k), "minhash-sketches")
-    # one row for each set; ids are drawn once, when the table is written
-    nodes = (sk.where("digest is not null").groupBy("digest").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("low"),
-        F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-        .select("digest", "low", F.col("first.doc_id").alias("rep"),
-                F.col("first.text_key").alias("text_key"), "n", "sketch",
-                F.monotonically_increasing_id().alias("node")))
-    nodes = saved(spark, nodes, "minhash-nodes")
-    lists = postings(spark, nodes, k, threshold)
-
-    hubs, pairs = hub_pairs(lists)
-    near = verified(spark, saved(spark, estimated(pairs, nodes, k, NEAR, NEED_NEAR * k // K),
-                                 "minhash-pairs"), nodes, docs, shingle, NEAR)
-    links = near.where(_reaches(F.col("common"), F.col("na"), F.col("nb"), threshold)).select("a", "b")
-    comps = components(spark, links)
-    links = saved(spark, links.union(near_links(near, comps, threshold)), "minhash-links")
-    comps = components(spark, links)
-    rest = saved(spark, far_pairs(lists, hubs, near, comps, nodes, k, threshold), "minhash-pairs")
-    if not rest.isEmpty():
-        more = verified(spark, rest, nodes, docs, shingle, threshold).select("a", "b")
-        comps = components(spark, links.union(more))
-
-    named = (nodes.select("digest", "node", "low").join(comps, "node", "left")
-             .withColumn("comp", F.coalesce("comp", "node")))
-    least = named.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = named.join(least, "comp").select("digest", "component_id")
-    out = sk.select("doc_id", "text_key", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    with scratch(spark):
+        sk = saved(spark, sketches(docs, shingle, k), "minhash-sketches")
+        # one row for each set; ids are drawn once, when the table is written
+        nodes = (sk.where("digest is not null").groupBy("digest").agg(
+            F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("low"),
+            F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
+            .select("digest", "low", "copies", F.col("first.doc_id").alias("rep"),
+                    F.col("first.text_key").alias("text_key"), "n", "sketch",
+                    F.monotonically_increasing_id().alias("node")))
+        nodes = saved(spark, nodes, "minhash-nodes")
+        lists = postings(spark, nodes, k, threshold)
+
+        hubs, pairs = hub_pairs(lists)
+        near = verified(spark, saved(spark, estimated(pairs, nodes, k, NEAR, NEED_NEAR * k // K),
+                                     "minhash-pairs"), nodes, docs, shingle, NEAR)
+        links = near.where(_reaches(F.col("common"), F.col("na"), F.col("nb"), threshold)).select("a", "b")
+        comps = components(spark, links)
+        links = saved(spark, links.union(near_links(near, comps, threshold)), "minhash-links")
+        comps = components(spark, links)
+        rest = saved(spark, far_pairs(lists, hubs, near, comps, nodes, k, threshold), "minhash-pairs")
+        if not rest.isEmpty():
+            more = verified(spark, rest, nodes, docs, shingle, threshold).select("a", "b")
+            comps = components(spark, links.union(more))
+
+        # a component, and a class of equal sets, may hold a third of all rows
+        named = (nodes.select("digest", "copies", "node", "low").join(comps, "node", "left")
+                 .withColumn("comp", F.coalesce("comp", "node")))
+        least = saved(spark, named.groupBy("comp").agg(F.min("low").alias("component_id"),
+                                                       F.count("*").alias("sets")), "minhash-least")
+        named = saved(spark, lookup(named, least, "comp", "sets", "node").select(
+            "digest", "copies", "component_id"), "minhash-named")
+        out = lookup(sk.select("doc_id", "text_key", "n_shingles", "digest"), named, "digest", "copies",
+                     "doc_id")
+        component = F.coalesce("component_id", "doc_id")
+        return saved(spark, out.select(
+            "doc_id", "text_key", "n_shingles", component.alias("component_id"),
+            F.col("doc_id").eqNullSafe(component).alias("kept")), "minhash-result", keep=True)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, shingle: int = 5) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates; rows that
     repeat an id and a text count as one document."""
+    id_, key = (unused(c, docs.columns) for c in ("_id", "_key"))
     with scratch(spark):
         gone = (near_duplicates(spark, docs, shingle).where("not kept")
-                .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
+                .select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct())
         gone = saved(spark, gone, "minhash-dropped", keep=True)
-    out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"])
-                    & F.xxhash64(docs["text"]).eqNullSafe(gone["_key"]), "left_anti")
-    repeats = docs.groupBy("doc_id", F.xxhash64("text").alias("_key")).count().where("count > 1")
+    out = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[id_])
+                    & F.xxhash64(docs["text"]).eqNullSafe(gone[key]), "left_anti")
+    repeats = docs.groupBy("doc_id", F.xxhash64("text").alias(key)).count().where("count > 1")
     if repeats.isEmpty():
         return out
-    return out.withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    return out.withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)

@@ -106,10 +106,9 @@ def op4_secret_scans(spark, sf_dir):
 def op1_token_counts(spark, sf_dir):
     """Every document's token count, and the count after its redactions."""
     import public_tokenizers
-    from cartpulse.llm.token_counts import count_edited, with_redactions
+    from cartpulse.llm.token_counts import count_edited
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return count_edited(with_redactions(docs), vocabulary).select(
+    return count_edited(read(spark, sf_dir, "documents"), vocabulary).select(
         "doc_id", "n_tokens", "n_edits", "n_tokens_after", "encoded_pieces", "updated_nodes",
         F.size("leaf_tokens").alias("n_leaves"))
 

@@ -7,7 +7,8 @@ exactly as a uniform permutation would deal them: each matrix row is a
 multivariate hypergeometric draw from the shard places still free. Each part
 permutes its rows and deals them out by its matrix row, the rows are exchanged,
 and every shard permutes what it received. Sizes are therefore exact (counts at
-most one apart) and every arrangement is equally likely.
+most one apart) and every arrangement is equally likely, also of rows that repeat:
+the random keys hold a number that tells all rows of the table apart.
 
 Only part sizes and the matrix (parts x shards integers) pass through the
 driver. Shards are permuted in slices of a random key, so no task sorts more
@@ -27,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartpulse.llm.common import crc32_unsigned, saved
+from cartpulse.llm.common import crc32_unsigned, saved, scratch
 
 ROW_OVERHEAD = 16
 
@@ -76,9 +77,18 @@ def shuffle_into_shards(spark: SparkSession, rows: DataFrame, key: list[str], n_
                         seed: int = 20260, rows_per_task: int = 1_000_000) -> DataFrame:
     """``rows`` plus ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0).
 
-    ``key`` names columns that together tell rows apart; they seed the two
-    random orders. ``rows_per_task`` sets how many parts and slices are used.
+    ``key`` names columns that seed the two random orders, with a number drawn once
+    for each row, so that equal rows are dealt apart like any others.
+    ``rows_per_task`` sets how many parts and slices are used.
     """
+    with scratch(spark):
+        rows = saved(spark, rows.withColumn("_row", F.monotonically_increasing_id()), "sharding-rows")
+        placed = _placed(spark, rows, [*key, "_row"], n_shards, seed, rows_per_task)
+        return saved(spark, placed.drop("_row"), "sharding-placed", keep=True)
+
+
+def _placed(spark: SparkSession, rows: DataFrame, key: list[str], n_shards: int, seed: int,
+            rows_per_task: int) -> DataFrame:
     def rand(step: str):
         return F.xxhash64(F.lit(seed), F.lit(step), *key)
 
@@ -120,7 +130,6 @@ def shard_documents(spark: SparkSession, docs: DataFrame, n_shards: int = 40) ->
         "doc_id",
         (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
         crc32_unsigned(text).alias("text_crc32"))
-    rows = saved(spark, rows, "sharding-rows")
     placed = shuffle_into_shards(spark, rows, ["doc_id", "size", "text_crc32"], n_shards)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
                          "slot", F.lit(None).cast("int").alias("grown_shard"))

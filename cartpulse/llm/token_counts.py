@@ -23,6 +23,7 @@ columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import islice
@@ -304,26 +305,27 @@ def _recounter(path: str, leaf: int):
     return run
 
 
-def _whole(path: str, leaf: int):
+def _whole(path: str, leaf: int, edits_of):
     def run(batches):
         count = counter(path)
         for batch in batches:
             rows = []
-            for text, edits in zip(batch.column("text"), batch.column("edits")):
+            for text in batch.column("text"):
                 text = text.as_py() or ""
                 chars, tokens = leaves_of(text, count, leaf)
-                rows.append(_edited(text, chars, tokens, int(tokens.sum()), edits.as_py(), count, leaf)[1])
+                rows.append(_edited(text, chars, tokens, int(tokens.sum()), edits_of(text), count, leaf)[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *_counts(list(zip(*rows)) if rows else [[]] * 7)],
                 names=["doc_id", *(c.split()[0] for c in COUNTS.split(", "))])
     return run
 
 
-def count_edited(docs: DataFrame, vocabulary: str, leaf: int = LEAF) -> DataFrame:
-    """``build_trees`` and ``recount`` in one pass over ``docs`` with a column
-    ``edits``: the counts before and after, without the texts."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "edits")
-    return map_arrow(rows, _whole(vocabulary, leaf), f"doc_id long, {COUNTS}")
+def count_edited(docs: DataFrame, vocabulary: str, edits_of=None, leaf: int = LEAF) -> DataFrame:
+    """``build_trees`` and ``recount`` in one pass over ``docs``: the counts before and
+    after the edits that ``edits_of`` (by default ``redactions``) finds in a text,
+    without the texts."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_arrow(rows, _whole(vocabulary, leaf, edits_of or redactions), f"doc_id long, {COUNTS}")
 
 
 def recount(trees: DataFrame, vocabulary: str, leaf: int = LEAF) -> DataFrame:
@@ -343,6 +345,19 @@ REDACTIONS = [
 ]
 
 
+# letters of any script are word characters at \\b, as in the expressions
+_ANY = re.compile("|".join(f"({p})" for p, _ in REDACTIONS).replace(r"\d", "[0-9]"))
+_WITHOUT_AT = re.compile("|".join(f"({p})" for p, _ in REDACTIONS[1:]).replace(r"\d", "[0-9]"))
+_MARKS = [new for _, new in REDACTIONS]
+
+
+def redactions(text: str) -> list[dict]:
+    """The edits of REDACTIONS in a text."""
+    first, pattern = (1, _ANY) if "@" in text else (2, _WITHOUT_AT)
+    return [{"start": m.start(), "end": m.end(), "replacement": _MARKS[m.lastindex + first - 2]}
+            for m in pattern.finditer(text)]
+
+
 def with_redactions(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``edits``: those of REDACTIONS, null for texts without any.
 

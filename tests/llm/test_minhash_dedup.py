@@ -88,3 +88,13 @@ def test_components_of_a_long_chain(spark):
                                   "a long, b long")
     got = {r.node: r.comp for r in M.components(spark, edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_long_texts(spark):
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(150_000)]
+    near = list(words)
+    near[::40] = ["other"] * len(near[::40])
+    far = [f"z{rng.randrange(10 ** 6)}" for _ in range(150_000)]
+    got = {r.doc_id: r for r in run(spark, [(1, " ".join(far)), (2, " ".join(words)), (3, " ".join(near))])}
+    assert [got[i].component_id for i in (1, 2, 3)] == [1, 2, 2] and got[2].n_shingles > 140_000

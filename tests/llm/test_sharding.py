@@ -57,3 +57,17 @@ def test_slices_keep_slots_gapless(spark, rows_per_task):
     out = sharding.shuffle_into_shards(spark, df, ["k"], 4, rows_per_task=rows_per_task).collect()
     for s in range(4):
         assert sorted(r.slot for r in out if r.shard == s) == list(range(75))
+
+
+def test_equal_rows_lie_like_any_others(spark):
+    """200 equal rows among 3,200: as many neighbours, and as even over places, as a
+    uniform shuffle gives."""
+    data = [(i, f"text {i}", "x", "y") for i in range(3000)] + [(7_000, "same", "x", "y")] * 200
+    out = sharding.shard_documents(spark, rows(spark, data), 8).collect()
+    at = sorted((r.shard, r.slot) for r in out if r.doc_id == 7_000)
+    assert len(at) == len(set(at)) == 200
+    neighbours = sum(a[0] == b[0] and b[1] - a[1] == 1 for a, b in zip(at, at[1:]))
+    assert neighbours <= 30  # 12 expected, deviation 3.5
+    shards = np.bincount([s for s, _ in at], minlength=8)
+    places = np.bincount([slot // 40 for _, slot in at], minlength=10)
+    assert ((shards - 25) ** 2 / 25).sum() < 30 and ((places - 20) ** 2 / 20).sum() < 34

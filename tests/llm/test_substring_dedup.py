@@ -79,3 +79,52 @@ def test_many_copies_grow_linearly(spark):
     firsts = [r.first_doc_id for r in out.collect()]
     # a chunk at the edge may match another copy by chance first
     assert np.mean([f == 0 for f in firsts]) > 0.8
+
+
+def test_spans_equal_a_plain_dictionary(spark):
+    """Chunks compared as tuples of words, not by digests; one text is very long."""
+    import random
+
+    import numpy as np
+
+    from cartpulse.llm import substring_dedup as S
+    from cartpulse.llm import textnum
+    rng = random.Random(9)
+    vocab = [f"v{i}" for i in range(3000)]
+    passages = [[rng.choice(vocab) for _ in range(rng.choice([12, 40, 90]))] for _ in range(8)]
+    texts = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.choice([0, 1, 4]) if i else 400):
+            words += [rng.choice(vocab) for _ in range(rng.randrange(30))] + rng.choice(passages)
+        texts.append((i, " ".join(words)))
+    texts.append((60, texts[5][1]))
+    chunks, seen, dup = [], {}, {}
+    for i, text in texts:
+        words, bounds = textnum.word_hashes([text.encode()])
+        if not len(words):
+            continue
+        cut = S.boundaries(words, np.array([0, len(words)])).tolist() + [len(words)]
+        plain = text.split()
+        for k, start in enumerate(cut[:-1]):
+            end = cut[min(k + 2, len(cut) - 1)]
+            if end - start >= S.MIN_WORDS:
+                key = (tuple(plain[start:cut[k + 1]]), tuple(plain[cut[k + 1]:end]))
+                first = seen.setdefault(key, (i, start))
+                if first != (i, start):
+                    dup.setdefault(i, []).append((start, end, first[0]))
+    want = []
+    for i, spans in dup.items():
+        joined = []
+        for start, end, first in sorted(spans):
+            if joined and start <= joined[-1][1]:
+                joined[-1][1] = max(joined[-1][1], end)
+            else:
+                joined.append([start, end, first])
+        want += [(i, a, b - a, f) for a, b, f in joined if b - a >= 16]
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in texts], "doc_id long, text string, digest int, _id string")
+    got = [tuple(r) for r in S.duplicate_spans(spark, df).collect()]
+    assert len(want) > 40 and sorted(got) == sorted(want)
+    kept = S.without_duplicates(df, spark.createDataFrame(got, "doc_id long, start_word int, n_words int, "
+                                                          "first_doc_id long"))
+    assert kept.columns == df.columns and kept.count() == len(texts)

@@ -93,3 +93,44 @@ def test_long_texts_are_drawn(spark):
     assert T.train(docs, labels, F.lit(True)).trained
     few = T.train(docs, labels, F.lit(True), max_chars=60_000)  # about eight texts of a class
     assert few.trained
+
+
+def brute_logit(model, text):
+    """The score's logit by loops: n-grams of a word, means of words and of windows."""
+    from cartpulse.llm.language_id import Words
+    codes = [int(c) for c in Words([text]).codes]
+    m64 = (1 << 64) - 1
+
+    def bucket(gram):
+        h = len(gram)
+        for c in reversed(gram):
+            h = ((h ^ c) * 0x100000001B3) & m64
+        for _ in range(2):
+            h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & m64
+        return ((h ^ (h >> 32)) >> 20) % T.BUCKETS
+
+    words, start = [], None
+    for i, c in enumerate(codes):
+        if c and start is None:
+            start = i
+        if not c and start is not None:
+            values = []
+            for n in T.ORDERS:
+                for last in range(start, i + 1):
+                    gram = codes[max(0, last - n + 1):last + 1]
+                    if len(gram) == n and all(gram[1:-1]):
+                        values.append(float(model.buckets[bucket(gram)]))
+            words.append(sum(values) / max(len(values), 1))
+            start = None
+    means = [sum(words[k:k + T.WINDOW]) / len(words[k:k + T.WINDOW]) for k in range(0, len(words), T.STRIDE)]
+    return max(means) + model.bias if means else model.bias
+
+
+def test_scores_equal_brute_force():
+    rng = np.random.default_rng(8)
+    model = T.Model(rng.normal(size=T.BUCKETS), -1.5)
+    texts = ["", "a", "one", "Éa bb, ccc! dddd-eeeee", "x1y2", " ".join(f"word{chr(97 + i % 26) * (i % 9)}" for i in range(45)),
+             "12 34", "one " * 17]
+    got = model.logits(texts)
+    assert np.allclose(got, [brute_logit(model, t) for t in texts], atol=1e-4)
+    assert np.allclose(model.logits(texts + texts)[len(texts):], got, atol=1e-9)  # repeated rows

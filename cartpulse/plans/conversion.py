@@ -46,8 +46,7 @@ def funnel_counts(events: DataFrame, categories: DataFrame | None = None,
     if categories is None:
         return events.groupBy(*keys, "product_id", "product_category").agg(*aggs)
     per_product = events.groupBy(*keys, "product_id").agg(*aggs)
-    # Attached after the aggregate (days x products rows): checkpointed, its
-    # keys select the used dimension rows, nothing is shuffled for the join.
+    # Attached after the aggregate: days x products rows are joined, not events.
     return attach_dimension(per_product, categories, "product_id")
 
 

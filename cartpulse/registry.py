@@ -609,17 +609,142 @@ def q_clean_events_stream(spark, sf_dir):
     return _ntz(table.drop("offset", "kafka_timestamp"))
 
 
-@register("alert_batch_metrics")
+_METRIC_RUNS: dict[tuple, dict] = {}
+
+
+def metrics_run(spark: SparkSession, sf_dir: str) -> dict:
+    """Replay the fixture feed with one micro-batch for each day (one file a day, one
+    file a trigger), so that batches do not depend on file splits; returns the paths
+    of the alert log and of the listener's metrics."""
+    import uuid
+
+    from cartpulse.session import input_key, work_path
+    from cartpulse.streaming.alerts import replay_alerts
+    from cartpulse.streaming.replay import write_replay
+    key = _session_key(spark, sf_dir)
+    if key not in _METRIC_RUNS:
+        workdir = work_path(spark, "metrics", input_key(sf_dir), uuid.uuid4().hex)
+        write_replay(spark, feed.faulty_feed(_clicks(spark, sf_dir)), f"{workdir}/days", n_files=1)
+        paths = replay_alerts(spark, None, workdir, FIXTURE_ALERT_PARAMS, replay_path=f"{workdir}/days",
+                              metrics=f"{workdir}/metrics")
+        _METRIC_RUNS[key] = {**paths, "metrics": f"{workdir}/metrics"}
+    return _METRIC_RUNS[key]
+
+
+# What each day's batch changes: an event belongs to the batch in which its first
+# valid copy arrives; a window's counts are those of all batches so far.
+_FIXTURE_SLIDE, _FIXTURE_LENGTH = _micros(FIXTURE_ALERT_PARAMS.slide), _micros(FIXTURE_ALERT_PARAMS.window)
+BATCH_SQL = f"""batches AS (
+  SELECT day, row_number() OVER (ORDER BY day) - 1 AS batch_id, input_rows
+  FROM (SELECT CAST(event_timestamp + c * INTERVAL 1 SECOND AS DATE) AS day, count(*) AS input_rows
+        FROM clicks, (VALUES (0), (1)) AS t(c) GROUP BY 1)),
+arrived AS (
+  SELECT event_id, any_value(product_id) AS product_id, any_value(event_type) AS event_type,
+         any_value(event_timestamp) AS event_timestamp,
+         CAST(min(event_timestamp + copy * INTERVAL 1 SECOND) AS DATE) AS day
+  FROM valid GROUP BY event_id),
+touched AS (
+  SELECT product_id, day, event_type,
+         unnest(range(0, {_FIXTURE_LENGTH // _FIXTURE_SLIDE})) * {_FIXTURE_SLIDE} AS back,
+         (epoch_us(event_timestamp) // {_FIXTURE_SLIDE}) * {_FIXTURE_SLIDE} AS last_start FROM arrived),
+gained AS (
+  SELECT product_id, last_start - back AS window_start, day,
+         count(*) FILTER (WHERE event_type = 'view') AS views,
+         count(*) FILTER (WHERE event_type = 'purchase') AS purchases
+  FROM touched GROUP BY ALL),
+changed AS (
+  SELECT product_id, day, sum(views) OVER w AS views, sum(purchases) OVER w AS purchases
+  FROM gained WINDOW w AS (PARTITION BY product_id, window_start ORDER BY day)),
+updates AS (
+  SELECT batch_id, product_id, views, purchases, purchases < {FIXTURE_ALERT_PARAMS.max_purchases} AS alert
+  FROM changed JOIN batches USING (day) WHERE views > {FIXTURE_ALERT_PARAMS.min_views})"""
+_BATCH_SUMS = """count(*) AS changed_windows, count(*) FILTER (WHERE alert) AS alerts,
+  CAST(sum(views) FILTER (WHERE alert) AS BIGINT) AS alert_views,
+  CAST(sum(purchases) FILTER (WHERE alert) AS BIGINT) AS alert_purchases"""
+
+
+@register("alert_batch_metrics", with_clicks(
+    f"SELECT batch_id, {_BATCH_SUMS}, count(DISTINCT product_id) FILTER (WHERE alert) AS alert_products, "
+    "max(CAST(purchases AS DOUBLE) * 100.0 / views) FILTER (WHERE alert) AS max_alert_rate "
+    "FROM updates GROUP BY batch_id", _feed_sql(), VALID_FEED, BATCH_SQL))
 def q_alert_batch_metrics(spark, sf_dir):
-    """C14: per micro-batch metrics; batch boundaries depend on file splits,
-    so only the row count is checked."""
+    """C14: per micro-batch metrics from the alert log, one batch for each day."""
     from cartpulse.streaming.alerts import batch_metrics, read_alert_log
-    return batch_metrics(read_alert_log(spark, stream_run(spark, sf_dir)["alert_log"]))
+    return batch_metrics(read_alert_log(spark, metrics_run(spark, sf_dir)["alert_log"]))
+
+
+@register("alert_stream_progress", with_clicks(
+    "SELECT b.batch_id, CAST(b.input_rows AS BIGINT) AS input_rows, coalesce(changed_windows, 0) AS "
+    "changed_windows, coalesce(alerts, 0) AS alerts, alert_views, alert_purchases, "
+    "CAST(0 AS BIGINT) AS rows_dropped_late FROM batches b LEFT JOIN "
+    f"(SELECT batch_id, {_BATCH_SUMS} FROM updates GROUP BY batch_id) u ON u.batch_id = b.batch_id",
+    _feed_sql(), VALID_FEED, BATCH_SQL))
+def q_alert_stream_progress(spark, sf_dir):
+    """C14: what the query listener kept of every batch that read rows."""
+    from cartpulse.streaming.metrics import read_metrics
+    rows = read_metrics(spark, metrics_run(spark, sf_dir)["metrics"]).where("input_rows > 0")
+    return rows.drop("run_started", "state_rows")
+
+
+_TABLE_STREAM_RUNS: dict[tuple, str] = {}
+
+
+def table_stream_run(spark: SparkSession, sf_dir: str, accepted: bool) -> str:
+    """Alerts streamed from a table instead of messages: the cleaned-event table
+    (copies dropped by the bounded de-dup), or the accepted events, whose ids an
+    index has checked; returns the alert log's path."""
+    import uuid
+
+    from cartpulse.schema import ENVELOPE_SCHEMA
+    from cartpulse.session import input_key, work_path
+    from cartpulse.streaming import accepted as acc
+    from cartpulse.streaming import alerts as al
+    key = _session_key(spark, sf_dir, accepted)
+    if key not in _TABLE_STREAM_RUNS:
+        workdir = work_path(spark, "table_stream", input_key(sf_dir), uuid.uuid4().hex)
+        now = {"availableNow": True}
+        if accepted:
+            messages = al.read_events(spark, source="parquet", path=stream_run(spark, sf_dir)["replay"],
+                                      max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
+            valid = al.valid_stream(messages.select(*ENVELOPE_SCHEMA.fieldNames()))
+            acc.start_accept_query(valid, workdir, f"{workdir}/accept_checkpoint", now,
+                                   compact_every=2).awaitTermination()
+            events = acc.read_accepted_stream(spark, workdir)
+        else:
+            events = al.read_clean_stream(spark, clean_stream_run(spark, sf_dir))
+        alerts = al.event_alerts(events, FIXTURE_ALERT_PARAMS, "accepted" if accepted else "bounded")
+        al.start_alert_query(alerts, al.log_sink(f"{workdir}/log"), f"{workdir}/checkpoint",
+                             now).awaitTermination()
+        _TABLE_STREAM_RUNS[key] = f"{workdir}/log"
+    return _TABLE_STREAM_RUNS[key]
+
+
+def _table_stream_alerts(spark, sf_dir, accepted: bool) -> DataFrame:
+    from cartpulse.streaming.alerts import current_alerts, read_alert_log
+    log = read_alert_log(spark, table_stream_run(spark, sf_dir, accepted))
+    return _ntz(current_alerts(log).drop("alert_timestamp"))
+
+
+@register("flash_sale_alerts_from_table", with_clicks(STREAM_ALERTS_SQL, CLEAN_SQL,
+                                                      window_counts_sql(FIXTURE_ALERT_PARAMS)))
+def q_flash_sale_alerts_from_table(spark, sf_dir):
+    """C13 with one decoded stream: alerts from the cleaned-event table's commit log."""
+    return _table_stream_alerts(spark, sf_dir, accepted=False)
+
+
+@register("flash_sale_alerts_accepted", with_clicks(STREAM_ALERTS_SQL, CLEAN_SQL,
+                                                    window_counts_sql(FIXTURE_ALERT_PARAMS)))
+def q_flash_sale_alerts_accepted(spark, sf_dir):
+    """C2 exact with bounded state: ids checked against the index of accepted ids."""
+    return _table_stream_alerts(spark, sf_dir, accepted=True)
 
 
 # --- result tables and history (D9, E10, F15, H1-H3, G1-G7) ----------------------
 
 _TABLE_RUNS: dict[tuple, str] = {}
+# Seconds by which the fixture's alerts are raised after their window's end: the
+# views times a step, modulo ten days.
+LATE_STEP, LATE_RANGE = 79_199, 864_000
 
 
 def result_tables(spark: SparkSession, sf_dir: str) -> str:
@@ -634,8 +759,10 @@ def result_tables(spark: SparkSession, sf_dir: str) -> str:
         # one folder per application: parallel sessions never write the same tables
         root = work_path(spark, "tables", input_key(sf_dir), spark.sparkContext.applicationId)
         run_daily_jobs(_facts(spark, sf_dir), root, _dims(spark, sf_dir))
-        # fixed stamps instead of the wall clock: an alert is raised at its window's end
-        alerts = _stream_alerts(spark, sf_dir).withColumn("alert_timestamp", F.col("window_end"))
+        # fixed stamps instead of the wall clock: alerts are raised late, in another
+        # order than their windows end
+        late = F.make_dt_interval(secs=F.pmod(F.col("total_views") * LATE_STEP, F.lit(LATE_RANGE)))
+        alerts = _stream_alerts(spark, sf_dir).withColumn("alert_timestamp", F.col("window_end") + late)
         write_snapshot(alerts, table_path(root, "flash_sale_alerts"), ALERT_SCHEMA)
         _TABLE_RUNS[key] = root
     return _TABLE_RUNS[key]
@@ -688,7 +815,8 @@ def q_conversion_history(spark, sf_dir):
 
 
 @register("latest_alerts", with_clicks(
-    f"SELECT * FROM ({STREAM_ALERTS_SQL}) s ORDER BY window_end DESC, product_id LIMIT 10",
+    f"SELECT * FROM ({STREAM_ALERTS_SQL}) s ORDER BY epoch_us(window_end) + "
+    f"(total_views * {LATE_STEP} % {LATE_RANGE}) * 1000000 DESC, window_end DESC, product_id LIMIT 10",
     CLEAN_SQL, window_counts_sql(FIXTURE_ALERT_PARAMS)))
 def q_latest_alerts(spark, sf_dir):
     from cartpulse.plans.history import latest_alerts

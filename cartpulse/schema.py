@@ -53,6 +53,16 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType(), True),
 ])
 
+# H1: a row of the cleaned-event table.
+CLEAN_EVENT_SCHEMA = T.StructType(
+    EVENT_SCHEMA.fields[:4]
+    + [T.StructField("event_timestamp", T.TimestampType(), True)]
+    + EVENT_SCHEMA.fields[5:]
+    + [T.StructField("partition", T.IntegerType(), True), T.StructField("offset", T.LongType(), True),
+       T.StructField("kafka_timestamp", T.TimestampType(), True),
+       T.StructField("is_high_value", T.BooleanType(), True),
+       T.StructField("event_hour", T.IntegerType(), True), T.StructField("event_date", T.DateType(), True)])
+
 # Result tables (serial ids dropped; natural keys in the docstrings).
 ALERT_SCHEMA = T.StructType([  # key (product_id, window_start)
     T.StructField("product_id", T.StringType(), False),

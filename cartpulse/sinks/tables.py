@@ -8,6 +8,8 @@ dynamic partition overwrite, so re-running a day replaces exactly that day
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,22 +41,29 @@ def write_daily(df: DataFrame, path: str, schema: T.StructType, first: str | Non
     """H3: replace the days present in ``df``; other days stay, but for days of
     ``first`` .. ``last`` that have no rows now: their folders are removed. A day's
     rows go to one task, or to several if AQE splits a large day."""
+    stamp = datetime.now(timezone.utc)
+    if "created_at" not in df.columns:
+        df = df.withColumn("created_at", F.lit(stamp))
+        this_write = F.col("created_at") == F.lit(stamp)
+    else:
+        this_write = None
     rows = conform(df, schema).hint("rebalance", "analysis_date")
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("analysis_date").parquet(path))
-    if first:
+    if first and path_exists(df.sparkSession, path):
+        if this_write is not None:  # the days are taken from what was written: nothing runs twice
+            df = df.sparkSession.read.schema(schema).parquet(path).where(this_write)
         drop_empty_days(df, path, first, last or first)
 
 
 def drop_empty_days(df: DataFrame, path: str, first: str, last: str) -> None:
     """Remove the folders of the days first .. last that ``df`` has no rows for."""
     spark = df.sparkSession
-    days = [r[0] for r in df.select(F.col("analysis_date").cast("string")).distinct().collect()]
+    day = F.col("analysis_date").cast("string")
+    days = [r[0] for r in df.where(day.between(first, last)).select(day).distinct().collect()]
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return
     for status in fs.listStatus(root):
         key, _, day = status.getPath().getName().partition("=")
         if key == "analysis_date" and first <= day <= last and day not in days:
@@ -126,6 +135,76 @@ def jdbc_sink(url: str, table: str, properties: dict | None = None, run: int = 0
     return write
 
 
+def transact_jdbc(spark: SparkSession, url: str, statements: list[str],
+                  properties: dict | None = None) -> None:
+    """All statements in one transaction of the driver's JDBC connection."""
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, v)
+    if (properties or {}).get("driver"):
+        jvm.java.lang.Class.forName(properties["driver"])
+    connection = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            connection.createStatement().executeUpdate(statement)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+# Column types that the common databases share.
+_SQL_TYPES = {"string": "VARCHAR(255)", "timestamp": "TIMESTAMP", "bigint": "BIGINT",
+              "double": "DOUBLE PRECISION", "boolean": "BOOLEAN"}
+
+
+def alert_table_ddl(table: str) -> list[str]:
+    """H2: the alert table, the rows of a batch on their way to it, and the batches it
+    has taken; each is made if it is not there."""
+    rows = [f"{f.name} {_SQL_TYPES[f.dataType.simpleString()]}{'' if f.nullable else ' NOT NULL'}"
+            for f in ALERT_SCHEMA.fields]
+    batch = ["run_started BIGINT NOT NULL", "batch_id BIGINT NOT NULL"]
+    keys = {table: ["PRIMARY KEY (product_id, window_start)"], f"{table}_staging": [],
+            f"{table}_batches": ["PRIMARY KEY (run_started, batch_id)"]}
+    return [f"CREATE TABLE IF NOT EXISTS {name} ("
+            + ", ".join((batch if name.endswith("_batches") else rows + batch) + key) + ")"
+            for name, key in keys.items()]
+
+
+def jdbc_upsert_sink(url: str, table: str, properties: dict | None = None, run: int = 0):
+    """C12, H2 as a ``foreachBatch`` sink: tables are made if absent, the rows of a batch
+    go to a staging table by Spark's writer, and one transaction then replaces the
+    alerts of the same (product, window), marks the batch and empties the staging
+    rows. A batch that is executed again stages its rows anew and repeats the same
+    transaction, so readers see each batch whole and once."""
+    made = []
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        if not made:
+            transact_jdbc(spark, url, alert_table_ddl(table), properties)
+            made.append(True)
+        mine = f"run_started = {run} AND batch_id = {batch_id}"
+        staging, marks = f"{table}_staging", f"{table}_batches"
+        transact_jdbc(spark, url, [f"DELETE FROM {staging} WHERE {mine}"], properties)
+        write_jdbc(conform(rows, ALERT_SCHEMA).withColumn("run_started", F.lit(run).cast("long"))
+                   .withColumn("batch_id", F.lit(batch_id).cast("long")), url, staging, properties)
+        columns = ", ".join([*ALERT_SCHEMA.fieldNames(), "run_started", "batch_id"])
+        transact_jdbc(spark, url, [
+            f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE s.product_id = "
+            f"{table}.product_id AND s.window_start = {table}.window_start AND s.run_started = {run} "
+            f"AND s.batch_id = {batch_id})",
+            f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging} WHERE {mine}",
+            f"DELETE FROM {marks} WHERE {mine}",
+            f"INSERT INTO {marks} (run_started, batch_id) VALUES ({run}, {batch_id})",
+            f"DELETE FROM {staging} WHERE {mine}"], properties)
+    return write
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 

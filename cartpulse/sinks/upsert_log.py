@@ -40,6 +40,8 @@ class UpsertLog:
     """Rows of ``schema``, of which the last for each ``key`` counts; ``day`` is the
     column whose date the base is kept by."""
 
+    roots = ("base",)  # folders that a generation lies in
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: list[str], day: str) -> None:
         self.spark, self.path, self.key, self.day = spark, path.rstrip("/"), key, day
         self.schema = T.StructType(schema.fields + LOG_COLUMNS)
@@ -149,13 +151,17 @@ class UpsertLog:
             for base in self._rows_of(before, touched)[1:]:
                 folded = folded.unionByName(base.withColumn("log_day", log_day))
             generation = uuid.uuid4().hex
-            (self.last_rows(folded).hint("rebalance", "log_day").write.partitionBy("log_day")
-             .parquet(f"{self.path}/base/{generation}"))
+            if days:  # else the deltas are empty
+                self._write_base(self.last_rows(folded), generation)
             after = Manifest(before.version + 1, *live[-1],
                              {**before.days, **{d: generation for d in days}})
             self._publish(after)
             self._clean(before, after)
 
+    def _write_base(self, rows: DataFrame, generation: str) -> None:
+        (rows.hint("rebalance", "log_day").write.partitionBy("log_day")
+         .parquet(f"{self.path}/base/{generation}"))
+
     def _clean(self, before: Manifest, after: Manifest) -> None:
         """Remove what neither the new manifest nor the one before it needs."""
         for run, batch in self.deltas():
@@ -165,13 +171,14 @@ class UpsertLog:
             if r.startswith("run_started=") and not self._list("deltas", r):
                 self._delete("deltas", r)
         needed = {(g, d) for m in (before, after) for d, g in m.days.items()}
-        for generation in self._list("base"):
-            held = [n for n in self._list("base", generation) if n.startswith("log_day=")]
-            kept = [n for n in held if (generation, n.partition("=")[2]) in needed]
-            for n in set(held).difference(kept):
-                self._delete("base", generation, n)
-            if not kept:
-                self._delete("base", generation)
+        for root in self.roots:
+            for generation in self._list(root):
+                held = [n for n in self._list(root, generation) if n.startswith("log_day=")]
+                kept = [n for n in held if (generation, n.partition("=")[2]) in needed]
+                for n in set(held).difference(kept):
+                    self._delete(root, generation, n)
+                if not kept:
+                    self._delete(root, generation)
         for name in self._list("manifest"):
             if name not in {f"{m.version:012d}.json" for m in (before, after)}:
                 self._delete("manifest", name)

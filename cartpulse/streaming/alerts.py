@@ -38,7 +38,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cartpulse.operators.cleanse import decode, validate
 from cartpulse.operators.windows import (_seconds, alert_rule, alert_updates, stamp_alerts,
                                          window_counts)
-from cartpulse.schema import ALERT_SCHEMA, ENVELOPE_SCHEMA, AlertParams
+from cartpulse.schema import ALERT_SCHEMA, CLEAN_EVENT_SCHEMA, ENVELOPE_SCHEMA, AlertParams
 from cartpulse.session import apply_runtime_conf
 from cartpulse.sinks.upsert_log import UpsertLog
 
@@ -88,12 +88,20 @@ def read_events(spark: SparkSession, source: str = "kafka", path: str | None = N
 def clean_stream(messages: DataFrame, params: AlertParams = AlertParams(),
                  dedup: str = "bounded") -> DataFrame:
     """B1-B10 and C1-C2 on a stream: decoded, valid, de-duplicated, watermarked."""
-    events = validate(decode(messages))
+    return dedup_stream(valid_stream(messages), params, dedup)
+
+
+def dedup_stream(events: DataFrame, params: AlertParams = AlertParams(),
+                 dedup: str = "bounded") -> DataFrame:
+    """C1-C2 on valid events. ``accepted`` events have been de-duplicated before
+    (``cartpulse.streaming.accepted``): they only get the watermark."""
+    if dedup == "accepted":
+        return events.withWatermark("event_timestamp", params.watermark)
     if dedup == "exact":
         return events.dropDuplicates(["event_id"]) \
             .withWatermark("event_timestamp", params.watermark)
     if dedup != "bounded":
-        raise ValueError(f"dedup must be 'bounded' or 'exact', not {dedup!r}")
+        raise ValueError(f"dedup must be 'bounded', 'exact' or 'accepted', not {dedup!r}")
     horizon = _seconds(params.watermark) + _seconds(params.window)
     return events.withWatermark("event_timestamp", f"{horizon} seconds") \
         .dropDuplicatesWithinWatermark(["event_id"])
@@ -107,13 +115,19 @@ def valid_stream(messages: DataFrame) -> DataFrame:
 
 def alert_stream(messages: DataFrame, params: AlertParams = AlertParams(),
                  dedup: str = "bounded") -> DataFrame:
-    """The alert update stream (run in update output mode).
+    """The alert update stream (run in update output mode)."""
+    return event_alerts(valid_stream(messages), params, dedup)
+
+
+def event_alerts(events: DataFrame, params: AlertParams = AlertParams(),
+                 dedup: str = "bounded") -> DataFrame:
+    """``alert_stream`` over valid events, such as the cleaned-event table's.
 
     C14 rides along as an observation: every micro-batch's progress report
     carries ``observedMetrics["alert_batch"]`` (changed windows, alerts, and
     their views and purchases), computed in the same pass.
     """
-    updates = alert_updates(window_counts(clean_stream(messages, params, dedup), params), params)
+    updates = alert_updates(window_counts(dedup_stream(events, params, dedup), params), params)
     trig = F.col("alert_triggered")
     return updates.observe(
         "alert_batch",
@@ -123,6 +137,17 @@ def alert_stream(messages: DataFrame, params: AlertParams = AlertParams(),
         F.sum(F.when(trig, F.col("total_purchases"))).alias("alert_purchases"))
 
 
+def read_clean_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The cleaned-event table as a stream, so that messages are decoded by the
+    query that writes it only. The source follows the file sink's commit log: it
+    sees whole micro-batches, each file once. A trigger takes all that is committed,
+    since the files of one batch are in no order of time."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    return spark.readStream.schema(CLEAN_EVENT_SCHEMA).parquet(path)
+
+
 def run_started(spark: SparkSession, checkpoint: str) -> int:
     """When the checkpoint's run began (ms). The mark lies in the checkpoint: batch
     numbers and mark begin anew together."""
@@ -130,8 +155,9 @@ def run_started(spark: SparkSession, checkpoint: str) -> int:
 
     from cartpulse.sinks.tables import path_exists
     mark = f"{checkpoint}/run_started"
-    if not path_exists(spark, mark):
-        spark.range(1).select(F.lit(time.time_ns() // 10 ** 6).alias("ms")).write.parquet(mark)
+    if not path_exists(spark, f"{mark}/_SUCCESS"):  # a mark half written is written anew
+        (spark.range(1).select(F.lit(time.time_ns() // 10 ** 6).alias("ms"))
+         .write.mode("overwrite").parquet(mark))
     return spark.read.parquet(mark).first()["ms"]
 
 
@@ -246,7 +272,7 @@ def read_final_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 def start_clean_event_sink(clean: DataFrame, path: str, checkpoint: str,
                            trigger: dict | None = None) -> StreamingQuery:
-    """H1 from the stream: the decoded, valid, de-duplicated events appended to
+    """H1 from the stream: the decoded, valid events (copies too) appended to
     a parquet table partitioned by event_date (the input of the daily jobs).
     The file sink's metadata log makes the append exactly-once."""
     writer = (clean.drop("processing_timestamp").writeStream.outputMode("append")
@@ -282,15 +308,17 @@ def replay_alerts(spark: SparkSession, messages: DataFrame | None, workdir: str,
                   params: AlertParams = AlertParams(), dedup: str = "bounded",
                   max_files_per_trigger: int = 1, state_partitions: int | None = None,
                   replay_path: str | None = None, final: bool = False,
-                  compact_every: int | None = None) -> dict:
+                  compact_every: int | None = None, metrics: str | None = None) -> dict:
     """Replay a message table through the streaming alert query to the end.
 
     Writes the replay files (or reuses ``replay_path``), runs the query with
     an ``availableNow`` trigger and waits for it. State partitions (fixed by
     the first batch of a new checkpoint) default to the cluster's default
-    parallelism, one state store per core. ``final`` runs the append form. Returns
+    parallelism, one state store per core. ``final`` runs the append form; ``metrics``
+    names a folder for the progress of every batch. Returns
     the paths of the replay, checkpoint and alert log (or table of final alerts).
     """
+    from cartpulse.streaming.metrics import BatchMetrics, reports_written
     from cartpulse.streaming.replay import write_replay
     paths = {k: f"{workdir}/{k}" for k in ("replay", "checkpoint", "alert_log")}
     if replay_path:
@@ -306,6 +334,9 @@ def replay_alerts(spark: SparkSession, messages: DataFrame | None, workdir: str,
                          max_files_per_trigger=max_files_per_trigger)
     stream = stream.select(*ENVELOPE_SCHEMA.fieldNames())
     trigger = {"availableNow": True}
+    listener = BatchMetrics(own, metrics) if metrics else None
+    if listener:
+        own.streams.addListener(listener)
     if final:
         query = start_final_query(final_alert_stream(stream, params, dedup), paths["alert_log"],
                                   paths["checkpoint"], trigger)
@@ -314,6 +345,9 @@ def replay_alerts(spark: SparkSession, messages: DataFrame | None, workdir: str,
                                   log_sink(paths["alert_log"], compact_every=compact_every),
                                   paths["checkpoint"], trigger)
     query.awaitTermination()
+    if listener:
+        reports_written(own)
+        own.streams.removeListener(listener)
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return paths

@@ -14,10 +14,12 @@ from pyspark.sql import SparkSession
 
 from cartpulse.schema import ENVELOPE_SCHEMA, AlertParams
 from cartpulse.session import apply_runtime_conf, job_session, work_path
-from cartpulse.sinks.tables import jdbc_sink
-from cartpulse.streaming.alerts import (alert_stream, console_sink, final_alert_stream, log_sink,
-                                        read_events, run_started, start_alert_query,
-                                        start_clean_event_sink, start_final_query, valid_stream)
+from cartpulse.sinks.tables import jdbc_upsert_sink
+from cartpulse.streaming.alerts import (console_sink, event_alerts, final_alert_stream, log_sink,
+                                        read_clean_stream, read_events, run_started,
+                                        start_alert_query, start_clean_event_sink, start_final_query,
+                                        valid_stream)
+from cartpulse.streaming.metrics import BatchMetrics
 
 
 def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None = None,
@@ -26,11 +28,16 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
                   trigger: dict | None = None, console: bool = False,
                   jdbc: dict | None = None, name: str = "flash_sale_alerts",
                   clean_table: str | None = None, max_offsets_per_trigger: int | None = None,
-                  wait: bool = True, final_table: str | None = None, compact_every: int | None = 60):
+                  wait: bool = True, final_table: str | None = None, compact_every: int | None = 60,
+                  decode_once: bool = False, metrics: str | None = None):
     """Start the alert query (with ``final_table`` in append form: only closed windows,
     each written once to that table; and, with ``clean_table``, a second query that
-    appends the cleaned events to that table, partitioned by event_date).
+    appends the cleaned events to that table, partitioned by event_date; with
+    ``decode_once`` the alert query then streams from that table, so that only the
+    second query decodes). ``metrics`` names a folder for the progress of each batch.
     Returns the alert query; blocks until it ends unless ``wait`` is False."""
+    if decode_once and (final_table or not clean_table):
+        raise ValueError("decode_once needs the cleaned-event table and the update form")
     if final_table and (console or jdbc):
         raise ValueError("the append form writes its table only")
     apply_runtime_conf(spark)
@@ -44,13 +51,16 @@ def run_alert_job(spark: SparkSession, source: str = "kafka", path: str | None =
     checkpoint = work_path(spark, "alerts", name, "checkpoint")
     run = run_started(spark, checkpoint)
     if jdbc:
-        extra.append(jdbc_sink(jdbc["url"], jdbc["table"], jdbc.get("properties"), run))
+        extra.append(jdbc_upsert_sink(jdbc["url"], jdbc["table"], jdbc.get("properties"), run))
     if final_table:
         queries = [start_final_query(final_alert_stream(messages, params, dedup), final_table,
                                      work_path(spark, "alerts", name, "final_checkpoint"), trigger, name)]
     else:
         handler = log_sink(work_path(spark, "alerts", name, "log"), extra, run, compact_every)
-        queries = [start_alert_query(alert_stream(messages, params, dedup), handler, checkpoint,
+        if metrics:
+            spark.streams.addListener(BatchMetrics(spark, metrics, name, run))
+        events = read_clean_stream(spark, clean_table) if decode_once else valid_stream(messages)
+        queries = [start_alert_query(event_alerts(events, params, dedup), handler, checkpoint,
                                      trigger, name)]
     if clean_table:
         queries.append(start_clean_event_sink(
@@ -95,6 +105,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--final-table", help="append form: write only closed windows, to this table")
     ap.add_argument("--compact-every", type=int, default=60,
                     help="fold so many batches of the alert log at a time")
+    ap.add_argument("--decode-once", action="store_true",
+                    help="stream the alerts from the cleaned-event table")
+    ap.add_argument("--metrics", help="folder for the progress of every batch")
     ap.add_argument("--max-offsets-per-trigger", type=int,
                     help="Kafka: upper bound of messages per micro-batch")
     ap.add_argument("--jdbc-url", help="also write the alerts to a table over JDBC (H2)")
@@ -111,7 +124,7 @@ def main(argv: list[str] | None = None) -> None:
     run_alert_job(spark, a.source, a.path, a.topic, a.bootstrap, params, a.dedup,
                   {"processingTime": a.trigger}, a.console, jdbc, clean_table=a.clean_table,
                   max_offsets_per_trigger=a.max_offsets_per_trigger, final_table=a.final_table,
-                  compact_every=a.compact_every)
+                  compact_every=a.compact_every, decode_once=a.decode_once, metrics=a.metrics)
 
 
 if __name__ == "__main__":

@@ -164,3 +164,26 @@ def test_cluster_without_a_shared_folder_is_refused():
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_jdbc_upsert_is_one_transaction(spark, monkeypatch):
+    """No database is started: what would be sent is intercepted."""
+    from cartpulse.sinks import tables as S
+    done = []
+    monkeypatch.setattr(S, "transact_jdbc", lambda spark, url, sql, props=None: done.append(sql))
+    monkeypatch.setattr(S, "write_jdbc", lambda df, url, table, props=None, mode="append":
+                        done.append((table, mode, df.columns[-2:])))
+    rows = spark.createDataFrame([], S.ALERT_SCHEMA)
+    sink = S.jdbc_upsert_sink("jdbc:x:y", "alerts", {"user": "u"}, run=77)
+    sink(rows, 5)
+    ddl, emptied, staged, upsert = done
+    assert [d.split(" (")[0] for d in ddl] == [f"CREATE TABLE IF NOT EXISTS {t}" for t in (
+        "alerts", "alerts_staging", "alerts_batches")]
+    assert "PRIMARY KEY (product_id, window_start)" in ddl[0] and "total_views BIGINT NOT NULL" in ddl[1]
+    assert emptied == ["DELETE FROM alerts_staging WHERE run_started = 77 AND batch_id = 5"]
+    assert staged == ("alerts_staging", "append", ["run_started", "batch_id"])
+    assert [u.split(" WHERE")[0].split(" (")[0] for u in upsert] == [
+        "DELETE FROM alerts", "INSERT INTO alerts", "DELETE FROM alerts_batches",
+        "INSERT INTO alerts_batches", "DELETE FROM alerts_staging"]
+    sink(rows, 6)
+    assert len(done) == 7  # the tables are made once

@@ -116,6 +116,14 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, counted: str, spread: st
     return out.select(*rows.columns, *[value[c].alias(c) for c in values])
 
 
+def slices(batches, rows: int = 256):
+    """The batches in pieces of at most ``rows`` rows: what a task holds beside a batch
+    stays small, and so does what its Python process keeps afterwards."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; null gives an empty array."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), lambda w: w != "")

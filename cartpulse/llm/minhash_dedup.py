@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartpulse.llm import textnum
-from cartpulse.llm.common import lookup, map_arrow, saved, scratch, unused
+from cartpulse.llm.common import lookup, map_arrow, saved, scratch, slices, unused
 
 K = 64
 NEED_TRUNCATED = 32  # of 64 union values 51 are expected in both at t = 0.8
@@ -58,7 +58,7 @@ def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text."""
     raw = [(t or "").encode().lower() for t in texts]
     out = []
-    for a, b in textnum.chunks(raw):
+    for a, b in textnum.chunks(raw, 1 << 18):
         words, bounds = textnum.word_hashes(raw[a:b])
         if len(words) >= n:
             rows = words[:len(words) - n + 1].copy()
@@ -79,7 +79,7 @@ def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
 
 def _sketcher(n: int, k: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = shingle_sets(batch.column("text").to_pylist(), n)
             heads = [s[:k].view(np.int64) for s in sets]
             ends = np.cumsum([0] + [len(h) for h in heads]).astype(np.int32)
@@ -161,7 +161,7 @@ def estimated(pairs: DataFrame, nodes: DataFrame, k: int, t: tuple[int, int],
 def _compare(n: int, t: tuple[int, int]):
     """Similarity test of pairs of texts; keeps b's differences from a's set."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 64):
             a, b = (shingle_sets(batch.column(c).to_pylist(), n) for c in ("ta", "tb"))
             rows, common, na, nb, extra, lacks = [], [], [], [], [], []
             for i, (x, y) in enumerate(zip(a, b)):

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartpulse.llm import textnum
-from cartpulse.llm.common import map_arrow
+from cartpulse.llm.common import map_arrow, slices
 from cartpulse.llm.language_id import Words
 
 ORDERS = (3, 4, 5, 6)
@@ -63,7 +63,7 @@ class Corpus:
         seen = np.empty(0, np.uint64)
         counts = np.zeros(BUCKETS, np.int32)
         hashes, bounds, ids, sizes, order = [], [0], [], [], []
-        for a, b in textnum.chunks(texts):
+        for a, b in textnum.chunks(texts, 1 << 18):
             words = Words(texts[a:b])
             h = textnum.range_hashes(words.codes, words.starts, words.ends)
             hashes.append(h)
@@ -196,7 +196,7 @@ class Model:
     def logits(self, texts: list[str]) -> np.ndarray:
         """Logit of every text: that of its most toxic window."""
         out = np.full(len(texts), self.bias)
-        for a, b in textnum.chunks(texts):
+        for a, b in textnum.chunks(texts, 1 << 18):
             words = Words(texts[a:b])
             if not len(words.starts):
                 continue
@@ -303,7 +303,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = P
 
 def _scorer(model_cast):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             scores = model_cast.value.scores([t or "" for t in batch.column("text").to_pylist()])
             i = batch.schema.get_field_index("text")
             rest = [c for c in range(batch.num_columns) if c != i]
@@ -326,7 +326,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     cast = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = pa.compute.cast(batch.column("text"), pa.string()).to_pylist()
             scores = cast.value.scores([t or "" for t in texts])
             yield batch.filter(pa.array(scores < THRESHOLD, pa.bool_()))

@@ -150,43 +150,39 @@ def conversion_report(counts: DataFrame, min_views: int = MIN_PRODUCT_VIEWS,
                       k: int = CONVERSION_K) -> DataFrame:
     """F16: overall, per-category, top-k and bottom-k rows as one tagged table.
 
-    The four sections read the same funnel counts (days x products rows,
-    category attached). The counts are marked to be kept when first computed, so
-    the events are scanned once; a lost part is computed again.
+    One aggregate over grouping sets gives the three levels (all, category, product)
+    of the funnel counts, so the events are scanned once and nothing is kept in the
+    session. A product row then goes to the sections it qualifies for. Without any
+    counts there is one overall row of NULLs, as in ``conversion_summary``.
     """
-    counts = counts.persist()
-    cats = category_conversion(counts, by_day=False)
-    prods = product_conversion(counts, min_views=min_views)
-    summary = conversion_summary(counts)
-    cols = ["section", "item_rank", "product_category", "product_id", "total_views",
-            "total_cart", "total_purchases", "conversion_rate"]
-    overall = summary.select(
-        F.lit("overall").alias("section"), F.lit(1).alias("item_rank"),
-        F.lit(None).cast("string").alias("product_category"),
-        F.lit(None).cast("string").alias("product_id"),
-        F.col("overall_views").alias("total_views"),
-        F.lit(None).cast("bigint").alias("total_cart"),
-        F.col("overall_purchases").alias("total_purchases"),
-        F.col("overall_conversion_rate").alias("conversion_rate"))
-
-    def ranked(df: DataFrame, section: str, order: list) -> DataFrame:
-        # rank <= k under one constant key: WindowGroupLimit keeps k rows per
-        # task before the shuffle, so the single group stays k x tasks rows.
-        return top_k_per_group(df.withColumn("section", F.lit(section)), ["section"], k,
-                               order, rank_col="item_rank")
-
-    # Categories carry no rank (their order is conversion_rate, F7); ranking
-    # them under one key would put the whole category set in one task.
-    category = cats.select(F.lit("category").alias("section"),
-                           F.lit(None).cast("int").alias("item_rank"),
-                           F.lit(None).cast("string").alias("product_id"), "*")
-    top = ranked(prods, "top", [F.desc("conversion_rate"), "product_id", "product_category"])
-    bottom = ranked(prods.filter(F.col("conversion_rate") < 100), "bottom",
-                    [F.asc("conversion_rate"), "product_id", "product_category"])
-    parts = [overall] + [
-        p.select(*[F.col(c).cast("string") if c == "product_id" else F.col(c) for c in cols])
-        for p in (category, top, bottom)]
-    out = parts[0].select(*cols)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*cols))
-    return out.withColumn("item_rank", F.col("item_rank").cast("int"))
+    keys = ["product_id", "product_category"]
+    counts = counts.select(*keys, *COUNT_COLS[:4])
+    nothing = counts.sparkSession.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in counts.schema.fields])
+    levels = (counts.unionByName(nothing)
+              .groupingSets([[], ["product_category"], keys], *keys)
+              .agg(*_sums(COUNT_COLS[:4]), F.grouping_id().alias("level"))
+              .withColumn("conversion_rate", ratio_pct("total_purchases", "total_views")))
+    # grouping_id has a bit for each key that was summed over: product_id 2, category 1
+    level, rate = F.col("level"), F.col("conversion_rate")
+    named = F.col("product_category").isNotNull() & (F.col("total_events") > 0)
+    listed = named & F.col("product_id").isNotNull() & (F.col("total_views") >= min_views)
+    section = (F.when(level == 3, F.array(F.lit("overall")))
+               .when((level == 2) & named, F.array(F.lit("category")))
+               .when((level == 0) & listed, F.array_compact(F.array(
+                   F.lit("top"), F.when(rate < 100, F.lit("bottom"))))))
+    rows = levels.withColumn("section", F.explode(section))
+    # rank <= k: WindowGroupLimit keeps k rows of a section per task before the shuffle.
+    # Categories carry no rank (their order is conversion_rate, F7): each is a group of
+    # its own, so that no task holds them all.
+    is_category = F.col("section") == "category"
+    rows = rows.withColumn("_group", F.when(is_category, F.col("product_category")))
+    ranked = top_k_per_group(
+        rows, ["section", "_group"], k,
+        [F.asc_nulls_last(F.when(F.col("section") == "top", -rate).otherwise(rate)),
+         F.col("product_id"), F.col("product_category")], rank_col="item_rank")
+    return ranked.select(
+        "section", F.when(~is_category, F.col("item_rank")).cast("int").alias("item_rank"),
+        "product_category", F.col("product_id").cast("string").alias("product_id"),
+        "total_views", F.when(F.col("section") != "overall", F.col("total_cart")).alias("total_cart"),
+        "total_purchases", "conversion_rate")

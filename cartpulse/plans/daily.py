@@ -7,14 +7,16 @@ write replaces exactly those days.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpulse.plans import conversion as conv
 from cartpulse.plans import products as prod
 from cartpulse.plans import segmentation as seg
-from cartpulse.schema import CONVERSION_SCHEMA, SEGMENTATION_SCHEMA, TOP_PRODUCTS_SCHEMA
-from cartpulse.sinks.tables import table_path, write_daily
+from cartpulse.plans import sketches as sk
+from cartpulse.schema import (CONVERSION_SCHEMA, PRODUCT_VIEWERS, PRODUCT_VIEWERS_SCHEMA,
+                              SEGMENTATION_SCHEMA, TOP_PRODUCTS_SCHEMA)
+from cartpulse.sinks.tables import read_clean_events, table_path, write_daily
 
 
 def segmentation_rows(events: DataFrame) -> DataFrame:
@@ -39,9 +41,10 @@ def conversion_rows(events: DataFrame, categories: DataFrame | None = None) -> D
 
 def run_daily_jobs(events: DataFrame, root: str, categories: DataFrame | None = None,
                    approx_rsd: float | None = None, first: str | None = None,
-                   last: str | None = None) -> None:
+                   last: str | None = None, viewer_sketches: bool = False) -> None:
     """Compute and write the three daily tables under ``root``. With a day range,
-    a day of it that has no rows any more loses its old answer, too."""
+    a day of it that has no rows any more loses its old answer, too.
+    ``viewer_sketches`` adds the table that answers E1-E7 for any range of days."""
     def write(df, name, schema):
         write_daily(df, table_path(root, name), schema, first, last)
 
@@ -49,16 +52,50 @@ def run_daily_jobs(events: DataFrame, root: str, categories: DataFrame | None =
     write(top_product_rows(events, categories, approx_rsd), "top_products_daily",
           TOP_PRODUCTS_SCHEMA)
     write(conversion_rows(events, categories), "conversion_rate_daily", CONVERSION_SCHEMA)
+    if viewer_sketches:
+        write(sk.product_viewers(events, categories), PRODUCT_VIEWERS, PRODUCT_VIEWERS_SCHEMA)
+
+
+def run_changed_days(spark: SparkSession, events_path: str, root: str, checkpoint: str,
+                     categories: DataFrame | None = None, approx_rsd: float | None = None,
+                     viewer_sketches: bool = False) -> list[str]:
+    """Recompute the days that the stream has appended rows to since the last run.
+
+    A streaming query follows the commit log of the cleaned-event table's file sink;
+    its checkpoint keeps which files have been seen. One run takes all that is
+    committed as one batch: the days of the new rows (the partition column, so no
+    data column is read) are computed again from the whole table, which only
+    prunes to these days, and replaced. A run that dies repeats its batch, and a day
+    written twice is the same day.
+    The table only grows, so no day loses its answer. Returns the days, in order; none if nothing was appended.
+    """
+    from cartpulse.streaming.alerts import read_clean_stream
+    days: list[str] = []
+
+    def recompute(rows: DataFrame, batch_id: int) -> None:
+        day = F.col("event_date")
+        touched = [r[0] for r in rows.where(day.isNotNull()).select(day).distinct()
+                   .orderBy(day).collect()]  # days, not rows
+        if touched:
+            events = read_clean_events(rows.sparkSession, events_path, days=touched)
+            run_daily_jobs(events, root, categories, approx_rsd, viewer_sketches=viewer_sketches)
+            days.extend(str(d) for d in touched)
+
+    query = (read_clean_stream(spark, events_path).select("event_date").writeStream
+             .foreachBatch(recompute).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return days
 
 
 def main(argv: list[str] | None = None) -> None:
     """``python -m cartpulse.plans.daily --events <cleaned table> --tables <root>
     [--first D --last D]``: (re)compute the three daily tables for a day range
-    from the cleaned-event table (partitioned by event_date, so the range prunes)."""
+    from the cleaned-event table (partitioned by event_date, so the range prunes);
+    ``--changed <checkpoint>`` for the days with rows since that checkpoint's last run."""
     import argparse
 
     from cartpulse.session import job_session
-    from cartpulse.sinks.tables import read_clean_events
     ap = argparse.ArgumentParser(description="Daily segmentation, top products, conversion")
     ap.add_argument("--events", required=True, help="cleaned-event table (parquet)")
     ap.add_argument("--tables", required=True, help="result-table root folder")
@@ -68,13 +105,25 @@ def main(argv: list[str] | None = None) -> None:
                                          "when the events carry no category")
     ap.add_argument("--approx-viewers", type=float, metavar="RSD",
                     help="estimate unique viewers (HyperLogLog++, relative error RSD)")
+    ap.add_argument("--changed", metavar="CHECKPOINT",
+                    help="only the days that got rows since the last run with this checkpoint")
+    ap.add_argument("--viewer-sketches", action="store_true",
+                    help="also write the sketches that answer any range of days")
     a = ap.parse_args(argv)
+    if a.changed and a.first:
+        ap.error("--changed finds the days itself: no --first")
     spark = job_session("cartpulse-daily")
     events = read_clean_events(spark, a.events, a.first, a.last or a.first)
     categories = spark.read.parquet(a.categories) if a.categories else None
     if categories is None and "product_category" not in events.columns:
         ap.error("the events have no product_category: pass --categories")
-    run_daily_jobs(events, a.tables, categories, a.approx_viewers, a.first, a.last or a.first)
+    if a.changed:
+        days = run_changed_days(spark, a.events, a.tables, a.changed, categories,
+                                a.approx_viewers, a.viewer_sketches)
+        print("\n".join(days))
+        return
+    run_daily_jobs(events, a.tables, categories, a.approx_viewers, a.first, a.last or a.first,
+                   a.viewer_sketches)
 
 
 if __name__ == "__main__":

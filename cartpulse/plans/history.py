@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from cartpulse.functions.rules import half_up_mean, top_k
 from cartpulse.schema import HISTORY_LIMIT, RESULT_TABLES
-from cartpulse.sinks.tables import read_result_table, table_presence
+from cartpulse.sinks.tables import (footer_session, read_result_table, table_presence,
+                                    table_row_count)
 
 
 def segment_history(segments: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:
@@ -60,28 +61,23 @@ def latest_alerts(alerts: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:
 
 def result_table_counts(spark: SparkSession, root: str) -> DataFrame:
     """Row count of each result table; a missing table counts 0 rows."""
-    parts = [read_result_table(spark, root, name)
-             .agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("table_name"), "row_count")
-             for name in RESULT_TABLES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (result_table_presence(spark, root)
+            .select("table_name", F.coalesce("row_count", F.lit(0)).alias("row_count")))
 
 
 def result_table_presence(spark: SparkSession, root: str) -> DataFrame:
-    """Presence flag per result table with its row count (NULL if absent)."""
+    """Presence flag per result table with its row count (NULL if absent); counts
+    come from file footers (``table_row_count``)."""
     present = table_presence(spark, root)
+    own = footer_session(spark)
     parts = []
     for name in RESULT_TABLES:
         if present[name]:
-            parts.append(read_result_table(spark, root, name)
-                         .agg(F.count(F.lit(1)).alias("row_count"))
+            parts.append(table_row_count(own, root, name)
                          .select(F.lit(name).alias("table_name"), F.lit(True).alias("present"),
                                  "row_count"))
         else:
-            parts.append(spark.range(1).select(
+            parts.append(own.range(1).select(
                 F.lit(name).alias("table_name"), F.lit(False).alias("present"),
                 F.lit(None).cast("bigint").alias("row_count")))
     out = parts[0]

@@ -927,3 +927,85 @@ def q_category_conversion_from_clean_table(spark, sf_dir):
 def q_top_products_from_clean_table(spark, sf_dir):
     """E1-E7 over the H1 table: first category in event order, exact viewers."""
     return prod.top_products(prod.product_view_stats(_h1(spark, sf_dir)))
+
+
+# --- daily tables by change, and any range of days (H3; E2) -----------------------
+
+_CHANGE_RUNS: dict[tuple, str] = {}
+
+
+def change_run(spark: SparkSession, sf_dir: str) -> str:
+    """Daily tables kept up by change, once per session and input folder: the first
+    copies of the feed's events (some faulty) are streamed into a cleaned-event table
+    and the days computed; then the clean retries arrive for the same days, late, and
+    the days they touch are computed again. Returns the tables root."""
+    import uuid
+
+    from cartpulse.plans.daily import run_changed_days
+    from cartpulse.schema import ENVELOPE_SCHEMA
+    from cartpulse.session import input_key, work_path
+    from cartpulse.streaming.alerts import read_events, start_clean_event_sink, valid_stream
+    key = _session_key(spark, sf_dir)
+    if key not in _CHANGE_RUNS:
+        workdir = work_path(spark, "by_change", input_key(sf_dir), uuid.uuid4().hex)
+        messages = feed.faulty_feed(_clicks(spark, sf_dir))
+        for copy in (0, 1):
+            (messages.where(F.col("offset") % 2 == copy).write.mode("append")
+             .parquet(f"{workdir}/messages"))
+            arrived = read_events(spark, source="parquet", path=f"{workdir}/messages")
+            start_clean_event_sink(valid_stream(arrived.select(*ENVELOPE_SCHEMA.fieldNames())),
+                                   f"{workdir}/clean", f"{workdir}/clean_checkpoint",
+                                   {"availableNow": True}).awaitTermination()
+            run_changed_days(spark, f"{workdir}/clean", f"{workdir}/tables",
+                             f"{workdir}/days_checkpoint", viewer_sketches=True)
+        _CHANGE_RUNS[key] = f"{workdir}/tables"
+    return _CHANGE_RUNS[key]
+
+
+def _changed_table(spark, sf_dir, name) -> DataFrame:
+    from cartpulse.sinks.tables import read_result_table
+    return read_result_table(spark, change_run(spark, sf_dir), name).drop("created_at")
+
+
+@register("segments_by_change", with_clicks(
+    "SELECT event_date AS analysis_date, user_id, segment, total_events, view_count, cart_count, "
+    "purchase_count FROM segments", _feed_sql(), VALID_FEED, H1_SQL, _over_h1(SEGMENTS_SQL)))
+def q_segments_by_change(spark, sf_dir):
+    """The segments table after two runs over the days that got rows."""
+    return _changed_table(spark, sf_dir, "user_segmentation_daily")
+
+
+@register("category_conversion_by_change", with_clicks(
+    f"SELECT event_date AS analysis_date, product_category AS category, total_views, total_cart, "
+    f"total_purchases, {CAT_RATES} FROM cat_counts", _feed_sql(), VALID_FEED, H1_SQL,
+    _over_h1(CAT_COUNTS_SQL.format(keys="event_date,"))))
+def q_category_conversion_by_change(spark, sf_dir):
+    """The conversion table after two runs over the days that got rows."""
+    return _changed_table(spark, sf_dir, "conversion_rate_daily")
+
+
+# Two weeks in the middle of the fixture's days.
+RANGE_FIRST, RANGE_LAST = "2024-01-08", "2024-01-21"
+
+
+@register("product_views_any_range", with_clicks(
+    "SELECT product_id, category, total_views, avg_price, true AS viewers_close FROM stats",
+    _feed_sql(), VALID_FEED, H1_SQL,
+    f"ranged AS (SELECT * FROM h1 WHERE event_date BETWEEN DATE '{RANGE_FIRST}' AND DATE '{RANGE_LAST}')",
+    stats_sql("").replace("FROM clicks v", "FROM ranged v")))
+def q_product_views_any_range(spark, sf_dir):
+    """E1-E3, E6 over a range of days from the stored rows; ``viewers_close``: the merged
+    sketches' viewers are within three times the stated error of the exact count."""
+    from cartpulse.plans.sketches import RELATIVE_ERROR, range_view_stats
+    from cartpulse.schema import PRODUCT_VIEWERS
+    stats = range_view_stats(_changed_table(spark, sf_dir, PRODUCT_VIEWERS), RANGE_FIRST, RANGE_LAST)
+    day = F.col("event_date")
+    events = _h1(spark, sf_dir).where(day.between(F.to_date(F.lit(RANGE_FIRST)),
+                                                  F.to_date(F.lit(RANGE_LAST))))
+    exact = prod.product_view_stats(events, by_day=False).select(
+        "product_id", F.col("unique_viewers").alias("exact_viewers"))
+    close = (F.abs(F.col("unique_viewers") - F.col("exact_viewers"))
+             <= F.col("exact_viewers") * (3 * RELATIVE_ERROR))
+    return (stats.join(exact, "product_id", "left")
+            .select("product_id", "category", "total_views", "avg_price",
+                    F.coalesce(close, F.lit(False)).alias("viewers_close")))

@@ -109,6 +109,19 @@ CONVERSION_SCHEMA = T.StructType([  # key (analysis_date, category)
     T.StructField("analysis_date", T.DateType(), False),
 ])
 
+# Views of a product on a day in a form that adds up over days (``plans.sketches``).
+PRODUCT_VIEWERS = "product_viewers_daily"
+PRODUCT_VIEWERS_SCHEMA = T.StructType([  # key (analysis_date, product_id)
+    T.StructField("product_id", T.StringType(), False),
+    T.StructField("category", T.StringType(), True),
+    T.StructField("total_views", T.LongType(), False),
+    T.StructField("price_units", T.DecimalType(38, 0), True),
+    T.StructField("n_prices", T.LongType(), False),
+    T.StructField("viewers", T.BinaryType(), True),
+    T.StructField("created_at", T.TimestampType(), False),
+    T.StructField("analysis_date", T.DateType(), False),
+])
+
 # The result-table names the history queries read.
 RESULT_TABLES = ["user_segmentation_daily", "top_products_daily",
                  "conversion_rate_daily", "flash_sale_alerts"]

@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartpulse.schema import (ALERT_SCHEMA, CONVERSION_SCHEMA, RESULT_TABLES,
-                              SEGMENTATION_SCHEMA, TOP_PRODUCTS_SCHEMA)
+from cartpulse.schema import (ALERT_SCHEMA, CONVERSION_SCHEMA, PRODUCT_VIEWERS,
+                              PRODUCT_VIEWERS_SCHEMA, RESULT_TABLES, SEGMENTATION_SCHEMA,
+                              TOP_PRODUCTS_SCHEMA)
 
 TABLE_SCHEMAS = {
     "user_segmentation_daily": SEGMENTATION_SCHEMA,
     "top_products_daily": TOP_PRODUCTS_SCHEMA,
     "conversion_rate_daily": CONVERSION_SCHEMA,
     "flash_sale_alerts": ALERT_SCHEMA,
+    PRODUCT_VIEWERS: PRODUCT_VIEWERS_SCHEMA,
 }
 
 
@@ -83,15 +85,17 @@ def write_clean_events(df: DataFrame, path: str) -> None:
 
 
 def read_clean_events(spark: SparkSession, path: str, first: str | None = None,
-                      last: str | None = None) -> DataFrame:
-    """H1 as the daily jobs read it: the days first .. last (all days by default),
-    one row per event id. The stream appends every valid row, late ones and
+                      last: str | None = None, days: list | None = None) -> DataFrame:
+    """H1 as the daily jobs read it: the days first .. last, or the listed ones (all
+    days by default), one row per event id. The stream appends every valid row, late ones and
     repeated ones too; copies of an event carry its event time and so its day."""
     from cartpulse.operators.cleanse import deduplicate
     events = spark.read.parquet(path)
     if first:
         d = F.col("event_date")
         events = events.filter((d >= F.to_date(F.lit(first))) & (d <= F.to_date(F.lit(last or first))))
+    if days is not None:
+        events = events.filter(F.col("event_date").isin(days))
     return deduplicate(events)
 
 
@@ -223,6 +227,21 @@ def read_result_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.createDataFrame([], TABLE_SCHEMAS[name])
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session whose Parquet scans answer count(*) from file footers (aggregate
+    pushdown of the columnar reader). The settings stay in it: no other plan changes."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def table_row_count(own: SparkSession, root: str, name: str) -> DataFrame:
+    """The row count of one written result table; ``own`` is a ``footer_session``."""
+    rows = own.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(root, name))
+    return rows.agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def table_presence(spark: SparkSession, root: str) -> dict[str, bool]:
     """Which result tables exist (file metadata only)."""
     return {name: path_exists(spark, table_path(root, name)) for name in RESULT_TABLES}

@@ -101,6 +101,24 @@ def test_a_run_that_dies_repeats_its_days(spark, workdir, monkeypatch):
         assert comparable(spark, f"{workdir}/tables", name) == comparable(spark, f"{workdir}/whole", name)
 
 
+def test_copies_are_dropped_once_for_all_jobs(spark, workdir, monkeypatch):
+    from cartpulse.plans import daily
+    append(spark, events_of(spark, 0, 200, "2024-01-01"), workdir)
+    append(spark, events_of(spark, 100, 300, "2024-01-01"), workdir)
+    kept, real = [], daily.run_daily_jobs
+
+    def jobs(events, *args, **options):
+        kept.append(events)
+        assert events.storageLevel.useDisk and set(events.columns) == set(daily.JOB_COLUMNS)
+        real(events, *args, **options)
+    monkeypatch.setattr(daily, "run_daily_jobs", jobs)
+    assert change(spark, workdir) == ["2024-01-01"]
+    assert len(kept) == 1 and not kept[0].storageLevel.useDisk  # freed
+    real(read_clean_events(spark, f"{workdir}/clean"), f"{workdir}/whole", viewer_sketches=True)
+    for name in DAILY:
+        assert comparable(spark, f"{workdir}/tables", name) == comparable(spark, f"{workdir}/whole", name)
+
+
 def test_viewers_of_a_range_are_within_the_stated_error(spark, workdir):
     """30 days, 50,000 users of one product who return every few days; one product with
     three users, one without any user id."""

@@ -10,8 +10,9 @@ most toxic window, as a noisy or grows with the mere number of windows.
 Training reads a bounded sample of whole texts: at most about ``per_class``
 labelled texts of each class and at most about ``max_chars`` characters of them
 together, drawn by a hash of the id whatever their length. A quarter of it is
-held back to place the decision threshold at score 0.7. Scoring needs one number for each n-gram bucket, so tasks get a
-table of fixed size.
+held back to place the decision threshold at score 0.7. The sample is fitted in a
+task, so the driver sees no texts, only the model: one number for each n-gram
+bucket, a table of fixed size that all scoring tasks get.
 
 Defined results: null texts and texts without letters have no windows and get
 the score of a window without evidence; without labelled rows of both classes
@@ -91,7 +92,8 @@ class Corpus:
         self.bounds = np.array(bounds)
         vocab = np.concatenate(order)
         rank = np.argsort(vocab)
-        self.tokens = rank[np.searchsorted(vocab[rank], np.concatenate(hashes))]
+        vocab, rank = vocab[rank], rank.astype(np.int32)
+        self.tokens = np.concatenate([rank[np.searchsorted(vocab, h)] for h in hashes])
         self.ids = np.concatenate(ids)
         self.sizes = np.concatenate(sizes)
         self.text_counts = counts
@@ -110,6 +112,17 @@ def _word_means(table: np.ndarray, corpus: Corpus, block: int = 4_000) -> np.nda
     return out
 
 
+def _by_bucket(value: np.ndarray, corpus: Corpus, block: int = 4_000) -> np.ndarray:
+    """Sum over each bucket's words of ``value``, added up in the words' order; the
+    n-grams of a block of words at a time."""
+    out = np.zeros(BUCKETS)
+    for a in range(0, len(corpus.sizes), block):
+        b = min(a + block, len(corpus.sizes))
+        ids = corpus.ids[corpus.firsts[a]:corpus.firsts[b]].astype(np.intp)
+        np.add.at(out, ids, np.repeat(value[a:b], corpus.sizes[a:b]))
+    return out
+
+
 def _window_means(words: np.ndarray, tokens: np.ndarray, start: np.ndarray, end: np.ndarray,
                   block: int = 8_000) -> np.ndarray:
     """Mean of each window's words; the tokens of a block of windows at a time."""
@@ -154,10 +167,9 @@ def fit(corpus: Corpus, toxic: np.ndarray, epochs: int, rate: float = RATE,
     start, end, text = windows(corpus.bounds)
     share = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
     length = end - start
-    owner = np.repeat(np.arange(len(corpus.sizes), dtype=np.int32), corpus.sizes)
     # chance alone moves a gradient by about the root of an n-gram's count
     often = np.bincount(corpus.tokens, minlength=len(corpus.sizes))
-    often = np.bincount(corpus.ids, often[owner], minlength=BUCKETS)[:, None]
+    often = _by_bucket(often.astype(np.float64), corpus)[:, None]
     trust = (common / np.sqrt(np.maximum(often, 1))).astype(np.float32)
     for _ in range(epochs):
         words = _word_means(table.value, corpus)
@@ -171,11 +183,12 @@ def fit(corpus: Corpus, toxic: np.ndarray, epochs: int, rate: float = RATE,
         # through the softmax, the windows, the words, the n-grams
         gw = mean.T @ gz
         each = gz / length
-        edge = (np.bincount(start, each, minlength=len(corpus.tokens) + 1)
-                - np.bincount(end, each, minlength=len(corpus.tokens) + 1))
-        word = np.bincount(corpus.tokens, np.cumsum(edge)[:-1], minlength=len(corpus.sizes))
+        edge = np.bincount(start, each, minlength=len(corpus.tokens) + 1)
+        edge -= np.bincount(end, each, minlength=len(corpus.tokens) + 1)
+        np.cumsum(edge, out=edge)
+        word = np.bincount(corpus.tokens, edge[:-1], minlength=len(corpus.sizes))
         word /= np.maximum(corpus.sizes, 1)
-        evidence = np.bincount(corpus.ids, word[owner], minlength=BUCKETS)
+        evidence = _by_bucket(word, corpus)
         grad = np.empty((BUCKETS, DIM), np.float32)
         for d in range(DIM):
             # every column is the same evidence, times the softmax's weight
@@ -240,6 +253,38 @@ def untrained() -> Model:
     return model
 
 
+MODEL = "buckets binary, bias double, cut double, scale double, trained boolean"
+
+
+def _fitter(batches):
+    """The model of a sample (doc_id, text, toxic, back), as one row."""
+    batches = list(batches)
+    model = untrained()
+    if batches:
+        rows = pa.Table.from_batches(batches).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        batches.clear()
+        texts, toxic = rows["text"].to_pylist(), rows["toxic"].to_numpy() == 1
+        back = np.array(rows["back"].to_pylist(), bool)
+        del rows
+        model = train_texts(texts, toxic, back)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([model.buckets.tobytes()], pa.binary()), pa.array([model.bias], pa.float64()),
+         pa.array([model.cut], pa.float64()), pa.array([model.scale], pa.float64()),
+         pa.array([model.trained], pa.bool_())],
+        names=["buckets", "bias", "cut", "scale", "trained"])
+
+
+def fitted(sample: DataFrame) -> Model:
+    """Train on a bounded sample (doc_id, text, toxic, back) in one task; only the
+    model comes to the driver."""
+    row = map_arrow(sample.repartition(1), _fitter, MODEL).first()
+    if row is None:  # no partition at all
+        return untrained()
+    model = Model(np.frombuffer(row.buckets, np.float32), row.bias)
+    model.cut, model.scale, model.trained = row.cut, row.scale, row.trained
+    return model
+
+
 def train_texts(texts: list[str], toxic: np.ndarray, back: np.ndarray) -> Model:
     """Train on the rows where ``back`` is false and calibrate on the others."""
     if not toxic[~back].any() or toxic[~back].all():
@@ -293,12 +338,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = P
     sample = (rows.select("doc_id", "text")
               .join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
               .withColumn("_chars", F.sum(chars).over(order)).where(F.col("_chars") <= 2 * max_chars)
-              .select("doc_id", "text", "toxic", (draw("back") < 0.25).alias("back"))
-              .toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]))
-    texts, toxic = sample["text"].to_pylist(), sample["toxic"].to_numpy() == 1
-    back = np.array(sample["back"].to_pylist(), bool)
-    del sample
-    return train_texts(texts, toxic, back)
+              .select("doc_id", "text", "toxic", (draw("back") < 0.25).alias("back")))
+    return fitted(sample)
 
 
 def _scorer(model_cast):

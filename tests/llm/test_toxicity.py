@@ -134,3 +134,31 @@ def test_scores_equal_brute_force():
     got = model.logits(texts)
     assert np.allclose(got, [brute_logit(model, t) for t in texts], atol=1e-4)
     assert np.allclose(model.logits(texts + texts)[len(texts):], got, atol=1e-9)  # repeated rows
+
+
+def test_sample_is_fitted_in_a_task(spark, monkeypatch):
+    """The driver neither reads the drawn texts nor fits them; the model is the same."""
+    docs, labels, toxic = frames(spark)
+    docs = docs.where("doc_id < 300")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    back = np.array([r.back for r in docs.orderBy("doc_id").select((F.pmod(F.xxhash64(
+        F.lit("back"), "doc_id"), F.lit(1 << 20)) / float(1 << 20) < 0.25).alias("back")).collect()])
+    here = T.train_texts(list(texts), toxic, back)
+
+    def driver(*_):
+        raise AssertionError("in the driver")
+
+    monkeypatch.setattr(T, "train_texts", driver)
+    monkeypatch.setattr(type(docs), "toArrow", driver)
+    model = T.train(docs, labels, F.lit(True))
+    assert model.trained and np.array_equal(model.buckets, here.buckets)
+    assert (model.bias, model.cut, model.scale) == (here.bias, here.cut, here.scale)
+
+
+def test_buckets_are_summed_in_blocks():
+    """As one sum over all n-grams, to the last bit."""
+    corpus = T.Corpus(sample(300, 1)[0])
+    value = np.random.default_rng(0).standard_normal(len(corpus.sizes))
+    whole = np.bincount(corpus.ids, np.repeat(value, corpus.sizes), minlength=T.BUCKETS)
+    for block in (1, 7, 4_000):
+        assert np.array_equal(T._by_bucket(value, corpus, block), whole)
